@@ -2,13 +2,13 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Iterable, Mapping
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from truerow.config.endpoints import EndpointSchema
-from truerow.sources.tables import TableSpec, TableStore
+from truerow.sources.tables import Snapshot, TableSpec, TableStore
 
 RECORDS = TableSpec(
     "endpoint_records",
@@ -70,14 +70,15 @@ VALIDATION_RUNS = TableSpec(
 VALIDATION_INDEX = TableSpec(
     "validation_result_index_current",
     (
-        "target STRING, product_id STRING, ready BOOLEAN, status STRING, issue_hash STRING, "
+        "target STRING, bucket INT, product_id STRING, ready BOOLEAN, status STRING, "
+        "issue_hash STRING, "
         "issue_codes ARRAY<STRING>, issue_severities MAP<STRING, STRING>, display_name STRING, "
         "brand STRING, season STRING, season_year INT, group_key STRING, score DOUBLE, "
         "issue_count LONG, failure_count LONG, hard_warning_count LONG, "
         "soft_warning_count LONG, updated_source_at TIMESTAMP_NTZ, "
         "updated_at TIMESTAMP_NTZ, run_id STRING"
     ),
-    ("target",),
+    ("target", "bucket"),
 )
 VALIDATION_EVENTS = TableSpec(
     "validation_change_events",
@@ -110,10 +111,11 @@ CHANGELOG_RUNS = TableSpec(
 CHANGELOG_INDEX = TableSpec(
     "endpoint_changelog_index_current",
     (
-        "endpoint STRING, record_id STRING, payload_hash STRING, tracked_payload_json STRING, "
-        "config_sha256 STRING, updated_at TIMESTAMP_NTZ, run_id STRING"
+        "endpoint STRING, bucket INT, record_id STRING, payload_hash STRING, "
+        "tracked_payload_json STRING, config_sha256 STRING, updated_at TIMESTAMP_NTZ, "
+        "run_id STRING"
     ),
-    ("endpoint",),
+    ("endpoint", "bucket"),
 )
 CHANGELOG_EVENTS = TableSpec(
     "endpoint_change_events",
@@ -189,11 +191,27 @@ class MasterStore(TableStore):
             count = F.when(endpoint == name, F.lit(number)).otherwise(count)
         return F.pmod(F.xxhash64(record_id), count).cast("int")
 
+    def folders(self, table: str, snapshot: Snapshot, prefix: str) -> list[str]:
+        """Committed partition folders below ``prefix``, such as ``endpoint=styles``."""
+        names = snapshot.partitions(table)
+        return [name for name in names if name == prefix or name.startswith(prefix + "/")]
+
+    def touched_folders(self, keys: DataFrame, *partition_by: str) -> list[str]:
+        """Partition folders of the given rows: at most one per bucket, whatever their number."""
+        rows = keys.select(*partition_by).distinct().collect()
+        return ["/".join(f"{name}={row[name]}" for name in partition_by) for row in rows]
+
     # -- S7, S8: the current state ---------------------------------------------------------
 
     def current_records(self) -> DataFrame:
         """Live records of all endpoints; a filter on endpoint prunes the scan."""
-        return self.read(RECORDS.name).where("live").drop("bucket", "live", "actions")
+        return self.bucketed_records().drop("bucket")
+
+    def bucketed_records(
+        self, snapshot: Snapshot | None = None, folders: Iterable[str] | None = None
+    ) -> DataFrame:
+        rows = self.read(RECORDS.name, snapshot, folders)
+        return rows.where("live").drop("live", "actions")
 
     def create_views(self, schemas: Mapping[str, EndpointSchema]) -> None:
         """``current_endpoint_records`` and one ``current_<endpoint>`` per schema."""
