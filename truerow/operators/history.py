@@ -349,11 +349,14 @@ def record(
     naming: Naming | None = None,
     position: str | None = None,
     created_at: datetime | None = None,
+    totals: tuple[int, int] | None = None,
 ) -> HistoryRun:
     """Store index, events and run row of one validation in one commit.
 
     ``scope`` (product_id) limits the run: results outside it are ignored and index rows
     outside it stay as they are; a product in scope without a result counts as removed.
+    ``totals`` are the (total, ready) numbers of a full run where the caller has them; they
+    may count repeated ids, which the index does not.
     """
     now = created_at or utc_now()
     snapshot = store.snapshot()
@@ -400,7 +403,7 @@ def record(
     )
     issues = store.write(ISSUE_EVENTS.name, issue_changes(store.rows_of(events)))
     # One row of counts.
-    total, ready = counts.first()
+    total, ready = totals if totals and scope is None else counts.first()
     run_row = store.spark.createDataFrame(
         [
             (
