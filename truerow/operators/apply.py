@@ -32,6 +32,7 @@ from truerow.sources.rawfiles import (
     read_lines,
 )
 from truerow.sources.store import CHANGES, LEDGER, RECORDS, MasterStore
+from truerow.sources.tables import Snapshot, Written
 
 _FILE_FIELDS = "file_ord INT, file_path STRING, endpoint STRING, source_run_id STRING"
 _AVERAGE_RECORD_BYTES = 1000
@@ -159,6 +160,31 @@ def _touched_partitions(
     return [f"endpoint={name}/bucket={bucket}" for name, bucket in touched]
 
 
+def merge_winners(
+    store: MasterStore, snapshot: Snapshot, winners: DataFrame, touched: Sequence[str]
+) -> Written:
+    """Fold one row per record and file into the touched buckets of the state.
+
+    ``winners`` has endpoint, bucket, record_id, the stored record fields, file_ord,
+    is_delete and lines.
+    """
+    stored = (
+        store.bucketed_records(snapshot, touched)
+        .withColumns(
+            {
+                "file_ord": F.lit(SEED),
+                "is_delete": F.lit(False),
+                "lines": F.lit(0).cast("long"),
+            }
+        )
+    )
+    # Shuffled once by bucket: the fold groups inside these partitions and each bucket is
+    # then written as one file. All rows of a record share a bucket; buckets are sized by
+    # the store, so no endpoint, however large, ends up in one task.
+    events = stored.unionByName(winners).repartition("endpoint", "bucket")
+    return store.write(RECORDS.name, fold(events, ["endpoint", "bucket", "record_id"]))
+
+
 def _apply_batch(
     store: MasterStore,
     records: DataFrame,
@@ -191,25 +217,7 @@ def _apply_batch(
         F.lit(utc_text(now)).alias("ingested_at"),
         F.lit(now).cast("timestamp_ntz").alias("ingested_at_ts"),
     )
-    stored = (
-        store.read(RECORDS.name, snapshot, touched)
-        .where("live")
-        .drop("live", "actions")
-        .withColumns(
-            {
-                "file_ord": F.lit(SEED),
-                "is_delete": F.lit(False),
-                "lines": F.lit(0).cast("long"),
-            }
-        )
-    )
-    # Shuffled once by bucket: the fold groups inside these partitions and each bucket is
-    # then written as one file. All rows of a record share a bucket; buckets are sized by
-    # the store, so no endpoint, however large, ends up in one task.
-    events = stored.unionByName(winners).repartition("endpoint", "bucket")
-    folded = fold(events, ["endpoint", "bucket", "record_id"])
-    state = store.write(RECORDS.name, folded)
-
+    state = merge_winners(store, snapshot, winners, touched)
     batch_id = f"{now:%Y%m%dT%H%M%S}-{uuid.uuid4().hex[:8]}"
     actions = actions_of(store.rows_of(state).where("size(actions) > 0"))
     changes = store.write(
