@@ -1,0 +1,10 @@
+"""Every operator as a query over the driver tables, with its SQL counterpart."""
+
+from __future__ import annotations
+
+
+def all_queries() -> dict:
+    from truerow.queries import coverage, state
+
+    modules = (state, coverage)
+    return {name: entry for module in modules for name, entry in module.QUERIES.items()}
