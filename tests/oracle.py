@@ -18,7 +18,7 @@ def connect(sf_dir):
 
 
 def _cell(value):
-    if value is None or value is pd.NaT or (isinstance(value, float) and np.isnan(value)):
+    if value is None or value is pd.NaT or (isinstance(value, float) and np.isnan(value)) or value is pd.NA:
         return None
     if isinstance(value, (bool, np.bool_)):
         return bool(value)

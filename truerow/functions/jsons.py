@@ -60,14 +60,41 @@ def as_array(value: Column) -> Column:
     return F.try_variant_get(value, "$", "array<variant>")
 
 
-def string_leaves(roots: Column, depth: Column) -> Column:
-    """All string leaves below an array of variants, level by level.
+# A JSON string token, with the colon when it is a key. Outside of strings JSON has no quotes,
+# so tokens found from left to right are never out of step.
+_STRING_TOKEN = r'"[^"\\]*+(?:\\.[^"\\]*+)*+"(?:\s*:)?'
+_MANY_ESCAPES = 500
 
-    ``depth`` bounds the nesting and must not be smaller than the real one; see
-    ``nesting_bound``. A level costs nothing once no containers are left.
+
+def string_leaves(text: Column) -> Column:
+    """All string leaves in the text of a JSON array, at any depth.
+
+    They are the string tokens of the JSON text that are not keys. Text with very many
+    escapes is walked level by level instead, because it would nest the pattern too deeply.
+    """
+    tokens = F.filter(
+        F.regexp_extract_all(text, F.lit(_STRING_TOKEN), F.lit(0)),
+        lambda t: ~t.endswith(":"),
+    )
+    found = F.transform(
+        tokens,
+        lambda t: F.when(
+            t.contains("\\"), F.get_json_object(F.concat(F.lit("["), t, F.lit("]")), "$[0]")
+        ).otherwise(F.substring(t, F.lit(2), F.length(t) - 2)),
+    )
+    escapes = F.length(text) - F.length(F.translate(text, "\\", ""))
+    return F.when(escapes <= _MANY_ESCAPES, found).otherwise(_walked_leaves(text))
+
+
+def _walked_leaves(text: Column) -> Column:
+    """The same leaves by opening all containers of a level at once.
+
+    No value can be nested deeper than the text has opening brackets, and the JSON reader
+    accepts no more than 1000 levels, so nothing is cut off.
     """
     no_nodes = F.array().cast("array<variant>")
     no_text = F.array().cast("array<string>")
+    opened = F.length(text) - F.length(F.translate(text, "[{", ""))
 
     def children(node: Column) -> Column:
         return F.coalesce(as_array(node), F.map_values(as_map(node)), no_nodes)
@@ -85,17 +112,7 @@ def string_leaves(roots: Column, depth: Column) -> Column:
         )
 
     start = F.struct(
-        F.filter(roots, lambda n: n.isNotNull()).alias("nodes"), no_text.alias("leaves")
-    )
-    return F.aggregate(
-        F.sequence(F.lit(1), depth), start, step, lambda acc: acc["leaves"]
+        F.array(F.try_parse_json(text)).alias("nodes"), no_text.alias("leaves")
     )
-
-
-def nesting_bound(payload: Column) -> Column:
-    """No value can be nested deeper than the payload has opening brackets.
-
-    1000 is the deepest text the JSON reader accepts, so nothing is cut off.
-    """
-    opened = F.length(payload) - F.length(F.translate(payload, "[{", ""))
-    return F.least(F.greatest(opened, F.lit(0)) + 1, F.lit(1001))
+    levels = F.sequence(F.lit(1), F.least(opened + 1, F.lit(1001)))
+    return F.aggregate(levels, start, step, lambda acc: acc["leaves"])

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 def strip(text: Column) -> Column:
     """Remove all leading and trailing white space, not only spaces."""
-    return F.regexp_replace(text, r"^\s+|\s+$", "")
+    return F.when(text.rlike(r"^\s|\s$"), F.regexp_replace(text, r"^\s+|\s+$", "")).otherwise(text)
 
 
 def filled(text: Column) -> Column:

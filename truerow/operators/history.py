@@ -304,7 +304,8 @@ def issue_changes(events: DataFrame) -> DataFrame:
         one_way("current", "previous", ADDED), one_way("previous", "current", RESOLVED)
     )
     stamps = [name for name in ("run_id", "target", "changed_at") if name in events.columns]
-    return events.select(*stamps, "product_id", F.inline(both))
+    rows = events.select(*stamps, "product_id", F.inline_outer(both))
+    return rows.where(F.col("issue_code").isNotNull())
 
 
 # -- H10-H13: recording a run ----------------------------------------------------------------

@@ -180,8 +180,8 @@ def write_master(store: MasterStore, products: DataFrame) -> dict[str, int]:
 
 def source_refs(products: DataFrame) -> DataFrame:
     """M2: one row per source reference."""
-    rows = products.select("product_id", F.inline("source_refs"))
-    return rows.select(
+    rows = products.select("product_id", F.inline_outer("source_refs"))
+    return rows.where(F.col("record_id").isNotNull()).select(
         "product_id",
         F.col("endpoint").alias("source_endpoint"),
         F.col("record_id").alias("source_record_id"),
@@ -191,7 +191,8 @@ def source_refs(products: DataFrame) -> DataFrame:
 
 def product_warnings(products: DataFrame) -> DataFrame:
     """M2: one row per warning."""
-    return products.select("product_id", F.inline("warnings"))
+    rows = products.select("product_id", F.inline_outer("warnings"))
+    return rows.where(F.col("code").isNotNull())
 
 
 def master_summary(products: DataFrame) -> DataFrame:

@@ -17,7 +17,7 @@ from truerow.config.relationships import (
     VALID_REF_PATTERN,
     Relationship,
 )
-from truerow.functions.jsons import nesting_bound, payload_fields, string_leaves
+from truerow.functions.jsons import payload_fields, string_leaves
 from truerow.functions.numbers import percent
 from truerow.functions.text import strip
 
@@ -31,13 +31,13 @@ EMPTY_CODE = "ENDPOINT_EMPTY"
 COVERAGE_VERSION = "reconstruction-check-coverage-v1"
 
 
-def refs_below(values: Column, depth: Column, naming: Naming) -> Column:
-    """The distinct references in an array of variants, at any depth.
+def refs_below(text: Column, naming: Naming) -> Column:
+    """The distinct references in the text of a JSON array, at any depth.
 
     Texts are stripped; empty ones and the bare prefix are no references, and neither are
     numbers, booleans and nulls.
     """
-    texts = F.transform(string_leaves(values, depth), strip)
+    texts = F.transform(string_leaves(text), strip)
     return F.array_distinct(F.filter(texts, lambda t: (t != "") & (t != naming.empty_ref)))
 
 
@@ -52,17 +52,14 @@ def _exploded(
     """
     endpoints = sorted({endpoint for _, endpoint, _ in endpoint_fields})
     wanted = {field for _, _, fields in endpoint_fields for field in fields}
-    kind = "array<struct<name:string,refs:array<string>>>"
-    depth = F.col("depth")
+    kind = "array<struct<name:string,text:string>>"
     entries = F.array().cast(kind)
     for endpoint in endpoints:
         of_endpoint = F.array(
             *[
                 F.struct(
                     F.lit(name).alias("name"),
-                    refs_below(
-                        F.array(*[F.col("parsed")[field] for field in fields]), depth, naming
-                    ).alias("refs"),
+                    F.to_json(F.array(*[F.col("parsed")[field] for field in fields])).alias("text"),
                 )
                 for name, owner, fields in endpoint_fields
                 if owner == endpoint
@@ -72,11 +69,17 @@ def _exploded(
     parsed = records.where(F.col("endpoint").isin(endpoints)).select(
         "endpoint",
         "record_id",
-        nesting_bound(F.col("payload")).alias("depth"),
         payload_fields(F.col("payload"), wanted, "VARIANT").alias("parsed"),
     )
+    # The text is a column of its own here, so it is written once however often it is used.
     per_name = parsed.select("endpoint", "record_id", F.inline(entries))
-    return per_name.select("endpoint", "record_id", "name", F.posexplode("refs").alias("pos", "ref"))
+    refs = per_name.select(
+        "endpoint", "record_id", "name", refs_below(F.col("text"), naming).alias("refs")
+    )
+    # The outer form: the plain one would make the optimizer test the array's size below,
+    # which means computing it a second time.
+    rows = refs.select("endpoint", "record_id", "name", F.posexplode_outer("refs").alias("pos", "ref"))
+    return rows.where(F.col("ref").isNotNull())
 
 
 def declared_refs(

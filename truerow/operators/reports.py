@@ -39,16 +39,18 @@ def readiness_by_brand(results: DataFrame) -> DataFrame:
     ).orderBy("brand")
 
 
-def exploded_issues(results: DataFrame, naming: Naming | None = None) -> DataFrame:
-    naming = naming or Naming()
-    return results.select(
-        naming.style_id, "brand_code", "product_type_code", F.inline("issues")
-    )
+def exploded_issues(results: DataFrame, *columns: str) -> DataFrame:
+    """One row per issue with the given columns of its product.
+
+    The outer form of inline: with the plain one the optimizer would test the array's size
+    below, and so check every product twice.
+    """
+    return results.select(*columns, F.inline_outer("issues")).where(F.col("code").isNotNull())
 
 
 def missing_attributes(results: DataFrame) -> DataFrame:
     """How often each attribute is missing; ties by name."""
-    found = results.select(F.inline("issues")).where(F.col("code").isin(*MISSING_CODES))
+    found = exploded_issues(results).where(F.col("code").isin(*MISSING_CODES))
     attribute = F.regexp_replace("source_field", r"^attributes\.", "")
     return (
         found.groupBy(attribute.alias("attribute"))
@@ -76,7 +78,7 @@ def product_table(results: DataFrame, naming: Naming | None = None) -> DataFrame
 def issue_table(results: DataFrame, naming: Naming | None = None) -> DataFrame:
     """G4."""
     naming = naming or Naming()
-    return exploded_issues(results, naming).select(
+    return exploded_issues(results, naming.style_id, "brand_code", "product_type_code").select(
         naming.style_id,
         "brand_code",
         "product_type_code",
@@ -92,7 +94,7 @@ def issue_table(results: DataFrame, naming: Naming | None = None) -> DataFrame:
 
 def issue_counts(results: DataFrame) -> DataFrame:
     """(code, severity, bucket, count), sorted."""
-    found = results.select(F.inline("issues"))
+    found = exploded_issues(results)
     return (
         found.groupBy("code", "severity", F.col("source_field").alias("bucket"))
         .agg(F.count("*").alias("count"))
@@ -102,7 +104,7 @@ def issue_counts(results: DataFrame) -> DataFrame:
 
 def unresolved_counts(results: DataFrame) -> DataFrame:
     """Unresolved references named by the results."""
-    found = results.select(F.inline("issues")).where(
+    found = exploded_issues(results).where(
         (F.col("source_field") == "unresolved_refs") | F.col("code").isin(*UNRESOLVED_CODES)
     )
     field = F.col("source_field")

@@ -17,6 +17,7 @@ from truerow.queries.tables import (
     line_id,
     orders,
     referring_records,
+    spread,
     table,
     union,
 )
@@ -175,7 +176,7 @@ WITH styles AS (
 
 def resolved_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """M5 on the long table: what order lines tell about each part."""
-    lines = table(spark, sf_dir, "lineitem")
+    lines = spread(table(spark, sf_dir, "lineitem"))
     entries = F.array(
         F.struct(coded("C", "l_suppkey").alias("record_id"), F.lit("supplier").alias("relation_type")),
         F.struct(coded("O", "l_orderkey").alias("record_id"), F.lit("bom").alias("relation_type")),
@@ -198,7 +199,7 @@ GROUP BY l_partkey
 
 def _line_products(spark: SparkSession, sf_dir: str) -> DataFrame:
     """M6: order lines as the products of a plug-in, in the loose form a plug-in may return."""
-    lines = table(spark, sf_dir, "lineitem")
+    lines = spread(table(spark, sf_dir, "lineitem"))
     returned, open_ = F.col("l_returnflag") == "R", F.col("l_linestatus") == "O"
     ids = F.struct(
         F.array("l_suppkey", "l_partkey").alias("material_ids"),

@@ -20,7 +20,7 @@ from truerow.operators.ingest import (
     fold,
     latest_per_key,
 )
-from truerow.queries.tables import event_lines, iso, line_id, table
+from truerow.queries.tables import event_lines, iso, spread, table
 
 SCHEMAS: dict[str, EndpointSchema] = {}
 
@@ -56,7 +56,7 @@ FROM (
 
 
 def _file_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    events = table(spark, sf_dir, "events")
+    events = spread(table(spark, sf_dir, "events"))
     value = F.col("value")
     timed = ~((F.col("event_type") == "signup") & (value > 100))
     payload = F.struct(
@@ -184,7 +184,7 @@ FOLD_SQL = _fold_sql()
 
 def id_integrity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Order keys of lines checked as if they were ids, per return flag."""
-    lines = table(spark, sf_dir, "lineitem")
+    lines = spread(table(spark, sf_dir, "lineitem"))
     own = F.struct(
         F.when(F.col("l_tax") > 0, F.col("l_orderkey").cast("string")).alias("id"),
     )
@@ -227,7 +227,7 @@ FROM totals LEFT JOIN samples ON samples.endpoint = totals.endpoint
 
 
 def _reconciled(spark: SparkSession, sf_dir: str) -> DataFrame:
-    lines = table(spark, sf_dir, "lineitem")
+    lines = spread(table(spark, sf_dir, "lineitem"))
     per_order = lines.groupBy(F.col("l_orderkey").alias("o_orderkey")).agg(
         F.max("l_linenumber").cast("bigint").alias("expected_count"),
         F.count("*").alias("items_fetched"),

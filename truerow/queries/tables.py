@@ -14,6 +14,16 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def spread(rows: DataFrame) -> DataFrame:
+    """Rows of a file that comes in fewer splits than there are cores, over all cores.
+
+    The given files hold a single row group, which one task would have to turn into JSON.
+    Inputs with enough splits are left as they are.
+    """
+    cores = rows.sparkSession.sparkContext.defaultParallelism
+    return rows.repartition(cores) if rows.rdd.getNumPartitions() < cores else rows
+
+
 def iso(ts: Column) -> Column:
     return F.date_format(ts, "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'")
 
@@ -35,10 +45,14 @@ def _records(rows: DataFrame, endpoint: str, record_id: Column, payload: Column)
 
 
 def line_id() -> Column:
-    return F.concat_ws("-", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")
+    cents = F.round(F.col("l_extendedprice") * 100).cast("bigint")
+    return F.concat_ws("-", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", cents)
 
 
-LINE_ID_SQL = "concat_ws('-', l_orderkey, l_linenumber, l_partkey, l_suppkey)"
+LINE_ID_SQL = (
+    "concat_ws('-', l_orderkey, l_linenumber, l_partkey, l_suppkey, "
+    "CAST(round(l_extendedprice * 100) AS BIGINT))"
+)
 
 
 # -- change records --------------------------------------------------------------------------
@@ -49,7 +63,7 @@ def event_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     The event is a deletion when its value is below 5.
     """
-    events = table(spark, sf_dir, "events")
+    events = spread(table(spark, sf_dir, "events"))
     payload = F.struct(
         F.col("user_id").cast("string").alias("id"),
         iso(F.col("ts")).alias("_modified_at"),
@@ -73,7 +87,7 @@ RELATIONSHIPS = (
 
 def lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Order lines with references in texts, lists and objects at several depths."""
-    rows = table(spark, sf_dir, "lineitem")
+    rows = spread(table(spark, sf_dir, "lineitem"))
     bad = (F.col("l_returnflag") == "R") & (F.col("l_linestatus") == "F")
     deep = F.struct(F.concat(F.lit(" C"), F.col("l_suppkey"), F.lit(" ")).alias("deep"))
     part = F.struct(
@@ -95,7 +109,7 @@ def lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def orders(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = table(spark, sf_dir, "orders")
+    rows = spread(table(spark, sf_dir, "orders"))
     own = coded("O", "o_orderkey")
     return _records(
         rows,
