@@ -262,7 +262,7 @@ def has_wrong_type(value: Column, expected: Column) -> Column:
     kind = variant_kind(value)
     pattern = (
         F.when(expected == "string", "^STRING$")
-        .when(expected == "number", "^(BIGINT|DECIMAL.*|DOUBLE|FLOAT|INT)$")
+        .when(expected == "number", "^(BIGINT|DECIMAL.*|DOUBLE|FLOAT|INT|SMALLINT|TINYINT)$")
         .when(expected == "boolean", "^BOOLEAN$")
         .when(expected == "list", "^ARRAY")
         .otherwise("")
