@@ -4,7 +4,7 @@ from __future__ import annotations
 
 
 def all_queries() -> dict:
-    from truerow.queries import changes, coverage, history, readiness, state
+    from truerow.queries import changes, coverage, cycles, history, readiness, state
 
-    modules = (state, coverage, readiness, history, changes)
+    modules = (state, coverage, readiness, history, changes, cycles)
     return {name: entry for module in modules for name, entry in module.QUERIES.items()}
