@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 BAD = "__unparsed"
@@ -30,6 +30,16 @@ def payload_fields(payload: Column, names: Iterable[str], kind: str = "STRING")
     return F.from_json(payload, schema, _PARSE_OPTIONS)
 
 
+def computed_once(rows: DataFrame, name: str, value: Column) -> DataFrame:
+    """Add a costly column in such a way that it is never computed again.
+
+    The optimizer moves filters below projections and copies the expressions they name; a
+    parse would then run for the filter and again for the columns. Nothing that depends on
+    the output of a generator is moved below it, so a one-element explode is the barrier.
+    """
+    return rows.select(*rows.columns, F.explode(F.array(value)).alias(name))
+
+
 def is_malformed(payload: Column, parsed: Column) -> Column:
     """True for text that is no JSON at all; arrays and scalars are legal JSON.
 

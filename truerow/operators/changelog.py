@@ -11,7 +11,13 @@ from pyspark.sql import functions as F
 
 from truerow.config.tracking import TrackedEndpoint, TrackingConfig
 from truerow.functions.canonical import sorted_arrays
-from truerow.functions.jsons import BAD, is_json_null, payload_fields, variant_path
+from truerow.functions.jsons import (
+    BAD,
+    computed_once,
+    is_json_null,
+    payload_fields,
+    variant_path,
+)
 from truerow.functions.times import utc_now
 from truerow.operators.ingest import DELETE
 from truerow.operators.snapshots import allocate_run_id, any_field_differs, keyed_diff
@@ -105,12 +111,13 @@ def index(
         tracked = tracked_payload(F.col("parsed"), entry)
         chosen = F.col("endpoint").isin(members)
         text = tracked if len(groups) == 1 else F.when(chosen, tracked).otherwise(text)
-    parsed = (
-        records.where(F.col("endpoint").isin(sorted(endpoints)))
-        .select(*names, payload_fields(F.col("payload"), roots, "VARIANT").alias("parsed"))
-        .where(F.col("parsed")[BAD].isNull())
-    )
-    tracked = parsed.select(*names, text.alias("tracked_payload_json"))
+    wanted = records.where(F.col("endpoint").isin(sorted(endpoints))).select(*names, "payload")
+    parsed = computed_once(wanted, "parsed", payload_fields(F.col("payload"), roots, "VARIANT"))
+    tracked = computed_once(
+        parsed.where(F.col("parsed")[BAD].isNull()).select(*names, "parsed"),
+        "tracked_payload_json",
+        text,
+    ).drop("parsed")
     return tracked.withColumn("payload_hash", F.sha2("tracked_payload_json", 256))
 
 
@@ -130,7 +137,10 @@ def _top_level(text: Column) -> Column:
 
 def changed_fields(previous: Column, current: Column) -> Column:
     """Sorted names of the top-level fields whose values differ."""
-    old, new = _top_level(previous), _top_level(current)
+    return _differing(_top_level(previous), _top_level(current))
+
+
+def _differing(old: Column, new: Column) -> Column:
     names = F.array_union(F.map_keys(old), F.map_keys(new))
     return F.array_sort(
         F.filter(
@@ -150,13 +160,16 @@ def diff(previous: DataFrame, current: DataFrame) -> DataFrame:
         any_field_differs(["payload_hash"]),
     )
     old, new = F.col("previous.tracked_payload_json"), F.col("current.tracked_payload_json")
+    # Only rows that differ get here, so only their payloads are opened.
+    fields = F.struct(_top_level(old).alias("old"), _top_level(new).alias("new"))
+    changes = computed_once(changes, "fields", fields)
     return changes.select(
         "endpoint",
         "record_id",
         "change_type",
         F.col("previous.payload_hash").alias("previous_hash"),
         F.col("current.payload_hash").alias("current_hash"),
-        changed_fields(old, new).alias("changed_fields"),
+        _differing(F.col("fields.old"), F.col("fields.new")).alias("changed_fields"),
         old.alias("previous_payload_json"),
         new.alias("current_payload_json"),
     )

@@ -17,7 +17,7 @@ from truerow.functions.issues import (
     joined,
     present,
 )
-from truerow.functions.jsons import variant_kind
+from truerow.functions.jsons import computed_once, variant_kind
 from truerow.functions.text import non_empty
 
 # Version, buckets with their messages, declared ids with their bucket, codes.
@@ -81,7 +81,8 @@ def from_json_payloads(payloads: DataFrame) -> DataFrame:
 def validate(payloads: DataFrame, naming: Naming | None = None) -> DataFrame:
     """One result row per check payload, no shuffle."""
     naming = naming or Naming()
-    checked = payloads.withColumn(
+    checked = computed_once(
+        payloads.select("style_id", "counts", "unresolved_refs", "warnings"),
         "issues",
         joined(
             present(_absent_buckets(naming)),

@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from truerow.config.endpoints import EndpointSchema
-from truerow.functions.jsons import BAD, is_malformed, payload_fields
+from truerow.functions.jsons import BAD, computed_once, is_malformed, payload_fields
 from truerow.functions.times import utc_timestamp
 
 UPSERT = "upsert"
@@ -74,7 +74,7 @@ def extract(
         record_id = F.when(parsed[BAD].isNull(), record_id).when(malformed, problem)
     modified_at = _by_schema(endpoint, schemas, modified, default)
     return (
-        lines.withColumn("parsed", payload_fields(F.col("payload"), wanted))
+        computed_once(lines, "parsed", payload_fields(F.col("payload"), wanted))
         .select(
             *lines.columns,
             record_id.alias("record_id"),

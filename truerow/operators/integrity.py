@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from truerow.functions.jsons import is_json_null, payload_fields, variant_kind
+from truerow.functions.jsons import computed_once, is_json_null, payload_fields, variant_kind
 
 # Statuses, the reason of a skipped check, the number of sampled ids.
 PASSED = "passed"
@@ -17,9 +17,11 @@ SAMPLES = 5
 
 def payload_ids(lines: DataFrame, primary_key: str = "id") -> DataFrame:
     """(endpoint, id) of JSON lines; a missing, null or nested id is NULL."""
-    parsed = payload_fields(F.col("payload"), [primary_key], "VARIANT")[primary_key]
+    field = payload_fields(F.col("payload"), [primary_key], "VARIANT")[primary_key]
+    parsed = F.col("parsed_id")
     scalar = ~is_json_null(parsed) & ~variant_kind(parsed).rlike("^(ARRAY|OBJECT)")
-    return lines.select(
+    opened = computed_once(lines.select("endpoint", "payload"), "parsed_id", field)
+    return opened.select(
         "endpoint",
         F.when(scalar, F.try_variant_get(parsed, "$", "string")).alias("id"),
     )
@@ -39,9 +41,11 @@ def id_integrity(ids: DataFrame) -> DataFrame:
         F.count_if(known).alias("unique_ids"),
         F.count_if(known & (n > 1)).alias("duplicate_ids"),
     )
-    by_id = Window.partitionBy("endpoint").orderBy("id")
+    by_id = Window.partitionBy("endpoint").orderBy(F.asc_nulls_last("id"))
+    # NULL comes last and is not collected. No filter on the id itself, so that both uses of
+    # the counts read the same shuffle.
     sampled = (
-        counted.where(known & (n > 1))
+        counted.where(n > 1)
         .withColumn("rank", F.row_number().over(by_id))
         .where(F.col("rank") <= SAMPLES)
         .groupBy("endpoint")

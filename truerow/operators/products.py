@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from truerow.functions.jsons import BAD, is_json_null, payload_fields, variant_kind
+from truerow.functions.jsons import BAD, computed_once, is_json_null, payload_fields, variant_kind
 from truerow.functions.text import filled
 from truerow.functions.times import utc_now
 from truerow.sources.store import PRODUCT_WARNINGS, PRODUCTS, SOURCE_REFS, MasterStore
@@ -52,13 +52,9 @@ DEFAULT_WARNING_CODE = "RECONSTRUCTION_WARNING"
 
 def master_products(records: DataFrame, endpoint: str = "styles") -> DataFrame:
     """M1: one product per style with an id, with an empty graph and one source reference."""
-    parsed = (
-        records.where(F.col("endpoint") == endpoint)
-        .select(
-            payload_fields(F.col("payload"), ["id", "brand_code", "product_type"]).alias("p")
-        )
-        .where(F.col("p")[BAD].isNull())
-    )
+    fields = payload_fields(F.col("payload"), ["id", "brand_code", "product_type"])
+    styles = records.where(F.col("endpoint") == endpoint).select("payload")
+    parsed = computed_once(styles, "p", fields).where(F.col("p")[BAD].isNull())
     style = parsed.select(
         filled(F.col("p.id")).alias("product_id"),
         filled(F.col("p.brand_code")).alias("brand_code"),
@@ -270,10 +266,11 @@ def check_projection(products: DataFrame) -> DataFrame:
     def part(key: str, kind: str) -> Column:
         return F.try_variant_get(F.try_element_at(graph, F.lit(key)), "$", kind)
 
-    relationships = F.coalesce(part("relationships", GRAPH_TYPE), no_map)
+    relationships = F.col("relationships")
     suffix = "_applicability"
     ids = F.map_filter(relationships, lambda key, _: ~key.endswith(suffix))
-    unresolved = F.filter(
+    unresolved = F.col("unresolved")
+    objects = F.filter(
         F.coalesce(part("unresolved_refs", "array<variant>"), F.array().cast("array<variant>")),
         lambda v: variant_kind(v).startswith("OBJECT"),
     )
@@ -283,10 +280,16 @@ def check_projection(products: DataFrame) -> DataFrame:
         F.size(unresolved).alias("unresolved_refs"),
         F.size("warnings").alias("warnings"),
     )
-    return products.select(
+    opened = computed_once(products, "graph_", graph).drop("graph")
+    opened = opened.withColumnRenamed("graph_", "graph")
+    opened = computed_once(
+        opened, "relationships", F.coalesce(part("relationships", GRAPH_TYPE), no_map)
+    )
+    opened = computed_once(opened, "unresolved", objects)
+    return computed_once(opened, "counts", counts).select(
         F.coalesce("style_id", "product_id").alias("style_id"),
         ids.alias("relationship_ids"),
-        counts.alias("counts"),
+        "counts",
         F.map_filter(relationships, lambda key, _: key.endswith(suffix)).alias("applicability"),
         unresolved.alias("unresolved_refs"),
         "warnings",

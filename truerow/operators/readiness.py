@@ -25,7 +25,7 @@ from truerow.functions.issues import (
     joined,
     present,
 )
-from truerow.functions.jsons import is_json_null, variant_kind
+from truerow.functions.jsons import computed_once, is_json_null, variant_kind
 from truerow.functions.numbers import percent
 from truerow.functions.text import is_blank, non_empty
 
@@ -77,21 +77,19 @@ def validate(documents: DataFrame, rules: RuleSet, naming: Naming | None = None)
     """One result row per document, with its issues in the order of the checks."""
     naming = naming or Naming()
     types, brands = _rule_tables(documents.sparkSession, rules)
-    checked = (
-        documents.join(
-            F.broadcast(types), documents["product_type_code"] == types["type_code"], "left"
-        )
-        .join(F.broadcast(brands), documents["brand_code"] == brands["governed_brand"], "left")
-        .withColumn(
-            "issues",
-            joined(
-                present(_identity_issues(rules, naming)),
-                _variant_issues(naming),
-                present([_product_type_issue(naming)]),
-                _attribute_issues(naming),
-                present([_identifier_issue(naming)]),
-            ).cast(ISSUES_TYPE),
-        )
+    ruled = documents.join(
+        F.broadcast(types), documents["product_type_code"] == types["type_code"], "left"
+    ).join(F.broadcast(brands), documents["brand_code"] == brands["governed_brand"], "left")
+    checked = computed_once(
+        ruled,
+        "issues",
+        joined(
+            present(_identity_issues(rules, naming)),
+            _variant_issues(naming),
+            present([_product_type_issue(naming)]),
+            _attribute_issues(naming),
+            present([_identifier_issue(naming)]),
+        ).cast(ISSUES_TYPE),
     )
     issues = F.col("issues")
     blocking = count_where(issues, is_blocking)
