@@ -68,11 +68,10 @@ def test_runs_events_and_index(spark, tmp_path):
 
     events = store.read(VALIDATION_EVENTS.name)
     listed = history.list_changes(events, "md", limit=3).collect()
-    assert [(r["product_id"], r["change_type"]) for r in listed] == [
-        ("S1", "changed"),
-        ("S1", "removed"),
-        ("S2", "changed"),
-    ]
+    found = [(r["product_id"], r["change_type"]) for r in listed]
+    # The two events of S1 have the same time, so either may come first.
+    assert sorted(found[:2]) == [("S1", "changed"), ("S1", "removed")]
+    assert found[2] == ("S2", "changed")
     issues = store.read(ISSUE_EVENTS.name)
     counts = history.issue_counts(issues, "md").collect()
     assert {(r["issue_code"], r["change_type"]): (r["severity"], r["count"]) for r in counts} == {
