@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from truerow.config.naming import Naming
 from truerow.functions.issues import ERROR, WARNING, count_where
-from truerow.functions.numbers import mean2, percent
+from truerow.functions.numbers import half_up2, percent
 from truerow.functions.text import filled, non_empty
 from truerow.functions.times import utc_now, utc_timestamp
 from truerow.operators.snapshots import (
@@ -581,7 +581,7 @@ def completion(index: DataFrame, target: str) -> DataFrame:
         .agg(
             F.count("*").alias("records"),
             F.count_if("ready").alias("ready_records"),
-            mean2(F.col("score")).alias("average_score"),
+            half_up2(F.avg("score")).alias("average_score"),
             F.sum("failure_count").alias("failures"),
             F.sum("hard_warning_count").alias("hard_warnings"),
             F.sum("soft_warning_count").alias("soft_warnings"),

@@ -379,7 +379,7 @@ SELECT product_id, display_name, brand, season, score, failure_count, hard_warni
         INDEX_SQL
         + """
 SELECT brand, season, count(*) AS records, count(*) FILTER (ready) AS ready_records,
-  round_even(avg(score), 2) AS average_score, CAST(sum(failure_count) AS BIGINT) AS failures,
+  round(avg(score), 2) AS average_score, CAST(sum(failure_count) AS BIGINT) AS failures,
   CAST(sum(hard_warning_count) AS BIGINT) AS hard_warnings,
   CAST(sum(soft_warning_count) AS BIGINT) AS soft_warnings
 FROM after GROUP BY brand, season""",
