@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from truerow.llm import exact_dedup, quality_rules, sharding, url_cascade
+from truerow.llm import exact_dedup, minmax_dedup, quality_rules, sharding, url_cascade
 
 QUERIES = {
     "op4_quality_rules": (quality_rules.op4_quality_rules, None),
+    "op5_minmax_dedup": (minmax_dedup.op5_minmax_dedup, minmax_dedup.SQL),
     "op6_url_cascade": (url_cascade.op6_url_cascade, url_cascade.SQL),
     "op7_rendezvous_shards": (sharding.op7_rendezvous_shards, None),
     "op8_tree_dedup": (exact_dedup.op8_tree_dedup, exact_dedup.SQL),
