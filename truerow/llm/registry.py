@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from truerow.llm import exact_dedup, minmax_dedup, quality_rules, sharding, toxicity, url_cascade
+from truerow.llm import exact_dedup, minmax_dedup, packing, quality_rules, sharding, toxicity, url_cascade
 
 QUERIES = {
     "op4_quality_rules": (quality_rules.op4_quality_rules, None),
@@ -10,5 +10,6 @@ QUERIES = {
     "op6_url_cascade": (url_cascade.op6_url_cascade, url_cascade.SQL),
     "op7_rendezvous_shards": (sharding.op7_rendezvous_shards, None),
     "op8_tree_dedup": (exact_dedup.op8_tree_dedup, exact_dedup.SQL),
+    "op9_hilbert_packing": (packing.op9_hilbert_packing, None),
     "op10_toxic_segments": (toxicity.op10_toxic_segments, None),
 }
