@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from truerow.llm import exact_dedup, minmax_dedup, packing, quality_rules, sharding, toxicity, url_cascade
+from truerow.llm import class_lm, exact_dedup, minmax_dedup, packing, quality_rules, sharding, toxicity, url_cascade
 
 QUERIES = {
+    "op3_class_lm": (class_lm.op3_class_lm, None),
     "op4_quality_rules": (quality_rules.op4_quality_rules, None),
     "op5_minmax_dedup": (minmax_dedup.op5_minmax_dedup, minmax_dedup.SQL),
     "op6_url_cascade": (url_cascade.op6_url_cascade, url_cascade.SQL),
