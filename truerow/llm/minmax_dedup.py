@@ -26,21 +26,22 @@ ROWS = 4
 BANDS = 2 * PERMUTATIONS // ROWS
 #: A link needs 100 * intersection >= 75 * union.
 PERCENT = 75
-#: Share of equal signature values (of 128) below which a pair is not confirmed: a pair at 0.75
-#: falls so low, over five standard deviations, with probability below 1e-6.
-LEAST_EQUAL = 0.55
+#: Candidates are told apart by a finer signature of 512 values, one byte each. At 0.75 its share of
+#: equal values has a standard deviation of 0.019; pairs over four of them below are not confirmed.
+FINE = 256
+LEAST_EQUAL = 0.67
 #: Members of a bucket that are compared with each other at once.
 BLOCK = 2048
 
-_ODD = mixed(np.arange(1, PERMUTATIONS + 1, dtype=np.uint64)) | np.uint64(1)
+_ODD = mixed(np.arange(1, FINE + 1, dtype=np.uint64)) | np.uint64(1)
 
 
-def signatures(values: np.ndarray, sizes: np.ndarray) -> np.ndarray:
-    """128 values (uint32) per non-empty set: columns 2i and 2i+1 are permutation i's min and max."""
+def signatures(values: np.ndarray, sizes: np.ndarray, permutations: int = PERMUTATIONS) -> np.ndarray:
+    """Per non-empty set two values (uint32) of each permutation: in columns 2i and 2i+1 its min and max."""
     starts = np.concatenate([[0], np.cumsum(sizes)[:-1]])[sizes > 0]
-    out = np.empty((len(starts), 2 * PERMUTATIONS), np.uint32)
+    out = np.empty((len(starts), 2 * permutations), np.uint32)
     if len(starts):
-        for i, odd in enumerate(_ODD):
+        for i, odd in enumerate(_ODD[:permutations]):
             permuted = values * odd
             out[:, 2 * i] = np.minimum.reduceat(permuted, starts) >> np.uint64(32)
             out[:, 2 * i + 1] = np.maximum.reduceat(permuted, starts) >> np.uint64(32)
@@ -74,27 +75,55 @@ def _describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "n_shingles", "digest", "signature"])
 
 
+def band_keys(signature: np.ndarray) -> np.ndarray:
+    """One 64-bit key per row and band."""
+    values = signature[:, : 2 * PERMUTATIONS].astype(np.uint64)
+    keys = np.tile(np.arange(BANDS, dtype=np.uint64), (len(values), 1))
+    for i in range(ROWS):
+        keys = mixed(keys + values[:, i::ROWS])
+    return keys
+
+
 def _full_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Per text its whole set, the fine signature, and short band keys."""
     memory = WordHashes()
     for batch in split_documents(batches):
         values, sizes = _sets(batch, memory)
         ends = np.cumsum(sizes)
         full = [values[end - size : end].tobytes() for end, size in zip(ends, sizes)]
-        columns = [batch.column(0), pa.array(_digests(values, sizes), pa.binary()), pa.array(full, pa.binary())]
-        yield pa.RecordBatch.from_arrays(columns, names=["rep", "digest", "full"])
+        signature = signatures(values, sizes, FINE)
+        fine, short = iter(signature.astype(np.uint8)), iter(band_keys(signature).astype(np.uint32))
+        columns = [
+            batch.column(0),
+            pa.array(_digests(values, sizes), pa.binary()),
+            pa.array(full, pa.binary()),
+            pa.array([next(fine).tobytes() if size else None for size in sizes], pa.binary()),
+            pa.array([next(short).tobytes() if size else None for size in sizes], pa.binary()),
+        ]
+        yield pa.RecordBatch.from_arrays(columns, names=["rep", "digest", "full", "fine", "keys"])
 
 
-def _matrix(column: pa.Array, dtype=np.uint32) -> np.ndarray:
+def _matrix(column: pa.Array, dtype) -> np.ndarray:
     return np.frombuffer(b"".join(column.to_pylist()), dtype).reshape(len(column), -1)
 
 
+def _bands(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for start in range(0, batch.num_rows, 4096):
+            part = batch.slice(start, 4096)
+            keys = band_keys(_matrix(part.column(1), np.uint32))
+            rep = np.repeat(part.column(0).to_numpy(zero_copy_only=False), BANDS)
+            band = np.tile(np.arange(BANDS, dtype=np.int32), len(keys))
+            columns = [pa.array(keys.view(np.int64).ravel()), pa.array(band), pa.array(rep)]
+            yield pa.RecordBatch.from_arrays(columns, names=["bucket", "band", "rep"])
+
+
 def _similar(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Pairs whose signatures agree often enough to be worth a look at the full sets."""
     for batch in batches:
         if batch.num_rows:
-            equal = (_matrix(batch.column(2)) == _matrix(batch.column(3))).mean(axis=1)
-            chosen = pa.array(equal >= LEAST_EQUAL)
-            yield batch.select([0, 1]).filter(chosen)
+            equal = (_matrix(batch.column(2), np.uint8) == _matrix(batch.column(3), np.uint8)).mean(axis=1)
+            yield batch.select([0, 1]).filter(pa.array(equal >= LEAST_EQUAL))
 
 
 def _linked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -114,107 +143,120 @@ def _pair_up(pairs: DataFrame, values: DataFrame, column: str) -> DataFrame:
     return pairs.join(second, "b").join(first, "a").select("a", "b", "of_a", "of_b")
 
 
-def _bands_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Columns rep and signature."""
-    for batch in batches:
-        for start in range(0, batch.num_rows, 4096):
-            part = batch.slice(start, 4096)
-            values = _matrix(part.column(1)).astype(np.uint64)
-            keys = np.tile(np.arange(BANDS, dtype=np.uint64), (len(values), 1))
-            for i in range(ROWS):
-                keys = mixed(keys + values[:, i::ROWS])
-            rep = pa.array(np.repeat(part.column(0).to_numpy(zero_copy_only=False), BANDS))
-            yield pa.RecordBatch.from_arrays([pa.array(keys.view(np.int64).ravel()), rep], names=["bucket", "rep"])
+def _likely_pairs(band: int, rep, component, side, fine, keys) -> list[tuple[int, int]]:
+    """The likely pairs between different components of one pair of blocks.
 
+    A pair is looked at in the first bucket that it shares. Side 1 is empty where a block meets itself.
+    """
+    out = []
+    firsts = np.flatnonzero(side == 0)
+    others = np.flatnonzero(side == 1)
+    for place, x in enumerate(firsts):
+        near = others if len(others) else firsts[place + 1 :]
+        near = near[component[near] != component[x]]
+        if len(near):
+            near = near[(keys[near] == keys[x]).argmax(axis=1) == band]
+        if len(near):
+            near = near[(fine[near] == fine[x]).mean(axis=1) >= LEAST_EQUAL]
+            out += [(min(rep[x], y), max(rep[x], y)) for y in rep[near]]
+    return out
 
-def _across_blocks(frame):
-    """Of two blocks (sides 0 and 1), the likely pairs between different components.
 
-    Signatures that agree too seldom are left out here, before anything is emitted.
-    """
-    import pandas as pd
+def _across(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows in order of (bucket, block, other) -> likely pairs. A group is at most two blocks."""
 
-    first, second = frame[frame.side == 0], frame[frame.side == 1]
-    out = []
-    if len(first) and len(second):
-        other, component = second.rep.to_numpy(), second.component.to_numpy()
-        values = _matrix(pa.array(second.signature))
-        for rep, own, signature in zip(first.rep, first.component, first.signature):
-            apart = np.flatnonzero(component != own)
-            if len(apart):
-                equal = (values[apart] == np.frombuffer(signature, np.uint32)).mean(axis=1)
-                out += [(min(rep, x), max(rep, x)) for x in other[apart[equal >= LEAST_EQUAL]]]
-    return pd.DataFrame(out, columns=["a", "b"], dtype="int64")
+    def pairs_of(rows: pa.Table) -> pa.RecordBatch:
+        ids = [rows.column(i).to_numpy() for i in range(7)]
+        group = np.stack(ids[:3])
+        rep, component, side, band = ids[4], ids[5], ids[3], ids[6]
+        fine, keys = (_matrix(rows.column(i).combine_chunks(), t) for i, t in ((7, np.uint8), (8, np.uint32)))
+        edges = np.flatnonzero((group[:, 1:] != group[:, :-1]).any(axis=0)) + 1
+        out = []
+        for low, high in zip([0, *edges], [*edges, len(rep)]):
+            at = slice(low, high)
+            out += _likely_pairs(band[low], rep[at], component[at], side[at], fine[at], keys[at])
+        a, b = zip(*out) if out else ((), ())
+        return pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
+
+    held: list[pa.RecordBatch] = []
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        group = np.stack([batch.column(i).to_numpy() for i in range(3)])
+        changes = np.flatnonzero((group[:, 1:] != group[:, :-1]).any(axis=0)) + 1
+        if held and [c[-1].as_py() for c in held[-1].columns[:3]] != group[:, 0].tolist():
+            yield pairs_of(pa.Table.from_batches(held))
+            held = []
+        if len(changes):  # the last group may go on in the next batch
+            yield pairs_of(pa.Table.from_batches([*held, batch.slice(0, changes[-1])]))
+            held = [batch.slice(changes[-1])]
+        else:
+            held.append(batch)
+    if held:
+        yield pairs_of(pa.Table.from_batches(held))
 
 
 class Links:
     """Confirmed links between distinct shingle sets, found bucket by bucket."""
 
     def __init__(self, reps: DataFrame, docs: DataFrame):
-        bands = reps.select("rep", "signature").mapInArrow(
-            _bands_of, "bucket long, rep long"
-        )
+        bands = reps.select("rep", "signature").mapInArrow(_bands, "bucket long, band int, rep long")
         bands = stored(bands, "bands")
-        shared = bands.groupBy("bucket").agg(F.min("rep").alias("leader"), F.count("*").alias("n")).where("n > 1")
-        self.members = stored(bands.join(shared.select("bucket", "leader"), "bucket"), "members")
-        known = self.members.select("rep").distinct()
-        self.signatures = stored(reps.join(known, "rep", "left_semi").select("rep", "digest", "signature"), "signatures")
-        texts = docs.select(F.col("doc_id").alias("rep"), "text").join(known, "rep", "left_semi")
-        full = texts.select("rep", "text").mapInArrow(_full_sets, "rep long, digest binary, full binary")
-        wanted = self.signatures.select("rep", "digest")
-        self.full = stored(full.join(wanted, ["rep", "digest"], "left_semi").dropDuplicates(["rep"]), "sets")
+        shared = bands.groupBy("bucket").agg(F.count("*").alias("n")).where("n > 1")
+        self.members = stored(bands.join(shared, "bucket"), "members")
+        known = self.members.groupBy("rep").agg(F.sum("n").alias("degree"))
+        self.known = stored(reps.join(known, "rep").select("rep", "digest", "degree"), "members-of-buckets")
+        texts = docs.select(F.col("doc_id").alias("rep"), "text").join(self.known.select("rep"), "rep", "left_semi")
+        full = texts.mapInArrow(
+            _full_sets, "rep long, digest binary, full binary, fine binary, keys binary"
+        ).join(self.known.select("rep", "digest"), ["rep", "digest"], "left_semi")
+        self.sets = stored(full.dropDuplicates(["rep"]).drop("digest"), "sets")
         self.links: DataFrame | None = None
-        self.tried: DataFrame | None = None
-
-    def confirm(self, pairs: DataFrame) -> bool:
-        """Confirm new pairs (a < b) on full sets and keep the links; whether there were any."""
-        if self.tried is not None:
-            pairs = pairs.join(self.tried, ["a", "b"], "left_anti")
-        likely = _pair_up(pairs, self.signatures, "signature").mapInArrow(_similar, "a long, b long")
-        likely = stored(likely, "pairs")
-        links = stored(_pair_up(likely, self.full, "full").mapInArrow(_linked, "a long, b long"), "links")
-        self.tried = likely if self.tried is None else self.tried.union(likely)
+
+    def confirm(self, pairs: DataFrame) -> None:
+        """Confirm pairs (a < b) on full sets and keep the links."""
+        links = stored(_pair_up(pairs, self.sets, "full").mapInArrow(_linked, "a long, b long"), "links")
         self.links = links if self.links is None else self.links.union(links)
-        return not links.isEmpty()
 
-    def labelled(self) -> DataFrame:
-        """Members of buckets that still hold several components."""
-        found = components(self.links).select(F.col("node").alias("rep"), "component")
-        members = self.members.select("bucket", "rep").join(found, "rep", "left").select(
-            "bucket", "rep", F.coalesce("component", "rep").alias("component")
-        )
-        mixed_up = members.groupBy("bucket").agg(F.min("component").alias("x"), F.max("component").alias("y"))
-        return stored(members.join(mixed_up.where("x <> y").select("bucket"), "bucket"), "unsettled")
+    def with_leaders(self) -> None:
+        """Everyone in a bucket against one leader: one pair per member.
 
-    def leaders(self) -> None:
-        """Everyone in a bucket against the bucket's smallest member: one pair per member."""
-        self.confirm(
-            self.members.where("leader <> rep").select(F.col("leader").alias("a"), F.col("rep").alias("b")).distinct()
+        The leader is the member that shares most buckets with others. Of the copies of a text that
+        is the text itself rather than one of its copies, which are less like each other.
+        """
+        members = self.members.join(self.known.select("rep", "degree"), "rep")
+        best = members.groupBy("bucket").agg(F.max(F.struct("degree", -F.col("rep"))).alias("best"))
+        leaders = best.select("bucket", (-F.col("best.col2")).alias("leader"))
+        pairs = self.members.join(leaders, "bucket").where("leader <> rep").select(
+            F.least("leader", "rep").alias("a"), F.greatest("leader", "rep").alias("b")
         )
+        likely = _pair_up(pairs.distinct(), self.sets, "fine").mapInArrow(_similar, "a long, b long")
+        self.confirm(stored(likely, "pairs"))
 
-    def rest(self) -> bool:
+    def between_components(self) -> None:
         """All pairs of a bucket that no component joins yet, block by block.
 
-        Of the largest component only pairs with others remain. A bucket of any size is cut
-        into blocks of at most about BLOCK members; each pair of blocks is one small group.
+        A bucket of any size is cut into blocks of about BLOCK members at most; each pair of
+        blocks is a small group of its own. Every pair in every bucket is then either in one
+        component, or unlikely, or tested on its full sets.
         """
-        members = self.labelled()
-        sizes = members.groupBy("bucket").agg((F.floor(F.count("*") / BLOCK) + 1).alias("blocks"))
-        cut = members.join(sizes, "bucket").withColumn("block", F.pmod(F.xxhash64("rep"), F.col("blocks")))
-        cut = cut.join(self.signatures.select("rep", "signature"), "rep")
-        low = cut.withColumn("other", F.explode(F.sequence("block", F.col("blocks") - 1))).withColumn("side", F.lit(0))
-        high = cut.withColumn("other", F.col("block")).withColumn(
-            "block", F.explode(F.sequence(F.lit(0).cast("long"), F.col("other")))
-        ).withColumn("side", F.lit(1))
-        columns = ["bucket", "block", "other", "side", "rep", "component", "signature"]
-        pairs = (
-            low.select(columns)
-            .union(high.select(columns))
-            .groupBy("bucket", "block", "other")
-            .applyInPandas(_across_blocks, "a long, b long")
-            .distinct()
+        found = components(self.links).select(F.col("node").alias("rep"), "component")
+        members = self.members.join(found, "rep", "left").select(
+            "bucket", "band", "rep", "n", F.coalesce("component", "rep").alias("component")
         )
-        return self.confirm(pairs)
+        open_ = members.groupBy("bucket").agg(F.min("component").alias("x"), F.max("component").alias("y"))
+        open_ = members.join(open_.where("x <> y").select("bucket"), "bucket")
+        blocks = (F.floor(F.col("n") / BLOCK) + 1).alias("blocks")
+        cut = open_.select("*", blocks).withColumn("block", F.pmod(F.xxhash64("rep"), F.col("blocks")))
+        cut = cut.join(self.sets.select("rep", "fine", "keys"), "rep")
+        first = cut.withColumn("other", F.explode(F.sequence("block", F.col("blocks") - 1))).withColumn("side", F.lit(0))
+        second = cut.where("block > 0").withColumn("other", F.col("block")).withColumn(
+            "block", F.explode(F.sequence(F.lit(0).cast("long"), F.col("other") - 1))
+        ).withColumn("side", F.lit(1))
+        columns = ["bucket", "block", "other", "side", "rep", "component", "band", "fine", "keys"]
+        group = columns[:3]
+        rows = first.select(columns).union(second.select(columns)).repartition(*group).sortWithinPartitions(*group)
+        self.confirm(stored(rows.mapInArrow(_across, "a long, b long").distinct(), "pairs"))
 
 
 def near_groups(docs: DataFrame) -> DataFrame:
@@ -232,9 +274,8 @@ def near_groups(docs: DataFrame) -> DataFrame:
     )
     reps = stored(reps, "distinct-sets")
     found = Links(reps, docs)
-    found.leaders()
-    while found.rest():
-        pass
+    found.with_leaders()
+    found.between_components()
     labels = components(found.links).select(F.col("node").alias("rep"), "component")
     of_set = reps.select("digest", "rep").join(labels, "rep", "left").select(
         "digest", F.coalesce("component", "rep").alias("component")

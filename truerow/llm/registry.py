@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from truerow.llm import class_lm, exact_dedup, minmax_dedup, packing, quality_rules, sharding, suffix_dedup, toxicity, url_cascade
+from truerow.llm import class_lm, exact_dedup, minmax_dedup, packing, quality_rules, segmentations, sharding, suffix_dedup, toxicity, url_cascade
 
 QUERIES = {
     "op1_suffix_dedup": (suffix_dedup.op1_suffix_dedup, None),
+    "op2_sentencepiece_samples": (segmentations.op2_sentencepiece_samples, None),
     "op3_class_lm": (class_lm.op3_class_lm, None),
     "op4_quality_rules": (quality_rules.op4_quality_rules, None),
     "op5_minmax_dedup": (minmax_dedup.op5_minmax_dedup, minmax_dedup.SQL),
