@@ -32,6 +32,18 @@ def stored(rows: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(rows.schema).parquet(path)
 
 
+def only(docs: DataFrame, ids: DataFrame) -> DataFrame:
+    """The documents whose doc_id is among `ids`, null included; each (doc_id, text) once.
+
+    For ids of rows that a deduplication keeps: a row that repeats another goes as well.
+    """
+    kept = docs.join(
+        ids.select(F.col("doc_id").alias("_kept_id")), F.col("doc_id").eqNullSafe(F.col("_kept_id")), "left_semi"
+    )
+    once = kept.withColumn("_text_hash", F.xxhash64("text")).dropDuplicates(["doc_id", "_text_hash"])
+    return once.select(*docs.columns)
+
+
 def crc32_of(column: Column) -> Column:
     """The unsigned CRC-32 of a value written as text."""
     return F.crc32(column.cast("string").cast("binary"))

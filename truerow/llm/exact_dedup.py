@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from truerow.llm.common import stored, table
+from truerow.llm.common import only, stored, table
 
 #: Deleted before texts are compared.
 SPACES = " \t\n\x0b\x0c\r"
@@ -89,6 +89,11 @@ def mark_copies(docs: DataFrame, rounds: int = 2) -> DataFrame:
     )
 
 
+def without_copies(docs: DataFrame) -> DataFrame:
+    """The documents that stay, with all their columns."""
+    return only(docs, mark_copies(docs).where("kept"))
+
+
 def op8_tree_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mark_copies(table(spark, sf_dir, "documents"))
 

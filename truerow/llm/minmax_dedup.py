@@ -15,7 +15,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from truerow.llm.common import split_documents, stored, table, texts_of
+from truerow.llm.common import only, split_documents, stored, table, texts_of
 from truerow.llm.components import components
 from truerow.llm.words import WordHashes, hashed_words, mixed, shingle_sets
 
@@ -289,6 +289,11 @@ def near_groups(docs: DataFrame) -> DataFrame:
     )
 
 
+def without_near_copies(docs: DataFrame) -> DataFrame:
+    """One document of each near-duplicate group, with all its columns."""
+    return only(docs, near_groups(docs).where("kept"))
+
+
 def op5_minmax_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_groups(table(spark, sf_dir, "documents"))
 

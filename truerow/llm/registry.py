@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import corpus_pipeline
 from truerow.llm import class_lm, exact_dedup, minmax_dedup, packing, quality_rules, segmentations, sharding, suffix_dedup, toxicity, url_cascade
 
 QUERIES = {
@@ -15,4 +16,5 @@ QUERIES = {
     "op8_tree_dedup": (exact_dedup.op8_tree_dedup, exact_dedup.SQL),
     "op9_hilbert_packing": (packing.op9_hilbert_packing, None),
     "op10_toxic_segments": (toxicity.op10_toxic_segments, None),
+    "pipeline": (corpus_pipeline.run, corpus_pipeline.ORACLE_SQL),
 }

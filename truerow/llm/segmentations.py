@@ -28,6 +28,9 @@ SAMPLES = 2
 #: A piece of rank r in the vocabulary has weight (r + 2) ** -SHARPNESS, after Zipf.
 SHARPNESS = 1.0
 SPACE, NO_CHARACTER = 0x2581, 0x110000
+#: No uniform number here gives a Gumbel variable above this: -log(-log(1 - 2**-54)).
+MOST_GUMBEL = 37.5
+_SLOTS = np.uint64((1 << 22) - 1)
 
 _BASE = np.uint64(0xD1B54A32D192ED03)
 _INVERSE = np.uint64(pow(int(_BASE), -1, 1 << 64))
@@ -71,6 +74,11 @@ class Vocabulary:
         keys = np.array(list(found), np.uint64)
         order = np.argsort(keys)
         self.keys, self.piece = keys[order], np.array(list(found.values()))[order]
+        # One slot per low bits of a key; where several keys share one, a binary search decides.
+        slots = (self.keys & _SLOTS).astype(np.int64)
+        self.slot = np.zeros(int(_SLOTS) + 1, np.int32)
+        self.slot[slots] = np.arange(len(slots))
+        self.shared = np.bincount(slots, minlength=len(self.slot)) > 1
         self.text = [b""] * n
         for i in usual:
             self.text[i] = model.id_to_piece(i).replace("▁", " ").encode()
@@ -79,7 +87,19 @@ class Vocabulary:
 
     @staticmethod
     def extend(value: np.ndarray, character: np.ndarray) -> np.ndarray:
-        return mixed(value + np.uint64(1) + np.asarray(character, np.uint64) * _BASE)
+        value = (value ^ (np.asarray(character, np.uint64) + np.uint64(1))) * _BASE
+        return value ^ (value >> np.uint64(31))
+
+    def find(self, value: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Whether some piece begins with the hashed characters, and the piece that they are or -1."""
+        slot = (value & _SLOTS).astype(np.int64)
+        place = self.slot[slot]
+        known = self.keys[place] == value
+        again = np.flatnonzero(~known & self.shared[slot])
+        if len(again):
+            place[again] = np.minimum(np.searchsorted(self.keys, value[again]), len(self.keys) - 1)
+            known[again] = self.keys[place[again]] == value[again]
+        return known, np.where(known, self.piece[place], -1)
 
     def decode(self, ids) -> str:
         """The text of the ids; the space put before each text is taken off again."""
@@ -118,13 +138,14 @@ def lattices(vocabulary: Vocabulary, text: np.ndarray, sizes: np.ndarray) -> Lat
     node = np.arange(n) + unit
     left = np.repeat(np.cumsum(sizes), sizes) - np.arange(n)  # characters to the unit's end
     piece = np.full((n + units, longest), -2, np.int32)
+    weight = np.full((n + units, longest), -np.inf, np.float32)
     value, at = np.zeros(n, np.uint64), np.arange(n)
     for length in range(longest):
         value = vocabulary.extend(value, text[at + length])
-        place = np.minimum(np.searchsorted(vocabulary.keys, value), len(vocabulary.keys) - 1)
-        known = vocabulary.keys[place] == value
-        found = np.where(known, vocabulary.piece[place], -1)
-        piece[node[at[found >= 0]], length] = found[found >= 0]
+        known, found = vocabulary.find(value)
+        hit = found >= 0
+        piece[node[at[hit]], length] = found[hit]
+        weight[node[at[hit]], length] = vocabulary.weight[found[hit]]
         going = known & (left[at] > length + 1)
         at, value = at[going], value[going]
         if not len(at):
@@ -133,23 +154,26 @@ def lattices(vocabulary: Vocabulary, text: np.ndarray, sizes: np.ndarray) -> Lat
     character[node] = text
     spelt = node[piece[node, 0] == -2]
     piece[spelt, 0] = -1
-    weight = np.where(piece >= 0, vocabulary.weight[np.maximum(piece, 0)], -np.inf)
     weight[spelt, 0] = vocabulary.byte_weight * utf8_length(character[spelt])
     # Sums over all ways to the unit's end, from the last characters to the first.
     total = np.zeros(n + units)
     order = np.argsort(left, kind="stable")
     bounds = np.searchsorted(left[order], np.arange(1, (left.max() if n else 0) + 2))
-    log_p = np.full((n + units, longest), -np.inf)
-    ahead = np.arange(1, longest + 1)
-    for low, high in zip(bounds[:-1], bounds[1:]):
+    log_p = weight  # overwritten node by node
+    upto = np.ones((n + units, longest), np.float32)
+    for distance, (low, high) in enumerate(zip(bounds[:-1], bounds[1:]), 1):
         own = node[order[low:high]]
-        ways = weight[own] + total[np.minimum(own[:, None] + ahead, n + units - 1)]
+        reach = min(distance, longest)
+        ways = weight[own, :reach] + total[own[:, None] + np.arange(1, reach + 1)]
         best = ways.max(axis=1)
-        total[own] = best + np.log(np.exp(ways - best[:, None]).sum(axis=1))
-        log_p[own] = ways - total[own, None]
+        chance = np.exp(ways - best[:, None])
+        whole = chance.sum(axis=1)
+        total[own] = best + np.log(whole)
+        log_p[own, :reach] = ways - total[own, None]
+        upto[own, :reach] = np.cumsum(chance / whole[:, None], axis=1)
     last = np.ones(n + units, bool)
     last[node] = False
-    return Lattices(piece, log_p, np.cumsum(np.exp(log_p), axis=1), last, character)
+    return Lattices(piece, log_p, upto, last, character)
 
 
 def utf8_length(character: np.ndarray) -> np.ndarray:
@@ -159,7 +183,8 @@ def utf8_length(character: np.ndarray) -> np.ndarray:
 
 def uniform(key: np.ndarray, counter: np.ndarray, purpose: int) -> np.ndarray:
     """Numbers in (0, 1) that depend on row key, place and purpose only."""
-    bits = mixed(mixed(key + np.uint64(purpose) * _BASE) + counter.astype(np.uint64) * _INVERSE)
+    key = np.atleast_1d(key) + np.array([purpose], np.uint64) * _BASE
+    bits = mixed(mixed(key) + counter.astype(np.uint64) * _INVERSE)
     return ((bits >> np.uint64(11)).astype(np.float64) + 0.5) / (1 << 53)
 
 
@@ -175,7 +200,8 @@ def walk(lattice: Lattices, start: np.ndarray, key: np.ndarray, counter: np.ndar
     while len(active):
         u = uniform(key[active], counter[active] + (len(steps) << 40), purpose)
         upto = lattice.upto[node]
-        length = np.minimum((upto < (u * upto[:, -1])[:, None]).sum(axis=1), longest - 1)
+        length = (upto < np.minimum(u, upto[:, -1] * (1 - 1e-7))[:, None]).sum(axis=1)
+        length = possible(lattice, node, np.minimum(length, longest - 1))
         steps.append((active, node, length))
         count[active] += 1
         node = node + length + 1
@@ -188,12 +214,18 @@ def walk(lattice: Lattices, start: np.ndarray, key: np.ndarray, counter: np.ndar
     return nodes, lengths, count
 
 
+def possible(lattice: Lattices, node: np.ndarray, length: np.ndarray) -> np.ndarray:
+    """The lengths, but where rounding led to a piece that does not exist, the node's likeliest."""
+    wrong = np.flatnonzero(lattice.piece[node, length] == -2)
+    if len(wrong):
+        length[wrong] = lattice.log_p[node[wrong]].argmax(axis=1)
+    return length
+
+
 def _gumbel_below(location: np.ndarray, top: float, u: np.ndarray) -> np.ndarray:
     """Gumbel variables at the locations, given that they are at most `top`."""
-    with np.errstate(divide="ignore", over="ignore", invalid="ignore"):
-        return np.where(
-            np.isfinite(location), location - np.logaddexp(location - top, np.log(-np.log(u))), -np.inf
-        )
+    with np.errstate(divide="ignore", over="ignore"):
+        return location - np.logaddexp(location - top, np.log(-np.log(u)))
 
 
 class Search:
@@ -206,29 +238,41 @@ class Search:
         # minus the bound, path, piece, lengths that are taken, log mass of the rest
         self.queue: list[tuple[float, int, int, tuple[int, ...]]] = []
 
-    def add(self, nodes, lengths, unit, value: float, parted: int, taken: tuple[int, ...]) -> None:
-        """A found path that parts from its parent at piece `parted`, where `taken` were out."""
-        log_p = self.lattice.log_p[nodes, lengths]
+    def add(self, nodes, lengths, unit, log_p, value: float, parted: int, taken: tuple[int, ...]) -> None:
+        """A found path that parts from its parent at piece `parted`, where `taken` were out.
+
+        Sets far down the path have next to no mass. Once no uniform number could lift the rest
+        above the k + 1 best bounds, they are not drawn.
+        """
         number = len(self.paths)
         self.paths.append((nodes, lengths, unit, log_p))
         self.values.append(value)
-        if not len(nodes):
-            return
-        before = np.cumsum(log_p) - log_p
-        with np.errstate(divide="ignore"):
-            location = before + np.log(np.maximum(-np.expm1(np.minimum(log_p, 0)), 0))
-        location[:parted] = -np.inf
-        if taken:
-            out = (*taken, int(lengths[parted]))
-            rest = 1 - np.exp(self.lattice.log_p[nodes[parted], list(out)]).sum()
-            location[parted] = before[parted] + np.log(rest) if rest > 1e-12 else -np.inf
-        u = uniform(np.full(len(nodes), self.key), np.arange(len(nodes)), 16 * number + 1)
-        bound = _gumbel_below(location, value, u)
-        want = min(self.k + 1, len(bound))
-        for j in np.argpartition(-bound, want - 1)[:want].tolist():
-            if np.isfinite(bound[j]):
-                out = (int(lengths[j]),) + (taken if j == parted else ())
-                heapq.heappush(self.queue, (-float(bound[j]), number, j, out))
+        best: list[tuple[float, int]] = []
+        before, low, high = 0.0, 0, 256
+        while low < len(nodes):
+            own = log_p[low:high].astype(np.float64)
+            ahead = before + np.cumsum(own)
+            with np.errstate(divide="ignore"):
+                location = ahead - own + np.log(np.maximum(-np.expm1(np.minimum(own, 0)), 0))
+            location[-own < 1e-6] = -np.inf  # the only piece, up to rounding
+            if low < parted:
+                location[: parted - low] = -np.inf
+            if taken and low <= parted < high:
+                out = (*taken, int(lengths[parted]))
+                rest = 1 - np.exp(self.lattice.log_p[nodes[parted], list(out)].astype(float)).sum()
+                location[parted - low] = (ahead - own)[parted - low] + np.log(rest) if rest > 1e-6 else -np.inf
+            u = uniform(self.key, np.arange(low, low + len(own)), 16 * number + 1)
+            bound = _gumbel_below(location, value, u)
+            top = range(len(own)) if len(own) <= self.k + 1 else np.argpartition(bound, -self.k - 1)[-self.k - 1 :].tolist()
+            best = sorted(best + [(float(bound[j]), low + j) for j in top if bound[j] > -np.inf], reverse=True)
+            del best[self.k + 1 :]
+            before = float(ahead[-1])
+            if high > parted and len(best) > self.k and before + MOST_GUMBEL < best[-1][0]:
+                break
+            low, high = high, 2 * high
+        for bound_, j in best:
+            out = (int(lengths[j]),) + (taken if j == parted else ())
+            heapq.heappush(self.queue, (-bound_, number, j, out))
 
     def part(self) -> tuple[float, int, int, int, tuple[int, ...]] | None:
         """Take the best set left: its bound, path, piece, the length chosen there, lengths out."""
@@ -236,11 +280,11 @@ class Search:
             return None
         bound, number, j, out = heapq.heappop(self.queue)
         node = self.paths[number][0][j]
-        p = np.exp(self.lattice.log_p[node])
+        p = np.exp(self.lattice.log_p[node].astype(float))
         p[list(out)] = 0
         if p.sum() <= 0:
             return self.part()
-        u = uniform(np.array([self.key]), np.array([len(self.paths)]), 16 * len(self.paths) + 2)[0]
+        u = uniform(self.key, np.array([len(self.paths)]), 16 * len(self.paths) + 2)[0]
         length = min(int(np.searchsorted(np.cumsum(p), u * p.sum())), len(p) - 1)
         return -bound, number, j, length, out
 
@@ -280,14 +324,14 @@ def sample(vocabulary: Vocabulary, texts: list[str], keys: np.ndarray, k: int) -
     unit_bounds = np.searchsorted(doc_of_unit, np.arange(docs + 1))
     local = np.arange(len(start)) - unit_bounds[doc_of_unit] if n else start
 
-    searches = [Search(lattice, key, k) for key in keys]
+    searches = [Search(lattice, key, k) for key in keys[:, None]]
     nodes, lengths, count = walk(lattice, root, keys[doc_of_unit], local, 0)
-    unit = np.repeat(np.arange(len(start)), count)
+    unit, log_p = np.repeat(np.arange(len(start)), count), lattice.log_p[nodes, lengths]
     bounds = np.searchsorted(unit, unit_bounds)
     for d, search in enumerate(searches):
         own = slice(bounds[d], bounds[d + 1])
         top = -np.log(-np.log(uniform(keys[d : d + 1], np.zeros(1), 5)[0]))
-        search.add(nodes[own], lengths[own], unit[own], float(top), 0, ())
+        search.add(nodes[own], lengths[own], unit[own], log_p[own], float(top), 0, ())
     for found in range(1, k):
         chosen = [(d, s, p) for d, s in enumerate(searches) if len(s.paths) == found and (p := s.part())]
         begin, who, tells, units = [], [], [], []
@@ -304,7 +348,7 @@ def sample(vocabulary: Vocabulary, texts: list[str], keys: np.ndarray, k: int) -
         all_units = np.concatenate(units)
         key = np.repeat(np.array(tells, np.uint64), who)
         nodes, lengths, count = walk(lattice, np.concatenate(begin), key, local[all_units], 16 * found + 3)
-        unit = np.repeat(all_units, count)
+        unit, log_p = np.repeat(all_units, count), lattice.log_p[nodes, lengths]
         edge = np.concatenate([[0], np.cumsum(count)])[np.concatenate([[0], np.cumsum(who)])]
         for i, (_, s, (value, number, j, step, out)) in enumerate(chosen):
             old, new = s.paths[number], slice(edge[i], edge[i + 1])
@@ -312,6 +356,7 @@ def sample(vocabulary: Vocabulary, texts: list[str], keys: np.ndarray, k: int) -
                 np.concatenate([old[0][: j + 1], nodes[new]]),
                 np.concatenate([old[1][:j], [step], lengths[new]]),
                 np.concatenate([old[2][: j + 1], unit[new]]),
+                np.concatenate([old[3][:j], lattice.log_p[old[0][j], [step]], log_p[new]]),
                 value,
                 j,
                 out,
@@ -327,7 +372,7 @@ def _described(vocabulary: Vocabulary, lattice: Lattices, search: Search, k: int
         ids = lattice.piece[nodes, lengths].astype(np.int64)
         if (ids < 0).any():
             ids = spell(vocabulary, ids, lattice.character[nodes])
-        total = float(log_p.sum())
+        total = float(log_p.sum(dtype=np.float64))
         row = {"rank": rank, "ids": ids, "log_prob": total, "perturbed": value}
         out.append(row | {"log_inclusion": log_inclusion(total, threshold)})
     return out

@@ -376,52 +376,63 @@ def merged(ranges: np.ndarray) -> np.ndarray:
     return np.column_stack([ranges[new, 0], np.append(reach[:-1][new[1:]], reach[-1:])])
 
 
-CUT = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, spans array<struct<start:long,stop:long>>"
+CUT = "n_bytes long, n_removed long, n_spans long, kept_sha256 string, spans array<struct<start:long,stop:long>>"
+_SPANS = pa.list_(pa.struct([("start", pa.int64()), ("stop", pa.int64())]))
 
 
-def _cut(keep_text: bool):
-    span_type = pa.list_(pa.struct([("start", pa.int64()), ("stop", pa.int64())]))
+def _pieces(batch: pa.RecordBatch) -> Iterator[tuple[bytes, list[list[int]], bytes]]:
+    """The text, its removed ranges, and the rest, of each row with `packed` and `ranges`."""
+    open_ = zstandard.ZstdDecompressor()
+    packed, ranges = (batch.column(batch.schema.get_field_index(c)) for c in ("packed", "ranges"))
+    for row in range(batch.num_rows):
+        text = open_.decompress(packed[row].as_py())
+        spans = []
+        if ranges[row].as_py():
+            found = ranges[row].values
+            start, stop = (found.field(i).to_numpy(zero_copy_only=False) for i in (0, 1))
+            spans = merged(np.clip(np.column_stack([start, stop]), 0, len(text))).tolist()
+        kept, at = [], 0
+        for start, stop in spans:
+            kept.append(text[at:start])
+            at = stop
+        yield text, spans, b"".join([*kept, text[at:]])
+
+
+def _measure_cuts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """doc_id, packed, ranges -> what is removed."""
+    for batch in batches:
+        rows = [
+            (len(text), len(text) - len(rest), len(spans), hashlib.sha256(rest).hexdigest(),
+             [{"start": a, "stop": b} for a, b in spans])
+            for text, spans, rest in _pieces(batch)
+        ]
+        types = [pa.int64()] * 3 + [pa.string(), _SPANS]
+        columns = [pa.array(c, t) for c, t in zip(list(zip(*rows)) or [()] * 5, types)]
+        names = ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "spans"]
+        yield pa.RecordBatch.from_arrays([batch.column(0), *columns], names=names)
+
+
+def _take_cuts(names: list[str]):
+    """All columns of the documents, with what is left of the text and its length."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        open_ = zstandard.ZstdDecompressor()
         for batch in batches:
-            for low in range(0, batch.num_rows, 1000):
-                part = batch.slice(low, 1000)
-                rows, texts = [], []
-                for doc, packed, ranges in zip(*(c.to_pylist() for c in part.columns)):
-                    text = open_.decompress(packed)
-                    spans = []
-                    if ranges:
-                        found = np.array([(r["start"], r["stop"]) for r in ranges], np.int64)
-                        spans = merged(np.clip(found, 0, len(text))).tolist()
-                    kept, at = [], 0
-                    for start, stop in spans:
-                        kept.append(text[at:start])
-                        at = stop
-                    rest = b"".join([*kept, text[at:]])
-                    removed = sum(stop - start for start, stop in spans)
-                    found = [{"start": a, "stop": b} for a, b in spans]
-                    rows.append((doc, len(text), removed, len(spans), hashlib.sha256(rest).hexdigest(), found))
-                    texts.append(rest.decode("utf-8", "ignore") if keep_text else None)
-                types = [pa.int64()] * 4 + [pa.string(), span_type]
-                columns = [pa.array(c, t) for c, t in zip(zip(*rows), types)] if rows else [pa.array([], t) for t in types]
-                names = ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "spans"]
-                if keep_text:
-                    columns.append(pa.array(texts, pa.string()))
-                    names.append("rest")
-                yield pa.RecordBatch.from_arrays(columns, names=names)
+            rest = [rest.decode("utf-8", "ignore") for _, _, rest in _pieces(batch)]
+            columns = []
+            for name in names:
+                if name == "text":
+                    columns.append(pa.array(rest, pa.string()))
+                elif name == "n_chars":
+                    columns.append(pa.array([len(t) for t in rest]).cast(batch.column(names.index(name)).type))
+                else:
+                    columns.append(batch.column(names.index(name)))
+            yield pa.RecordBatch.from_arrays(columns, names=names)
 
     return run
 
 
-def remove_repeats(docs: DataFrame, keep_text: bool = False, most_kinds: int = MOST_KINDS) -> DataFrame:
-    """Every document with what is removed of it: sizes, spans, and the hash of what is left.
-
-    Reads `doc_id` and `text`. A null text is empty; texts shorter than a span lose nothing. A
-    row that repeats another (same doc_id and text) is a second document, so both lose all spans.
-    An empty table gives no rows. With `keep_text` the rest is returned as well, without bytes
-    of characters that a span's end cuts in two.
-    """
+def _with_ranges(docs: DataFrame, columns: list[str], most_kinds: int) -> DataFrame:
+    """The columns, with the text packed, and the ranges to remove; the texts are shuffled once."""
     ranges = repeated_places(docs, most_kinds).select(
         "key",
         F.struct(
@@ -429,12 +440,32 @@ def remove_repeats(docs: DataFrame, keep_text: bool = False, most_kinds: int = M
             (F.col("place") + F.col("stop")).cast("long").alias("stop"),
         ).alias("r"),
     )
-    per_key = ranges.groupBy("key").agg(F.collect_set("r").alias("ranges"))
-    packed = _keyed(docs).select("key", F.col("doc_id").cast("long"), "text").mapInArrow(
-        _compressed, "key long, doc_id long, packed binary"
+    per_key = ranges.groupBy("key").agg(F.collect_set("r").alias("ranges")).withColumnRenamed("key", "_key")
+    keyed = docs.select(F.xxhash64("doc_id", "text").alias("_key"), *columns)
+    fields = ", ".join(
+        "packed binary" if f.name == "text" else f"`{f.name}` {f.dataType.simpleString()}" for f in keyed.schema
     )
-    joined = packed.join(per_key, "key", "left").select("doc_id", "packed", "ranges")
-    return joined.mapInArrow(_cut(keep_text), CUT + (", rest string" if keep_text else ""))
+    return keyed.mapInArrow(_compressed, fields).join(per_key, "_key", "left").drop("_key")
+
+
+def remove_repeats(docs: DataFrame, most_kinds: int = MOST_KINDS) -> DataFrame:
+    """Every document with what is removed of it: sizes, spans, and the hash of what is left.
+
+    Reads `doc_id` and `text`. A null text is empty; texts shorter than a span lose nothing. A
+    row that repeats another (same doc_id and text) is a second document, so both lose all spans.
+    An empty table gives no rows.
+    """
+    docs = docs.select(F.col("doc_id").cast("long"), "text")
+    return _with_ranges(docs, ["doc_id", "text"], most_kinds).mapInArrow(_measure_cuts, f"doc_id long, {CUT}")
+
+
+def without_repeats(docs: DataFrame, most_kinds: int = MOST_KINDS) -> DataFrame:
+    """The documents with all their columns and what is left of their texts; n_chars follows.
+
+    Of a character that a span's end cuts in two nothing stays. No row is dropped.
+    """
+    rows = _with_ranges(docs, docs.columns, most_kinds)
+    return rows.mapInArrow(_take_cuts(docs.columns), docs.schema)
 
 
 def op1_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

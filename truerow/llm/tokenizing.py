@@ -9,7 +9,9 @@ import numpy as np
 from truerow.llm.common import ASCII_LOWER
 
 #: Chunks that a task remembers; a full memory is emptied, which changes no result.
-MOST_REMEMBERED = 300_000
+MOST_REMEMBERED = 200_000
+#: Chunks encoded at once; an encoding object is large.
+AT_ONCE = 4096
 _LETTERS = frozenset(b"abcdefghijklmnopqrstuvwxyz")
 #: How special tokens begin: they are matched before lower-casing, so such texts go in whole.
 _SPECIAL = b"<|"
@@ -52,8 +54,10 @@ class ChunkIds(dict):
         bare = {c: b for c, b in bare.items() if b and b != c and b[-1] in _LETTERS}
         parts = {b for b in bare.values()} | {c[len(b) :] for c, b in bare.items()}
         whole = [c for c in {*parts, *(c for c in new if c not in bare)} if c not in self]
-        for chunk, ids in zip(whole, self.encode([c.decode() for c in whole])):
-            self._put(chunk, ids)
+        for low in range(0, len(whole), AT_ONCE):
+            part = whole[low : low + AT_ONCE]
+            for chunk, ids in zip(part, self.encode([c.decode() for c in part])):
+                self._put(chunk, ids)
         for chunk, b in bare.items():
             if chunk not in self:
                 self._put(chunk, self._of(b) + self._of(chunk[len(b) :]))
