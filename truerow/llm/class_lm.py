@@ -121,9 +121,11 @@ def _summed(frame: pd.DataFrame) -> pd.DataFrame:
 def neighbour_counts(codes: DataFrame, classes: np.ndarray) -> np.ndarray:
     """[before, after] x core word x class. The size is fixed by CORE and CLASSES."""
     schema = "block long, salt long, counts binary"
-    parts = codes.mapInArrow(_neighbour_counts(classes), schema).groupBy("block", "salt")
+    parts = codes.mapInArrow(_neighbour_counts(classes), schema)
+    for keys in (("block", "salt"), ("block",)):  # no group sums the rows of all tasks at once
+        parts = parts.groupBy(*keys).applyInPandas(_summed, schema)
     total = np.zeros((2, len(classes), CLASSES + 1), np.int64)
-    for row in parts.applyInPandas(_summed, schema).collect():
+    for row in parts.collect():
         first = row["block"] * BLOCK
         last = min(first + BLOCK, len(classes))
         total[:, first:last] += np.frombuffer(row["counts"], np.int64).reshape(2, last - first, CLASSES + 1)
@@ -264,10 +266,11 @@ class Model:
         """Probability of one word without training count after each history.
 
         A class has as many unseen words as words seen once, each with the emission of one
-        count; the unigram's one unseen event is shared among all of them.
+        count. The classes' unseen mass and the unigram's one unseen event are shared evenly
+        among all unseen words, since nothing tells their classes.
         """
-        new = self.transition @ (1 / (self.class_n + self.class_once))
-        return MIX * new + (1 - MIX) / (self.tokens + self.distinct + 1) / self.class_once.sum()
+        new = self.transition @ (self.class_once / (self.class_n + self.class_once))
+        return (MIX * new + (1 - MIX) / (self.tokens + self.distinct + 1)) / self.class_once.sum()
 
 
 def _is_held_out() -> Column:
@@ -346,7 +349,7 @@ def _score_head(parameters: dict):
             chance = p["by_class"][kh, c] * p["head_n"][k] + p["unigram"] * (p["head_n"][k] + 1)
             n = len(sizes)
             base = np.bincount(doc[known], add_one[k], n) - p["log_total"] * sizes
-            score = np.bincount(doc[known], np.log10(chance), n)
+            score = np.bincount(doc[known], np.log10(chance), n).astype(np.float64)
             rest = np.bincount(doc[~known], minlength=n)
             offsets = pa.array(np.concatenate([[0], np.cumsum(rest)]), pa.int32())
             columns = [
