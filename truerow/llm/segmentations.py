@@ -253,14 +253,15 @@ class Search:
             own = log_p[low:high].astype(np.float64)
             ahead = before + np.cumsum(own)
             with np.errstate(divide="ignore"):
-                location = ahead - own + np.log(np.maximum(-np.expm1(np.minimum(own, 0)), 0))
-            location[-own < 1e-6] = -np.inf  # the only piece, up to rounding
+                rest = -np.expm1(np.minimum(own, 0))
+                sure = np.flatnonzero(own > -0.05)  # here the rest must be added up to be exact
+                rest[sure] = self.mass_without(nodes[low:high][sure], lengths[low:high][sure, None])
+                if taken and low <= parted < high:
+                    out = np.array([[*taken, int(lengths[parted])]])
+                    rest[parted - low] = self.mass_without(nodes[parted : parted + 1], out)[0]
+                location = ahead - own + np.log(rest)
             if low < parted:
                 location[: parted - low] = -np.inf
-            if taken and low <= parted < high:
-                out = (*taken, int(lengths[parted]))
-                rest = 1 - np.exp(self.lattice.log_p[nodes[parted], list(out)].astype(float)).sum()
-                location[parted - low] = (ahead - own)[parted - low] + np.log(rest) if rest > 1e-6 else -np.inf
             u = uniform(self.key, np.arange(low, low + len(own)), 16 * number + 1)
             bound = _gumbel_below(location, value, u)
             top = range(len(own)) if len(own) <= self.k + 1 else np.argpartition(bound, -self.k - 1)[-self.k - 1 :].tolist()
@@ -274,6 +275,12 @@ class Search:
             out = (int(lengths[j]),) + (taken if j == parted else ())
             heapq.heappush(self.queue, (-bound_, number, j, out))
 
+    def mass_without(self, nodes: np.ndarray, out: np.ndarray) -> np.ndarray:
+        """The probability of all pieces at each node but those of the lengths in its row of `out`."""
+        p = np.exp(self.lattice.log_p[nodes].astype(np.float64))
+        np.put_along_axis(p, out, 0, axis=1)
+        return p.sum(axis=1)
+
     def part(self) -> tuple[float, int, int, int, tuple[int, ...]] | None:
         """Take the best set left: its bound, path, piece, the length chosen there, lengths out."""
         if not self.queue:
