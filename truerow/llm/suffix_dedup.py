@@ -131,7 +131,7 @@ def _compressed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in split_documents(batches):
         at = batch.schema.get_field_index("text")
         column = pa.array([squeeze.compress(t) for t in texts_of(batch)], pa.binary())
-        yield batch.set_column(at, "packed", column)
+        yield batch.set_column(at, "_packed", column)
 
 
 def _surroundings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -347,7 +347,7 @@ def repeated_places(docs: DataFrame, most_kinds: int = MOST_KINDS) -> DataFrame:
     wanted = mixed_groups.groupBy("one.key").agg(
         F.collect_list(F.struct("gram", "around", "one.place")).alias("kinds")
     )
-    packed = keyed.select("key", "text").mapInArrow(_compressed, "key long, packed binary").dropDuplicates(["key"])
+    packed = keyed.select("key", "text").mapInArrow(_compressed, "key long, _packed binary").dropDuplicates(["key"])
     around = packed.join(wanted, "key").mapInArrow(
         _surroundings, "gram long, around long, before binary, after binary"
     )
@@ -381,9 +381,9 @@ _SPANS = pa.list_(pa.struct([("start", pa.int64()), ("stop", pa.int64())]))
 
 
 def _pieces(batch: pa.RecordBatch) -> Iterator[tuple[bytes, list[list[int]], bytes]]:
-    """The text, its removed ranges, and the rest, of each row with `packed` and `ranges`."""
+    """The text, its removed ranges, and the rest, of each row with `_packed` and `_ranges`."""
     open_ = zstandard.ZstdDecompressor()
-    packed, ranges = (batch.column(batch.schema.get_field_index(c)) for c in ("packed", "ranges"))
+    packed, ranges = (batch.column(batch.schema.get_field_index(c)) for c in ("_packed", "_ranges"))
     for row in range(batch.num_rows):
         text = open_.decompress(packed[row].as_py())
         spans = []
@@ -440,10 +440,10 @@ def _with_ranges(docs: DataFrame, columns: list[str], most_kinds: int) -> DataFr
             (F.col("place") + F.col("stop")).cast("long").alias("stop"),
         ).alias("r"),
     )
-    per_key = ranges.groupBy("key").agg(F.collect_set("r").alias("ranges")).withColumnRenamed("key", "_key")
+    per_key = ranges.groupBy("key").agg(F.collect_set("r").alias("_ranges")).withColumnRenamed("key", "_key")
     keyed = docs.select(F.xxhash64("doc_id", "text").alias("_key"), *columns)
     fields = ", ".join(
-        "packed binary" if f.name == "text" else f"`{f.name}` {f.dataType.simpleString()}" for f in keyed.schema
+        "_packed binary" if f.name == "text" else f"`{f.name}` {f.dataType.simpleString()}" for f in keyed.schema
     )
     return keyed.mapInArrow(_compressed, fields).join(per_key, "_key", "left").drop("_key")
 
