@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from truerow.llm.common import split_documents, stored, table, texts_of
-from truerow.llm.tokenizing import ChunkIds, vocabulary_path
+from truerow.llm.tokenizing import known_chunks, vocabulary_path
 from truerow.llm.words import mixed
 
 VOCABULARY = "word_bpe_49k.json"
@@ -54,11 +54,10 @@ def hilbert_keys(cells: np.ndarray, bits: int = BITS) -> np.ndarray:
         low = bit - 1
         for i in range(len(axes)):
             on = (axes[i] & bit) != 0
-            turned = (axes[0] ^ axes[i]) & low
-            axes[0], axes[i] = (
-                np.where(on, axes[0] ^ low, axes[0] ^ turned),
-                axes[i] if i == 0 else np.where(on, axes[i], axes[i] ^ turned),
-            )
+            swapped = np.where(on, 0, (axes[0] ^ axes[i]) & low)
+            if i:
+                axes[i] = axes[i] ^ swapped
+            axes[0] = axes[0] ^ np.where(on, low, swapped)
         bit >>= 1
     for i in range(1, len(axes)):
         axes[i] = axes[i] ^ axes[i - 1]
@@ -77,7 +76,7 @@ def hilbert_keys(cells: np.ndarray, bits: int = BITS) -> np.ndarray:
 
 def _tokenize(path: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = ChunkIds(path)
+        known = known_chunks(path)
         for batch in split_documents(batches, 2 << 20):
             ids, sizes = known.ids_of(texts_of(batch), END)
             keys = hilbert_keys(cells(hashed_vectors(ids, sizes)))

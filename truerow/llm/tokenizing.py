@@ -2,17 +2,18 @@
 
 from __future__ import annotations
 
+from array import array
 from collections.abc import Sequence
 
 import numpy as np
 
 from truerow.llm.common import ASCII_LOWER
 
-#: Chunks that a task remembers; a full memory is emptied, which changes no result.
-MOST_REMEMBERED = 200_000
+#: Chunks that a worker remembers; a full memory is emptied, which changes no result.
+MOST_REMEMBERED = 700_000
 #: Chunks encoded at once; an encoding object is large.
 AT_ONCE = 4096
-_LETTERS = frozenset(b"abcdefghijklmnopqrstuvwxyz")
+_LETTERS, _MARKS = frozenset(b"abcdefghijklmnopqrstuvwxyz"), frozenset(b".,")
 #: How special tokens begin: they are matched before lower-casing, so such texts go in whole.
 _SPECIAL = b"<|"
 
@@ -36,33 +37,37 @@ class ChunkIds(dict):
 
     def forget(self) -> None:
         self.clear()
-        self.ids, self.starts, self.sizes = [], [], []
+        self.ids, self.starts, self.sizes = array("I"), array("q"), array("q")
 
     def encode(self, texts: Sequence[str]) -> list[list[int]]:
         return [e.ids for e in self.tokenizer.encode_batch_fast(list(texts), add_special_tokens=False)]
 
-    def _put(self, chunk: bytes, ids: list[int]) -> None:
+    def _put(self, chunk: bytes, ids) -> None:
         self[chunk] = len(self.starts)
         self.starts.append(len(self.ids))
         self.sizes.append(len(ids))
-        self.ids += ids
+        self.ids.extend(ids)
 
     def learn(self, chunks: set[bytes]) -> None:
-        """Ids of new chunks. Closing points and commas are tokens apart from a word's letters."""
-        new = [c for c in chunks if c not in self]
-        bare = {c: c.rstrip(b".,") for c in new}
-        bare = {c: b for c, b in bare.items() if b and b != c and b[-1] in _LETTERS}
-        parts = {b for b in bare.values()} | {c[len(b) :] for c, b in bare.items()}
-        whole = [c for c in {*parts, *(c for c in new if c not in bare)} if c not in self]
-        for low in range(0, len(whole), AT_ONCE):
-            part = whole[low : low + AT_ONCE]
+        """Ids of new chunks. A point or comma after a word's last letter is a token apart."""
+        marked, whole = [], set()
+        for chunk in chunks:
+            if chunk not in self:
+                if len(chunk) > 1 and chunk[-1] in _MARKS and chunk[-2] in _LETTERS:
+                    marked.append(chunk)
+                    whole.add(chunk[:-1])
+                    whole.add(chunk[-1:])
+                else:
+                    whole.add(chunk)
+        new = [c for c in whole if c not in self]
+        for low in range(0, len(new), AT_ONCE):
+            part = new[low : low + AT_ONCE]
             for chunk, ids in zip(part, self.encode([c.decode() for c in part])):
                 self._put(chunk, ids)
-        for chunk, b in bare.items():
-            if chunk not in self:
-                self._put(chunk, self._of(b) + self._of(chunk[len(b) :]))
+        for chunk in marked:
+            self._put(chunk, self._of(chunk[:-1]) + self._of(chunk[-1:]))
 
-    def _of(self, chunk: bytes) -> list[int]:
+    def _of(self, chunk: bytes) -> array:
         i = self[chunk]
         return self.ids[self.starts[i] : self.starts[i] + self.sizes[i]]
 
@@ -101,3 +106,13 @@ class ChunkIds(dict):
         sizes = np.array([len(special[i]) if i in special else n for i, n in enumerate(counts)], np.int64)
         whole = np.concatenate(pieces) if pieces else ids
         return whole, sizes + (end is not None)
+
+
+_KNOWN: dict[str, ChunkIds] = {}
+
+
+def known_chunks(path: str) -> ChunkIds:
+    """The worker's memory for a vocabulary; tasks that follow each other go on with it."""
+    if path not in _KNOWN:
+        _KNOWN[path] = ChunkIds(path)
+    return _KNOWN[path]
