@@ -10,7 +10,7 @@ import numpy as np
 from truerow.llm.common import ASCII_LOWER
 
 #: Chunks that a worker remembers; a full memory is emptied, which changes no result.
-MOST_REMEMBERED = 700_000
+MOST_REMEMBERED = 1_000_000
 #: Chunks encoded at once; an encoding object is large.
 AT_ONCE = 4096
 _LETTERS, _MARKS = frozenset(b"abcdefghijklmnopqrstuvwxyz"), frozenset(b".,")
@@ -33,6 +33,10 @@ class ChunkIds(dict):
 
         super().__init__()
         self.tokenizer = Tokenizer.from_file(path)
+        # Where a word of a-z reaches the merges as it is, they can be applied to it directly.
+        word = "abcxyz"
+        cut = self.tokenizer.pre_tokenizer.pre_tokenize_str(self.tokenizer.normalizer.normalize_str(word))
+        self.plain = [c for c, _ in cut] == [word]
         self.forget()
 
     def forget(self) -> None:
@@ -59,7 +63,14 @@ class ChunkIds(dict):
                     whole.add(chunk[-1:])
                 else:
                     whole.add(chunk)
-        new = [c for c in whole if c not in self]
+        new = []
+        merge = self.tokenizer.model.tokenize
+        for chunk in whole:
+            if chunk not in self:
+                if self.plain and chunk.isalpha():  # of bytes: a-z only
+                    self._put(chunk, [t.id for t in merge(chunk.decode())])
+                else:
+                    new.append(chunk)
         for low in range(0, len(new), AT_ONCE):
             part = new[low : low + AT_ONCE]
             for chunk, ids in zip(part, self.encode([c.decode() for c in part])):
@@ -87,10 +98,10 @@ class ChunkIds(dict):
         codes = np.concatenate(
             [np.fromiter(map(self.__getitem__, own), np.int64, len(own)) for own in chunks] or [np.empty(0, np.int64)]
         )
-        starts, sizes = np.array(self.starts, np.int64), np.array(self.sizes, np.int64)
+        starts, sizes = np.frombuffer(self.starts, np.int64), np.frombuffer(self.sizes, np.int64)
         long = sizes[codes]
         before = np.cumsum(long) - long
-        flat = np.array(self.ids, np.uint32)
+        flat = np.frombuffer(self.ids, np.uint32)
         ids = flat[np.repeat(starts[codes] - before, long) + np.arange(int(long.sum()))] if len(codes) else flat[:0]
         bounds = np.concatenate([[0], np.cumsum(long)])
         ends = np.cumsum([len(own) for own in chunks]).astype(np.int64) if chunks else np.empty(0, np.int64)
