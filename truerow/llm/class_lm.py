@@ -34,7 +34,7 @@ ROUNDS = 12
 MIX, PRIOR = 0.9, 5.0
 #: Core words in a row of partial counts, and partial sums per block.
 BLOCK, SALTS = 256, 16
-FLUSH = 4_000_000
+FLUSH = 1_500_000
 
 
 def with_ends(texts: list[bytes], memory: WordHashes) -> tuple[np.ndarray, np.ndarray]:
@@ -46,7 +46,7 @@ def with_ends(texts: list[bytes], memory: WordHashes) -> tuple[np.ndarray, np.nd
 
 def _count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     memory, kept, held = WordHashes(), [], 0
-    for batch in split_documents(batches):
+    for batch in split_documents(batches, 4 << 20):
         kept.append(with_ends(texts_of(batch), memory)[0])
         held += len(kept[-1])
         if held >= FLUSH:
@@ -81,7 +81,7 @@ def _core_codes(core: np.ndarray):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         memory, index = WordHashes(), Index(core)
-        for batch in split_documents(batches):
+        for batch in split_documents(batches, 4 << 20):
             hashes, sizes = with_ends(texts_of(batch), memory)
             apart = np.insert(index(hashes), np.cumsum(sizes) - sizes, index.missing + 1)
             codes = apart[apart != index.missing].astype("<u2")
@@ -205,7 +205,7 @@ def _contexts(core: np.ndarray, classes: np.ndarray):
         memory, index = WordHashes(), Index(core)
         words, hist, held = [], [], 0
         shares = np.zeros(width * CLASSES, np.int64)
-        for batch in split_documents(batches):
+        for batch in split_documents(batches, 4 << 20):
             hashes, sizes = with_ends(texts_of(batch), memory)
             codes = index(hashes)
             h = histories(codes, sizes, classes)
@@ -337,7 +337,7 @@ def _score_head(parameters: dict):
         p = parameters
         memory, index, core = WordHashes(), Index(p["head"]), Index(p["core"])
         row = TaskContext.get().partitionId() << 40
-        for batch in split_documents(batches):
+        for batch in split_documents(batches, 4 << 20):
             hashes, sizes = with_ends(texts_of(batch), memory)
             code = index(hashes)
             h = histories(core(hashes), sizes, p["core_class"])
