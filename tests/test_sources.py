@@ -46,22 +46,25 @@ def test_files_are_ordered_by_run_endpoint_and_path(spark, tmp_path, write_jsonl
     assert rawfiles.discover(spark, str(tmp_path / "nothing")).count() == 0
 
 
-def test_split_fingerprint_depends_on_order_but_not_on_splits(spark, tmp_path):
+def test_fingerprint_depends_on_content_alone(spark, tmp_path):
     lines = [json.dumps({"id": n, "text": "x" * 50}) for n in range(2000)]
 
-    def digest(name, rows, split):
-        (tmp_path / name).write_text("\n".join(rows) + "\n")
+    def digest(name, text, split):
+        (tmp_path / name).write_text(text)
         spark.conf.set("spark.sql.files.maxPartitionBytes", split)
         try:
-            files = spark.createDataFrame([(str(tmp_path / name), 10**9)], "path STRING, length LONG")
+            row = (str(tmp_path / name), f"file:{tmp_path / name}", len(text))
+            files = spark.createDataFrame([row], "path STRING, file_path STRING, length LONG")
             return rawfiles.fingerprints(spark, files).first()["content_sha256"]
         finally:
             spark.conf.unset("spark.sql.files.maxPartitionBytes")
 
-    whole = digest("a.jsonl", lines, "100m")
-    assert digest("b.jsonl", lines, "7k") == whole
-    swapped = [lines[1], lines[0], *lines[2:]]
-    assert digest("c.jsonl", swapped, "7k") != whole
+    text = "\n".join(lines) + "\n"
+    whole = digest("a.jsonl", text, "100m")
+    assert digest("b.jsonl", text, "7k") == whole
+    assert digest("c.jsonl", "\n".join([lines[1], lines[0], *lines[2:]]) + "\n", "7k") != whole
+    assert digest("d.jsonl", text[:-1], "100m") != whole
+    assert digest("e.jsonl", "", "100m") == digest("f.jsonl", "", "7k") not in (None, whole)
 
 
 def test_crash_before_commit_changes_nothing_and_conflicts_are_seen(spark, tmp_path):

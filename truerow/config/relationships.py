@@ -40,7 +40,8 @@ DEFAULT_RELATIONSHIPS: tuple[Relationship, ...] = (
         "styles",
         ("authority_bom",),
         "boms",
-        ("id", "nwg_product_bom_rev_parent_bom_id"),
+        # Installations whose revisions carry a parent id add that field in their own rules.
+        ("id", "parent_bom_id"),
     ),
     Relationship("bom_rows", "boms", ("items",), "bomrows"),
     Relationship("bom_materials", "boms", ("bom_main_materials", "bom_materials"), "materials"),

@@ -6,6 +6,7 @@ instead of one parse per field.
 
 from __future__ import annotations
 
+import json
 from collections.abc import Iterable
 
 from pyspark.sql import Column, DataFrame
@@ -40,12 +41,45 @@ def computed_once(rows: DataFrame, name: str, value: Column) -> DataFrame:
     return rows.select(*rows.columns, F.explode(F.array(value)).alias(name))
 
 
-def is_malformed(payload: Column, parsed: Column) -> Column:
-    """True for text that is no JSON at all; arrays and scalars are legal JSON.
+def line_fields(payload: Column, names: Iterable[str]) -> Column:
+    """The named top-level fields of a line that is one JSON object and nothing else, as text.
 
-    The second parse only runs for the lines the first one could not read as an object.
+    NULL for every other line. The JSON readers stop at an object's closing brace and would
+    not notice text after it, so the line is read as the only item of an array.
     """
-    return F.when(parsed[BAD].isNull(), F.lit(False)).otherwise(F.try_parse_json(payload).isNull())
+    fields = ", ".join(f"{quoted(name)} STRING" for name in sorted({*names}) or [BAD])
+    items = F.from_json(_in_array(payload), f"ARRAY<STRUCT<{fields}>>", _PARSE_OPTIONS)
+    text = F.trim(payload, F.lit(" \t\r\n"))
+    is_object = text.startswith("{") & text.endswith("}")
+    return F.when(is_object & (F.size(items) == 1), F.get(items, 0))
+
+
+def first_value(payload: Column, fields: Column, name: str) -> Column:
+    """A field of ``line_fields`` by the first of its keys, where an object repeats the key.
+
+    The readers keep the last one. A second parse runs only where the key's text occurs again.
+    """
+    key = F.lit(json.dumps(name, ensure_ascii=False))
+    again = F.position(key, payload, F.position(key, payload) + 1) > 0
+    return F.when(again, F.get_json_object(payload, variant_path_of(name))).otherwise(fields[name])
+
+
+def variant_path_of(name: str) -> str:
+    """The path of one top-level field, whatever characters it has."""
+    return "$['" + name.replace("'", "\\'") + "']"
+
+
+def _in_array(payload: Column) -> Column:
+    return F.concat(F.lit("["), payload, F.lit("]"))
+
+
+def is_malformed(payload: Column, fields: Column) -> Column:
+    """True for a line that is no single JSON value; arrays and scalars are legal JSON.
+
+    The second parse only runs for lines that ``line_fields`` could not read.
+    """
+    items = as_array(F.try_parse_json(_in_array(payload)))
+    return F.when(fields.isNotNull(), F.lit(False)).otherwise(F.coalesce(F.size(items), F.lit(0)) != 1)
 
 
 def variant_path(path: str) -> str:

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from truerow.config.endpoints import EndpointSchema
-from truerow.functions.jsons import is_malformed, payload_fields
+from truerow.functions.jsons import is_malformed, line_fields
 from truerow.functions.times import utc_now, utc_text
 from truerow.operators.ingest import (
     DELETE,
@@ -127,7 +127,7 @@ def _with_file(store: MasterStore, lines: DataFrame, files: Sequence[RawFile]) -
 
 
 def _malformed_files(lines: DataFrame) -> set[int]:
-    parsed = lines.withColumn("parsed", payload_fields(F.col("payload"), []))
+    parsed = lines.withColumn("parsed", line_fields(F.col("payload"), []))
     bad = parsed.where(is_malformed(F.col("payload"), F.col("parsed")))
     return {row["file_ord"] for row in bad.select("file_ord").distinct().collect()}
 

@@ -333,6 +333,18 @@ def file_sha256(path: str | None) -> str | None:
         return hashlib.file_digest(handle, "sha256").hexdigest()
 
 
+def rows_sha256(rows: DataFrame) -> str:
+    """A hash of all rows in any order: sums of two hashes of each row's JSON text, digested."""
+    text = F.to_json(F.struct(*sorted(rows.columns)))
+    hashed = rows.select(F.xxhash64(text).alias("h1"), F.xxhash64(F.lit("second"), text).alias("h2"))
+    total = hashed.agg(
+        F.count("*").alias("n"),
+        F.coalesce(F.sum(F.col("h1").cast("decimal(38,0)")), F.lit(0)).alias("s1"),
+        F.coalesce(F.sum(F.col("h2").cast("decimal(38,0)")), F.lit(0)).alias("s2"),
+    )
+    return total.select(F.sha2(F.concat_ws(":", "n", "s1", "s2"), 256)).first()[0]
+
+
 def merged_counts(previous: DataFrame, current: DataFrame, scope: DataFrame) -> DataFrame:
     """Total and ready after a scoped run: rows out of scope stay, rows in scope are new."""
     kept = previous.join(scope, "product_id", "left_anti").select("product_id", "ready")
@@ -414,7 +426,7 @@ def record(
                 input_path,
                 file_sha256(input_path),
                 latest_result_path,
-                file_sha256(latest_result_path),
+                rows_sha256(results) if latest_result_path else None,
                 rule_set_version,
                 total,
                 ready,

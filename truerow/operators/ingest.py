@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from truerow.config.endpoints import EndpointSchema
-from truerow.functions.jsons import BAD, computed_once, is_malformed, payload_fields
+from truerow.functions.jsons import computed_once, first_value, is_malformed, line_fields
 from truerow.functions.times import utc_timestamp
 
 UPSERT = "upsert"
@@ -46,7 +46,8 @@ def extract(
 ) -> DataFrame:
     """P2-P4 on lines with columns (endpoint, payload, ...).
 
-    Adds record_id, modified_at, modified_at_ts and is_delete; rows without an id go away.
+    Adds record_id, modified_at, modified_at_ts and is_delete; rows without an id go away. A
+    key that an object repeats counts with its first value; text after the object is malformed.
     """
     default = EndpointSchema("")
     wanted = {default.primary_key, *default.modified_at_fields}
@@ -56,25 +57,28 @@ def extract(
     endpoint = F.col("endpoint")
     parsed = F.col("parsed")
 
+    def field(name: str) -> Column:
+        return first_value(F.col("payload"), parsed, name)
+
     def deleted(schema: EndpointSchema) -> Column:
         tests = [
-            F.coalesce(parsed[c.field] == c.text, F.lit(False)) for c in schema.delete_when_any
+            F.coalesce(field(c.field) == c.text, F.lit(False)) for c in schema.delete_when_any
         ]
         return reduce(or_, tests, F.lit(False))
 
     def modified(schema: EndpointSchema) -> Column:
-        texts = [parsed[name] for name in schema.modified_at_fields]
+        texts = [field(name) for name in schema.modified_at_fields]
         return F.coalesce(*texts) if texts else F.lit(None).cast("string")
 
-    record_id = _by_schema(endpoint, schemas, lambda s: parsed[s.primary_key], default)
+    record_id = _by_schema(endpoint, schemas, lambda s: field(s.primary_key), default)
     if fail_on_malformed:
         where = F.col("file_path") if "file_path" in lines.columns else endpoint
         problem = F.raise_error(F.concat(F.lit("Malformed JSON line in "), where))
         malformed = is_malformed(F.col("payload"), parsed)
-        record_id = F.when(parsed[BAD].isNull(), record_id).when(malformed, problem)
+        record_id = F.when(parsed.isNotNull(), record_id).when(malformed, problem)
     modified_at = _by_schema(endpoint, schemas, modified, default)
     return (
-        computed_once(lines, "parsed", payload_fields(F.col("payload"), wanted))
+        computed_once(lines, "parsed", line_fields(F.col("payload"), wanted))
         .select(
             *lines.columns,
             record_id.alias("record_id"),

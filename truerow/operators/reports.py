@@ -238,22 +238,20 @@ def coverage_from_results(results: DataFrame, version: str) -> dict[str, DataFra
 
 
 def markdown_table(
-    rows: DataFrame, headers: Sequence[str], columns: Sequence[Column | str], limit: int = 1000
+    rows: DataFrame, headers: Sequence[str], columns: Sequence[Column | str]
 ) -> str:
-    """A Markdown table of an aggregated report table.
+    """A Markdown table of an aggregated report table, all rows.
 
-    Report tables have one row per brand, relationship or code; ``limit`` guards the driver
-    against being handed anything else and says so when it cuts.
+    Report tables have one row per brand, relationship or code; the rows come to the driver
+    partition by partition.
     """
-    taken = rows.select(*columns).limit(limit + 1).collect()
-    numeric = [t in ("int", "bigint", "double") for _, t in rows.select(*columns).dtypes]
+    chosen = rows.select(*columns)
+    numeric = [t in ("int", "bigint", "double") for _, t in chosen.dtypes]
     lines = [
         "| " + " | ".join(headers) + " |",
         "| " + " | ".join("---:" if n else "---" for n in numeric) + " |",
     ]
-    lines += ["| " + " | ".join(str(value) for value in row) + " |" for row in taken[:limit]]
-    if len(taken) > limit:
-        lines.append(f"\nOnly the first {limit} rows are shown; the table has all.")
+    lines += ["| " + " | ".join(str(value) for value in row) + " |" for row in chosen.toLocalIterator()]
     return "\n".join(lines)
 
 

@@ -49,10 +49,14 @@ def _state(spark: SparkSession, sf_dir: str, current: bool) -> DataFrame:
     else:
         orders = orders.where(day < F.lit(LATE).cast("timestamp_ntz"))
         status = F.when(F.col("o_orderpriority") == "2-HIGH", "P").otherwise(status)
+    return _orders(orders, status, current)
+
+
+def _orders(orders: DataFrame, status, keep_nulls: bool) -> DataFrame:
     return orders.select(
         F.lit("orders").alias("endpoint"),
         coded("O", "o_orderkey").alias("record_id"),
-        _payload(status, current).alias("payload"),
+        _payload(status, keep_nulls).alias("payload"),
         "o_orderpriority",
     )
 
@@ -62,8 +66,9 @@ def _index(spark: SparkSession, sf_dir: str, current: bool) -> DataFrame:
 
 
 def tracked_payload(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """C2-C4."""
-    return _index(spark, sf_dir, True)
+    """All orders."""
+    orders = _orders(table(spark, sf_dir, "orders"), F.col("o_orderstatus"), True)
+    return changelog.index(orders, TRACKING.endpoints)
 
 
 def _diff(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -122,7 +127,7 @@ def changelog_listing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def record_history(spark: SparkSession, sf_dir: str) -> DataFrame:
     """C14: the history of one order."""
-    return changelog.record_history(_stamped(spark, sf_dir), "orders", "O1")
+    return changelog.record_history(_stamped(spark, sf_dir), "orders", "O4")
 
 
 def _text(status: str, note: str) -> str:
@@ -143,7 +148,8 @@ WITH states AS (
   SELECT *, 'O' || o_orderkey AS record_id,
     CASE WHEN o_orderdate < TIMESTAMP '{LATE}' THEN {_text(_WAS, _NOTE_WAS)} END AS was,
     CASE WHEN o_orderdate >= TIMESTAMP '{EARLY}' THEN {_text("o_orderstatus", _NOTE_IS)} END
-      AS now
+      AS now,
+    {_text("o_orderstatus", _NOTE_IS)} AS whole
   FROM orders
 ),
 events AS (
@@ -165,8 +171,8 @@ QUERIES = {
         tracked_payload,
         INDEX_SQL
         + """
-SELECT 'orders' AS endpoint, record_id, now AS tracked_payload_json, sha256(now) AS payload_hash
-FROM states WHERE now IS NOT NULL""",
+SELECT 'orders' AS endpoint, record_id, whole AS tracked_payload_json,
+  sha256(whole) AS payload_hash FROM states""",
     ),
     "changelog_events": (
         changelog_events,
@@ -209,6 +215,6 @@ FROM events ORDER BY record_id LIMIT 50""",
         INDEX_SQL
         + """
 SELECT TIMESTAMP '2026-01-01' AS changed_at, change_type, previous_payload_json,
-  current_payload_json FROM events WHERE record_id = 'O1'""",
+  current_payload_json FROM events WHERE record_id = 'O4'""",
     ),
 }

@@ -62,9 +62,13 @@ def _after(spark: SparkSession, sf_dir: str) -> DataFrame:
     return history.validation_index(_results(_events(spark, sf_dir).where(F.col("ts") >= F.lit(CUT))))
 
 
+def _whole(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return history.validation_index(_results(_events(spark, sf_dir)))
+
+
 def validation_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     """H1-H7."""
-    index = _after(spark, sf_dir)
+    index = _whole(spark, sf_dir)
     entries = F.array_sort(F.map_entries("issue_severities"))
     severities = F.transform(entries, lambda e: F.concat_ws("=", e["key"], e["value"]))
     return index.withColumns(
@@ -125,11 +129,11 @@ def scoped_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def index_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """H17."""
-    return history.index_counts(_after(spark, sf_dir))
+    return history.index_counts(_whole(spark, sf_dir))
 
 
 def _stored_index(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _after(spark, sf_dir).withColumn("target", F.lit(TARGET))
+    return _whole(spark, sf_dir).withColumn("target", F.lit(TARGET))
 
 
 def failing(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -190,6 +194,9 @@ scope AS (
 )
 """
 
+# The same index over all events.
+WHOLE_SQL = INDEX_SQL.replace("ts < TIMESTAMP '2024-01-16' AS early", "FALSE AS early")
+
 ISSUE_CHANGES_SQL = """,
 codes AS (
   SELECT product_id, 'previous' AS side, unnest(string_split(previous_issue_codes, ',')) AS code
@@ -344,7 +351,7 @@ listed AS (
 """
 
 QUERIES = {
-    "validation_index": (validation_index, INDEX_SQL + " SELECT * FROM after"),
+    "validation_index": (validation_index, WHOLE_SQL + " SELECT * FROM after"),
     "validation_changes": (validation_changes, INDEX_SQL + " SELECT * FROM changes"),
     "issue_changes": (issue_changes, INDEX_SQL + ISSUE_CHANGES_SQL),
     "scoped_changes": (
@@ -364,19 +371,19 @@ SELECT count(*) AS total_records, count(*) FILTER (ready) AS ready_records,
     ),
     "index_counts": (
         index_counts,
-        INDEX_SQL
+        WHOLE_SQL
         + " SELECT count(*) AS total_records, count(*) FILTER (ready) AS ready_records FROM after",
     ),
     "failing": (
         failing,
-        INDEX_SQL
+        WHOLE_SQL
         + """
 SELECT product_id, display_name, brand, season, score, failure_count, hard_warning_count,
   soft_warning_count FROM after WHERE NOT ready""",
     ),
     "completion": (
         completion,
-        INDEX_SQL
+        WHOLE_SQL
         + """
 SELECT brand, season, count(*) AS records, count(*) FILTER (ready) AS ready_records,
   round(avg(score), 2) AS average_score, CAST(sum(failure_count) AS BIGINT) AS failures,

@@ -42,6 +42,10 @@ class RawFile:
     content_sha256: str
 
 
+#: Names the definition of a fingerprint, so that another one can never be taken for equal.
+FINGERPRINT = "lines-1"
+
+
 def _listing(spark: SparkSession, raw_dir: str, pattern: str) -> DataFrame:
     reader = spark.read.format("binaryFile").option("pathGlobFilter", pattern)
     return reader.option("recursiveFileLookup", "true").load(raw_dir)
@@ -55,12 +59,33 @@ def _name(path: Column) -> Column:
     return F.substring_index(path, "/", -1)
 
 
+def refuse_hidden(spark: SparkSession, raw_dir: str) -> None:
+    """Fail on names that start with an underscore, which Spark's readers pass over in silence.
+
+    Only names are listed, level by level, by the file system itself. Dot files are no evidence.
+    """
+    jvm = spark.sparkContext._jvm
+    root = jvm.org.apache.hadoop.fs.Path(raw_dir)
+    system = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    level = raw_dir.rstrip("/")
+    while True:
+        hidden = system.globStatus(jvm.org.apache.hadoop.fs.Path(f"{level}/_*"))
+        names = [status.getPath().toString() for status in hidden or []]
+        names = [n for n in names if n.endswith(".jsonl") or system.getFileStatus(jvm.org.apache.hadoop.fs.Path(n)).isDirectory()]
+        if names:
+            raise ValueError(f"Spark does not read names that start with an underscore: {', '.join(names[:5])}")
+        level += "/*"
+        if not len(system.globStatus(jvm.org.apache.hadoop.fs.Path(level)) or []):
+            return
+
+
 def discover(spark: SparkSession, raw_dir: str) -> DataFrame:
     """All raw files with endpoint, delta flag and run, from names and manifests.
 
-    Only the listing is read here; file contents are not. Spark hides names that start with
-    a dot or an underscore.
+    Only the listing is read here; file contents are not. Dot files are left out; a name that
+    starts with an underscore is an error.
     """
+    refuse_hidden(spark, raw_dir)
     try:
         listed = _listing(spark, raw_dir, "*.jsonl").select(
             "path",
@@ -141,50 +166,34 @@ def in_order(files: DataFrame) -> DataFrame:
 
 
 def fingerprints(spark: SparkSession, files: DataFrame) -> DataFrame:
-    """Content hash per file of ``files`` (path, length).
+    """Content hash per file of ``files`` (path, file_path, length).
 
-    Files of ordinary size are hashed whole. A file larger than one input split is never
-    read by one task: its lines are numbered across splits and hashed with their number, and
-    the sums of those hashes are digested. The result does not depend on how it was split.
+    One definition for all sizes and settings: the number of bytes, and sums of the hashes of
+    all lines with their numbers, digested. No task reads more than one input split, and the
+    result does not depend on how a file was split. The byte count tells whether the last
+    line ends with a newline.
     """
-    split = _bytes(spark.conf.get("spark.sql.files.maxPartitionBytes"))
-    rows = files.select("path", "length").collect()
-    small = [r["path"] for r in rows if r["length"] <= split]
-    large = [r["path"] for r in rows if r["length"] > split]
-    parts = []
-    if small:
-        content = spark.read.format("binaryFile").load(small)
-        parts.append(
-            content.select(
-                F.col("_metadata.file_path").alias("file_path"),
-                F.sha2("content", 256).alias("content_sha256"),
-            )
-        )
-    if large:
-        parts.append(split_fingerprints(_numbered(spark, large)))
-    if not parts:
+    paths = [row["path"] for row in files.select("path").collect()]
+    if not paths:
         return spark.createDataFrame([], "file_path STRING, content_sha256 STRING")
-    return parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
-
-
-def split_fingerprints(numbered: DataFrame) -> DataFrame:
-    """Digest of (line number, line) pairs per file; sums wrap around."""
-    hashed = numbered.select(
+    hashed = _numbered(spark, paths).select(
         "file_path",
-        F.length("value").alias("size"),
         F.xxhash64("line_no", "value").alias("h1"),
         F.xxhash64(F.lit("second"), "value", "line_no").alias("h2"),
     )
     # Kept in decimals so that a sum of 64-bit hashes cannot overflow.
     totals = hashed.groupBy("file_path").agg(
         F.count("*").alias("lines"),
-        F.sum("size").alias("size"),
         F.sum(F.col("h1").cast("decimal(38,0)")).alias("s1"),
         F.sum(F.col("h2").cast("decimal(38,0)")).alias("s2"),
         F.bit_xor("h1").alias("x1"),
     )
-    digest = F.sha2(F.concat_ws(":", "lines", "size", "s1", "s2", "x1"), 256)
-    return totals.select("file_path", digest.alias("content_sha256"))
+    digest = F.sha2(F.concat_ws(":", F.lit(FINGERPRINT), "length", "lines", "s1", "s2", "x1"), 256)
+    # Empty files have no lines, and a fingerprint all the same.
+    found = files.select("file_path", "length").join(totals, "file_path", "left")
+    unread = F.col("lines").isNull() & (F.col("length") > 0)
+    problem = F.raise_error(F.concat(F.lit("No lines were read of "), "file_path"))
+    return found.select("file_path", F.when(unread, problem).otherwise(digest).alias("content_sha256"))
 
 
 def _numbered(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
@@ -211,13 +220,6 @@ def _numbered(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
     )
 
 
-def _bytes(text: str) -> int:
-    units = {"": 1, "b": 1, "k": 1 << 10, "m": 1 << 20, "g": 1 << 30}
-    text = text.lower().rstrip("b") or "0"
-    unit = text[-1] if text[-1] in units else ""
-    return int(text.removesuffix(unit) or 0) * units[unit]
-
-
 @dataclass(frozen=True)
 class Pending:
     files: tuple[RawFile, ...]

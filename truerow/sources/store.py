@@ -168,7 +168,7 @@ class MasterStore(TableStore):
     ``buckets`` is the number of folders an endpoint's records are spread over by a hash of
     their id. A batch rewrites only the buckets it touches, so choose it such that a bucket
     holds one or a few input splits; ``endpoint_buckets`` gives big endpoints more. The
-    numbers must not change once records are stored.
+    numbers must not change once records are stored; a store opened with others refuses to read.
     """
 
     def __init__(
@@ -182,6 +182,9 @@ class MasterStore(TableStore):
         self.buckets = buckets
         self.endpoint_buckets = dict(endpoint_buckets or {})
 
+    def settings(self) -> dict:
+        return {"buckets": self.buckets, "endpoint_buckets": self.endpoint_buckets}
+
     def bucket_count(self, endpoint: str) -> int:
         return self.endpoint_buckets.get(endpoint, self.buckets)
 

@@ -42,6 +42,9 @@ class Written:
     partitions: dict[str, list[str]]
 
 
+_LOG = "commit LONG, tables STRING, settings STRING"
+
+
 @dataclass
 class Snapshot:
     number: int = 0
@@ -57,19 +60,26 @@ class TableStore:
         self.root = root.rstrip("/")
         self.specs = {spec.name: spec for spec in specs}
 
+    def settings(self) -> dict:
+        """What must stay as it was when the first rows were stored; every commit carries it."""
+        return {}
+
     # -- reading ---------------------------------------------------------------------------
 
     def snapshot(self) -> Snapshot:
         """The newest commit. Commits are one JSON line each."""
         try:
-            log = self.spark.read.schema("commit LONG, tables STRING").json(f"{self.root}/_log/*")
-            row = log.agg(F.max_by(F.struct("commit", "tables"), "commit").alias("last")).first()
+            log = self.spark.read.schema(_LOG).json(f"{self.root}/_log/*")
+            row = log.agg(F.max_by(F.struct(*log.columns), "commit").alias("last")).first()
         except AnalysisException as error:
             if error.getCondition() != "PATH_NOT_FOUND":
                 raise
             return Snapshot()
         if row is None or row["last"] is None:
             return Snapshot()
+        stored = json.loads(row["last"]["settings"] or "null")
+        if stored is not None and stored != self.settings():
+            raise ValueError(f"{self.root} was stored with {stored}, not with {self.settings()}.")
         return Snapshot(row["last"]["commit"], json.loads(row["last"]["tables"]))
 
     def read(
@@ -145,7 +155,7 @@ class TableStore:
             parts.update(written.partitions)
         number = base.number + 1
         row = self.spark.createDataFrame(
-            [(number, json.dumps(tables, sort_keys=True))], "commit LONG, tables STRING"
+            [(number, json.dumps(tables, sort_keys=True), json.dumps(self.settings()))], _LOG
         )
         self._publish(row.coalesce(1), number)
         return Snapshot(number, tables)
