@@ -198,3 +198,87 @@ def apply_rules(docs: DataFrame) -> DataFrame:
 
 def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return apply_rules(table(spark, sf_dir, "documents"))
+
+
+SQL = r"""
+WITH w AS (
+  SELECT doc_id, lang, source, coalesce(text, '') AS text,
+    regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words FROM documents
+),
+windows AS (
+  SELECT doc_id, i, array_to_string(words[i : i + 4], ' ') AS gram
+  FROM (SELECT doc_id, words, unnest(range(1, greatest(len(words) - 3, 1))) AS i FROM w)
+),
+twice AS (SELECT doc_id, gram FROM windows GROUP BY ALL HAVING count(*) > 1),
+covered AS (
+  SELECT doc_id, count(DISTINCT place) AS n FROM (
+    SELECT doc_id, unnest(range(i, i + 5)) AS place FROM windows JOIN twice USING (doc_id, gram)
+  ) GROUP BY doc_id
+),
+lines AS (
+  SELECT doc_id, count(*) AS n, count(*) - count(DISTINCT line) AS dup
+  FROM (SELECT doc_id, unnest(string_split(text, chr(10))) AS line FROM w)
+  WHERE regexp_matches(line, '[^\x20\x09-\x0D]') GROUP BY doc_id
+),
+f AS (
+  SELECT w.doc_id, lang, source, CAST(len(words) AS BIGINT) AS n_words,
+    CAST(length(array_to_string(words, '')) AS BIGINT) AS word_chars,
+    CAST(length(text) - length(regexp_replace(text, '[#*$%&|<>]', '', 'g')) AS BIGINT) AS n_symbols,
+    coalesce(l.dup, 0) AS n_dup_lines, coalesce(l.n, 0) AS n_lines, coalesce(c.n, 0) AS n_repeat_words
+  FROM w LEFT JOIN lines l ON l.doc_id = w.doc_id LEFT JOIN covered c ON c.doc_id = w.doc_id
+),
+m AS (
+  SELECT doc_id, lang, source, n_words, unnest([
+    {metric: 'word_length', v: CASE WHEN n_words > 0 THEN word_chars * 100 // n_words ELSE 0 END},
+    {metric: 'symbols', v: CASE WHEN n_words > 0 THEN n_symbols * 1000 // n_words ELSE 0 END},
+    {metric: 'dup_lines', v: CASE WHEN n_lines > 0 THEN n_dup_lines * 1000 // n_lines ELSE 0 END},
+    {metric: 'repeats', v: CASE WHEN n_words > 0 THEN n_repeat_words * 1000 // n_words ELSE 0 END}
+  ], recursive := true) FROM f
+),
+low AS (
+  SELECT lang, source, metric,
+    (v >> greatest(length(bin(v)) - 5, 0)) << greatest(length(bin(v)) - 5, 0) AS low
+  FROM m WHERE n_words > 0
+),
+scopes AS (
+  SELECT 'own' AS scope, lang, source, metric, low FROM low
+  UNION ALL SELECT 'lang', lang, NULL, metric, low FROM low
+  UNION ALL SELECT 'all', NULL, NULL, metric, low FROM low
+),
+bins AS (SELECT scope, lang, source, metric, low, count(*) AS c FROM scopes GROUP BY ALL),
+ranked AS (
+  SELECT *, sum(c) OVER (PARTITION BY scope, lang, source, metric ORDER BY low) AS upto,
+    sum(c) OVER (PARTITION BY scope, lang, source, metric) AS n FROM bins
+),
+q AS (
+  SELECT scope, lang, source, metric, any_value(n) AS n, min(low) FILTER (upto * 4 >= n) AS q1,
+    min(low) FILTER (upto * 4 >= n * 3) AS q3
+  FROM ranked GROUP BY scope, lang, source, metric
+),
+fences AS (
+  SELECT o.lang, o.source, o.metric,
+    CASE WHEN o.n >= 200 THEN o.q1 WHEN l.n >= 200 THEN l.q1 ELSE a.q1 END AS q1,
+    CASE WHEN o.n >= 200 THEN o.q3 WHEN l.n >= 200 THEN l.q3 ELSE a.q3 END AS q3,
+    CASE o.metric WHEN 'dup_lines' THEN 300 ELSE 100 END AS margin
+  FROM q o
+  JOIN q l ON l.scope = 'lang' AND l.lang IS NOT DISTINCT FROM o.lang AND l.metric = o.metric
+  JOIN q a ON a.scope = 'all' AND a.metric = o.metric
+  WHERE o.scope = 'own'
+),
+judged AS (
+  SELECT m.doc_id, bool_and(coalesce(v <= q3 + 3 * (q3 - q1) + margin, true)
+      AND (m.metric <> 'word_length' OR coalesce(v >= q1 - 3 * (q3 - q1) - margin, true))) AS inside,
+    max(CASE WHEN m.metric = 'word_length' THEN q3 + 3 * (q3 - q1) + margin END) AS most_word_length,
+    max(CASE WHEN m.metric = 'symbols' THEN q3 + 3 * (q3 - q1) + margin END) AS most_symbols,
+    max(CASE WHEN m.metric = 'dup_lines' THEN q3 + 3 * (q3 - q1) + margin END) AS most_dup_lines,
+    max(CASE WHEN m.metric = 'repeats' THEN q3 + 3 * (q3 - q1) + margin END) AS most_repeats
+  FROM m LEFT JOIN fences t ON t.lang IS NOT DISTINCT FROM m.lang AND t.source IS NOT DISTINCT FROM m.source
+    AND t.metric = m.metric
+  GROUP BY m.doc_id
+)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
+  n_words < 10 OR 100 * n_repeat_words > 20 * n_words AS base_failed,
+  NOT (n_words < 10 OR 100 * n_repeat_words > 20 * n_words) AND inside AS kept,
+  most_word_length, most_symbols, most_dup_lines, most_repeats
+FROM f JOIN judged USING (doc_id)
+"""

@@ -9,7 +9,7 @@ QUERIES = {
     "op1_suffix_dedup": (suffix_dedup.op1_suffix_dedup, None),
     "op2_sentencepiece_samples": (segmentations.op2_sentencepiece_samples, None),
     "op3_class_lm": (class_lm.op3_class_lm, None),
-    "op4_quality_rules": (quality_rules.op4_quality_rules, None),
+    "op4_quality_rules": (quality_rules.op4_quality_rules, quality_rules.SQL),
     "op5_minmax_dedup": (minmax_dedup.op5_minmax_dedup, minmax_dedup.SQL),
     "op6_url_cascade": (url_cascade.op6_url_cascade, url_cascade.SQL),
     "op7_rendezvous_shards": (sharding.op7_rendezvous_shards, None),
