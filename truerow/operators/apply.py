@@ -23,6 +23,7 @@ from truerow.operators.ingest import (
     fold,
     latest_per_key,
 )
+from truerow.session import scratch_dir
 from truerow.sources.rawfiles import (
     RawFile,
     check_snapshot_modes,
@@ -35,7 +36,6 @@ from truerow.sources.store import CHANGES, LEDGER, RECORDS, MasterStore
 from truerow.sources.tables import Snapshot, Written
 
 _FILE_FIELDS = "file_ord INT, file_path STRING, endpoint STRING, source_run_id STRING"
-_AVERAGE_RECORD_BYTES = 1000
 
 
 @dataclass(frozen=True)
@@ -132,34 +132,6 @@ def _malformed_files(lines: DataFrame) -> set[int]:
     return {row["file_ord"] for row in bad.select("file_ord").distinct().collect()}
 
 
-def _touched_partitions(
-    store: MasterStore, incoming: DataFrame, files: Sequence[RawFile]
-) -> list[str]:
-    """Partition folders the batch may change.
-
-    A batch with more records than buckets will reach nearly all of them, so only small
-    batches are looked at to find the buckets they really touch.
-    """
-    sizes: dict[str, int] = {}
-    for file in files:
-        sizes[file.endpoint] = sizes.get(file.endpoint, 0) + file.length
-    small = [
-        name
-        for name, size in sizes.items()
-        if size / _AVERAGE_RECORD_BYTES < store.bucket_count(name)
-    ]
-    touched = [
-        (name, bucket)
-        for name in sizes
-        if name not in small
-        for bucket in range(store.bucket_count(name))
-    ]
-    if small:
-        pairs = incoming.where(F.col("endpoint").isin(small)).select("endpoint", "bucket")
-        touched += [(row["endpoint"], row["bucket"]) for row in pairs.distinct().collect()]
-    return [f"endpoint={name}/bucket={bucket}" for name, bucket in touched]
-
-
 def merge_winners(
     store: MasterStore, snapshot: Snapshot, winners: DataFrame, touched: Sequence[str]
 ) -> Written:
@@ -178,11 +150,12 @@ def merge_winners(
             }
         )
     )
-    # Shuffled once by bucket: the fold groups inside these partitions and each bucket is
-    # then written as one file. All rows of a record share a bucket; buckets are sized by
-    # the store, so no endpoint, however large, ends up in one task.
-    events = stored.unionByName(winners).repartition("endpoint", "bucket")
-    return store.write(RECORDS.name, fold(events, ["endpoint", "bucket", "record_id"]))
+    # Shuffled once, by bucket and by a part of the bucket that the record id chooses: the fold
+    # groups inside these partitions, and several tasks write the files of one bucket.
+    part = F.pmod(F.xxhash64(F.lit("part"), "record_id"), F.lit(store.tasks_per_bucket))
+    events = stored.unionByName(winners).withColumn("part", part)
+    events = events.repartition("endpoint", "bucket", "part")
+    return store.write(RECORDS.name, fold(events, ["endpoint", "bucket", "part", "record_id"]))
 
 
 def _apply_batch(
@@ -196,7 +169,6 @@ def _apply_batch(
     incoming = records.withColumn(
         "bucket", store.bucket(F.col("endpoint"), F.col("record_id"))
     )
-    touched = _touched_partitions(store, incoming, files)
     winners = latest_per_key(
         incoming,
         ["endpoint", "bucket", "record_id", "file_ord", "file_path", "source_run_id"],
@@ -217,6 +189,11 @@ def _apply_batch(
         F.lit(utc_text(now)).alias("ingested_at"),
         F.lit(now).cast("timestamp_ntz").alias("ingested_at_ts"),
     )
+    # Stored once: the lines are read a single time, and the winners name the buckets they touch.
+    path = scratch_dir(store.spark, "winners")
+    winners.write.parquet(path)
+    winners = store.spark.read.schema(winners.schema).parquet(path)
+    touched = store.touched_folders(winners, "endpoint", "bucket")
     state = merge_winners(store, snapshot, winners, touched)
     batch_id = f"{now:%Y%m%dT%H%M%S}-{uuid.uuid4().hex[:8]}"
     actions = actions_of(store.rows_of(state).where("size(actions) > 0"))

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from truerow.config.endpoints import EndpointSchema
+from truerow.functions.times import utc_timestamp
 from truerow.sources.tables import Snapshot, TableSpec, TableStore
 
 RECORDS = TableSpec(
@@ -167,7 +168,8 @@ class MasterStore(TableStore):
 
     ``buckets`` is the number of folders an endpoint's records are spread over by a hash of
     their id. A batch rewrites only the buckets it touches, so choose it such that a bucket
-    holds one or a few input splits; ``endpoint_buckets`` gives big endpoints more. The
+    holds one or a few input splits; ``endpoint_buckets`` gives big endpoints more.
+    ``tasks_per_bucket`` tasks fold and write the parts of one bucket. The bucket
     numbers must not change once records are stored; a store opened with others refuses to read.
     """
 
@@ -177,8 +179,10 @@ class MasterStore(TableStore):
         root: str,
         buckets: int = 16,
         endpoint_buckets: Mapping[str, int] | None = None,
+        tasks_per_bucket: int = 4,
     ) -> None:
         super().__init__(spark, root, ALL_TABLES)
+        self.tasks_per_bucket = tasks_per_bucket
         self.buckets = buckets
         self.endpoint_buckets = dict(endpoint_buckets or {})
 
@@ -214,7 +218,12 @@ class MasterStore(TableStore):
         self, snapshot: Snapshot | None = None, folders: Iterable[str] | None = None
     ) -> DataFrame:
         rows = self.read(RECORDS.name, snapshot, folders)
-        return rows.where("live").drop("live", "actions")
+        # Rows of older producers may have the time only as text.
+        typed = {
+            f"{name}_ts": F.coalesce(f"{name}_ts", utc_timestamp(F.col(name)))
+            for name in ("modified_at", "ingested_at")
+        }
+        return rows.where("live").drop("live", "actions").withColumns(typed)
 
     def create_views(self, schemas: Mapping[str, EndpointSchema]) -> None:
         """``current_endpoint_records`` and one ``current_<endpoint>`` per schema."""
@@ -224,7 +233,6 @@ class MasterStore(TableStore):
             "payload",
             F.try_parse_json("payload").alias("payload_json"),
             F.col("modified_at").alias("modified_at_raw"),
-            # Rows of older producers may lack the typed time.
             "modified_at_ts",
             "source_file",
             "source_run_id",
