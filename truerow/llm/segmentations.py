@@ -106,6 +106,16 @@ class Vocabulary:
         return b"".join([self.text[i] for i in ids])[1:].decode("utf-8", "replace")
 
 
+_KNOWN: dict[str, Vocabulary] = {}
+
+
+def known_vocabulary(path: str) -> Vocabulary:
+    """Read once per worker."""
+    if path not in _KNOWN:
+        _KNOWN[path] = Vocabulary(path)
+    return _KNOWN[path]
+
+
 def characters(text: str) -> np.ndarray:
     """The code points as the lattice sees them: a space in front, spaces as the space sign. A
     space sign of the text itself is spelt in bytes, so that decoding gives it back."""
@@ -127,29 +137,34 @@ class Lattices:
     piece: np.ndarray  # id, -1 for a character spelt in bytes, -2 for none
     log_p: np.ndarray  # of the piece, given the node, under the exact path distribution
     upto: np.ndarray  # cumulated probabilities
+    likeliest: np.ndarray  # the length of the node's likeliest piece
+    others: np.ndarray  # the probability of all its other pieces, exact where it is tiny
     last: np.ndarray  # whether the node ends its unit
     character: np.ndarray
 
 
 def lattices(vocabulary: Vocabulary, text: np.ndarray, sizes: np.ndarray) -> Lattices:
     """`text` holds the units' characters end to end."""
-    n, units, longest = len(text), len(sizes), vocabulary.longest
+    n, units = len(text), len(sizes)
     unit = np.repeat(np.arange(units), sizes)
     node = np.arange(n) + unit
     left = np.repeat(np.cumsum(sizes), sizes) - np.arange(n)  # characters to the unit's end
-    piece = np.full((n + units, longest), -2, np.int32)
-    weight = np.full((n + units, longest), -np.inf, np.float32)
-    value, at = np.zeros(n, np.uint64), np.arange(n)
-    for length in range(longest):
+    value, at, hits = np.zeros(n, np.uint64), np.arange(n), []
+    for length in range(vocabulary.longest):
         value = vocabulary.extend(value, text[at + length])
         known, found = vocabulary.find(value)
-        hit = found >= 0
-        piece[node[at[hit]], length] = found[hit]
-        weight[node[at[hit]], length] = vocabulary.weight[found[hit]]
+        hit = np.flatnonzero(found >= 0)
+        hits.append((node[at[hit]], found[hit]))
         going = known & (left[at] > length + 1)
         at, value = at[going], value[going]
         if not len(at):
             break
+    longest = max([length for length, (own, _) in enumerate(hits, 1) if len(own)], default=1)
+    piece = np.full((n + units, longest), -2, np.int32)
+    weight = np.full((n + units, longest), -np.inf, np.float32)
+    for length, (own, found) in enumerate(hits[:longest]):
+        piece[own, length] = found
+        weight[own, length] = vocabulary.weight[found]
     character = np.zeros(n + units, np.uint32)
     character[node] = text
     spelt = node[piece[node, 0] == -2]
@@ -161,6 +176,7 @@ def lattices(vocabulary: Vocabulary, text: np.ndarray, sizes: np.ndarray) -> Lat
     bounds = np.searchsorted(left[order], np.arange(1, (left.max() if n else 0) + 2))
     log_p = weight  # overwritten node by node
     upto = np.ones((n + units, longest), np.float32)
+    likeliest, others = np.zeros(n + units, np.int64), np.zeros(n + units)
     for distance, (low, high) in enumerate(zip(bounds[:-1], bounds[1:]), 1):
         own = node[order[low:high]]
         reach = min(distance, longest)
@@ -170,10 +186,14 @@ def lattices(vocabulary: Vocabulary, text: np.ndarray, sizes: np.ndarray) -> Lat
         whole = chance.sum(axis=1)
         total[own] = best + np.log(whole)
         log_p[own, :reach] = ways - total[own, None]
-        upto[own, :reach] = np.cumsum(chance / whole[:, None], axis=1)
+        chance /= whole[:, None]
+        upto[own, :reach] = np.cumsum(chance, axis=1)
+        likeliest[own] = top = chance.argmax(axis=1)
+        chance[np.arange(len(own)), top] = 0
+        others[own] = chance.sum(axis=1)
     last = np.ones(n + units, bool)
     last[node] = False
-    return Lattices(piece, log_p, upto, last, character)
+    return Lattices(piece, log_p, upto, likeliest, others, last, character)
 
 
 def utf8_length(character: np.ndarray) -> np.ndarray:
@@ -218,7 +238,7 @@ def possible(lattice: Lattices, node: np.ndarray, length: np.ndarray) -> np.ndar
     """The lengths, but where rounding led to a piece that does not exist, the node's likeliest."""
     wrong = np.flatnonzero(lattice.piece[node, length] == -2)
     if len(wrong):
-        length[wrong] = lattice.log_p[node[wrong]].argmax(axis=1)
+        length[wrong] = lattice.likeliest[node[wrong]]
     return length
 
 
@@ -248,14 +268,14 @@ class Search:
         self.paths.append((nodes, lengths, unit, log_p))
         self.values.append(value)
         best: list[tuple[float, int]] = []
-        before, low, high = 0.0, 0, 256
+        before, low, high = 0.0, 0, 384
         while low < len(nodes):
             own = log_p[low:high].astype(np.float64)
             ahead = before + np.cumsum(own)
             with np.errstate(divide="ignore"):
-                rest = -np.expm1(np.minimum(own, 0))
-                sure = np.flatnonzero(own > -0.05)  # here the rest must be added up to be exact
-                rest[sure] = self.mass_without(nodes[low:high][sure], lengths[low:high][sure, None])
+                part = nodes[low:high]
+                sure = self.lattice.likeliest[part] == lengths[low:high]
+                rest = np.where(sure, self.lattice.others[part], -np.expm1(np.minimum(own, 0)))
                 if taken and low <= parted < high:
                     out = np.array([[*taken, int(lengths[parted])]])
                     rest[parted - low] = self.mass_without(nodes[parted : parted + 1], out)[0]
@@ -404,8 +424,8 @@ OUTPUT = (
 
 def _encode(path: str, k: int, seed: int, keep_ids: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        vocabulary = Vocabulary(path)
-        for batch in split_documents(batches, 2 << 20):
+        vocabulary = known_vocabulary(path)
+        for batch in split_documents(batches, 4 << 20):
             texts = [t.decode() for t in texts_of(batch)]
             names = ["" if d is None else str(d) for d in batch.column(0).to_pylist()]
             keys = mixed(np.array([_row_key(name, seed) for name in names], np.uint64))
@@ -448,7 +468,7 @@ def encode(docs: DataFrame, path: str, k: int = SAMPLES, seed: int = 0, keep_ids
 def decode(rows: DataFrame, path: str) -> DataFrame:
     """`text` for each row's `ids`, which must come as array<int>; other columns stay. Null stays null."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        vocabulary = Vocabulary(path)
+        vocabulary = known_vocabulary(path)
         for batch in batches:
             ids = batch.column(batch.schema.get_field_index("ids")).to_pylist()
             texts = [None if own is None else vocabulary.decode(own) for own in ids]
