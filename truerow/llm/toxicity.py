@@ -29,10 +29,13 @@ TRAIN_ROWS = 20_000
 PRIOR = 10.0
 #: A feature enters the lexicon with at least so many standard deviations and documents.
 LEAST_Z, LEAST_DOCS = 3.0, 3
+#: Weaker log-odds tell topics apart rather than toxic words.
+LEAST_ODDS = 1.0
 #: Features in the lexicon at most, the most certain first: the model's size.
 MOST_FEATURES = 50_000
-#: What every token without a toxic feature costs a passage.
-DRIFT = 0.1
+#: What every token without a toxic feature costs a passage at least, and in multiples of what the
+#: average token of a clean text gains: clean texts must lose on the whole, or no passage would end.
+DRIFT, TIMES_GAIN = 0.1, 3.0
 #: Passages whose expected number in a clean text of that length is lower are reported.
 MOST_EXPECTED = 0.05
 THRESHOLD = 0.3
@@ -46,7 +49,7 @@ def features(word: str) -> list[str]:
 
 
 class Lexicon(dict):
-    """token -> score: the largest log-odds among its features, else minus the drift."""
+    """token -> score: the largest log-odds among its features, -1 without any."""
 
     def __init__(self, weights: dict[str, float]):
         super().__init__()
@@ -56,7 +59,7 @@ class Lexicon(dict):
         if len(self) >= MOST_REMEMBERED:
             self.clear()
         found = [self.weights[f] for f in features(token.strip(PUNCTUATION)) if f in self.weights]
-        self[token] = value = max(found, default=-DRIFT)
+        self[token] = value = max(found, default=-1.0)
         return value
 
 
@@ -64,7 +67,7 @@ def tokens(text: str) -> list[str]:
     return text.lower().split()
 
 
-def maximal_segments(positions: np.ndarray, scores: np.ndarray) -> list[tuple[int, int, float]]:
+def maximal_segments(positions: np.ndarray, scores: np.ndarray, drift: float = DRIFT) -> list[tuple[int, int, float]]:
     """All maximal scoring segments (first, last + 1, score) of a sequence, in linear time.
 
     `positions` are the places with positive `scores`; all other places score minus the drift.
@@ -72,7 +75,7 @@ def maximal_segments(positions: np.ndarray, scores: np.ndarray) -> list[tuple[in
     found: list[tuple[int, int, float, float]] = []  # first, end, sum before, sum after
     total, at = 0.0, 0
     for place, score in zip(positions.tolist(), scores.tolist()):
-        left = total - DRIFT * (place - at)
+        left = total - drift * (place - at)
         total, at = left + score, place + 1
         first, low, high = place, left, total
         while True:
@@ -92,6 +95,7 @@ class Model:
     """Lexicon, extreme-value parameters and the logistic curve."""
 
     weights: dict[str, float]
+    drift: float = DRIFT
     rate: float = 1.0
     scale: float = 1.0
     curve: np.ndarray = field(default_factory=lambda: np.array([-3.0, 1.0, 0.0]))
@@ -109,12 +113,12 @@ class Model:
         return 1 / (1 + np.exp(-(self.curve[0] + inputs @ self.curve[1:])))
 
 
-def scan(text: str, lexicon: Lexicon) -> tuple[int, list[tuple[int, int, float]], np.ndarray]:
+def scan(text: str, lexicon: Lexicon, drift: float) -> tuple[int, list[tuple[int, int, float]], np.ndarray]:
     """Number of tokens, maximal segments, and the positive token scores."""
     words = tokens(text)
     scores = np.fromiter(map(lexicon.__getitem__, words), np.float64, len(words))
     places = np.flatnonzero(scores > 0)
-    return len(words), maximal_segments(places, scores[places]), scores[places]
+    return len(words), maximal_segments(places, scores[places], drift), scores[places]
 
 
 def _texts(batch: pa.RecordBatch) -> list[str]:
@@ -165,7 +169,7 @@ def log_odds(train: DataFrame) -> dict[str, float]:
         counts.where(F.col("t") >= LEAST_DOCS)
         .withColumn("alpha", alpha)
         .select("feature", delta.alias("delta"), (delta / F.sqrt(1 / t + 1 / c)).alias("z"))
-        .where(F.col("z") >= LEAST_Z)
+        .where((F.col("z") >= LEAST_Z) & (F.col("delta") >= LEAST_ODDS))
     )
     best = weighed.orderBy(F.desc("z"), "feature").limit(MOST_FEATURES)
     return {row["feature"]: row["delta"] for row in best.collect()}
@@ -176,7 +180,7 @@ def _scan_training(model: Model):
         lexicon = Lexicon(model.weights)
         for batch in split_documents(batches):
             labels = batch.column(batch.schema.get_field_index("toxic"))
-            scanned = [scan(text, lexicon) for text in _texts(batch)]
+            scanned = [scan(text, lexicon, model.drift) for text in _texts(batch)]
             columns = [
                 labels,
                 pa.array([n for n, _, _ in scanned], pa.int64()),
@@ -188,12 +192,15 @@ def _scan_training(model: Model):
     return run
 
 
-def _rate(scores: np.ndarray, shares: np.ndarray, rest: float) -> float:
-    """The positive root of sum(share * exp(rate * score)) + rest * exp(-rate * drift) = 1."""
+def _rate(scores: np.ndarray, shares: np.ndarray, rest: float, drift: float) -> float:
+    """The positive root of sum(share * exp(rate * score)) + rest * exp(-rate * drift) = 1.
+
+    It exists because the mean score is negative.
+    """
     low, high = 1e-6, 50.0 / max(scores.max(), 1.0)
 
     def over(rate: float) -> bool:
-        return float(shares @ np.exp(rate * scores) + rest * np.exp(-rate * DRIFT)) > 1
+        return float(shares @ np.exp(rate * scores) + rest * np.exp(-rate * drift)) > 1
 
     if not over(high):
         return high
@@ -223,17 +230,26 @@ def fit(docs: DataFrame, labels: DataFrame) -> Model:
     if not model.weights:
         model.curve = np.array([-3.0, 0.0, 0.0])
         return model
-    rows = train.mapInArrow(
-        _scan_training(model), "toxic int, n long, segments array<double>, positive array<double>"
-    ).toPandas()
+
+    def scanned() -> pd.DataFrame:
+        schema = "toxic int, n long, segments array<double>, positive array<double>"
+        return train.mapInArrow(_scan_training(model), schema).toPandas()
+
+    rows = scanned()
     clean = rows[rows.toxic == 0]
     n_tokens = max(int(clean.n.sum()), 1)
     hits = Counter(score for own in clean.positive for score in own)
-    for score in np.round(list(model.weights.values()), 1):  # every score is possible
+    gain = sum(score * n for score, n in hits.items()) / n_tokens
+    if TIMES_GAIN * gain > DRIFT:
+        model.drift = TIMES_GAIN * gain
+        rows = scanned()
+        clean = rows[rows.toxic == 0]
+    # Every score of the lexicon is possible in clean texts, if only once in a while.
+    for score in set(np.round(list(model.weights.values()), 1)):
         hits[score] += 0.5
     scores, counts = np.array(list(hits)), np.array(list(hits.values()))
     shares = counts / (n_tokens + counts.sum())
-    model.rate = _rate(scores, shares, 1 - shares.sum())
+    model.rate = _rate(scores, shares, 1 - shares.sum(), model.drift)
     best = np.array([max(own, default=0.0) for own in clean.segments])
     model.scale = len(clean) / float((np.maximum(clean.n, 1) * np.exp(-model.rate * best)).sum())
     inputs = np.array(
@@ -255,7 +271,7 @@ def _score(model: Model, schema: pa.DataType):
         for batch in split_documents(batches):
             inputs, segments, sizes = [], [], []
             for text in _texts(batch):
-                n, found, _ = scan(text, lexicon)
+                n, found, _ = scan(text, lexicon, model.drift)
                 surprise, own = model.evidence(found, n)
                 inputs.append(own)
                 sizes.append(n)
@@ -304,7 +320,7 @@ def _keep_clean(model: Model):
         for batch in split_documents(batches):
             inputs = []
             for text in _texts(batch):
-                n, found, _ = scan(text, lexicon)
+                n, found, _ = scan(text, lexicon, model.drift)
                 inputs.append(model.evidence(found, n)[1])
             scores = model.probability(np.array(inputs).reshape(-1, 2))
             yield batch.filter(pa.array(scores < THRESHOLD))
