@@ -17,7 +17,18 @@ ASCII_LOWER = bytes.maketrans(UPPER.encode(), LOWER.encode())
 ASCII_SPACE = b" \t\n\x0b\x0c\r"
 
 
+#: Rows that go to a Python worker at once: at some kilobytes of text each, a few megabytes.
+BATCH_ROWS = 2000
+
+
+def bounded_batches(spark: SparkSession) -> SparkSession:
+    """Keep the batches between Spark and its Python workers small; results do not depend on it."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
+    return spark
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    bounded_batches(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
@@ -26,7 +37,7 @@ def stored(rows: DataFrame, name: str) -> DataFrame:
 
     Cuts the lineage and survives the loss of executors; used where a result is read twice.
     """
-    spark = rows.sparkSession
+    spark = bounded_batches(rows.sparkSession)
     path = scratch_dir(spark, name)
     rows.write.parquet(path)
     return spark.read.schema(rows.schema).parquet(path)

@@ -10,7 +10,7 @@ import numpy as np
 from truerow.llm.common import ASCII_LOWER
 
 #: Chunks that a worker remembers; a full memory is emptied, which changes no result.
-MOST_REMEMBERED = 1_000_000
+MOST_REMEMBERED = 400_000
 #: Chunks encoded at once; an encoding object is large.
 AT_ONCE = 4096
 _LETTERS, _MARKS = frozenset(b"abcdefghijklmnopqrstuvwxyz"), frozenset(b".,")
