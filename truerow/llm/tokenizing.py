@@ -10,9 +10,7 @@ import numpy as np
 from truerow.llm.common import ASCII_LOWER
 
 #: Chunks that a worker remembers; a full memory is emptied, which changes no result.
-MOST_REMEMBERED = 400_000
-#: Chunks encoded at once; an encoding object is large.
-AT_ONCE = 4096
+MOST_REMEMBERED = 600_000
 _LETTERS, _MARKS = frozenset(b"abcdefghijklmnopqrstuvwxyz"), frozenset(b".,")
 #: How special tokens begin: they are matched before lower-casing, so such texts go in whole.
 _SPECIAL = b"<|"
@@ -37,6 +35,7 @@ class ChunkIds(dict):
         word = "abcxyz"
         cut = self.tokenizer.pre_tokenizer.pre_tokenize_str(self.tokenizer.normalizer.normalize_str(word))
         self.plain = [c for c, _ in cut] == [word]
+        self.model = self.tokenizer.model
         self.forget()
 
     def forget(self) -> None:
@@ -46,41 +45,23 @@ class ChunkIds(dict):
     def encode(self, texts: Sequence[str]) -> list[list[int]]:
         return [e.ids for e in self.tokenizer.encode_batch_fast(list(texts), add_special_tokens=False)]
 
-    def _put(self, chunk: bytes, ids) -> None:
-        self[chunk] = len(self.starts)
+    def __missing__(self, chunk: bytes) -> int:
+        if len(chunk) > 1 and chunk[-1] in _MARKS and chunk[-2] in _LETTERS:
+            # A point or comma after a word's last letter is a token apart.
+            ids = self._of(chunk[:-1]) + self._of(chunk[-1:])
+        elif self.plain and chunk.isalpha():  # of bytes: a-z only
+            ids = [token.id for token in self.model.tokenize(chunk.decode())]
+        else:
+            ids = self.encode([chunk.decode()])[0]
+        self[chunk] = code = len(self.starts)
         self.starts.append(len(self.ids))
         self.sizes.append(len(ids))
         self.ids.extend(ids)
-
-    def learn(self, chunks: set[bytes]) -> None:
-        """Ids of new chunks. A point or comma after a word's last letter is a token apart."""
-        marked, whole = [], set()
-        for chunk in chunks:
-            if chunk not in self:
-                if len(chunk) > 1 and chunk[-1] in _MARKS and chunk[-2] in _LETTERS:
-                    marked.append(chunk)
-                    whole.add(chunk[:-1])
-                    whole.add(chunk[-1:])
-                else:
-                    whole.add(chunk)
-        new = []
-        merge = self.tokenizer.model.tokenize
-        for chunk in whole:
-            if chunk not in self:
-                if self.plain and chunk.isalpha():  # of bytes: a-z only
-                    self._put(chunk, [t.id for t in merge(chunk.decode())])
-                else:
-                    new.append(chunk)
-        for low in range(0, len(new), AT_ONCE):
-            part = new[low : low + AT_ONCE]
-            for chunk, ids in zip(part, self.encode([c.decode() for c in part])):
-                self._put(chunk, ids)
-        for chunk in marked:
-            self._put(chunk, self._of(chunk[:-1]) + self._of(chunk[-1:]))
+        return code
 
     def _of(self, chunk: bytes) -> array:
-        i = self[chunk]
-        return self.ids[self.starts[i] : self.starts[i] + self.sizes[i]]
+        code = self[chunk]
+        return self.ids[self.starts[code] : self.starts[code] + self.sizes[code]]
 
     def ids_of(self, texts: Sequence[bytes], end: int | None = None) -> tuple[np.ndarray, np.ndarray]:
         """The ids (uint32) of all texts, one after the other, and how many each has.
@@ -91,10 +72,6 @@ class ChunkIds(dict):
             self.forget()
         special = {i: self.encode([t.decode()])[0] for i, t in enumerate(texts) if _SPECIAL in t}
         chunks = [[] if i in special else t.translate(ASCII_LOWER).split() for i, t in enumerate(texts)]
-        new: set[bytes] = set()
-        for own in chunks:
-            new.update(own)
-        self.learn(new)
         codes = np.concatenate(
             [np.fromiter(map(self.__getitem__, own), np.int64, len(own)) for own in chunks] or [np.empty(0, np.int64)]
         )
