@@ -473,13 +473,15 @@ def list_runs(
     since: datetime | None = None,
     limit: int = 20,
 ) -> DataFrame:
-    """Newest runs with their number of changes, counted before the joins.
+    """Newest runs with their number of changes.
 
-    The runs are cut to the wanted ones first, so the joins stay as small as the page.
+    The runs are cut to the wanted ones first, so counts and joins stay as small as the page.
     """
     page = _filtered(runs, "created_at", target, since).orderBy(F.desc("created_at")).limit(limit)
-    events = _filtered(product_events, "changed_at", target, None)
-    issues = _filtered(issue_events, "changed_at", target, None)
+    # At most ``limit`` ids: only the page's events are grouped.
+    listed = F.broadcast(page.select("run_id"))
+    events = _filtered(product_events, "changed_at", target, None).join(listed, "run_id", "left_semi")
+    issues = _filtered(issue_events, "changed_at", target, None).join(listed, "run_id", "left_semi")
     per_product = events.groupBy("run_id").agg(F.count("*").alias("product_changes"))
     per_issue = issues.groupBy("run_id").agg(F.count("*").alias("issue_changes"))
     counted = page.join(per_product, "run_id", "left").join(per_issue, "run_id", "left")
