@@ -105,3 +105,17 @@ def test_nothing_to_learn_from(spark, no_documents):
     ids = [i for i in range(50) if held(i)]
     rows = L.train_and_score(documents(spark, [(i, "a b") for i in ids])).collect()
     assert len(rows) == len(ids) and all(r.n_known == 0 and r.train_tokens == 0 for r in rows)
+
+
+def test_words_outside_the_core_are_histories(spark, monkeypatch):
+    """Three of four words are not core; each tells which words may follow it directly."""
+    monkeypatch.setattr(L, "CORE", 40)
+    monkeypatch.setattr(L, "HEAD", 60)
+    rng = random.Random(9)
+    made = []
+    for i in range(300):
+        pairs = ((f"{k}left{rng.randrange(40)}", f"{k}right{rng.randrange(40)}") for k in rng.choices("ab", k=40))
+        made.append((i, " ".join(w for pair in pairs for w in pair)))
+    rows = L.train_and_score(documents(spark, made)).where("held_out").collect()
+    gain = sum(r.score - r.base_score for r in rows) / sum(r.n_tokens for r in rows)
+    assert gain > 0.35  # all that can be known is 0.45

@@ -1,9 +1,9 @@
 """Language model scoring with Brown classes: class transitions and word emissions (operator 3).
 
-Exchange clustering gives every word a class. The frequent words (the core) are exchanged in
-rounds over the whole corpus; every other word then makes its exchange step against the core.
-The probability of a word is that of its class after the history's class, times that of the word
-in its class, mixed with the smoothed unigram.
+Exchange clustering gives every word a class. Rounds among the frequent words (the core) give the
+first classes; then all words take part, each with all its bigrams. The probability of a word is
+that of its class after the class of the word before it, times that of the word in its class,
+mixed with the smoothed unigram.
 """
 
 from __future__ import annotations
@@ -24,12 +24,18 @@ from truerow.llm.words import WordHashes, hashed_words
 #: Words are known by a 64-bit hash; the end of a text is a word of its own.
 END = np.uint64(0x9E3779B97F4A7C15)
 CLASSES = 32
-#: Words exchanged in rounds. They alone make histories; the last core word is the history.
+#: Words whose rounds among each other give the first classes.
 CORE = 8192
 #: Words (core included) whose counts and classes are sent to every task: about 1 MB. All others
 #: are looked up by a join.
 HEAD = 65_536
 ROUNDS = 12
+#: Rounds of all words; in each one half may move.
+ALL_ROUNDS = 2
+#: How a bigram names the start of a text; head words have smaller numbers.
+START = 1 << 20
+#: Neighbours: classes before are 0.., classes after CLASSES.., then the text's start, then no class.
+AT_START, NOWHERE = 2 * CLASSES, 2 * CLASSES + 1
 #: Weight of the class model beside the unigram, and pseudo-counts of a class's share.
 MIX, PRIOR = 0.9, 5.0
 #: Core words in a row of partial counts, and partial sums per block.
@@ -76,34 +82,57 @@ class Index:
         return np.where(self.sorted[at] == hashes, self.order[at], self.missing)
 
 
-def _core_codes(core: np.ndarray):
-    """Per batch of texts the core words in order, other words left out, texts set apart."""
+def _bigrams(head: np.ndarray):
+    """Counts of (previous word, word) for all tokens, summed within a task only. Head words are
+    written as their place in `head`, a text's start as START, all other words as their hash."""
+
+    def counted(befores: list[np.ndarray], words: list[np.ndarray]) -> pa.RecordBatch:
+        before, word = np.concatenate(befores), np.concatenate(words)
+        order = np.lexsort((word, before))
+        before, word = before[order], word[order]
+        first = np.ones(len(word), bool)
+        first[1:] = (word[1:] != word[:-1]) | (before[1:] != before[:-1])
+        at = np.flatnonzero(first)
+        columns = [pa.array(before[at]), pa.array(word[at]), pa.array(np.diff(np.append(at, len(word))))]
+        return pa.RecordBatch.from_arrays(columns, names=["before", "word", "n"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        memory, index = WordHashes(), Index(core)
+        memory, index = WordHashes(), Index(head)
+        befores, words, held = [], [], 0
         for batch in split_documents(batches, 4 << 20):
             hashes, sizes = with_ends(texts_of(batch), memory)
-            apart = np.insert(index(hashes), np.cumsum(sizes) - sizes, index.missing + 1)
-            codes = apart[apart != index.missing].astype("<u2")
-            yield pa.RecordBatch.from_arrays([pa.array([codes.tobytes()], pa.binary())], names=["codes"])
+            codes = index(hashes)
+            word = np.where(codes < index.missing, codes, hashes.view(np.int64))
+            before = np.concatenate([[START], word[:-1]])
+            before[np.cumsum(sizes) - sizes] = START
+            befores.append(before)
+            words.append(word)
+            held += len(word)
+            if held >= FLUSH:
+                yield counted(befores, words)
+                befores, words, held = [], [], 0
+        if held:
+            yield counted(befores, words)
 
     return run
 
 
+def _arrays(batch: pa.RecordBatch) -> list[np.ndarray]:
+    return [column.to_numpy(zero_copy_only=False) for column in batch.columns]
+
+
 def _neighbour_counts(classes: np.ndarray):
-    """Per task: how often each core word has each class before and after it."""
+    """Per task: how often each core word has each class directly before and after it."""
     n_words, width = len(classes), CLASSES + 1
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        of = np.append(classes, [CLASSES, CLASSES]).astype(np.int64)  # a text's start is no class
-        total = np.zeros((2, n_words + 2, width), np.int64)
+        total = np.zeros((2, n_words, width), np.int64)
         for batch in batches:
-            for raw in batch.column(0).to_pylist():
-                codes = np.frombuffer(raw, "<u2").astype(np.int64)
-                codes = np.where(codes > n_words, n_words, codes)
-                for side, (own, other) in enumerate(((codes[1:], codes[:-1]), (codes[:-1], codes[1:]))):
-                    cell = own * width + of[other]
-                    total[side] += np.bincount(cell, minlength=total[side].size).reshape(total[side].shape)
+            before, word, n = _arrays(batch)
+            for side, (own, other) in enumerate(((word, before), (before, word))):
+                cell = own * width + classes[other]
+                counts = np.bincount(cell, n, minlength=total[side].size)
+                total[side] += counts.astype(np.int64).reshape(total[side].shape)
         salt = TaskContext.get().partitionId() % SALTS
         blocks = range(0, n_words, BLOCK)
         raw = [total[:, b : min(b + BLOCK, n_words)].tobytes() for b in blocks]
@@ -118,10 +147,10 @@ def _summed(frame: pd.DataFrame) -> pd.DataFrame:
     return pd.DataFrame({"block": frame.block.iloc[:1], "salt": frame.salt.iloc[:1], "counts": [total.tobytes()]})
 
 
-def neighbour_counts(codes: DataFrame, classes: np.ndarray) -> np.ndarray:
+def neighbour_counts(bigrams: DataFrame, classes: np.ndarray) -> np.ndarray:
     """[before, after] x core word x class. The size is fixed by CORE and CLASSES."""
     schema = "block long, salt long, counts binary"
-    parts = codes.mapInArrow(_neighbour_counts(classes), schema)
+    parts = bigrams.mapInArrow(_neighbour_counts(classes), schema)
     for keys in (("block", "salt"), ("block",)):  # no group sums the rows of all tasks at once
         parts = parts.groupBy(*keys).applyInPandas(_summed, schema)
     total = np.zeros((2, len(classes), CLASSES + 1), np.int64)
@@ -132,16 +161,21 @@ def neighbour_counts(codes: DataFrame, classes: np.ndarray) -> np.ndarray:
     return total
 
 
-def exchange(counts: np.ndarray, classes: np.ndarray) -> np.ndarray:
+def exchange(
+    counts: np.ndarray, classes: np.ndarray, totals: tuple[np.ndarray, np.ndarray] | None = None
+) -> np.ndarray:
     """The class of each word that adds most to the likelihood of the class bigrams.
 
     A word's own counts are taken out of its class first, as an exchange does; all words are
-    judged against the same classes.
+    judged against the same classes. `totals` (class x neighbour class, before and after) are
+    given where the words are only some of all; a class of -1 is none yet.
     """
     before, after = counts[0][:, :CLASSES].astype(float), counts[1][:, :CLASSES].astype(float)
-    onehot = np.zeros((len(classes), CLASSES))
-    onehot[np.arange(len(classes)), classes] = 1
-    into, out = onehot.T @ before, onehot.T @ after  # class x neighbour class
+    placed = np.flatnonzero(classes >= 0)
+    if totals is None:
+        onehot = np.zeros((len(classes), CLASSES))
+        onehot[placed, classes[placed]] = 1
+        totals = onehot.T @ before, onehot.T @ after
 
     def gain(own: np.ndarray, of_class: np.ndarray) -> np.ndarray:
         neighbour = of_class.sum(axis=0) + 1.0
@@ -150,18 +184,18 @@ def exchange(counts: np.ndarray, classes: np.ndarray) -> np.ndarray:
             return np.log((n + 0.1) / (n.sum(axis=-1, keepdims=True) + 0.1 * CLASSES) / (neighbour / neighbour.sum()))
 
         all_classes = own @ log_share(of_class).T
-        home = (own * log_share(of_class[classes] - own)).sum(axis=1)
-        all_classes[np.arange(len(classes)), classes] = home
+        home = own[placed] * log_share(of_class[classes[placed]] - own[placed])
+        all_classes[placed, classes[placed]] = home.sum(axis=1)
         return all_classes
 
-    return np.argmax(gain(before, into) + gain(after, out), axis=1)
+    return np.argmax(gain(before, totals[0]) + gain(after, totals[1]), axis=1)
 
 
-def cluster(codes: DataFrame, n_words: int) -> np.ndarray:
-    """Classes of the core words, most frequent first. In each round one half may move."""
+def cluster(bigrams: DataFrame, n_words: int) -> np.ndarray:
+    """First classes of the core words, most frequent first. In each round one half may move."""
     classes = np.arange(n_words) % CLASSES
     for step in range(ROUNDS):
-        wanted = exchange(neighbour_counts(codes, classes), classes)
+        wanted = exchange(neighbour_counts(bigrams, classes), classes)
         turn = (np.arange(n_words) // 3 + step) % 2 == 0
         moved = turn & (wanted != classes)
         classes = np.where(moved, wanted, classes)
@@ -172,7 +206,7 @@ def cluster(codes: DataFrame, n_words: int) -> np.ndarray:
 
 def histories(codes: np.ndarray, sizes: np.ndarray, classes: np.ndarray) -> np.ndarray:
     """Per token: twice the class of the last core word before it in its text, plus one if other
-    words lie between; 2 * CLASSES where there is none. `codes` >= len(classes) are not core."""
+    words lie between; 2 * CLASSES where there is none. Stands in where the word before is unknown. `codes` >= len(classes) are not core."""
     n = len(codes)
     place = np.arange(n)
     last = np.maximum.accumulate(np.where(codes < len(classes), place, -1)) if n else place
@@ -183,69 +217,118 @@ def histories(codes: np.ndarray, sizes: np.ndarray, classes: np.ndarray) -> np.n
     return np.where(last >= start, 2 * of_last + (last < place - 1), 2 * CLASSES)
 
 
-def _contexts(core: np.ndarray, classes: np.ndarray):
-    """Counts of (history, word) for words outside the core, of (history, class) for the core."""
-    width = 2 * CLASSES + 1
+def _beside_head(head_class: np.ndarray, all_placed: bool):
+    """(word, k, n): how often each word has a head word of a class beside it, by `side` codes.
 
-    def counted(words: list[np.ndarray], hist: list[np.ndarray]) -> pa.RecordBatch:
-        word, h = np.concatenate(words), np.concatenate(hist)
-        order = np.lexsort((h, word))
-        word, h = word[order], h[order]
-        first = np.ones(len(word), bool)
-        first[1:] = (word[1:] != word[:-1]) | (h[1:] != h[:-1])
-        at = np.flatnonzero(first)
-        n = np.diff(np.append(at, len(word)))
-        return batch_of(word[at].view(np.int64), h[at], n)
-
-    def batch_of(word, h, n) -> pa.RecordBatch:
-        columns = [pa.array(word, pa.int64()), pa.array(h, pa.int32()), pa.array(n, pa.int64())]
-        return pa.RecordBatch.from_arrays(columns, names=["word", "h", "n"])
+    The start of a text counts as a neighbour. Unless `all_placed`, neighbours without a class
+    (-1 in `head_class`, or outside the head) before a word count as NOWHERE.
+    """
+    of = np.asarray(head_class, np.int64)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        memory, index = WordHashes(), Index(core)
-        words, hist, held = [], [], 0
-        shares = np.zeros(width * CLASSES, np.int64)
-        for batch in split_documents(batches, 4 << 20):
-            hashes, sizes = with_ends(texts_of(batch), memory)
-            codes = index(hashes)
-            h = histories(codes, sizes, classes)
-            inside = codes < len(classes)
-            shares += np.bincount(h[inside] * CLASSES + classes[codes[inside]], minlength=shares.size)
-            words.append(hashes[~inside])
-            hist.append(h[~inside])
-            held += len(words[-1])
-            if held >= FLUSH:
-                yield counted(words, hist)
-                words, hist, held = [], [], 0
-        if held:
-            yield counted(words, hist)
-        cells = np.flatnonzero(shares)
-        # The core's own rows have a history below zero that holds history and class.
-        yield batch_of(np.zeros(len(cells), np.int64), -1 - cells, shares[cells])
+        for batch in batches:
+            before, word, n = _arrays(batch)
+            rows = []
+            for side, own, other in ((0, word, before), (CLASSES, before, word)):
+                in_head = (other >= 0) & (other < len(of))
+                c = np.append(of, -1)[np.where(in_head, other, len(of))]
+                k = np.where(c >= 0, c + side, NOWHERE)
+                k[other == START] = AT_START
+                keep = (k != NOWHERE) if side or all_placed else np.ones(len(k), bool)
+                keep &= own != START
+                rows.append((own[keep], k[keep], n[keep]))
+            word, k, n = (np.concatenate(x) for x in zip(*rows))
+            order = np.lexsort((k, word))
+            word, k, n = word[order], k[order], n[order]
+            first = np.ones(len(word), bool)
+            first[1:] = (word[1:] != word[:-1]) | (k[1:] != k[:-1])
+            at = np.flatnonzero(first)
+            sums = np.add.reduceat(n, at) if len(at) else n
+            columns = [pa.array(word[at]), pa.array(k[at], pa.int32()), pa.array(sums)]
+            yield pa.RecordBatch.from_arrays(columns, names=["word", "k", "n"])
 
     return run
 
 
-def _classify(log_gain: np.ndarray):
-    """The class of each word by its histories: argmax of the exchange gain."""
+def neighbours(bigrams: DataFrame, head_class: np.ndarray, rest: DataFrame | None) -> DataFrame:
+    """(word, k, n) of all words: k is the class of the word before, or CLASSES plus that of the
+    word after. Classes outside the head come by a join with `rest` (word, class)."""
+    found = bigrams.mapInArrow(_beside_head(head_class, rest is not None), "word long, k int, n long")
+    if rest is not None:
+        def outside(word: str) -> Column:
+            return (F.col(word) < 0) | (F.col(word) > START)
+
+        of = rest.select(F.col("word").alias("other"), "class")
+        sides = bigrams.where(outside("before")).select(F.col("before").alias("other"), "word", "n", F.lit(0).alias("side"))
+        after = bigrams.where(outside("word") & (F.col("before") != START))
+        sides = sides.unionByName(
+            after.select(F.col("word").alias("other"), F.col("before").alias("word"), "n", F.lit(CLASSES).alias("side"))
+        )
+        joined = sides.join(of, "other")
+        found = found.unionByName(joined.select("word", (F.col("class") + F.col("side")).cast("int").alias("k"), "n"))
+    return found.groupBy("word", "k").agg(F.sum("n").alias("n"))
+
+
+def _place(head_class: np.ndarray, totals: tuple[np.ndarray, np.ndarray], step: int | None):
+    """The class of each word by its neighbours. With `step` one half of the words may move;
+    without, only words that have no class get one. (word, class, seen) in, (word, class, n) out."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            seen = batch.column(1)
-            entries = seen.flatten()
-            h = entries.field(0).to_numpy(zero_copy_only=False)
-            n = entries.field(1).to_numpy(zero_copy_only=False)
-            if batch.num_rows:
-                sizes = np.diff(seen.offsets.to_numpy())
-                starts = np.cumsum(sizes) - sizes
-                gain = np.add.reduceat(log_gain[h] * n[:, None], starts, axis=0)
-                best = np.argmax(gain, axis=1)
-                columns = [batch.column(0), pa.array(best, pa.int32()), seen]
-                yield pa.RecordBatch.from_arrays(columns, names=["word", "class", "seen"])
+            if not batch.num_rows:
+                continue
+            word = batch.column(0).to_numpy(zero_copy_only=False)
+            old = batch.column(1).fill_null(-1).to_numpy(zero_copy_only=False).astype(np.int64)
+            seen = batch.column(2)
+            k, n = (seen.flatten().field(i).to_numpy(zero_copy_only=False) for i in (0, 1))
+            row = np.repeat(np.arange(len(word)), np.diff(seen.offsets.to_numpy()))
+            cells = np.bincount(row * (NOWHERE + 1) + k, n, minlength=len(word) * (NOWHERE + 1)).reshape(len(word), -1)
+            in_head = (word >= 0) & (word < len(head_class))
+            old = np.where(in_head, np.append(head_class, -1)[np.where(in_head, word, len(head_class))], old)
+            wanted = exchange(np.stack([cells[:, :CLASSES], cells[:, CLASSES : 2 * CLASSES]]), old, totals)
+            turn = old < 0 if step is None else (word // 3 + step) % 2 == 0
+            own = cells[:, :CLASSES].sum(axis=1) + cells[:, AT_START] + cells[:, NOWHERE]
+            columns = [batch.column(0), pa.array(np.where(turn, wanted, old), pa.int32()), pa.array(own.astype(np.int64))]
+            yield pa.RecordBatch.from_arrays(columns, names=["word", "class", "n"])
 
     return run
 
 
+def by_class(seen: DataFrame, head_class: np.ndarray, rest: DataFrame | None) -> np.ndarray:
+    """class x k: the neighbours of all words that have a class, summed by class."""
+    in_head = F.col("word").between(0, START - 1)
+    of = seen.sparkSession.createDataFrame(
+        pd.DataFrame({"word": np.arange(len(head_class)), "class": np.asarray(head_class, np.int32)}), "word long, class int"
+    )
+    # At most HEAD rows.
+    known = seen.where(in_head).join(F.broadcast(of), "word").where("class >= 0").select("class", "k", "n")
+    if rest is not None:
+        known = known.unionByName(seen.where(~in_head).join(rest, "word").select("class", "k", seen["n"]))
+    total = np.zeros((CLASSES, NOWHERE + 1))
+    for row in known.groupBy("class", "k").agg(F.sum("n").alias("n")).collect():
+        total[row["class"], row["k"]] = row["n"]
+    return total
+
+
+def place(bigrams: DataFrame, head_class: np.ndarray, rest: DataFrame | None, step: int | None):
+    """One exchange step of all words on the bigrams of all words: the head's classes and the
+    table (word, class, n) of the others."""
+    seen = stored(neighbours(bigrams, head_class, rest), "neighbours")
+    total = by_class(seen, head_class, rest if rest is None else rest.select("word", "class"))
+    lists = seen.groupBy("word").agg(F.collect_list(F.struct("k", "n")).alias("seen"))
+    if rest is None:
+        lists = lists.select("word", F.lit(None).cast("int").alias("class"), "seen")
+    else:
+        lists = lists.join(rest.select("word", "class"), "word", "left").select("word", "class", "seen")
+    totals = total[:, :CLASSES], total[:, CLASSES : 2 * CLASSES]
+    placed = stored(lists.mapInArrow(_place(head_class, totals, step), "word long, class int, n long"), "classes")
+    moved = np.array(head_class)
+    in_head = F.col("word").between(0, START - 1)
+    for row in placed.where(in_head).select("word", "class").toPandas().itertuples(index=False):
+        moved[row[0]] = row[1]
+    return moved, placed.where(~in_head)
+
+
 @dataclass
 class Model:
     """Counts of the head, class parameters (all of fixed size), and the table of all words."""
@@ -278,92 +361,115 @@ def _is_held_out() -> Column:
 
 
 def fit(docs: DataFrame) -> Model:
-    """Train on all rows given. Words, contexts and classes live in tables; the driver holds the
-    core and head (fixed sizes) and matrices of histories by classes."""
+    """Train on all rows given. Words, bigrams and classes live in tables; the driver holds the
+    core and head (fixed sizes) and matrices of classes by classes.
+
+    The rounds among the core only give first classes. Then every word takes its class from its
+    neighbours, and in the last rounds all words may move on the bigrams of all words. The
+    transitions are counted over all bigrams with the classes that come out.
+    """
     texts = docs.select("text")
     counts = texts.mapInArrow(_count_words, "word long, n long").groupBy("word").agg(F.sum("n").alias("n"))
     counts = stored(counts, "word-counts")
     total = counts.agg(F.sum("n").alias("n"), F.count("*").alias("v")).first()
-    head = counts.orderBy(F.desc("n"), "word").limit(HEAD).toPandas()
+    head = counts.orderBy(F.desc("n"), "word").limit(min(HEAD, START)).toPandas()
     words, head_n = head.word.to_numpy(np.int64).view(np.uint64), head.n.to_numpy(np.int64)
     core = words[:CORE]
-    codes = stored(texts.mapInArrow(_core_codes(core), "codes binary"), "core-codes")
-    core_class = cluster(codes, len(core))
-
-    contexts = texts.mapInArrow(_contexts(core, core_class), "word long, h int, n long")
-    contexts = stored(contexts.groupBy("word", "h").agg(F.sum("n").alias("n")), "contexts")
-    shares = np.zeros((2 * CLASSES + 1, CLASSES))
-    for row in contexts.where("h < 0").collect():
-        shares.ravel()[-1 - row["h"]] = row["n"]
+    bigrams = stored(texts.mapInArrow(_bigrams(words), "before long, word long, n long"), "bigrams")
+    inner = stored(bigrams.where(F.col("before").between(0, len(core) - 1) & F.col("word").between(0, len(core) - 1)), "core-bigrams")
+    head_class = np.full(len(words), -1, np.int64)
+    head_class[: len(core)] = cluster(inner, len(core))
+
+    head_class, rest = place(bigrams, head_class, None, None)
+    for step in range(ALL_ROUNDS):
+        head_class, rest = place(bigrams, head_class, rest, step)
+    seen = stored(neighbours(bigrams, head_class, rest), "neighbours")
+    by_word = by_class(seen, head_class, rest.select("word", "class"))
+    once = by_class(seen.join(rest.where("n = 1").select("word"), "word", "left_semi"), head_class, rest.select("word", "class"))
 
     def smoothed(n: np.ndarray) -> np.ndarray:
         prior = (n.sum(axis=0) + 1) / (n.sum() + CLASSES)
         return (n + PRIOR * prior) / (n.sum(axis=1, keepdims=True) + PRIOR)
 
-    base = smoothed(shares)
-    log_gain = np.log(base / ((shares.sum(axis=0) + 1) / (shares.sum() + CLASSES)))
-    seen = contexts.where("h >= 0").groupBy("word").agg(F.collect_list(F.struct("h", "n")).alias("seen"))
-    rest = seen.mapInArrow(_classify(log_gain), "word long, class int, seen array<struct<h:int,n:long>>")
-    rest = stored(rest, "classes")
-    for row in rest.select("class", F.inline("seen")).groupBy("class", "h").agg(F.sum("n").alias("n")).collect():
-        shares[row["h"], row["class"]] += row["n"]
+    after = smoothed(by_word[:, [*range(CLASSES), AT_START]].T)  # the start is the last row
+    transition = np.empty((2 * CLASSES + 1, CLASSES))
+    transition[::2] = after
+    # An unknown word between is of the classes that words seen once have there.
+    transition[1::2] = smoothed(once[:, :CLASSES].T) @ after[:CLASSES]
 
-    counted = rest.select("word", "class", F.aggregate("seen", F.lit(0).cast("long"), lambda a, s: a + s["n"]).alias("n"))
     spark = docs.sparkSession
-    of_core = pd.DataFrame({"word": core.view(np.int64), "class": core_class.astype(np.int32), "n": head_n[: len(core)]})
-    table_ = counted.unionByName(spark.createDataFrame(of_core, "word long, class int, n long"))
-    once = {r["class"]: r for r in table_.groupBy("class").agg(
+    of_head = pd.DataFrame({"word": words.view(np.int64), "class": head_class.astype(np.int32), "n": head_n})
+    table_ = rest.unionByName(spark.createDataFrame(of_head, "word long, class int, n long"))
+    sums = {r["class"]: r for r in table_.groupBy("class").agg(
         F.sum("n").alias("n"), F.count_if(F.col("n") == 1).alias("once")).collect()}
-    class_n = np.array([once[c]["n"] if c in once else 0 for c in range(CLASSES)], float)
-    class_once = np.array([once[c]["once"] if c in once else 0 for c in range(CLASSES)], float)
+    class_n = np.array([sums[c]["n"] if c in sums else 0 for c in range(CLASSES)], float)
+    class_once = np.array([sums[c]["once"] if c in sums else 0 for c in range(CLASSES)], float)
     # One unseen word per class at least, so that no event is impossible.
     class_once = np.maximum(class_once, 1)
-    wanted = spark.createDataFrame(pd.DataFrame({"word": words.view(np.int64)}), "word long")
-    of_head = {r["word"]: r["class"] for r in table_.join(F.broadcast(wanted), "word").collect()} if len(words) else {}
-    head_class = np.array([of_head[w] for w in words.view(np.int64).tolist()], np.int64)
     return Model(
-        table_, words, head_n, head_class, core, core_class, int(total["n"] or 0), int(total["v"]),
-        smoothed(shares), class_n, class_once,
+        table_, words, head_n, head_class, core, head_class[: len(core)], int(total["n"] or 0), int(total["v"]),
+        transition, class_n, class_once,
     )
 
 
-_PARTS = "row long, doc_id long, n_tokens long, n_known long, base double, score double, words array<long>, hs array<int>"
+_PARTS = (
+    "row long, doc_id long, n_tokens long, n_known long, base double, score double, "
+    "rest array<struct<word:long,before:long,h:int,class:int,n:long>>"
+)
 
 
 def _score_head(parameters: dict):
-    """Per document the sums over head words, and its other words with their histories."""
+    """Per document the sums over head words after head words, and the other tokens: a word or a
+    predecessor outside the head by its hash, a head word by its class and count."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         p = parameters
         memory, index, core = WordHashes(), Index(p["head"]), Index(p["core"])
         row = TaskContext.get().partitionId() << 40
+        of_head, n_head = np.append(p["head_class"], 0), np.append(p["head_n"], 0)
         for batch in split_documents(batches, 4 << 20):
             hashes, sizes = with_ends(texts_of(batch), memory)
             code = index(hashes)
+            first = np.zeros(len(code), bool)
+            first[np.cumsum(sizes) - sizes] = True
+            before = np.concatenate([[index.missing], code[:-1]])[: len(code)]
+            by_join = (before == index.missing) & ~first
+            # Where the join does not find the predecessor, the last core word stands for it.
             h = histories(core(hashes), sizes, p["core_class"])
+            h = np.where(first | by_join, h, 2 * of_head[before])
             doc = np.repeat(np.arange(len(sizes)), sizes)
             known = code < index.missing
-            k, kh = code[known], h[known]
+            here = known & ~by_join
+            k, kh = code[here], h[here]
             add_one = np.log10(p["head_n"] + 1.0)
-            c = p["head_class"][k]
-            chance = p["by_class"][kh, c] * p["head_n"][k] + p["unigram"] * (p["head_n"][k] + 1)
+            chance = p["by_class"][kh, of_head[k]] * n_head[k] + p["unigram"] * (n_head[k] + 1)
             n = len(sizes)
-            base = np.bincount(doc[known], add_one[k], n) - p["log_total"] * sizes
-            score = np.bincount(doc[known], np.log10(chance), n).astype(np.float64)
-            rest = np.bincount(doc[~known], minlength=n)
-            offsets = pa.array(np.concatenate([[0], np.cumsum(rest)]), pa.int32())
+            base = np.bincount(doc[known], add_one[code[known]], n) - p["log_total"] * sizes
+            score = np.bincount(doc[here], np.log10(chance), n).astype(np.float64)
+            other = np.flatnonzero(~here)
+            offsets = pa.array(np.concatenate([[0], np.cumsum(np.bincount(doc[other], minlength=n))]), pa.int32())
+            own, prev = hashes.view(np.int64), np.concatenate([[0], hashes.view(np.int64)[:-1]])[: len(hashes)]
+            rest = pa.StructArray.from_arrays(
+                [
+                    pa.array(own[other], mask=known[other]),
+                    pa.array(prev[other], mask=~by_join[other]),
+                    pa.array(h[other].astype(np.int32)),
+                    pa.array(of_head[code[other]].astype(np.int32), mask=~known[other]),
+                    pa.array(n_head[code[other]], mask=~known[other]),
+                ],
+                names=["word", "before", "h", "class", "n"],
+            )
             columns = [
                 pa.array(row + np.arange(n)),
                 batch.column(0),
                 pa.array(sizes),
-                pa.array(sizes - rest),
+                pa.array(np.bincount(doc[known], minlength=n)),
                 pa.array(base),
                 pa.array(score),
-                pa.ListArray.from_arrays(offsets, pa.array(hashes[~known].view(np.int64))),
-                pa.ListArray.from_arrays(offsets, pa.array(h[~known].astype(np.int32))),
+                pa.ListArray.from_arrays(offsets, rest),
             ]
             row += n
-            yield pa.RecordBatch.from_arrays(columns, names=[f.split()[0] for f in _PARTS.split(", ")])
+            yield pa.RecordBatch.from_arrays(columns, names=["row", "doc_id", "n_tokens", "n_known", "base", "score", "rest"])
 
     return run
 
@@ -371,8 +477,9 @@ def _score_head(parameters: dict):
 def score_documents(docs: DataFrame, model: Model) -> DataFrame:
     """log10 probabilities of all whole texts under the model and under the unigram.
 
-    Sums over head words are made where the text is read; other words travel as (row, word,
-    history) to the table of words, and come back as one sum per row.
+    Sums over head words after head words are made where the text is read. The other tokens
+    travel to the table of words, by the word before for its class and by the word itself, and
+    come back as one sum per row.
     """
     m = model
     per_class = m.transition * (MIX / (m.class_n + m.class_once))
@@ -384,21 +491,28 @@ def score_documents(docs: DataFrame, model: Model) -> DataFrame:
     }
     rows = docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(_score_head(parameters), _PARTS)
     rows = stored(rows, "head-scores")
-    rest = rows.select("row", F.inline(F.arrays_zip("words", "hs"))).select("row", F.col("words").alias("word"), "hs")
-    found = rest.join(m.words, "word", "left")
+    rest = rows.select("row", F.inline("rest"))
+    of_before = m.words.select(F.col("word").alias("before"), F.col("class").alias("before_class"))
+    joined = rest.where("before IS NOT NULL").join(of_before, "before", "left")
+    joined = joined.withColumn("h", F.coalesce(F.col("before_class") * 2, "h"))
+    names = ["row", "word", "h", "class", "n"]
+    rest = joined.select(*names).unionByName(rest.where("before IS NULL").select(*names))
+    in_head = F.col("word").isNull()
+    found = rest.where(~in_head).drop("class", "n").join(m.words, "word", "left")
+    found = found.select(*names).unionByName(rest.where(in_head))
     cells = F.array(*[F.lit(float(x)) for x in per_class.ravel()])
     new = F.array(*[F.lit(float(x)) for x in m.unknown()])
     known = F.col("n").isNotNull()
     chance = F.when(
         known,
-        F.element_at(cells, F.col("hs") * CLASSES + F.col("class") + 1) * F.col("n") + F.lit(unigram) * (F.col("n") + 1),
-    ).otherwise(F.element_at(new, F.col("hs") + 1))
+        F.element_at(cells, F.col("h") * CLASSES + F.col("class") + 1) * F.col("n") + F.lit(unigram) * (F.col("n") + 1),
+    ).otherwise(F.element_at(new, F.col("h") + 1))
     sums = found.groupBy("row").agg(
         F.sum(F.log10(chance)).alias("more_score"),
-        F.sum(F.log10(F.coalesce("n", F.lit(0)) + 1)).alias("more_base"),
-        F.count_if(known).alias("more_known"),
+        F.sum(F.when(~in_head, F.log10(F.coalesce("n", F.lit(0)) + 1))).alias("more_base"),
+        F.count_if(known & ~in_head).alias("more_known"),
     )
-    return rows.drop("words", "hs").join(sums, "row", "left").select(
+    return rows.drop("rest").join(sums, "row", "left").select(
         "doc_id",
         _is_held_out().alias("held_out"),
         "n_tokens",
