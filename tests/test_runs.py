@@ -1,4 +1,5 @@
 import json
+import os
 
 import pytest
 from pyspark.sql import functions as F
@@ -151,6 +152,28 @@ def test_file_stream_applies_each_file_once_and_isolates_targets(spark, tmp_path
     assert ingest(store, str(raw), SCHEMAS).skipped_files == 2
 
 
+def test_file_stream_over_more_files_than_a_trigger_equals_ingest(spark, tmp_path, write_jsonl):
+    """Runs are applied in the order of their names, though the files were written the other way."""
+    raw = tmp_path / "raw"
+    lines = [{"name": "A"}, {"active": False}, {"name": "B"}, {"name": "C"}, {"active": False}, {"name": "D"}]
+    for n, line in enumerate(lines):
+        path = raw / "runs" / f"r{n}" / "styles.delta.jsonl"
+        write_jsonl(path, [{"id": f"S{i}", **line} for i in range(n, 6)])
+        os.utime(path, (1_700_000_000 - n, 1_700_000_000 - n))
+    states = []
+    for name, most in (("batch", None), ("one", 1), ("four", 4), ("all", 500)):
+        store = MasterStore(spark, str(tmp_path / name), buckets=2)
+        if most is None:
+            ingest(store, str(raw), SCHEMAS)
+        else:
+            ingest_files_stream(
+                store, str(raw), SCHEMAS, str(tmp_path / f"{name}-checkpoint"), max_files_per_trigger=most
+            ).awaitTermination()
+        rows = store.current_records().select("endpoint", "record_id", "payload", "source_run_id").collect()
+        states.append(sorted(map(tuple, rows)))
+    assert states[0] and states == [states[0]] * 4
+
+
 def test_cycle_totals_pass_over_other_lines(spark):
     lines = [
         {"status": "ok", "items_fetched": 3, "pages_fetched": True},

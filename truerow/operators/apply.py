@@ -28,7 +28,6 @@ from truerow.sources.rawfiles import (
     RawFile,
     check_snapshot_modes,
     discover,
-    ordered_lines,
     pending,
     read_lines,
 )
@@ -97,7 +96,6 @@ def apply_files(
     skipped: int = 0,
     on_malformed: str = "fail",
     max_files_per_batch: int = 500,
-    text: DataFrame | None = None,
 ) -> IngestResult:
     if on_malformed not in ("fail", "fail_file"):
         raise ValueError("on_malformed is 'fail' or 'fail_file'.")
@@ -106,8 +104,7 @@ def apply_files(
     batches: list[str] = []
     for start in range(0, len(files), max_files_per_batch):
         batch = files[start : start + max_files_per_batch]
-        source = read_lines(store.spark, batch) if text is None else ordered_lines(text)
-        lines = _with_file(store, source, batch)
+        lines = _with_file(store, read_lines(store.spark, batch), batch)
         if on_malformed == "fail_file":
             bad = _malformed_files(lines)
             failed += sorted(f.file_path for f in batch if f.file_ord in bad)

@@ -50,8 +50,12 @@ def ingest_files_stream(
 ) -> StreamingQuery:
     """Apply raw JSONL files as they arrive; without ``every`` it stops when all are read.
 
-    Each micro-batch applies whole files in their order. ``after_batch`` is called with the
-    result, for instance to run the pipelines of several targets.
+    The stream only announces that there are new files; every micro-batch applies all pending
+    files of the folder in the order of S2, as ``ingest`` does, so ``max_files_per_trigger``
+    changes no result: it bounds how many files are announced and applied in one commit. Files
+    that arrive later come after those applied before, also as in ``ingest``. ``after_batch`` is
+    called with the result, for instance to run the pipelines of several targets; the result
+    has no files where an earlier batch has applied them.
     """
     stream = (
         store.spark.readStream.format("text")
@@ -60,20 +64,12 @@ def ingest_files_stream(
         .option("pathGlobFilter", "*.jsonl")
         .option("maxFilesPerTrigger", max_files_per_trigger)
         .load(raw_dir)
-        .select("value", "_metadata")
     )
 
     def apply(batch: DataFrame, _: int) -> None:
-        paths = batch.select(F.col("_metadata.file_path").alias("file_path")).distinct()
-        files = discover(store.spark, raw_dir).join(paths, "file_path", "left_semi")
-        found = pending(store.spark, files, store.read(LEDGER.name))
+        found = pending(store.spark, discover(store.spark, raw_dir), store.read(LEDGER.name))
         result = apply_files(
-            store,
-            found.files,
-            schemas,
-            found.skipped,
-            max_files_per_batch=max(1, len(found.files)),
-            text=batch,
+            store, found.files, schemas, found.skipped, max_files_per_batch=max_files_per_trigger
         )
         if after_batch is not None:
             after_batch(store, result)
