@@ -1,4 +1,4 @@
-"""The eleven queries: names, columns, SQL counterparts, and the pipeline's stages."""
+"""The registered queries: names, columns, SQL counterparts, and the pipeline's stages."""
 
 import re
 
@@ -24,12 +24,15 @@ COLUMNS = {
     8: "doc_id bigint, keep_id bigint, group_size bigint, kept boolean, text_sha256 string",
     9: "doc_id bigint, start bigint, length bigint, ids_crc32 bigint, doc_tokens bigint, sequence_id bigint, offset bigint",
     10: "doc_id bigint, held_out boolean, score double, predicted int",
+    11: "conv_id bigint, gaps bigint, blank bigint, duplicate bigint, truncated bigint, illegal bigint, cost bigint, audit string, repaired_sha256 string",
+    12: "doc_id bigint, held_out boolean, lang_pred string, score double",
+    13: "doc_id bigint, n_features bigint, weight bigint, score bigint, rank bigint",
 }
 
 
 def test_registered():
     names = [n for n in contract.queries() if n in QUERIES]
-    assert sorted(int(m[1]) for n in names if (m := re.match(r"op(\d+)_", n))) == list(range(1, 11)) and "pipeline" in names
+    assert sorted(int(m[1]) for n in names if (m := re.match(r"op(\d+)_", n))) == list(range(1, 14)) and "pipeline" in names
 
 
 @pytest.mark.parametrize("number", sorted(COLUMNS))
@@ -40,7 +43,8 @@ def test_columns(spark, number):
     for field in COLUMNS[number].split(", "):
         column, kind = field.split()
         assert kinds[column] == kind
-    assert frame.count() >= table(spark, SF, "pages" if number == 6 else "documents").count()
+    given = {6: ("pages", "page_id"), 11: ("conversations", "conv_id")}.get(number, ("documents", "doc_id"))
+    assert frame.count() >= table(spark, SF, given[0]).select(given[1]).distinct().count()
 
 
 @pytest.mark.parametrize("name", sorted(n for n, (_, sql) in QUERIES.items() if sql))
