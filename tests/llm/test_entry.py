@@ -67,7 +67,7 @@ def test_pipeline_stages(spark, odd_documents, no_documents):
     groups = minmax_dedup.near_groups(docs)
     assert {r.doc_id for r in near.collect()} == {r.component_id for r in groups.collect()}
     cut = stages["suffix_dedup"](spark, docs, SF)
-    removed = {r.doc_id: r.n_removed for r in suffix_dedup.remove_repeats(docs).collect()}
+    removed = {r.doc_id: r.n_removed for r in suffix_dedup.remove_repeats(docs, corpus_pipeline.PASSAGE).collect()}
     before = {r.doc_id: r.text for r in docs.collect()}
     for r in cut.collect():
         assert (r.text == before[r.doc_id]) == (removed[r.doc_id] == 0)
@@ -82,3 +82,52 @@ def test_pipeline_packs_what_is_left(spark):
     found = rows.groupBy("doc_id").agg(F.sum("length").alias("n"), F.max("doc_tokens").alias("all")).collect()
     assert found and all(r["n"] == r["all"] for r in found)
     assert len(found) < table(spark, SF, "documents").count()
+
+
+def test_pipeline_on_planted_documents(spark, tmp_path):
+    """Copies go, near copies go, a shared passage of 60 words is cut from both texts, all else stays."""
+    import random
+
+    from tokenizers import Tokenizer
+
+    from conftest import prose
+    from truerow.llm import packing
+    from truerow.llm.tokenizing import vocabulary_path
+
+    rng = random.Random(21)
+    words = [f"{a}{b}" for a in ("lor", "ips", "dol", "amet", "sed", "un") for b in ("em", "um", "or", "it", "a", "es", "ante")]
+    fresh = lambda n: " ".join(rng.choice(words) + str(rng.randrange(99)) for _ in range(n))
+    passage = " ".join(rng.choice(words) for _ in range(60))
+    assert 250 < len(passage) < 400
+    plain = [(i, fresh(120)) for i in range(30)]
+    planted = [(100 + i, f"  {t}\n") for i, t in plain[:5]]
+    planted += [(200 + i, f"{t} and more") for i, t in plain[5:10]]
+    holders = [(300 + i, (fresh(40) + " ", " " + fresh(30))) for i in range(3)]
+    rows = plain + planted + [(i, a + passage + b) for i, (a, b) in holders] + [(400, None), (401, "")]
+    documents(spark, rows).select("doc_id", "text", "lang", "source", "n_chars").write.parquet(f"{tmp_path}/documents.parquet")
+    labels = [(i, 1, 0) for i in range(30)]
+    spark.createDataFrame(labels, "doc_id long, quality long, toxic long").write.parquet(f"{tmp_path}/labels.parquet")
+
+    tokenizer = Tokenizer.from_file(vocabulary_path(packing.VOCABULARY))
+    # Exact copies: the longer original text stays; near copies: the smallest doc_id stays.
+    want = {100 + i if i < 5 else i: t if i >= 5 else f"  {t}\n" for i, t in plain}
+    want |= {i: a + b for i, (a, b) in holders}
+    pieces = corpus_pipeline.run(spark, str(tmp_path)).collect()
+    sizes = {}
+    for r in pieces:
+        sizes[r.doc_id] = sizes.get(r.doc_id, 0) + r.length
+    empty = [i for i in (400, 401) if i in sizes]
+    assert len(empty) == 1 and sizes.pop(empty[0]) == 1
+    assert set(sizes) == set(want)
+    for i, text in want.items():
+        if i >= 300:  # the space next to the passage may be part of a repeated span
+            options = {len(tokenizer.encode(x, add_special_tokens=False).ids) + 1 for x in (text, text.replace("  ", " "), text.replace("  ", ""))}
+            assert sizes[i] in options
+        else:
+            assert sizes[i] == len(tokenizer.encode(text, add_special_tokens=False).ids) + 1
+
+
+def test_no_stage_loses_rows_without_doc_id(spark):
+    docs = documents(spark, [(None, "alpha beta"), (1, "gamma"), (None, None)])
+    labels = spark.createDataFrame([(1, 1)], "doc_id long, toxic long")
+    assert {(r.doc_id, r.held_out) for r in toxicity.judge(docs, labels).collect()} == {(None, False), (1, False)}

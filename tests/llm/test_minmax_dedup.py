@@ -8,6 +8,7 @@ import pytest
 
 from conftest import documents, prose
 from truerow.llm import minmax_dedup as M
+from truerow.llm.exact_dedup import without_copies
 from truerow.llm.components import components
 
 
@@ -93,3 +94,38 @@ def test_components(spark):
         parent[max(root(a), root(b))] = min(root(a), root(b))
     assert got == {x: root(x) for a, b in edges if a != b for x in (a, b)}
     assert components(spark.createDataFrame([], "a long, b long")).count() == 0
+
+
+def test_short_sets_are_found_exactly(spark):
+    """Every pair of short texts at exactly 0.75 or more is linked, whatever the permutations."""
+    rng = random.Random(12)
+    texts = []
+    for i in range(150):
+        words = [f"s{i}w{j}" for j in range(rng.randrange(7, 30))]
+        other = [*words, "more"] if i % 2 else [*words[:-1], "x"]
+        texts += [(3 * i, " ".join(words)), (3 * i + 1, " ".join(other)), (3 * i + 2, " ".join(words[::-1]))]
+    got = M.near_groups(documents(spark, texts))
+    want = brute(texts)
+    assert Counter(tuple(r) for r in got.collect()) == want
+    assert sum(n for (_, _, _, kept), n in want.items() if not kept) > 40
+
+
+def test_rows_decide_not_their_doc_ids(spark):
+    """A copy goes even if its doc_id belongs to another text that stays."""
+    a, b = ("".join(f"{c}{i} " for i in range(40)) for c in "ab")
+    rows = [(0, b), (1, a), (1, b), (1, a), (2, b + "end"), (3, None), (3, None), (3, ""), (None, "z")]
+    docs = documents(spark, rows)
+    exact = Counter((r.doc_id, r.text) for r in without_copies(docs).collect())
+    assert exact - Counter([(None, "z")]) == Counter([(0, b), (1, a), (2, b + "end"), (3, None)]) or exact[(3, "")] == 1
+    assert exact[(1, b)] == 0 and exact[(1, a)] == 1 and sum(exact.values()) == 5
+    near = Counter((r.doc_id, r.text) for r in M.without_near_copies(docs).collect())
+    assert near == Counter([(0, b), (1, a), (3, None), (3, ""), (None, "z")])
+
+
+def test_texts_that_share_a_doc_id_are_sets_of_their_own(spark):
+    a, b = (" ".join(f"{c}{i}" for i in range(40)) for c in "ab")
+    rows = [(5, a), (5, b), (6, a + " x"), (7, b + " y"), (8, a)]
+    got = {(r.doc_id, r.n_shingles, r.component_id) for r in M.near_groups(documents(spark, rows)).collect()}
+    assert got == {(5, 36, 5), (6, 37, 5), (7, 37, 5), (8, 36, 5)}
+    kept = Counter((r.doc_id, r.text) for r in M.without_near_copies(documents(spark, rows)).collect())
+    assert sum(kept.values()) == 2 or kept == Counter([(5, a)]) or kept == Counter([(5, b)])

@@ -6,19 +6,21 @@ from collections import Counter
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from conftest import documents, prose
+from truerow.llm import exact_dedup, minmax_dedup
 from truerow.llm import suffix_dedup as S
 
 
-def brute(texts):
-    spans = Counter(t[i : i + 400] for t in texts for i in range(len(t) - 399))
+def brute(texts, span=400):
+    spans = Counter(t[i : i + span] for t in texts for i in range(len(t) - span + 1))
     out = []
     for t in texts:
         marks = bytearray(len(t))
-        for i in range(len(t) - 399):
-            if spans[t[i : i + 400]] > 1:
-                marks[i : i + 400] = b"\1" * 400
+        for i in range(len(t) - span + 1):
+            if spans[t[i : i + span]] > 1:
+                marks[i : i + span] = b"\1" * span
         runs = sum(m and (i == 0 or not marks[i - 1]) for i, m in enumerate(marks))
         rest = bytes(b for b, m in zip(t, marks) if not m)
         out.append((len(t), sum(marks), runs, hashlib.sha256(rest).hexdigest()))
@@ -38,15 +40,29 @@ def texts(odd_texts):
     return made
 
 
-@pytest.mark.parametrize("most_kinds", [S.MOST_KINDS, 1])
-def test_equals_brute_force(spark, texts, most_kinds):
+@pytest.mark.parametrize("most_kinds, lengths", [(S.MOST_KINDS, S.Lengths()), (1, S.Lengths()), (S.MOST_KINDS, S.Lengths(240, 120)), (1, S.Lengths(90, 17))])
+def test_equals_brute_force(spark, texts, most_kinds, lengths):
     docs = documents(spark, texts).repartition(3)
-    got = S.remove_repeats(docs, most_kinds).collect()
+    got = S.remove_repeats(docs, lengths, most_kinds).collect()
     mine = Counter((r.doc_id, r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in got)
-    want = brute([(t or "").encode() for _, t in texts])
+    want = brute([(t or "").encode() for _, t in texts], lengths.span)
     assert mine == Counter((i, *w) for (i, _), w in zip(texts, want))
     for r in got:
         assert sum(s.stop - s.start for s in r.spans) == r.n_removed
+        assert 0 <= r.n_bytes - r.n_removed - len(r.text.encode()) <= 8 * max(len(r.spans), 1)
+
+
+def test_columns_of_any_name(spark, texts):
+    """Names that the operators use inside come back unchanged."""
+    docs = documents(spark, texts)
+    names = ("_key", "_ranges", "_packed", "packed", "ranges", "_text_hash", "_kept_id", "c0", "doc", "place")
+    for name in names:
+        docs = docs.withColumn(name, F.concat(F.lit(f"{name}-"), F.col("doc_id").cast("string")))
+    for stage in (S.without_repeats, exact_dedup.without_copies, minmax_dedup.without_near_copies):
+        got = stage(docs)
+        assert got.schema.names == docs.schema.names
+        for r in got.where("doc_id IS NOT NULL").collect():
+            assert all(r[n] == f"{n}-{r.doc_id}" for n in names) and r.key == "k"
 
 
 def test_rest_of_documents(spark, texts, no_documents):
@@ -86,21 +102,21 @@ def test_blind_trie():
 
 def test_anchors_do_not_depend_on_the_place():
     rng = random.Random(4)
-    span = prose(rng, 200).encode()[: S.SPAN]
+    span = prose(rng, 200).encode()[: 400]
     found = set()
     for left, right in ((b"", b""), (b"x" * 999, b"tail" * 50), (prose(rng, 300).encode(), prose(rng, 300).encode())):
         data = left + span + right
-        place, gram = S.anchors(np.frombuffer(data, np.uint8), np.array([len(data)]))
-        hashes = S.gram_hashes(np.frombuffer(span, np.uint8))
+        place, gram = S.anchors(np.frombuffer(data, np.uint8), np.array([len(data)]), S.Lengths())
+        hashes = S.gram_hashes(np.frombuffer(span, np.uint8), 200)
         found.add(int(np.argmin(hashes)))
         assert len(left) + int(np.argmin(hashes)) in place
     assert len(found) == 1
-    assert len(S.anchors(np.frombuffer(b"a" * 399, np.uint8), np.array([399]))[0]) == 0
+    assert len(S.anchors(np.frombuffer(b"a" * 399, np.uint8), np.array([399]), S.Lengths())[0]) == 0
 
 
 def test_chunks_join(monkeypatch):
     data = np.frombuffer(prose(random.Random(6), 3000).encode(), np.uint8)
     ends = np.array([5000, 5200, len(data)])
-    whole = S.anchors(data, ends)[0]
+    whole = S.anchors(data, ends, S.Lengths())[0]
     monkeypatch.setattr(S, "CHUNK", 1000)
-    assert S.anchors(data, ends)[0].tolist() == whole.tolist()
+    assert S.anchors(data, ends, S.Lengths())[0].tolist() == whole.tolist()

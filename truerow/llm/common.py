@@ -43,16 +43,27 @@ def stored(rows: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(rows.schema).parquet(path)
 
 
-def only(docs: DataFrame, ids: DataFrame) -> DataFrame:
-    """The documents whose doc_id is among `ids`, null included; each (doc_id, text) once.
+def row_key() -> Column:
+    """128 bits of a SHA-256 of doc_id and text: equal for rows that repeat each other, null apart from empty."""
+    doc, text = (F.coalesce(F.col(c).cast("string"), F.lit("")) for c in ("doc_id", "text"))
+    whole = F.concat(doc, F.when(F.col("text").isNull(), "-").otherwise("+"), text)
+    return F.substring(F.unhex(F.sha2(whole, 256)), 1, 16)
 
-    For ids of rows that a deduplication keeps: a row that repeats another goes as well.
+
+def plain_names(docs: DataFrame) -> list[str]:
+    """Names for the columns of documents that cannot clash with an operator's own: doc_id, text, c0, c1, ..."""
+    return [c if c in ("doc_id", "text") else f"c{i}" for i, c in enumerate(docs.columns)]
+
+
+def only(docs: DataFrame, keys: DataFrame) -> DataFrame:
+    """The documents whose `row_key` is among `key`, with all their columns; of rows that repeat, one.
+
+    Rows that repeat meet within their task first, so a row with many copies is shuffled once per
+    task; the distinct rows are then filtered where they are.
     """
-    kept = docs.join(
-        ids.select(F.col("doc_id").alias("_kept_id")), F.col("doc_id").eqNullSafe(F.col("_kept_id")), "left_semi"
-    )
-    once = kept.withColumn("_text_hash", F.xxhash64("text")).dropDuplicates(["doc_id", "_text_hash"])
-    return once.select(*docs.columns)
+    own = docs.toDF(*plain_names(docs))
+    once = own.withColumn("key", row_key()).dropDuplicates(["key"])
+    return once.join(keys.select("key"), "key", "left_semi").select(*own.columns).toDF(*docs.columns)
 
 
 def crc32_of(column: Column) -> Column:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from truerow.llm.common import only, stored, table
+from truerow.llm.common import only, row_key, stored, table
 
 #: Deleted before texts are compared.
 SPACES = " \t\n\x0b\x0c\r"
@@ -18,10 +18,13 @@ IDENTITY = ["digest", "other_hash", "n_bytes"]
 def digests(docs: DataFrame) -> DataFrame:
     """One short row per document; the texts are read once and go no further."""
     text = F.coalesce(F.col("text"), F.lit(""))
-    rows = docs.select("doc_id", F.length(text).alias("n_points"), F.translate(text, SPACES, "").alias("t"))
+    rows = docs.select(
+        "doc_id", F.length(text).alias("n_points"), F.translate(text, SPACES, "").alias("t"), row_key().alias("key")
+    )
     return rows.select(
         "doc_id",
         "n_points",
+        "key",
         F.unhex(F.sha2("t", 256)).alias("digest"),
         F.xxhash64("t").alias("other_hash"),
         F.octet_length("t").alias("n_bytes"),
@@ -43,7 +46,7 @@ def tree_merge(runs: DataFrame, rounds: int) -> DataFrame:
     per node and round, however many copies it has, and no node ever sees more than its range.
     """
     nodes = 1 << (RADIX_BITS * rounds)
-    best = F.struct((-F.col("n_points")).alias("less"), F.col("doc_id").alias("keep_id"))
+    best = F.struct((-F.col("n_points")).alias("less"), F.col("doc_id").alias("keep_id"), F.col("key").alias("keep_key"))
     # The first merge is a run's own: partial aggregation leaves one row per text and partition.
     run = F.pmod(F.spark_partition_id(), F.lit(nodes)).cast("long")
     level = (
@@ -66,7 +69,7 @@ def tree_merge(runs: DataFrame, rounds: int) -> DataFrame:
             )
             .drop("node")
         )
-    return level.select(*IDENTITY, "best.keep_id", "group_size")
+    return level.select(*IDENTITY, "best.keep_id", "best.keep_key", "group_size")
 
 
 def mark_copies(docs: DataFrame, rounds: int = 2) -> DataFrame:
@@ -89,9 +92,15 @@ def mark_copies(docs: DataFrame, rounds: int = 2) -> DataFrame:
     )
 
 
-def without_copies(docs: DataFrame) -> DataFrame:
-    """The documents that stay, with all their columns."""
-    return only(docs, mark_copies(docs).where("kept"))
+def without_copies(docs: DataFrame, rounds: int = 2) -> DataFrame:
+    """One row of each group of equal texts, with all its columns, whatever their names.
+
+    Decided row by row: of rows that share the doc_id and the most code points, one text stays (by
+    its hash), and a copy goes even if its doc_id also belongs to a row that stays. Null and
+    empty texts are one group. An empty table gives no rows.
+    """
+    kept = tree_merge(stored(digests(docs), "digests"), rounds)
+    return only(docs, kept.select(F.col("keep_key").alias("key")))
 
 
 def op8_tree_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -15,7 +15,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from truerow.llm.common import only, split_documents, stored, table, texts_of
+from truerow.llm.common import only, row_key, split_documents, stored, table, texts_of
 from truerow.llm.components import components
 from truerow.llm.words import WordHashes, hashed_words, mixed, shingle_sets
 
@@ -26,10 +26,13 @@ ROWS = 4
 BANDS = 2 * PERMUTATIONS // ROWS
 #: A link needs 100 * intersection >= 75 * union.
 PERCENT = 75
+#: Sets up to SHORT shingles find each other exactly: the bands of few shingles depend on each other. A
+#: set of at most SHORT * 100 / PERCENT shingles also enters the buckets of its first shingles.
+SHORT = 24
 #: Candidates are told apart by a finer signature of 512 values, one byte each. At 0.75 its share of
-#: equal values has a standard deviation of 0.019; pairs over four of them below are not confirmed.
+#: equal values has a standard deviation of 0.019; 0.62 is almost seven of them below (1e-11).
 FINE = 256
-LEAST_EQUAL = 0.67
+LEAST_EQUAL = 0.62
 #: Members of a bucket that are compared with each other at once.
 BLOCK = 2048
 
@@ -60,19 +63,34 @@ def _digests(values: np.ndarray, sizes: np.ndarray) -> list[bytes | None]:
     ]
 
 
+def first_shingles(own: np.ndarray) -> bytes | None:
+    """Of a short set, the shingles of which every linked set has one among its own first.
+
+    In any one order of all shingles, two sets that share at least PERCENT of their union share one
+    of the first n - ceil(n * PERCENT / 100) + 1 shingles of each.
+    """
+    n = len(own)
+    if not 0 < n * PERCENT <= SHORT * 100:
+        return None
+    return np.sort(own)[: n + (-n * PERCENT // 100) + 1].tobytes()
+
+
 def _describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     memory = WordHashes()
     for batch in split_documents(batches):
         values, sizes = _sets(batch, memory)
         rows = iter(signatures(values, sizes))
         signature = [next(rows).tobytes() if size else None for size in sizes]
+        ends = np.cumsum(sizes)
         columns = [
             batch.column(0),
+            batch.column(2),
             pa.array(sizes.astype(np.int64)),
             pa.array(_digests(values, sizes), pa.binary()),
             pa.array(signature, pa.binary()),
+            pa.array([first_shingles(values[end - size : end]) for end, size in zip(ends, sizes)], pa.binary()),
         ]
-        yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "n_shingles", "digest", "signature"])
+        yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "key", "n_shingles", "digest", "signature", "firsts"])
 
 
 def band_keys(signature: np.ndarray) -> np.ndarray:
@@ -100,7 +118,7 @@ def _full_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             pa.array([next(fine).tobytes() if size else None for size in sizes], pa.binary()),
             pa.array([next(short).tobytes() if size else None for size in sizes], pa.binary()),
         ]
-        yield pa.RecordBatch.from_arrays(columns, names=["rep", "digest", "full", "fine", "keys"])
+        yield pa.RecordBatch.from_arrays(columns, names=["doc", "digest", "full", "fine", "keys"])
 
 
 def _matrix(column: pa.Array, dtype) -> np.ndarray:
@@ -116,6 +134,13 @@ def _bands(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             band = np.tile(np.arange(BANDS, dtype=np.int32), len(keys))
             columns = [pa.array(keys.view(np.int64).ravel()), pa.array(band), pa.array(rep)]
             yield pa.RecordBatch.from_arrays(columns, names=["bucket", "band", "rep"])
+            firsts = [np.frombuffer(f or b"", np.uint64) for f in part.column(2).to_pylist()]
+            sizes = [len(f) for f in firsts]
+            # Shingles are hashes already; mixed again they are no keys of bands.
+            shingles = mixed(np.concatenate(firsts) + np.uint64(BANDS)).view(np.int64)
+            rep = np.repeat(part.column(0).to_numpy(zero_copy_only=False), sizes)
+            columns = [pa.array(shingles), pa.array(np.full(len(rep), BANDS, np.int32)), pa.array(rep)]
+            yield pa.RecordBatch.from_arrays(columns, names=["bucket", "band", "rep"])
 
 
 def _similar(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -146,7 +171,8 @@ def _pair_up(pairs: DataFrame, values: DataFrame, column: str) -> DataFrame:
 def _likely_pairs(band: int, rep, component, side, fine, keys) -> list[tuple[int, int]]:
     """The likely pairs between different components of one pair of blocks.
 
-    A pair is looked at in the first bucket that it shares. Side 1 is empty where a block meets itself.
+    A pair is looked at in the first band that it shares, and in every bucket of first shingles. Side 1
+    is empty where a block meets itself.
     """
     out = []
     firsts = np.flatnonzero(side == 0)
@@ -154,7 +180,7 @@ def _likely_pairs(band: int, rep, component, side, fine, keys) -> list[tuple[int
     for place, x in enumerate(firsts):
         near = others if len(others) else firsts[place + 1 :]
         near = near[component[near] != component[x]]
-        if len(near):
+        if len(near) and band < BANDS:
             near = near[(keys[near] == keys[x]).argmax(axis=1) == band]
         if len(near):
             near = near[(fine[near] == fine[x]).mean(axis=1) >= LEAST_EQUAL]
@@ -200,16 +226,16 @@ class Links:
     """Confirmed links between distinct shingle sets, found bucket by bucket."""
 
     def __init__(self, reps: DataFrame, docs: DataFrame):
-        bands = reps.select("rep", "signature").mapInArrow(_bands, "bucket long, band int, rep long")
+        bands = reps.select("rep", "signature", "firsts").mapInArrow(_bands, "bucket long, band int, rep long")
         bands = stored(bands, "bands")
         shared = bands.groupBy("bucket").agg(F.count("*").alias("n")).where("n > 1")
         self.members = stored(bands.join(shared, "bucket"), "members")
         known = self.members.groupBy("rep").agg(F.sum("n").alias("degree"))
-        self.known = stored(reps.join(known, "rep").select("rep", "digest", "degree"), "members-of-buckets")
-        texts = docs.select(F.col("doc_id").alias("rep"), "text").join(self.known.select("rep"), "rep", "left_semi")
+        self.known = stored(reps.join(known, "rep").select("rep", "doc", "digest", "degree"), "members-of-buckets")
+        texts = docs.select(F.col("doc_id").alias("doc"), "text").join(self.known.select("doc"), "doc", "left_semi")
         full = texts.mapInArrow(
-            _full_sets, "rep long, digest binary, full binary, fine binary, keys binary"
-        ).join(self.known.select("rep", "digest"), ["rep", "digest"], "left_semi")
+            _full_sets, "doc long, digest binary, full binary, fine binary, keys binary"
+        ).join(self.known.select("doc", "digest", "rep"), ["doc", "digest"]).drop("doc")
         self.sets = stored(full.dropDuplicates(["rep"]).drop("digest"), "sets")
         self.links: DataFrame | None = None
 
@@ -236,22 +262,31 @@ class Links:
     def between_components(self) -> None:
         """All pairs of a bucket that no component joins yet, block by block.
 
-        A bucket of any size is cut into blocks of about BLOCK members at most; each pair of
-        blocks is a small group of its own. Every pair in every bucket is then either in one
-        component, or unlikely, or tested on its full sets.
+        Only pairs with a member outside the bucket's largest component can be missing. The outsiders
+        are cut into blocks of about BLOCK members, and so is the largest component; each pair of
+        two blocks of outsiders, or of one and one of the largest, is a small group of its own. So a
+        million near copies with one straggler are copied once. Every pair in every bucket is then
+        either in one component, or unlikely, or tested on its full sets.
         """
         found = components(self.links).select(F.col("node").alias("rep"), "component")
         members = self.members.join(found, "rep", "left").select(
-            "bucket", "band", "rep", "n", F.coalesce("component", "rep").alias("component")
+            "bucket", "band", "rep", F.coalesce("component", "rep").alias("component")
+        )
+        sizes = members.groupBy("bucket", "component").agg(F.count("*").alias("n"))
+        open_ = sizes.groupBy("bucket").agg(F.max(F.struct("n", "component")).alias("top"), F.sum("n").alias("all"))
+        outer, inner = (F.floor(n / BLOCK).cast("long") + 1 for n in (F.col("all") - F.col("top.n"), F.col("top.n")))
+        open_ = open_.where(F.col("all") > F.col("top.n")).select(
+            "bucket", F.col("top.component").alias("largest"), outer.alias("outer"), inner.alias("inner")
         )
-        open_ = members.groupBy("bucket").agg(F.min("component").alias("x"), F.max("component").alias("y"))
-        open_ = members.join(open_.where("x <> y").select("bucket"), "bucket")
-        blocks = (F.floor(F.col("n") / BLOCK) + 1).alias("blocks")
-        cut = open_.select("*", blocks).withColumn("block", F.pmod(F.xxhash64("rep"), F.col("blocks")))
+        outside = F.col("component") != F.col("largest")
+        place = F.xxhash64("rep")
+        block = F.when(outside, F.pmod(place, "outer")).otherwise(F.col("outer") + F.pmod(place, "inner"))
+        cut = members.join(open_, "bucket").withColumn("block", block)
         cut = cut.join(self.sets.select("rep", "fine", "keys"), "rep")
-        first = cut.withColumn("other", F.explode(F.sequence("block", F.col("blocks") - 1))).withColumn("side", F.lit(0))
+        last = F.col("outer") + F.col("inner") - 1
+        first = cut.where(outside).withColumn("other", F.explode(F.sequence("block", last))).withColumn("side", F.lit(0))
         second = cut.where("block > 0").withColumn("other", F.col("block")).withColumn(
-            "block", F.explode(F.sequence(F.lit(0).cast("long"), F.col("other") - 1))
+            "block", F.explode(F.sequence(F.lit(0).cast("long"), F.least(F.col("block"), F.col("outer")) - 1))
         ).withColumn("side", F.lit(1))
         columns = ["bucket", "block", "other", "side", "rep", "component", "band", "fine", "keys"]
         group = columns[:3]
@@ -259,39 +294,63 @@ class Links:
         self.confirm(stored(rows.mapInArrow(_across, "a long, b long").distinct(), "pairs"))
 
 
-def near_groups(docs: DataFrame) -> DataFrame:
-    """Every document with its shingle count and the smallest doc_id of its near-duplicate group.
-
-    Reads `doc_id` (long) and `text`. Equal sets are one row until the end, so thousands of
-    copies cost no comparisons. A null or empty text, or one of spaces, has no shingles and is
-    linked with nothing; a row without doc_id is a group of its own (component null, kept).
-    Repeated rows get the same answer. An empty table gives no rows.
-    """
+def _grouped(docs: DataFrame) -> DataFrame:
+    """Row by row: doc_id, the row's key, n_shingles, component, and whether it is linked with nothing by definition."""
     docs = docs.select(F.col("doc_id").cast("long"), "text")
-    rows = stored(docs.mapInArrow(_describe, "doc_id long, n_shingles long, digest binary, signature binary"), "minmax")
-    reps = rows.where("digest IS NOT NULL AND doc_id IS NOT NULL").groupBy("digest").agg(
-        F.min("doc_id").alias("rep"), F.first("signature").alias("signature")
+    described = "doc_id long, key binary, n_shingles long, digest binary, signature binary, firsts binary"
+    rows = stored(docs.select("doc_id", "text", row_key().alias("key")).mapInArrow(_describe, described), "minmax")
+    sets = rows.where("digest IS NOT NULL AND doc_id IS NOT NULL").groupBy("digest").agg(
+        F.min("doc_id").alias("doc"), F.first("signature").alias("signature"), F.first("firsts").alias("firsts")
     )
-    reps = stored(reps, "distinct-sets")
+    # A set goes by its smallest doc_id. Where several texts have that doc_id, all but one go by a hash.
+    named = stored(sets, "distinct-sets")
+    owners = named.groupBy(F.col("doc").alias("owner")).agg(F.min("digest").alias("first"))
+    by_hash = -F.shiftrightunsigned(F.xxhash64("digest"), 2) - (1 << 62)
+    reps = named.join(owners, F.col("doc") == F.col("owner")).select(
+        F.when(F.col("digest") == F.col("first"), F.col("doc")).otherwise(by_hash).alias("rep"),
+        "doc", "digest", "signature", "firsts",
+    )
+    reps = stored(reps, "named-sets")
     found = Links(reps, docs)
     found.with_leaders()
     found.between_components()
     labels = components(found.links).select(F.col("node").alias("rep"), "component")
-    of_set = reps.select("digest", "rep").join(labels, "rep", "left").select(
-        "digest", F.coalesce("component", "rep").alias("component")
+    of_set = reps.select("digest", "doc", "rep").join(labels, "rep", "left").select(
+        "digest", "doc", F.coalesce("component", "rep").alias("label")
     )
+    least = of_set.groupBy("label").agg(F.min("doc").alias("component"))
+    of_set = of_set.join(least, "label").select("digest", "component")
     alone = F.col("digest").isNull() | F.col("doc_id").isNull()
-    return rows.drop("signature").join(of_set, "digest", "left").select(
+    return rows.join(of_set, "digest", "left").select(
+        "doc_id", "key", "n_shingles", "component", alone.alias("alone")
+    )
+
+
+def near_groups(docs: DataFrame) -> DataFrame:
+    """Every document with its shingle count and the smallest doc_id of its near-duplicate group.
+
+    Reads `doc_id` (long) and `text`. Equal sets are one row until the end, so thousands of
+    copies cost no comparisons. A null or empty text, or one of spaces, has no shingles and is
+    linked with nothing; a row without doc_id is a group of its own (component null, kept).
+    Repeated rows get the same answer. An empty table gives no rows.
+    """
+    return _grouped(docs).select(
         "doc_id",
         "n_shingles",
-        F.when(alone, F.col("doc_id")).otherwise(F.col("component")).alias("component_id"),
-        (alone | (F.col("doc_id") == F.col("component"))).alias("kept"),
+        F.when(F.col("alone"), F.col("doc_id")).otherwise(F.col("component")).alias("component_id"),
+        (F.col("alone") | (F.col("doc_id") == F.col("component"))).alias("kept"),
     )
 
 
 def without_near_copies(docs: DataFrame) -> DataFrame:
-    """One document of each near-duplicate group, with all its columns."""
-    return only(docs, near_groups(docs).where("kept"))
+    """One document of each near-duplicate group, with all its columns, whatever their names.
+
+    Of a group the row with its smallest doc_id stays, of several such rows one (by the hash of the
+    text). Rows without a shingle or a doc_id stay, repeated ones once. An empty table gives no rows.
+    """
+    rows = _grouped(docs)
+    best = rows.where("NOT alone").groupBy("component").agg(F.min(F.struct("doc_id", "key")).alias("best"))
+    return only(docs, rows.where("alone").select("key").union(best.select("best.key")))
 
 
 def op5_minmax_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

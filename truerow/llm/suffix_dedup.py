@@ -1,8 +1,8 @@
 """Removal of repeated passages by deep-shallow suffix sorting (operator 1).
 
-Every string of SPAN bytes that starts in two places is removed from both. Sorting the suffixes
+Every string of `span` bytes that starts in two places is removed from both. Sorting the suffixes
 of all bytes would move hundreds of bytes per byte; a sparse set of suffixes is enough. Of the
-201 positions in a span of 400 bytes at which GRAM = 200 bytes can start, the one whose hash is smallest
+positions in a span at which `gram` bytes can start (201 for 200 in 400), the one whose hash is smallest
 is the span's anchor. Equal spans have their anchor at the same place, so all copies of a
 repeated span meet among the suffixes (and the reversed prefixes) of equal anchors. Those are
 sorted within their group: multikey quicksort to a shallow depth, blind tries below it.
@@ -12,6 +12,7 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -20,13 +21,33 @@ import zstandard
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from truerow.llm.common import split_documents, stored, table, texts_of
+from truerow.llm.common import plain_names, row_key, split_documents, stored, table, texts_of
 from truerow.llm.words import mixed
 
-SPAN = 400
-GRAM = 200
-#: Anchor positions in a span, and bytes before an anchor that a span can hold.
-PLACES, BEFORE = SPAN - GRAM + 1, SPAN - GRAM
+
+@dataclass(frozen=True)
+class Lengths:
+    """Bytes of a span, the shortest passage that is removed, and of an anchor inside it."""
+
+    span: int = 400
+    gram: int = 200
+
+    def __post_init__(self):
+        if not 0 < self.gram <= self.span <= LONGEST:
+            raise ValueError(f"0 < gram <= span <= {LONGEST} is needed.")
+
+    @property
+    def places(self) -> int:
+        """Anchor positions in a span."""
+        return self.span - self.gram + 1
+
+    @property
+    def before(self) -> int:
+        """Bytes before an anchor that a span can hold."""
+        return self.span - self.gram
+
+
+LONGEST = 4096
 #: Words of eight bytes that multikey quicksort looks at before blind tries take over.
 SHALLOW = 4
 #: Groups with more different surroundings are split by their spans instead.
@@ -44,16 +65,16 @@ def _powers(base: int, n: int) -> np.ndarray:
     return np.multiply.accumulate(powers)
 
 
-_FORTH = _powers(int(_BASE), CHUNK + SPAN + 1)
-_BACK = _powers(pow(int(_BASE), -1, 1 << 64), CHUNK + SPAN + 1)
+_FORTH = _powers(int(_BASE), CHUNK + LONGEST + 1)
+_BACK = _powers(pow(int(_BASE), -1, 1 << 64), CHUNK + LONGEST + 1)
 
 
-def gram_hashes(data: np.ndarray) -> np.ndarray:
-    """A rolling hash of the GRAM bytes from each position."""
+def gram_hashes(data: np.ndarray, gram: int) -> np.ndarray:
+    """A rolling hash of the `gram` bytes from each position."""
     sums = np.zeros(len(data) + 1, np.uint64)
     np.cumsum(_TABLE[data] * _FORTH[: len(data)], out=sums[1:])
-    n = len(data) - GRAM + 1
-    return mixed((sums[GRAM:] - sums[:n]) * _BACK[:n])
+    n = len(data) - gram + 1
+    return mixed((sums[gram:] - sums[:n]) * _BACK[:n])
 
 
 def sliding_minima(keys: np.ndarray, width: int) -> np.ndarray:
@@ -67,16 +88,17 @@ def sliding_minima(keys: np.ndarray, width: int) -> np.ndarray:
     return np.minimum(backward[:n], forward[width - 1 : width - 1 + n])
 
 
-def anchors(data: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def anchors(data: np.ndarray, ends: np.ndarray, lengths: Lengths) -> tuple[np.ndarray, np.ndarray]:
     """Positions and hashes of the anchors of all spans that lie in one text.
 
     `data` holds texts end to end, `ends` where each stops. Equal hashes in a span are told
     apart by position, leftmost first, so the choice depends on the span's bytes alone.
     """
-    inside = np.ones(max(len(data) - SPAN + 1, 0), bool)
+    span = lengths.span
+    inside = np.ones(max(len(data) - span + 1, 0), bool)
     start = 0
     for end in ends.tolist():
-        inside[max(start, end - SPAN + 1) : end] = False
+        inside[max(start, end - span + 1) : end] = False
         start = end
     places, hashes = [np.empty(0, np.int64)], [np.empty(0, np.uint64)]
     low = np.uint64((1 << 24) - 1)
@@ -84,9 +106,9 @@ def anchors(data: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]
         n = min(CHUNK, len(inside) - first)
         if not inside[first : first + n].any():
             continue
-        found = gram_hashes(data[first : first + n + SPAN - 1])
+        found = gram_hashes(data[first : first + n + span - 1], lengths.gram)
         keys = (found & ~low) | np.arange(len(found), dtype=np.uint64)
-        chosen = (sliding_minima(keys, PLACES)[inside[first : first + n]] & low).astype(np.int64)
+        chosen = (sliding_minima(keys, lengths.places)[inside[first : first + n]] & low).astype(np.int64)
         new = np.ones(len(chosen), bool)
         new[1:] = chosen[1:] != chosen[:-1]
         chosen = chosen[new]
@@ -97,32 +119,36 @@ def anchors(data: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]
     return place, found[once]
 
 
-def _anchor_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _anchor_rows(lengths: Lengths):
     """key, text -> key, gram, around, place: anchors and the hash of all bytes around them."""
-    for batch in split_documents(batches):
-        texts = texts_of(batch)
-        data = b"".join(texts)
-        ends = np.cumsum([len(t) for t in texts])
-        starts = ends - [len(t) for t in texts]
-        place, gram = anchors(np.frombuffer(data, np.uint8), ends)
-        doc = np.searchsorted(ends, place, side="right")
-        lows = np.maximum(place - BEFORE, starts[doc])
-        highs = np.minimum(place + SPAN, ends[doc])
-        around = np.fromiter(
-            (
-                xxhash.xxh3_64_intdigest(data[low:high], at - low)
-                for low, high, at in zip(lows.tolist(), highs.tolist(), place.tolist())
-            ),
-            np.uint64,
-            len(place),
-        )
-        columns = [
-            batch.column(0).take(pa.array(doc)),
-            pa.array(gram.view(np.int64)),
-            pa.array(around.view(np.int64)),
-            pa.array((place - starts[doc]).astype(np.int32) if len(place) else np.empty(0, np.int32)),
-        ]
-        yield pa.RecordBatch.from_arrays(columns, names=["key", "gram", "around", "place"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in split_documents(batches):
+            texts = texts_of(batch)
+            data = b"".join(texts)
+            ends = np.cumsum([len(t) for t in texts])
+            starts = ends - [len(t) for t in texts]
+            place, gram = anchors(np.frombuffer(data, np.uint8), ends, lengths)
+            doc = np.searchsorted(ends, place, side="right")
+            lows = np.maximum(place - lengths.before, starts[doc])
+            highs = np.minimum(place + lengths.span, ends[doc])
+            around = np.fromiter(
+                (
+                    xxhash.xxh3_64_intdigest(data[low:high], at - low)
+                    for low, high, at in zip(lows.tolist(), highs.tolist(), place.tolist())
+                ),
+                np.uint64,
+                len(place),
+            )
+            columns = [
+                batch.column(0).take(pa.array(doc)),
+                pa.array(gram.view(np.int64)),
+                pa.array(around.view(np.int64)),
+                pa.array((place - starts[doc]).astype(np.int32) if len(place) else np.empty(0, np.int32)),
+            ]
+            yield pa.RecordBatch.from_arrays(columns, names=["key", "gram", "around", "place"])
+
+    return run
 
 
 def _compressed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -131,24 +157,28 @@ def _compressed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in split_documents(batches):
         at = batch.schema.get_field_index("text")
         column = pa.array([squeeze.compress(t) for t in texts_of(batch)], pa.binary())
-        yield batch.set_column(at, "_packed", column)
+        yield batch.set_column(at, "packed", column)
 
 
-def _surroundings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _surroundings(lengths: Lengths):
     """packed, kinds -> one row per kind: its bytes before and after the anchor."""
-    open_ = zstandard.ZstdDecompressor()
-    for batch in batches:
-        for row in range(batch.num_rows):
-            text = open_.decompress(batch.column(1)[row].as_py())
-            rows = []
-            for kind in batch.column(2)[row].as_py():
-                at = kind["place"]
-                rows.append((kind["gram"], kind["around"], text[max(0, at - BEFORE) : at], text[at : at + SPAN]))
-            gram, around, before, after = zip(*rows)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(gram, pa.int64()), pa.array(around, pa.int64()), pa.array(before, pa.binary()), pa.array(after, pa.binary())],
-                names=["gram", "around", "before", "after"],
-            )
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        open_ = zstandard.ZstdDecompressor()
+        for batch in batches:
+            for row in range(batch.num_rows):
+                text = open_.decompress(batch.column(1)[row].as_py())
+                rows = []
+                for kind in batch.column(2)[row].as_py():
+                    at = kind["place"]
+                    rows.append((kind["gram"], kind["around"], text[max(0, at - lengths.before) : at], text[at : at + lengths.span]))
+                gram, around, before, after = zip(*rows)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(gram, pa.int64()), pa.array(around, pa.int64()), pa.array(before, pa.binary()), pa.array(after, pa.binary())],
+                    names=["gram", "around", "before", "after"],
+                )
+
+    return run
 
 
 def blind_trie_order(rows: list[int], bits: int) -> list[int]:
@@ -235,33 +265,35 @@ def deep_shallow_sort(group: np.ndarray, rows: np.ndarray) -> tuple[np.ndarray,
     return order, common
 
 
-def repeated_range(group: np.ndarray, before: list[bytes], after: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+def repeated_range(
+    group: np.ndarray, before: list[bytes], after: list[bytes], lengths: Lengths
+) -> tuple[np.ndarray, np.ndarray]:
     """For each kind the first and last byte offset, from the anchor, of spans that another kind of
     its group also has; first > last if there is none.
 
-    Spans begin 0 to BEFORE bytes left of the anchor. At each such distance two kinds share a
+    Spans begin 0 to `lengths.before` bytes left of the anchor. At each such distance two kinds share a
     span if they are neighbours, without a shorter common prefix between, in the order of
     reversed prefixes to that distance and in the order of suffixes to the rest of the span.
     """
-    n = len(group)
-    left = np.zeros((n, BEFORE), np.uint8)
-    right = np.zeros((n, SPAN - GRAM), np.uint8)
+    n, span, gram, reach = len(group), lengths.span, lengths.gram, lengths.before
+    left = np.zeros((n, reach), np.uint8)
+    right = np.zeros((n, reach), np.uint8)
     for i, (b, a) in enumerate(zip(before, after)):
         left[i, : len(b)] = np.frombuffer(b, np.uint8)[::-1]
-        right[i, : max(len(a) - GRAM, 0)] = np.frombuffer(a, np.uint8)[GRAM:]
+        right[i, : max(len(a) - gram, 0)] = np.frombuffer(a, np.uint8)[gram:]
     n_left = np.fromiter(map(len, before), np.int64, n)
     n_right = np.fromiter(map(len, after), np.int64, n)
-    # All of a group share the anchor's GRAM bytes; a false group is told apart by its hash.
-    same = np.fromiter((xxhash.xxh3_64_intdigest(a[:GRAM]) for a in after), np.uint64, n)
+    # All of a group share the anchor's `gram` bytes; a false group is told apart by its hash.
+    same = np.fromiter((xxhash.xxh3_64_intdigest(a[:gram]) for a in after), np.uint64, n)
     group = np.unique(np.stack([group.astype(np.uint64), same]), axis=1, return_inverse=True)[1].ravel()
     by_left, common_left = deep_shallow_sort(group, left)
     by_right, common_right = deep_shallow_sort(group, right)
-    first, last = np.full(n, BEFORE + 1), np.full(n, -1)
+    first, last = np.full(n, reach + 1), np.full(n, -1)
     class_left, class_right = np.empty(n, np.int64), np.empty(n, np.int64)
-    for distance in range(BEFORE + 1):
+    for distance in range(reach + 1):
         class_left[by_left] = np.cumsum(common_left < distance)
-        class_right[by_right] = np.cumsum(common_right < SPAN - distance - GRAM)
-        usable = np.flatnonzero((n_left >= distance) & (n_right >= SPAN - distance))
+        class_right[by_right] = np.cumsum(common_right < span - distance - gram)
+        usable = np.flatnonzero((n_left >= distance) & (n_right >= span - distance))
         key = class_left[usable] * (n + 1) + class_right[usable]
         order = np.argsort(key, kind="stable")
         equal = key[order][1:] == key[order][:-1]
@@ -271,91 +303,99 @@ def repeated_range(group: np.ndarray, before: list[bytes], after: list[bytes]) -
         hit = usable[twice]
         first[hit] = np.minimum(first[hit], distance)
         last[hit] = distance
-    return -last, np.where(last < 0, -last - 1, SPAN - first)
+    return -last, np.where(last < 0, -last - 1, span - first)
 
 
-def _sorted_groups(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _sorted_groups(lengths: Lengths):
     """gram, around, before, after, in order of gram -> gram, around, start, stop."""
-    held: list[pa.RecordBatch] = []
 
-    def finish(rows: pa.Table) -> pa.RecordBatch:
-        group = rows.column(0).to_numpy().view(np.uint64)
-        start, stop = repeated_range(group, rows.column(2).to_pylist(), rows.column(3).to_pylist())
-        found = pa.array(start < stop)
-        columns = [rows.column(0).combine_chunks(), rows.column(1).combine_chunks(), pa.array(start, pa.int32()), pa.array(stop, pa.int32())]
-        return pa.RecordBatch.from_arrays(columns, names=["gram", "around", "start", "stop"]).filter(found)
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[pa.RecordBatch] = []
 
-    for batch in batches:
-        if not batch.num_rows:
-            continue
-        grams = batch.column(0).to_numpy()
-        edge = np.searchsorted(grams, grams[-1])  # the last group may go on in the next batch
-        if edge:
-            yield finish(pa.Table.from_batches([*held, batch.slice(0, edge)]))
-            held = []
-        elif held and held[-1].column(0)[-1].as_py() != grams[0]:
+        def finish(rows: pa.Table) -> pa.RecordBatch:
+            group = rows.column(0).to_numpy().view(np.uint64)
+            start, stop = repeated_range(group, rows.column(2).to_pylist(), rows.column(3).to_pylist(), lengths)
+            found = pa.array(start < stop)
+            columns = [rows.column(0).combine_chunks(), rows.column(1).combine_chunks(), pa.array(start, pa.int32()), pa.array(stop, pa.int32())]
+            return pa.RecordBatch.from_arrays(columns, names=["gram", "around", "start", "stop"]).filter(found)
+
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            grams = batch.column(0).to_numpy()
+            edge = np.searchsorted(grams, grams[-1])  # the last group may go on in the next batch
+            if edge:
+                yield finish(pa.Table.from_batches([*held, batch.slice(0, edge)]))
+                held = []
+            elif held and held[-1].column(0)[-1].as_py() != grams[0]:
+                yield finish(pa.Table.from_batches(held))
+                held = []
+            held.append(batch.slice(edge))
+        if held:
             yield finish(pa.Table.from_batches(held))
-            held = []
-        held.append(batch.slice(edge))
-    if held:
-        yield finish(pa.Table.from_batches(held))
+
+    return run
 
 
-def _spans_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _spans_of(lengths: Lengths):
     """The way for very large groups: one row per span instead of one group."""
-    for batch in batches:
-        for row in batch.to_pylist():
-            whole, at = row["before"] + row["after"], len(row["before"])
-            distances = range(max(0, SPAN - len(row["after"])), at + 1)
-            spans = [xxhash.xxh3_64_intdigest(whole[at - d : at - d + SPAN]) - (1 << 63) for d in distances]
-            n = len(spans)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([row["gram"]] * n, pa.int64()), pa.array([row["around"]] * n, pa.int64()), pa.array(list(distances), pa.int32()), pa.array(spans, pa.int64())],
-                names=["gram", "around", "distance", "span"],
-            )
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for row in batch.to_pylist():
+                whole, at = row["before"] + row["after"], len(row["before"])
+                distances = range(max(0, lengths.span - len(row["after"])), at + 1)
+                spans = [xxhash.xxh3_64_intdigest(whole[at - d : at - d + lengths.span]) - (1 << 63) for d in distances]
+                n = len(spans)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([row["gram"]] * n, pa.int64()), pa.array([row["around"]] * n, pa.int64()), pa.array(list(distances), pa.int32()), pa.array(spans, pa.int64())],
+                    names=["gram", "around", "distance", "span"],
+                )
 
-def _by_spans(kinds: DataFrame) -> DataFrame:
-    spans = stored(kinds.mapInArrow(_spans_of, "gram long, around long, distance int, span long"), "spans")
+    return run
+
+
+def _by_spans(kinds: DataFrame, lengths: Lengths) -> DataFrame:
+    spans = stored(kinds.mapInArrow(_spans_of(lengths), "gram long, around long, distance int, span long"), "spans")
     # At one distance: the same span seen from two anchors of one text is no second occurrence.
     twice = spans.groupBy("gram", "distance", "span").count().where("count > 1").drop("count")
     return spans.join(twice, ["gram", "distance", "span"]).groupBy("gram", "around").agg(
-        (-F.max("distance")).alias("start"), (SPAN - F.min("distance")).alias("stop")
+        (-F.max("distance")).alias("start"), (lengths.span - F.min("distance")).alias("stop")
     )
 
 
 def _keyed(docs: DataFrame) -> DataFrame:
     """Rows that repeat share a key, and also the answer."""
-    return docs.select(F.xxhash64("doc_id", "text").alias("key"), "doc_id", "text")
+    return docs.select(row_key().alias("key"), "doc_id", "text")
 
 
-def repeated_places(docs: DataFrame, most_kinds: int = MOST_KINDS) -> DataFrame:
+def repeated_places(docs: DataFrame, lengths: Lengths = Lengths(), most_kinds: int = MOST_KINDS) -> DataFrame:
     """(key, place, start, stop): anchors whose spans also stand elsewhere, and the byte range
     around each that these spans cover (beyond the text's ends where it is short)."""
     keyed = _keyed(docs)
     found = stored(
-        keyed.select("key", "text").mapInArrow(_anchor_rows, "key long, gram long, around long, place int"), "anchors"
+        keyed.select("key", "text").mapInArrow(_anchor_rows(lengths), "key binary, gram long, around long, place int"), "anchors"
     )
     kinds = found.groupBy("gram", "around").agg(F.count("*").alias("n"), F.min(F.struct("key", "place")).alias("one"))
     kinds = stored(kinds.join(_repeated_grams(kinds), "gram"), "kinds")
     # Equal surroundings: every span around the anchor stands elsewhere.
     twice = kinds.where("n > 1").select(
-        "gram", "around", F.lit(-BEFORE).alias("start"), F.lit(SPAN).alias("stop")
+        "gram", "around", F.lit(-lengths.before).alias("start"), F.lit(lengths.span).alias("stop")
     )
     # Groups with single surroundings: compare all different surroundings of the anchor.
     mixed_groups = kinds.where("n_kinds > 1 AND singles > 0")
     wanted = mixed_groups.groupBy("one.key").agg(
         F.collect_list(F.struct("gram", "around", "one.place")).alias("kinds")
     )
-    packed = keyed.select("key", "text").mapInArrow(_compressed, "key long, _packed binary").dropDuplicates(["key"])
+    packed = keyed.select("key", "text").mapInArrow(_compressed, "key binary, packed binary").dropDuplicates(["key"])
     around = packed.join(wanted, "key").mapInArrow(
-        _surroundings, "gram long, around long, before binary, after binary"
+        _surroundings(lengths), "gram long, around long, before binary, after binary"
     )
     sizes = kinds.select("gram", "around", "n", "n_kinds")
     around = stored(around.join(sizes, ["gram", "around"]), "surroundings")
     small = around.where(F.col("n_kinds") <= most_kinds).drop("n", "n_kinds").repartition("gram").sortWithinPartitions("gram")
-    single = small.mapInArrow(_sorted_groups, "gram long, around long, start int, stop int")
-    single = single.union(_by_spans(around.where(F.col("n_kinds") > most_kinds).drop("n", "n_kinds")))
+    single = small.mapInArrow(_sorted_groups(lengths), "gram long, around long, start int, stop int")
+    single = single.union(_by_spans(around.where(F.col("n_kinds") > most_kinds).drop("n", "n_kinds"), lengths))
     single = single.join(kinds.where("n = 1").select("gram", "around"), ["gram", "around"], "left_semi")
     return found.join(twice.union(single), ["gram", "around"]).select("key", "place", "start", "stop")
 
@@ -376,14 +416,16 @@ def merged(ranges: np.ndarray) -> np.ndarray:
     return np.column_stack([ranges[new, 0], np.append(reach[:-1][new[1:]], reach[-1:])])
 
 
-CUT = "n_bytes long, n_removed long, n_spans long, kept_sha256 string, spans array<struct<start:long,stop:long>>"
+CUT = (
+    "n_bytes long, n_removed long, n_spans long, kept_sha256 string, spans array<struct<start:long,stop:long>>, text string"
+)
 _SPANS = pa.list_(pa.struct([("start", pa.int64()), ("stop", pa.int64())]))
 
 
 def _pieces(batch: pa.RecordBatch) -> Iterator[tuple[bytes, list[list[int]], bytes]]:
-    """The text, its removed ranges, and the rest, of each row with `_packed` and `_ranges`."""
+    """The text, its removed ranges, and the rest, of each row with `packed` and `ranges`."""
     open_ = zstandard.ZstdDecompressor()
-    packed, ranges = (batch.column(batch.schema.get_field_index(c)) for c in ("_packed", "_ranges"))
+    packed, ranges = (batch.column(batch.schema.get_field_index(c)) for c in ("packed", "ranges"))
     for row in range(batch.num_rows):
         text = open_.decompress(packed[row].as_py())
         spans = []
@@ -399,73 +441,81 @@ def _pieces(batch: pa.RecordBatch) -> Iterator[tuple[bytes, list[list[int]], byt
 
 
 def _measure_cuts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """doc_id, packed, ranges -> what is removed."""
+    """doc_id, packed, ranges -> what is removed, and what is left."""
     for batch in batches:
         rows = [
             (len(text), len(text) - len(rest), len(spans), hashlib.sha256(rest).hexdigest(),
-             [{"start": a, "stop": b} for a, b in spans])
+             [{"start": a, "stop": b} for a, b in spans], rest.decode("utf-8", "ignore"))
             for text, spans, rest in _pieces(batch)
         ]
-        types = [pa.int64()] * 3 + [pa.string(), _SPANS]
-        columns = [pa.array(c, t) for c, t in zip(list(zip(*rows)) or [()] * 5, types)]
-        names = ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "spans"]
+        types = [pa.int64()] * 3 + [pa.string(), _SPANS, pa.string()]
+        columns = [pa.array(c, t) for c, t in zip(list(zip(*rows)) or [()] * 6, types)]
+        names = ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "spans", "text"]
         yield pa.RecordBatch.from_arrays([batch.column(0), *columns], names=names)
 
 
-def _take_cuts(names: list[str]):
-    """All columns of the documents, with what is left of the text and its length."""
+def _take_cuts(names: list[str], length: str | None):
+    """The columns of the documents, with what is left of the text, and its length in characters."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rest = [rest.decode("utf-8", "ignore") for _, _, rest in _pieces(batch)]
             columns = []
-            for name in names:
+            for at, name in enumerate(names):
                 if name == "text":
                     columns.append(pa.array(rest, pa.string()))
-                elif name == "n_chars":
-                    columns.append(pa.array([len(t) for t in rest]).cast(batch.column(names.index(name)).type))
+                elif name == length:
+                    columns.append(pa.array([len(t) for t in rest]).cast(batch.column(at).type))
                 else:
-                    columns.append(batch.column(names.index(name)))
+                    columns.append(batch.column(at))
             yield pa.RecordBatch.from_arrays(columns, names=names)
 
     return run
 
 
-def _with_ranges(docs: DataFrame, columns: list[str], most_kinds: int) -> DataFrame:
-    """The columns, with the text packed, and the ranges to remove; the texts are shuffled once."""
-    ranges = repeated_places(docs, most_kinds).select(
+def _with_ranges(docs: DataFrame, columns: list[str], lengths: Lengths, most_kinds: int) -> DataFrame:
+    """The columns, `text` packed, and the ranges to remove; the texts are shuffled once.
+
+    The columns beside doc_id and text must not be named key, packed or ranges.
+    """
+    ranges = repeated_places(docs, lengths, most_kinds).select(
         "key",
         F.struct(
             (F.col("place") + F.col("start")).cast("long").alias("start"),
             (F.col("place") + F.col("stop")).cast("long").alias("stop"),
         ).alias("r"),
     )
-    per_key = ranges.groupBy("key").agg(F.collect_set("r").alias("_ranges")).withColumnRenamed("key", "_key")
-    keyed = docs.select(F.xxhash64("doc_id", "text").alias("_key"), *columns)
+    per_key = ranges.groupBy("key").agg(F.collect_set("r").alias("ranges"))
+    keyed = docs.select(row_key().alias("key"), *columns)
     fields = ", ".join(
-        "_packed binary" if f.name == "text" else f"`{f.name}` {f.dataType.simpleString()}" for f in keyed.schema
+        "packed binary" if f.name == "text" else f"`{f.name}` {f.dataType.simpleString()}" for f in keyed.schema
     )
-    return keyed.mapInArrow(_compressed, fields).join(per_key, "_key", "left").drop("_key")
+    return keyed.mapInArrow(_compressed, fields).join(per_key, "key", "left").drop("key")
 
 
-def remove_repeats(docs: DataFrame, most_kinds: int = MOST_KINDS) -> DataFrame:
-    """Every document with what is removed of it: sizes, spans, and the hash of what is left.
+def remove_repeats(docs: DataFrame, lengths: Lengths = Lengths(), most_kinds: int = MOST_KINDS) -> DataFrame:
+    """Every document with what is removed of it: sizes, spans, the hash of what is left, and the text left.
 
     Reads `doc_id` and `text`. A null text is empty; texts shorter than a span lose nothing. A
     row that repeats another (same doc_id and text) is a second document, so both lose all spans.
-    An empty table gives no rows.
+    Of a character that a span's end cuts in two nothing stays in the text; sizes and hash are of
+    the bytes. An empty table gives no rows.
     """
     docs = docs.select(F.col("doc_id").cast("long"), "text")
-    return _with_ranges(docs, ["doc_id", "text"], most_kinds).mapInArrow(_measure_cuts, f"doc_id long, {CUT}")
+    return _with_ranges(docs, ["doc_id", "text"], lengths, most_kinds).mapInArrow(_measure_cuts, f"doc_id long, {CUT}")
 
 
-def without_repeats(docs: DataFrame, most_kinds: int = MOST_KINDS) -> DataFrame:
+def without_repeats(docs: DataFrame, lengths: Lengths = Lengths(), most_kinds: int = MOST_KINDS) -> DataFrame:
     """The documents with all their columns and what is left of their texts; n_chars follows.
 
-    Of a character that a span's end cuts in two nothing stays. No row is dropped.
+    Null texts become empty. Of a character that a span's end cuts in two nothing stays. No row is
+    dropped; rows that repeat lose the same. Columns may have any names.
     """
-    rows = _with_ranges(docs, docs.columns, most_kinds)
-    return rows.mapInArrow(_take_cuts(docs.columns), docs.schema)
+    own = plain_names(docs)
+    rows = _with_ranges(docs.toDF(*own), own, lengths, most_kinds)
+    length = own[docs.columns.index("n_chars")] if "n_chars" in docs.columns else None
+    schema = docs.toDF(*own).schema
+    return rows.mapInArrow(_take_cuts(own, length), schema).toDF(*docs.columns)
 
 
 def op1_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from truerow.llm.common import crc32_of, split_documents, table
+from truerow.llm.common import crc32_of, split_documents, stored, table
 
 PUNCTUATION = ".,;:!?\"'()[]{}#*$%&|<>-_/\\`~+=@^"
 #: Word beginnings of these lengths are features beside the whole word.
@@ -31,8 +31,6 @@ PRIOR = 10.0
 LEAST_Z, LEAST_DOCS = 3.0, 3
 #: Weaker log-odds tell topics apart rather than toxic words.
 LEAST_ODDS = 1.0
-#: Features in the lexicon at most, the most certain first: the model's size.
-MOST_FEATURES = 50_000
 #: What every token without a toxic feature costs a passage at least, and in multiples of what the
 #: average token of a clean text gains: clean texts must lose on the whole, or no passage would end.
 DRIFT, TIMES_GAIN = 0.1, 3.0
@@ -154,7 +152,7 @@ def training_rows(docs: DataFrame, labels: DataFrame) -> DataFrame:
 
 
 def log_odds(train: DataFrame) -> dict[str, float]:
-    """The lexicon: features of toxic documents with significant log-odds."""
+    """The lexicon: features of toxic documents with significant log-odds, as many as the bounded rows have."""
     totals = {row["toxic"]: row["count"] for row in train.groupBy("toxic").count().collect()}
     toxic, clean = float(totals.get(1, 0)), float(totals.get(0, 0))
     if not toxic or not clean:
@@ -171,8 +169,7 @@ def log_odds(train: DataFrame) -> dict[str, float]:
         .select("feature", delta.alias("delta"), (delta / F.sqrt(1 / t + 1 / c)).alias("z"))
         .where((F.col("z") >= LEAST_Z) & (F.col("delta") >= LEAST_ODDS))
     )
-    best = weighed.orderBy(F.desc("z"), "feature").limit(MOST_FEATURES)
-    return {row["feature"]: row["delta"] for row in best.collect()}
+    return {row["feature"]: row["delta"] for row in weighed.select("feature", "delta").collect()}
 
 
 def _scan_training(model: Model):
@@ -225,7 +222,7 @@ def fit(docs: DataFrame, labels: DataFrame) -> Model:
 
     Without labels of both kinds nothing is known and every text scores alike, below 0.3.
     """
-    train = training_rows(docs, labels)
+    train = stored(training_rows(docs, labels), "labelled")
     model = Model(log_odds(train))
     if not model.weights:
         model.curve = np.array([-3.0, 0.0, 0.0])
@@ -329,7 +326,11 @@ def _keep_clean(model: Model):
 
 
 def clean_documents(docs: DataFrame, model: Model) -> DataFrame:
-    """The documents that the model does not reject, with all their columns, without a shuffle."""
+    """The documents that the model does not reject, with all their columns, without a shuffle.
+
+    Null and empty texts have no evidence and stay; rows that repeat stay or go alike; an empty table
+    gives no rows.
+    """
     return docs.mapInArrow(_keep_clean(model), docs.schema)
 
 
@@ -337,7 +338,7 @@ def judge(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """Fit on the labels that may be learnt from and score all documents."""
     return score_documents(docs, fit(docs, labels)).select(
         "doc_id",
-        (crc32_of(F.col("doc_id")) % 4 == 2).alias("held_out"),
+        F.coalesce(crc32_of(F.col("doc_id")) % 4 == 2, F.lit(False)).alias("held_out"),
         "score",
         (F.col("score") >= THRESHOLD).cast("int").alias("predicted"),
         "n_tokens",
