@@ -34,9 +34,9 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 def cut_repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Operator 1: passages that stand elsewhere as well are cut out of the texts.
 
-    A document stays even if nothing is left of its text.
+    A document stays even if nothing is left of its text; null texts become empty.
     """
-    return suffix_dedup.without_repeats(docs)
+    return suffix_dedup.without_repeats(docs, PASSAGE)
 
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -44,6 +44,9 @@ def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
     return packing.pack(docs, vocabulary_path(packing.VOCABULARY))
 
 
+#: A passage of over 50 words is some 300 bytes long: shorter spans than operator 1's own are cut here.
+PASSAGE = suffix_dedup.Lengths(span=240, gram=120)
+
 STAGES = [
     ("toxicity", reject_toxic),
     ("exact_dedup", drop_exact_copies),
@@ -52,8 +55,8 @@ STAGES = [
     ("packing", pack_sequences),
 ]
 
-#: Fitted models, signatures and tokenizers have no counterpart in SQL; the tests compare each
-#: stage with a brute-force version instead.
+#: Fitted models, signatures and tokenizers have no counterpart in SQL; the tests run planted
+#: documents through all stages and compare them with plain Python instead.
 ORACLE_SQL = None
 
 
