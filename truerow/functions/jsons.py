@@ -104,59 +104,30 @@ def as_array(value: Column) -> Column:
     return F.try_variant_get(value, "$", "array<variant>")
 
 
+# Characters that JSON text never holds raw stand for its two troublesome escapes.
+_BACKSLASH, _QUOTE = "\x01", "\x02"
 # A JSON string token, with the colon when it is a key. Outside of strings JSON has no quotes,
 # so tokens found from left to right are never out of step.
-_STRING_TOKEN = r'"[^"\\]*+(?:\\.[^"\\]*+)*+"(?:\s*:)?'
-_MANY_ESCAPES = 500
+_STRING_TOKEN = r'"[^"]*"(?:\s*:)?'
 
 
 def string_leaves(text: Column) -> Column:
     """All string leaves in the text of a JSON array, at any depth.
 
-    They are the string tokens of the JSON text that are not keys. Text with very many
-    escapes is walked level by level instead, because it would nest the pattern too deeply.
+    They are the string tokens of the JSON text that are not keys. Escaped backslashes and
+    quotes are replaced before the text is cut, so a token ends at the next quote, whatever it holds.
     """
+    plain = F.replace(F.replace(text, F.lit("\\\\"), F.lit(_BACKSLASH)), F.lit('\\"'), F.lit(_QUOTE))
     tokens = F.filter(
-        F.regexp_extract_all(text, F.lit(_STRING_TOKEN), F.lit(0)),
+        F.regexp_extract_all(plain, F.lit(_STRING_TOKEN), F.lit(0)),
         lambda t: ~t.endswith(":"),
     )
-    found = F.transform(
-        tokens,
-        lambda t: F.when(
-            t.contains("\\"), F.get_json_object(F.concat(F.lit("["), t, F.lit("]")), "$[0]")
-        ).otherwise(F.substring(t, F.lit(2), F.length(t) - 2)),
-    )
-    escapes = F.length(text) - F.length(F.translate(text, "\\", ""))
-    return F.when(escapes <= _MANY_ESCAPES, found).otherwise(_walked_leaves(text))
-
-
-def _walked_leaves(text: Column) -> Column:
-    """The same leaves by opening all containers of a level at once.
 
-    No value can be nested deeper than the text has opening brackets, and the JSON reader
-    accepts no more than 1000 levels, so nothing is cut off.
-    """
-    no_nodes = F.array().cast("array<variant>")
-    no_text = F.array().cast("array<string>")
-    opened = F.length(text) - F.length(F.translate(text, "[{", ""))
-
-    def children(node: Column) -> Column:
-        return F.coalesce(as_array(node), F.map_values(as_map(node)), no_nodes)
-
-    def step(acc: Column, _: Column) -> Column:
-        nodes = acc["nodes"]
-        texts = F.transform(
-            F.filter(nodes, lambda n: variant_kind(n) == "STRING"),
-            lambda n: F.variant_get(n, "$", "string"),
-        )
-        deeper = F.filter(nodes, lambda n: variant_kind(n).rlike("^(ARRAY|OBJECT)"))
-        return F.struct(
-            F.flatten(F.transform(deeper, children)).alias("nodes"),
-            F.concat(acc["leaves"], texts).alias("leaves"),
+    def leaf(token: Column) -> Column:
+        whole = F.replace(F.replace(token, F.lit(_QUOTE), F.lit('\\"')), F.lit(_BACKSLASH), F.lit("\\\\"))
+        read = F.get_json_object(F.concat(F.lit("["), whole, F.lit("]")), "$[0]")
+        return F.when(token.rlike(r"[\x01\x02\\]"), read).otherwise(
+            F.substring(token, F.lit(2), F.length(token) - 2)
         )
 
-    start = F.struct(
-        F.array(F.try_parse_json(text)).alias("nodes"), no_text.alias("leaves")
-    )
-    levels = F.sequence(F.lit(1), F.least(opened + 1, F.lit(1001)))
-    return F.aggregate(levels, start, step, lambda acc: acc["leaves"])
+    return F.transform(tokens, leaf)

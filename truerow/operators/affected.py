@@ -1,14 +1,17 @@
 """M9: which products do changed records belong to?
 
-The relationships form a graph without cycles, so the walk from a changed record up to the
-products needs one join per referring endpoint, each reading that endpoint's references
-once. A deleted record is reached through the references of the previous state, so both
-states take part.
+The relationships form a graph without cycles. Its edges, (target key, id) to the referring record, and
+the ids of every record are extracted once from the records and written; the walk from a changed
+record up to the products then needs one join per referring endpoint on these narrow tables. What
+is reached at an endpoint is written before the next one reads it, so plans do not grow with the
+number of steps. A deleted record is reached through the references of the previous state, so
+both states take part.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterable, Sequence
+from functools import reduce
 from graphlib import TopologicalSorter
 
 from pyspark.sql import DataFrame
@@ -16,7 +19,8 @@ from pyspark.sql import functions as F
 
 from truerow.config.naming import Naming
 from truerow.config.relationships import DEFAULT_RELATIONSHIPS, Relationship
-from truerow.operators.refs import _exploded, declared_refs
+from truerow.operators.refs import References
+from truerow.session import scratch_dir
 
 
 def walk_order(relationships: Iterable[Relationship]) -> list[str]:
@@ -40,43 +44,45 @@ def affected_records(
     deleted, the previous records. A reference may name any of the target's key fields.
     """
     rules = list(relationships)
-    naming = naming or Naming()
     records = states[0].select("endpoint", "record_id", "payload")
     for state in states[1:]:
         records = records.unionByName(state.select("endpoint", "record_id", "payload"))
-    order = walk_order(rules)
+    return walk(changed, References.of(records, rules, naming), product_endpoint)
+
+
+def walk(changed: DataFrame, edges: References, product_endpoint: str = "styles") -> DataFrame:
+    """The walk on edges that are written already; they may serve many sets of changes."""
+    order = walk_order(edges.relationships)
     reached = {
         name: changed.where(F.col("endpoint") == name).select("record_id").distinct()
         for name in {*order, product_endpoint}
     }
     for source in order:
-        outgoing = [rule for rule in rules if rule.source == source]
+        outgoing = [rule for rule in edges.relationships if rule.source == source]
         if not outgoing:
             continue
-        keys = None
-        for target_key, target, fields in sorted(
-            {(r.target_key, r.target, r.target_fields) for r in outgoing}
-        ):
-            found = _keys_of(records, reached[target], target_key, target, fields, naming)
-            keys = found if keys is None else keys.unionByName(found)
-        refs = declared_refs(records, outgoing, naming).select("target_key", "ref", "record_id")
-        hits = refs.join(keys.distinct(), ["target_key", "ref"], "left_semi")
-        reached[source] = reached[source].unionByName(hits.select("record_id")).distinct()
+        keys = reduce(DataFrame.unionByName, [_keys_of(edges, reached[r.target], r) for r in _by_target(outgoing)])
+        refs = edges.declared().where(F.col("relationship").isin([r.name for r in outgoing]))
+        hits = refs.select("target_key", "ref", "record_id").join(keys.distinct(), ["target_key", "ref"], "left_semi")
+        reached[source] = _written(reached[source].unionByName(hits.select("record_id")).distinct())
     return reached[product_endpoint]
 
 
-def _keys_of(
-    records: DataFrame,
-    ids: DataFrame,
-    target_key: str,
-    target: str,
-    fields: tuple[str, ...],
-    naming: Naming,
-) -> DataFrame:
-    """The (target_key, ref) under which the given records can be referred to."""
-    own = ids.select(F.lit(target_key).alias("target_key"), F.col("record_id").alias("ref"))
-    if fields == ("id",):
+def _by_target(rules: list[Relationship]) -> list[Relationship]:
+    """One rule per target key; they share its ids."""
+    return list({rule.target_key: rule for rule in rules}.values())
+
+
+def _keys_of(edges: References, ids: DataFrame, rule: Relationship) -> DataFrame:
+    """The (target_key, ref) under which the given records of the rule's target can be referred to."""
+    own = ids.select(F.lit(rule.target_key).alias("target_key"), F.col("record_id").alias("ref"))
+    if rule.target_fields == ("id",):
         return own
-    of_target = records.where(F.col("endpoint") == target).join(ids, "record_id", "left_semi")
-    named = _exploded(of_target, [(target_key, target, fields)], naming)
-    return own.unionByName(named.select(F.col("name").alias("target_key"), "ref"))
+    named = edges.ids().where(F.col("target_key") == rule.target_key)
+    return own.unionByName(named.join(ids, "record_id", "left_semi").select("target_key", "ref"))
+
+
+def _written(ids: DataFrame) -> DataFrame:
+    path = scratch_dir(ids.sparkSession, "reached")
+    ids.write.parquet(path)
+    return ids.sparkSession.read.schema(ids.schema).parquet(path)

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterable
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -10,14 +13,11 @@ from truerow.functions.issues import (
     ERROR,
     ISSUES_TYPE,
     WARNING,
-    count_where,
-    is_blocking,
-    is_warning,
     issue,
     joined,
     present,
 )
-from truerow.functions.jsons import computed_once, variant_kind
+from truerow.functions.jsons import variant_kind
 from truerow.functions.text import non_empty
 
 # Version, buckets with their messages, declared ids with their bucket, codes.
@@ -78,39 +78,60 @@ def from_json_payloads(payloads: DataFrame) -> DataFrame:
     return payloads.withColumn("counts", counts)
 
 
-def validate(payloads: DataFrame, naming: Naming | None = None) -> DataFrame:
-    """One result row per check payload, no shuffle."""
+def tallies(payloads: DataFrame, naming: Naming | None = None) -> DataFrame:
+    """One result row per check payload, its issues only counted, no shuffle.
+
+    The counts follow from the payload's numbers alone: every absent bucket and carried warning is
+    a warning, every declared id without a record and every unresolved reference an error.
+    No issue, and none of its texts, is built.
+    """
     naming = naming or Naming()
-    checked = computed_once(
-        payloads.select("style_id", "counts", "unresolved_refs", "warnings"),
-        "issues",
-        joined(
-            present(_absent_buckets(naming)),
-            present(_unresolved_counts(naming)),
-            _unresolved_refs(naming),
-            _carried_warnings(naming),
-        ).cast(ISSUES_TYPE),
+    absent = _number_of(_count("resolved_records", bucket) == 0 for bucket in EXPECTED_BUCKETS)
+    short = _number_of(
+        _count("relationship_ids", key) > _count("resolved_records", bucket)
+        for key, bucket in DECLARED_BUCKETS.items()
     )
-    issues = F.col("issues")
-    blocking = count_where(issues, is_blocking)
-    errors = count_where(issues, lambda i: i["severity"] == ERROR)
-    penalty = errors * ERROR_PENALTY + (F.size(issues) - errors) * OTHER_PENALTY
-    return checked.select(
+    errors = short + F.coalesce(F.size("unresolved_refs"), F.lit(0))
+    others = absent + F.coalesce(F.size("warnings"), F.lit(0))
+    counted = payloads.withColumns({"errors_": errors, "others_": others})
+    errors, others = F.col("errors_"), F.col("others_")
+    return counted.select(
         F.col("style_id").alias(naming.style_id),
         F.lit(None).cast("string").alias("brand_code"),
         F.lit(None).cast("string").alias("brand_name"),
         F.lit(None).cast("string").alias("product_type_code"),
         F.lit(CONTEXT).alias("context"),
-        (blocking == 0).alias("ready"),
-        F.greatest(F.lit(0), F.lit(100) - penalty).alias("score"),
+        (errors == 0).alias("ready"),
+        F.greatest(F.lit(0), F.lit(100) - errors * ERROR_PENALTY - others * OTHER_PENALTY).alias("score"),
         F.lit(RULE_SET_VERSION).alias("rule_set_version"),
-        F.size(issues).alias("issue_count"),
-        blocking.alias("blocking_issue_count"),
-        count_where(issues, is_warning).alias("warning_count"),
-        "issues",
+        (errors + others).alias("issue_count"),
+        errors.alias("blocking_issue_count"),
+        others.alias("warning_count"),
+        *payloads.columns,
     )
 
 
+def validate(payloads: DataFrame, naming: Naming | None = None) -> DataFrame:
+    """``tallies`` with the issues themselves, no shuffle.
+
+    A table that does not ask for the issues does not compute them.
+    """
+    naming = naming or Naming()
+    counted = tallies(payloads.select("style_id", "counts", "unresolved_refs", "warnings"), naming)
+    issues = joined(
+        present(_absent_buckets(naming)),
+        present(_unresolved_counts(naming)),
+        _unresolved_refs(naming),
+        _carried_warnings(naming),
+    )
+    inputs = {"counts", "unresolved_refs", "warnings", "style_id"} - {naming.style_id}
+    return counted.withColumn("issues", issues.cast(ISSUES_TYPE)).drop(*inputs)
+
+
+def _number_of(tests: Iterable[Column]) -> Column:
+    return reduce(Column.__add__, [F.when(test, 1).otherwise(0) for test in tests])
+
+
 def _count(of: str, key: str) -> Column:
     return F.coalesce(F.try_element_at(F.col(f"counts.{of}"), F.lit(key)), F.lit(0))
 

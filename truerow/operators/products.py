@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from truerow.functions.jsons import BAD, computed_once, is_json_null, payload_fields, variant_kind
+from truerow.functions.jsons import BAD, as_array, as_map, computed_once, is_json_null, payload_fields
 from truerow.functions.text import filled
 from truerow.functions.times import utc_now
 from truerow.sources.store import PRODUCT_WARNINGS, PRODUCTS, SOURCE_REFS, MasterStore
@@ -247,15 +247,10 @@ def resolved_counts_of(refs: DataFrame) -> DataFrame:
 
 def _value_count(value: Column) -> Column:
     """Length of a list or object, 0 for null and '', 1 for any other value."""
-    kind = variant_kind(value)
-    size = F.coalesce(
-        F.size(F.try_variant_get(value, "$", "array<variant>")),
-        F.size(F.try_variant_get(value, "$", "map<string,variant>")),
-    )
     is_empty = is_json_null(value) | (
         F.coalesce(F.try_variant_get(value, "$", "string"), F.lit("-")) == ""
     )
-    return F.when(kind.rlike("^(ARRAY|OBJECT)"), size).when(is_empty, 0).otherwise(1)
+    return F.coalesce(F.size(as_array(value)), F.size(as_map(value)), F.when(is_empty, 0).otherwise(1))
 
 
 def check_projection(products: DataFrame) -> DataFrame:
@@ -269,28 +264,24 @@ def check_projection(products: DataFrame) -> DataFrame:
     relationships = F.col("relationships")
     suffix = "_applicability"
     ids = F.map_filter(relationships, lambda key, _: ~key.endswith(suffix))
-    unresolved = F.col("unresolved")
     objects = F.filter(
         F.coalesce(part("unresolved_refs", "array<variant>"), F.array().cast("array<variant>")),
-        lambda v: variant_kind(v).startswith("OBJECT"),
+        lambda v: as_map(v).isNotNull(),
     )
     counts = F.struct(
-        F.transform_values(ids, lambda _, v: _value_count(v)).alias("relationship_ids"),
+        F.transform_values(F.col("ids_"), lambda _, v: _value_count(v)).alias("relationship_ids"),
         resolved_counts(F.col("source_refs")).alias("resolved_records"),
-        F.size(unresolved).alias("unresolved_refs"),
+        F.size("unresolved_refs").alias("unresolved_refs"),
         F.size("warnings").alias("warnings"),
     )
-    opened = computed_once(products, "graph_", graph).drop("graph")
-    opened = opened.withColumnRenamed("graph_", "graph")
-    opened = computed_once(
-        opened, "relationships", F.coalesce(part("relationships", GRAPH_TYPE), no_map)
-    )
-    opened = computed_once(opened, "unresolved", objects)
-    return computed_once(opened, "counts", counts).select(
+    # A column that several later ones use stays a projection of its own, so it is computed once.
+    opened = products.withColumn("relationships", F.coalesce(part("relationships", GRAPH_TYPE), no_map))
+    opened = opened.withColumns({"unresolved_refs": objects, "ids_": ids})
+    return opened.select(
         F.coalesce("style_id", "product_id").alias("style_id"),
-        ids.alias("relationship_ids"),
-        "counts",
+        F.col("ids_").alias("relationship_ids"),
+        counts.alias("counts"),
         F.map_filter(relationships, lambda key, _: key.endswith(suffix)).alias("applicability"),
-        unresolved.alias("unresolved_refs"),
+        "unresolved_refs",
         "warnings",
     )

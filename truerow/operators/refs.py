@@ -1,12 +1,14 @@
 """Do the references between record types resolve?
 
-All relationships are measured in one plan. References are made distinct inside their own
-record without a shuffle; then one join on (target, reference) and one aggregation follow.
+The records are read once: references, ids and the records themselves come out of one pass and are
+written. References are made distinct inside their own record without a shuffle; then one join
+on (target, reference) and one aggregation follow.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Sequence
+from collections.abc import Iterable
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -20,6 +22,7 @@ from truerow.config.relationships import (
 from truerow.functions.jsons import payload_fields, string_leaves
 from truerow.functions.numbers import percent
 from truerow.functions.text import strip
+from truerow.session import scratch_dir
 
 # Statuses, issue codes and the version of the coverage report.
 SEEN = "seen"
@@ -41,45 +44,127 @@ def refs_below(text: Column, naming: Naming) -> Column:
     return F.array_distinct(F.filter(texts, lambda t: (t != "") & (t != naming.empty_ref)))
 
 
-def _exploded(
+# What a row of the extract is: a reference, an id that references may name, or a record itself.
+REF, ID, RECORD = "ref", "id", "record"
+
+
+def extract(
     records: DataFrame,
-    endpoint_fields: Sequence[tuple[str, str, tuple[str, ...]]],
-    naming: Naming,
+    relationships: Iterable[Relationship] = DEFAULT_RELATIONSHIPS,
+    naming: Naming | None = None,
 ) -> DataFrame:
-    """(endpoint, record_id, name, pos, ref) for each (name, endpoint, fields) to read.
+    """(kind, name, endpoint, record_id, refs): all that the relationships need, in one pass.
 
-    The payload is parsed once per record, only for the fields of any entry.
+    A ``ref`` row has the distinct references of a record under the name of its relationship, an
+    ``id`` row the ids of a record under the name of its target key, and every record has one
+    ``record`` row without its id. ``records`` has the columns endpoint, record_id and payload; a payload is
+    parsed once, only for the fields of any relationship. No shuffle.
     """
-    endpoints = sorted({endpoint for _, endpoint, _ in endpoint_fields})
-    wanted = {field for _, _, fields in endpoint_fields for field in fields}
-    kind = "array<struct<name:string,text:string>>"
-    entries = F.array().cast(kind)
-    for endpoint in endpoints:
-        of_endpoint = F.array(
-            *[
-                F.struct(
-                    F.lit(name).alias("name"),
-                    F.to_json(F.array(*[F.col("parsed")[field] for field in fields])).alias("text"),
-                )
-                for name, owner, fields in endpoint_fields
-                if owner == endpoint
-            ]
-        ).cast(kind)
-        entries = F.when(F.col("endpoint") == endpoint, of_endpoint).otherwise(entries)
-    parsed = records.where(F.col("endpoint").isin(endpoints)).select(
-        "endpoint",
-        "record_id",
-        payload_fields(F.col("payload"), wanted, "VARIANT").alias("parsed"),
+    rules, naming = list(relationships), naming or Naming()
+    wanted = [(REF, r.name, r.source, r.source_fields) for r in rules]
+    wanted += [(ID, *key) for key in sorted({(r.target_key, r.target, r.target_fields) for r in rules})]
+    kind = "array<struct<kind:string,name:string,text:string>>"
+    nothing = F.lit(None).cast("string")
+    itself = F.struct(F.lit(RECORD).alias("kind"), nothing.alias("name"), nothing.alias("text"))
+    entries = F.array(itself).cast(kind)
+    for endpoint in sorted({owner for _, _, owner, _ in wanted}):
+        own = [
+            F.struct(
+                F.lit(what).alias("kind"),
+                F.lit(name).alias("name"),
+                F.to_json(F.array(*[F.col("parsed")[field] for field in fields])).alias("text"),
+            )
+            for what, name, owner, fields in wanted
+            if owner == endpoint
+        ]
+        entries = F.when(F.col("endpoint") == endpoint, F.array(itself, *own).cast(kind)).otherwise(entries)
+    fields = {field for _, _, _, own in wanted for field in own}
+    parsed = records.select(
+        "endpoint", "record_id", payload_fields(F.col("payload"), fields, "VARIANT").alias("parsed")
     )
     # The text is a column of its own here, so it is written once however often it is used.
-    per_name = parsed.select("endpoint", "record_id", F.inline(entries))
-    refs = per_name.select(
-        "endpoint", "record_id", "name", refs_below(F.col("text"), naming).alias("refs")
+    texts = parsed.select("endpoint", "record_id", F.inline(entries))
+    return texts.select(
+        "kind",
+        "name",
+        "endpoint",
+        F.when(F.col("kind") != RECORD, F.col("record_id")).alias("record_id"),
+        refs_below(F.col("text"), naming).alias("refs"),
     )
-    # The outer form: the plain one would make the optimizer test the array's size below,
-    # which means computing it a second time.
-    rows = refs.select("endpoint", "record_id", "name", F.posexplode_outer("refs").alias("pos", "ref"))
-    return rows.where(F.col("ref").isNotNull())
+
+
+@dataclass(frozen=True)
+class References:
+    """The extract of some records, written once, and everything that is measured on it.
+
+    Each part reads only its own kind of rows and the columns it needs, never a payload.
+    """
+
+    rows: DataFrame
+    relationships: tuple[Relationship, ...]
+
+    @classmethod
+    def of(
+        cls,
+        records: DataFrame,
+        relationships: Iterable[Relationship] = DEFAULT_RELATIONSHIPS,
+        naming: Naming | None = None,
+        folder: str | None = None,
+    ) -> References:
+        rules = tuple(relationships)
+        spark = records.sparkSession
+        path = folder or scratch_dir(spark, "references")
+        rows = extract(records, rules, naming)
+        rows.write.parquet(path)
+        return cls(spark.read.schema(rows.schema).parquet(path), rules)
+
+    def _of_kind(self, kind: str) -> DataFrame:
+        return self.rows.where(F.col("kind") == kind)
+
+    def declared(self) -> DataFrame:
+        """(relationship, target_key, source_endpoint, record_id, pos, ref)."""
+        keys = F.create_map(*[F.lit(x) for r in self.relationships for x in (r.name, r.target_key)])
+        # The outer form: the plain one would make the optimizer test the array's size below,
+        # which means computing it a second time where nothing is written in between.
+        rows = self._of_kind(REF).select(
+            F.col("name").alias("relationship"),
+            keys[F.col("name")].alias("target_key"),
+            F.col("endpoint").alias("source_endpoint"),
+            "record_id",
+            F.posexplode_outer("refs").alias("pos", "ref"),
+        )
+        return rows.where(F.col("ref").isNotNull())
+
+    def ids(self) -> DataFrame:
+        """(target_key, endpoint, record_id, ref): under which ids a record may be referred to."""
+        rows = self._of_kind(ID).select(
+            F.col("name").alias("target_key"), "endpoint", "record_id", F.explode_outer("refs").alias("ref")
+        )
+        return rows.where(F.col("ref").isNotNull())
+
+    def targets(self) -> DataFrame:
+        """The distinct (target_key, ref) a reference may resolve to."""
+        return self.ids().select("target_key", "ref").distinct()
+
+    def counts(self, expected: Iterable[str] = ()) -> DataFrame:
+        """R8."""
+        return endpoint_counts(self._of_kind(RECORD), expected)
+
+    def statuses(self, pattern: str = VALID_REF_PATTERN) -> DataFrame:
+        """Every reference with its status."""
+        return with_status(self.declared(), self.targets(), pattern)
+
+    def coverage(self, pattern: str = VALID_REF_PATTERN) -> DataFrame:
+        """R5."""
+        return relationship_coverage(self.statuses(pattern), self.counts(), self.relationships)
+
+    def issues(self, expected: Iterable[str] = (), pattern: str = VALID_REF_PATTERN) -> DataFrame:
+        """R7."""
+        return coverage_issues(self.coverage(pattern), self.counts(expected))
+
+    def summary(self, style_endpoint: str = "styles", pattern: str = VALID_REF_PATTERN) -> DataFrame:
+        """R9."""
+        return coverage_summary(self.coverage(pattern), self.counts(), style_endpoint)
 
 
 def declared_refs(
@@ -87,23 +172,10 @@ def declared_refs(
     relationships: Iterable[Relationship] = DEFAULT_RELATIONSHIPS,
     naming: Naming | None = None,
 ) -> DataFrame:
-    """(relationship, target_key, source, record_id, pos, ref), distinct per record.
-
-    ``records`` has the columns endpoint, record_id and payload.
-    """
-    rules = list(relationships)
-    found = _exploded(
-        records, [(r.name, r.source, r.source_fields) for r in rules], naming or Naming()
-    )
-    keys = F.create_map(*[F.lit(x) for r in rules for x in (r.name, r.target_key)])
-    return found.select(
-        F.col("name").alias("relationship"),
-        keys[F.col("name")].alias("target_key"),
-        F.col("endpoint").alias("source_endpoint"),
-        "record_id",
-        "pos",
-        "ref",
-    )
+    """The references of ``References.declared`` in one plan with whatever reads them."""
+    rules = tuple(relationships)
+    sources = records.where(F.col("endpoint").isin(sorted({r.source for r in rules})))
+    return References(extract(sources, rules, naming), rules).declared()
 
 
 def target_ids(
@@ -111,10 +183,10 @@ def target_ids(
     relationships: Iterable[Relationship] = DEFAULT_RELATIONSHIPS,
     naming: Naming | None = None,
 ) -> DataFrame:
-    """The distinct (target_key, ref) a reference may resolve to."""
-    sets = {(r.target_key, r.target, r.target_fields) for r in relationships}
-    found = _exploded(records, sorted(sets), naming or Naming())
-    return found.select(F.col("name").alias("target_key"), "ref").distinct()
+    """The target ids of ``References.targets`` in one plan with whatever reads them."""
+    rules = tuple(relationships)
+    targets = records.where(F.col("endpoint").isin(sorted({r.target for r in rules})))
+    return References(extract(targets, rules, naming), rules).targets()
 
 
 def is_valid_ref(ref: Column, pattern: str = VALID_REF_PATTERN) -> Column:
@@ -204,12 +276,8 @@ def coverage(
     naming: Naming | None = None,
     pattern: str = VALID_REF_PATTERN,
 ) -> DataFrame:
-    """R1-R5 from the current records."""
-    rules = list(relationships)
-    statuses = with_status(
-        declared_refs(records, rules, naming), target_ids(records, rules, naming), pattern
-    )
-    return relationship_coverage(statuses, endpoint_counts(records), rules)
+    """R1-R5 from the current records, which are read once."""
+    return References.of(records, relationships, naming).coverage(pattern)
 
 
 def unresolved_counts(coverage_rows: DataFrame) -> DataFrame:
@@ -226,22 +294,20 @@ def unresolved_counts(coverage_rows: DataFrame) -> DataFrame:
 def coverage_issues(coverage_rows: DataFrame, counts: DataFrame) -> DataFrame:
     """(code, severity, bucket, count), sorted."""
 
-    def rows(of: DataFrame, code: str, severity: str, bucket: str, count: Column) -> DataFrame:
-        return of.select(
+    def entry(code: str, severity: str, bucket: str, count: Column) -> Column:
+        return F.struct(
             F.lit(code).alias("code"),
             F.lit(severity).alias("severity"),
             F.col(bucket).alias("bucket"),
             count.cast("long").alias("count"),
         )
 
-    missing = coverage_rows.where("missing_refs > 0")
-    invalid = coverage_rows.where("invalid_refs > 0")
-    parts = rows(missing, MISSING_CODE, "error", "relationship", F.col("missing_refs"))
-    parts = parts.unionByName(
-        rows(invalid, INVALID_CODE, "error", "relationship", F.col("invalid_refs"))
-    ).unionByName(
-        rows(counts.where("records = 0"), EMPTY_CODE, "warning", "endpoint", F.lit(1))
+    of_rules = F.array(
+        entry(MISSING_CODE, "error", "relationship", F.col("missing_refs")),
+        entry(INVALID_CODE, "error", "relationship", F.col("invalid_refs")),
     )
+    empty = counts.where("records = 0").select(F.inline(F.array(entry(EMPTY_CODE, "warning", "endpoint", F.lit(1)))))
+    parts = coverage_rows.select(F.inline(of_rules)).where("count > 0").unionByName(empty)
     return parts.orderBy("code", "severity", "bucket")
 
 

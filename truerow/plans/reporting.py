@@ -27,14 +27,10 @@ def write_coverage_report(
     The measured rows, one per relationship and endpoint, are stored once and all sheets are
     made from them, so the records are read a single time.
     """
-    records = store.current_records()
     work = f"{store.root}/_work/coverage-{uuid.uuid4().hex}"
-    counts = _stored(refs.endpoint_counts(records, expected_endpoints), f"{work}/counts")
-    rules = list(relationships)
-    statuses = refs.with_status(
-        refs.declared_refs(records, rules, naming), refs.target_ids(records, rules, naming)
-    )
-    rows = _stored(refs.relationship_coverage(statuses, counts, rules), f"{work}/rows")
+    found = refs.References.of(store.current_records(), relationships, naming, f"{work}/references")
+    counts = _stored(found.counts(expected_endpoints), f"{work}/counts")
+    rows = _stored(refs.relationship_coverage(found.statuses(), counts, found.relationships), f"{work}/rows")
     present = counts.where("records > 0")
     sheets = reports.coverage_sheets(
         refs.coverage_summary(rows, present),

@@ -23,6 +23,10 @@ from truerow.queries.tables import (
 )
 
 
+def _references(spark: SparkSession, sf_dir: str) -> refs.References:
+    return refs.References.of(referring_records(spark, sf_dir), RELATIONSHIPS)
+
+
 def reference_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     """R1, R2."""
     found = refs.declared_refs(referring_records(spark, sf_dir), RELATIONSHIPS)
@@ -31,47 +35,32 @@ def reference_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def reference_status(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every reference with its status."""
-    records = referring_records(spark, sf_dir)
-    statuses = refs.with_status(
-        refs.declared_refs(records, RELATIONSHIPS), refs.target_ids(records, RELATIONSHIPS)
-    )
-    return statuses.select("relationship", "record_id", "ref", "status")
-
-
-def _coverage(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return refs.coverage(referring_records(spark, sf_dir), RELATIONSHIPS)
+    return _references(spark, sf_dir).statuses().select("relationship", "record_id", "ref", "status")
 
 
 def reference_coverage(spark: SparkSession, sf_dir: str) -> DataFrame:
     """R5."""
-    return _coverage(spark, sf_dir)
+    return _references(spark, sf_dir).coverage()
 
 
 def coverage_unresolved(spark: SparkSession, sf_dir: str) -> DataFrame:
     """R6."""
-    return refs.unresolved_counts(_coverage(spark, sf_dir))
-
-
-def _counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return refs.endpoint_counts(referring_records(spark, sf_dir), ["parts", "seasons"])
+    return refs.unresolved_counts(_references(spark, sf_dir).coverage())
 
 
 def endpoint_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """R8, with one expected endpoint that has no records."""
-    return _counts(spark, sf_dir)
+    return refs.endpoint_counts(referring_records(spark, sf_dir), ["parts", "seasons"])
 
 
 def coverage_issues(spark: SparkSession, sf_dir: str) -> DataFrame:
     """R7."""
-    return refs.coverage_issues(_coverage(spark, sf_dir), _counts(spark, sf_dir))
+    return _references(spark, sf_dir).issues(["parts", "seasons"])
 
 
 def coverage_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     """R9."""
-    records = referring_records(spark, sf_dir)
-    return refs.coverage_summary(
-        _coverage(spark, sf_dir), refs.endpoint_counts(records), "orders"
-    )
+    return _references(spark, sf_dir).summary("orders")
 
 
 def coverage_report(spark: SparkSession, sf_dir: str) -> DataFrame:
