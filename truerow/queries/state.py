@@ -55,7 +55,8 @@ FROM (
 # 20 to 30 are deletions; sign-ups above 100 carry no time.
 
 
-def _file_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+def file_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(endpoint, payload, event_id, file_ord): the lines of three files per event type."""
     events = spread(table(spark, sf_dir, "events"))
     value = F.col("value")
     timed = ~((F.col("event_type") == "signup") & (value > 100))
@@ -65,12 +66,16 @@ def _file_events(spark: SparkSession, sf_dir: str) -> DataFrame:
         (~value.between(20, 30)).alias("active"),
         "event_id",
     )
-    lines = events.select(
+    return events.select(
         F.col("event_type").alias("endpoint"),
         F.to_json(payload).alias("payload"),
         "event_id",
         F.when(value < 25, 0).when(value < 60, 1).otherwise(2).alias("file_ord"),
     )
+
+
+def _file_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    lines = file_lines(spark, sf_dir)
     winners = latest_per_key(
         extract(lines, SCHEMAS),
         ["endpoint", "record_id", "file_ord"],
