@@ -1,6 +1,7 @@
 """URL cascade, sharding, exact deduplication and quality rules against brute force."""
 
 import hashlib
+import random
 import re
 import struct
 import zlib
@@ -163,11 +164,38 @@ def test_thresholds_follow_the_group(spark):
     assert not out.pop(1000) and not out.pop(1001) and all(out.values())
 
 
-def test_sketches_merge(spark):
-    """Quartiles of merged sketches are within a sixteenth of the true ones."""
-    rows = spark.range(5000).select(
-        F.lit("en").alias("lang"), (F.col("id") % 7).cast("string").alias("source"), F.lit(5).alias("n_words"),
-        F.struct(*[((F.col("id") * (i + 1)) % 4999).alias(m) for i, m in enumerate(quality_rules.METRICS)]).alias("m"),
-    )
-    for r in quality_rules.quartiles(quality_rules.sketches(rows), ["lang"]).collect():
-        assert r.n == 5000 and 1250 * 15 / 16 - 2 <= r.q1 <= 1251 and 3750 * 15 / 16 - 2 <= r.q3 <= 3751
+def test_mixed_sketches(spark):
+    """A group's mixed counts are its own, plus its language's, plus all rows', each by its weight."""
+    rng = random.Random(5)
+    rows = [(rng.choice(["en", "en", "de", None]), rng.choice(["a", "b", None]), rng.choice([3, 7, 900])) for _ in range(400)]
+    names = list(quality_rules.METRICS)
+    frame = spark.createDataFrame(rows, "lang string, source string, v long").select(
+        "lang", "source", F.lit(50).alias("n_words"), F.struct(*[F.col("v").alias(m) for m in names]).alias("m")
+    )
+    k, low = quality_rules.PSEUDO, {3: 3, 7: 7, 900: 896}
+
+    def share(chosen, upto):
+        return sum(low[v] <= upto for v in chosen), len(chosen)
+
+    for r in quality_rules.mixed(quality_rules.sketches(frame)).where(F.col("metric") == names[0]).collect():
+        own, n = share([v for l, s, v in rows if (l, s) == (r.lang, r.source)], r.low)
+        of_lang, n_lang = share([v for l, _, v in rows if l == r.lang], r.low)
+        of_all, n_all = share([v for _, _, v in rows], r.low)
+        assert r.total == n + k
+        assert abs(r.upto - (own + k * (of_lang + k * of_all / n_all) / (n_lang + k))) < 1e-9
+
+
+def test_every_fence_moves_with_its_group(spark):
+    """Groups that differ in one metric get different fences for it; a large group hardly feels the others."""
+    rows = []
+    for i in range(3000):
+        loud = i % 2
+        words = [f"w{i}x{j}" + ("#" if loud and j < i % 9 + 3 else "") + ("yy" * (i % 4) if loud else "") for j in range(40)]
+        lines = [" ".join(words[j : j + 4]) for j in range(0, 40, 4)]
+        repeated = (i % 11) // 4 if loud else 0
+        lines += lines[:repeated]
+        rows.append((i, "\n".join(lines), "en", "loud" if loud else "calm", 0))
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    of = {r.source: r for r in quality_rules.thresholds(quality_rules.sketches(quality_rules.measure(docs).withColumn("m", quality_rules.metrics()))).collect()}
+    for m in quality_rules.METRICS:
+        assert of["loud"][f"fence_{m}"].high > of["calm"][f"fence_{m}"].high, m

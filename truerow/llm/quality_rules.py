@@ -14,14 +14,15 @@ from truerow.llm.common import ASCII_SPACE, split_documents, stored, table, text
 
 SYMBOLS = b"#*$%&|<>"
 WINDOW = 5
-#: Whole numbers that the rules compare, each with the margin that a fence leaves at least.
-METRICS = {"word_length": 100, "symbols": 100, "dup_lines": 300, "repeats": 100}
+#: Whole numbers that the rules compare: the percentile at which a metric's tail starts, and how many times
+#: the distance from the median to it a value may lie beyond. Junk fills up to a seventh of a source
+#: and stands out by word length and symbols; repetition is a matter of degree in good texts as well.
+METRICS = {"word_length": (85, 3), "symbols": (85, 3), "dup_lines": (98, 1), "repeats": (98, 1)}
 #: Metrics that can also be too low.
 TWO_SIDED = ("word_length",)
-#: Fences lie so many quartile ranges outside the quartiles.
-REACH = 3
-#: Smaller groups borrow the sketch of their language, then that of all rows.
-LEAST_ROWS = 200
+#: Every group's sketch is mixed with that of its language, weighed as so many rows, and the language's
+#: with that of all rows in the same way: a small group leans on its parent, a large one does not.
+PSEUDO = 50.0
 #: Each power of two has so many bins: a quantile is exact to one part in 16.
 BINS_LOG2 = 4
 
@@ -118,44 +119,63 @@ def sketches(measured: DataFrame) -> DataFrame:
     return low.groupBy("lang", "source", "metric", "low").agg(F.count("*").alias("n"))
 
 
-def quartiles(sketch: DataFrame, by: list[str]) -> DataFrame:
-    """n, q1 and q3 per group, of the merged sketches of its members."""
-    keys = [*by, "metric"]
-    merged = sketch.groupBy(*keys, "low").agg(F.sum("n").alias("n"))
+def mixed(sketch: DataFrame) -> DataFrame:
+    """Per language, source and metric the bins of all rows, with the mixed number of rows `upto` each.
+
+    Merged sketches of the language and of all rows are laid over the group's own bins; a group has
+    a few hundred rows. `total` is the number of all rows of the mixture.
+    """
+    keys = ["lang", "source", "metric"]
+    of_lang = sketch.groupBy("lang", "metric", "low").agg(F.sum("n").alias("n"))
+    of_all = sketch.groupBy("metric", "low").agg(F.sum("n").alias("n"))
+    groups = sketch.select(*keys).distinct()
+    none = F.lit(0).cast("long")
+    own = sketch.select(*keys, "low", F.col("n").alias("own"), none.alias("lang_n"), none.alias("all_n"))
+    lang = groups.alias("g").join(
+        of_lang.alias("l"),
+        F.col("g.lang").eqNullSafe(F.col("l.lang")) & (F.col("g.metric") == F.col("l.metric")),
+    ).select("g.*", "l.low", none.alias("own"), F.col("l.n").alias("lang_n"), none.alias("all_n"))
+    whole = groups.join(of_all, "metric").select(
+        *keys, "low", none.alias("own"), none.alias("lang_n"), F.col("n").alias("all_n")
+    )
+    numbers = ("own", "lang_n", "all_n")
+    cells = own.union(lang).union(whole).groupBy(*keys, "low").agg(*[F.sum(c).alias(c) for c in numbers])
     group = W.partitionBy(*keys)
-    ranked = merged.withColumns(
-        {"upto": F.sum("n").over(group.orderBy("low")), "all": F.sum("n").over(group)}
+    o, l, a = (F.sum(c).over(group.orderBy("low")).cast("double") for c in numbers)
+    n, ln, an = (F.sum(c).over(group).cast("double") for c in numbers)
+    pseudo = F.lit(PSEUDO)
+    return cells.select(
+        *keys,
+        "low",
+        (o + pseudo * ((l + pseudo * a / an) / (ln + pseudo))).alias("upto"),
+        (n + pseudo).alias("total"),
     )
 
-    def at(quarter: int) -> Column:
-        return F.min(F.when(F.col("upto") * 4 >= F.col("all") * quarter, F.col("low")))
-
-    return ranked.groupBy(*keys).agg(F.max("all").alias("n"), at(1).alias("q1"), at(3).alias("q3"))
-
 
 def thresholds(sketch: DataFrame) -> DataFrame:
-    """One row per language and source: the fences of every metric.
+    """One row per language and source: the fences of every metric, from quantiles of its mixed sketch."""
+    percent, reach = (
+        F.element_at(F.create_map(*[F.lit(x) for m, pair in METRICS.items() for x in (m, pair[i])]), F.col("metric"))
+        for i in (0, 1)
+    )
 
-    A fence lies three quartile ranges and a margin outside the quartiles of the rows' own
-    group; a group under LEAST_ROWS takes those of its language, a language under it those of
-    all rows.
-    """
-    levels = ["lang", "source"], ["lang"], []
-    own, lang, whole = (
-        quartiles(sketch, by).select(*by, "metric", F.struct("n", "q1", "q3").alias(name))
-        for by, name in zip(levels, ("own", "of_lang", "of_all"))
+    def at(wanted: Column) -> Column:
+        return F.min(F.when(F.col("upto") * 100 >= F.col("total") * wanted, F.col("low")))
+
+    q = mixed(sketch).groupBy("lang", "source", "metric").agg(
+        at(F.lit(50)).alias("middle"), at(percent).alias("tail"), at(100 - percent).alias("head")
     )
-    joined = own.alias("o").join(
-        lang.alias("l"),
-        F.col("o.lang").eqNullSafe(F.col("l.lang")) & (F.col("o.metric") == F.col("l.metric")),
-    ).select("o.*", "l.of_lang").join(whole, "metric")
-    q = F.when(F.col("own.n") >= LEAST_ROWS, F.col("own")).when(
-        F.col("of_lang.n") >= LEAST_ROWS, F.col("of_lang")
-    ).otherwise(F.col("of_all"))
-    margin = F.element_at(F.create_map(*[F.lit(x) for pair in METRICS.items() for x in pair]), F.col("metric"))
-    reach = (q["q3"] - q["q1"]) * REACH + margin
-    fences = joined.select(
-        "lang", "source", "metric", F.struct((q["q1"] - reach).alias("low"), (q["q3"] + reach).alias("high")).alias("f")
+    # A value anywhere in the tail's first bin is as good as that bin.
+    shift = F.greatest(F.length(F.bin("tail")) - 1 - BINS_LOG2, F.lit(0))
+    q = q.withColumn("shift", shift).withColumn("tail", F.expr("tail + shiftleft(CAST(1 AS BIGINT), shift) - 1"))
+    fences = q.select(
+        "lang",
+        "source",
+        "metric",
+        F.struct(
+            (F.col("head") - reach * (F.col("middle") - F.col("head"))).alias("low"),
+            (F.col("tail") + reach * (F.col("tail") - F.col("middle"))).alias("high"),
+        ).alias("f"),
     )
     return fences.groupBy("lang", "source").agg(
         *[F.max(F.when(F.col("metric") == m, F.col("f"))).alias(f"fence_{m}") for m in METRICS]
@@ -167,10 +187,11 @@ def apply_rules(docs: DataFrame) -> DataFrame:
 
     Reads doc_id, text, lang and source only. Null and empty texts have no words and fail the
     base rule. A null language or source is a group of its own. Equal rows are judged alike.
-    The thresholds come from all rows with a word. An empty table gives no rows.
+    The thresholds come from all rows that the base rule leaves. An empty table gives no rows.
     """
     measured = stored(measure(docs).withColumn("m", metrics()), "features")
-    fences = thresholds(sketches(measured))
+    failed = (F.col("n_words") < 10) | (F.col("n_repeat_words") * 100 > F.col("n_words") * 20)
+    fences = thresholds(sketches(measured.where(~failed)))
     joined = measured.alias("d").join(
         fences.alias("t"),
         F.col("d.lang").eqNullSafe(F.col("t.lang")) & F.col("d.source").eqNullSafe(F.col("t.source")),
@@ -182,7 +203,6 @@ def apply_rules(docs: DataFrame) -> DataFrame:
         inside = inside & F.coalesce(value <= fence["high"], F.lit(True))
         if m in TWO_SIDED:
             inside = inside & F.coalesce(value >= fence["low"], F.lit(True))
-    failed = (F.col("n_words") < 10) | (F.col("n_repeat_words") * 100 > F.col("n_words") * 20)
     return joined.select(
         "d.doc_id",
         "n_words",
@@ -228,7 +248,7 @@ f AS (
   FROM w LEFT JOIN lines l ON l.doc_id = w.doc_id LEFT JOIN covered c ON c.doc_id = w.doc_id
 ),
 m AS (
-  SELECT doc_id, lang, source, n_words, unnest([
+  SELECT doc_id, lang, source, n_words, n_repeat_words, unnest([
     {metric: 'word_length', v: CASE WHEN n_words > 0 THEN word_chars * 100 // n_words ELSE 0 END},
     {metric: 'symbols', v: CASE WHEN n_words > 0 THEN n_symbols * 1000 // n_words ELSE 0 END},
     {metric: 'dup_lines', v: CASE WHEN n_lines > 0 THEN n_dup_lines * 1000 // n_lines ELSE 0 END},
@@ -238,40 +258,48 @@ m AS (
 low AS (
   SELECT lang, source, metric,
     (v >> greatest(length(bin(v)) - 5, 0)) << greatest(length(bin(v)) - 5, 0) AS low
-  FROM m WHERE n_words > 0
+  FROM m WHERE n_words >= 10 AND 100 * n_repeat_words <= 20 * n_words
+),
+own AS (SELECT lang, source, metric, low, count(*) AS c FROM low GROUP BY ALL),
+groups AS (SELECT DISTINCT lang, source, metric FROM own),
+grid AS (
+  SELECT lang, source, metric, low, c AS o, 0 AS l, 0 AS a FROM own
+  UNION ALL SELECT g.lang, g.source, g.metric, o.low, 0, o.c, 0
+  FROM groups g JOIN own o ON o.lang IS NOT DISTINCT FROM g.lang AND o.metric = g.metric
+  UNION ALL SELECT g.lang, g.source, g.metric, o.low, 0, 0, o.c FROM groups g JOIN own o ON o.metric = g.metric
+),
+cells AS (
+  SELECT lang, source, metric, low, CAST(sum(o) AS DOUBLE) AS o, CAST(sum(l) AS DOUBLE) AS l, CAST(sum(a) AS DOUBLE) AS a
+  FROM grid GROUP BY ALL
 ),
-scopes AS (
-  SELECT 'own' AS scope, lang, source, metric, low FROM low
-  UNION ALL SELECT 'lang', lang, NULL, metric, low FROM low
-  UNION ALL SELECT 'all', NULL, NULL, metric, low FROM low
+upto AS (
+  SELECT lang, source, metric, low, sum(o) OVER u AS o, sum(l) OVER u AS l, sum(a) OVER u AS a,
+    sum(o) OVER g AS n, sum(l) OVER g AS ln, sum(a) OVER g AS an
+  FROM cells WINDOW u AS (PARTITION BY lang, source, metric ORDER BY low), g AS (PARTITION BY lang, source, metric)
 ),
-bins AS (SELECT scope, lang, source, metric, low, count(*) AS c FROM scopes GROUP BY ALL),
-ranked AS (
-  SELECT *, sum(c) OVER (PARTITION BY scope, lang, source, metric ORDER BY low) AS upto,
-    sum(c) OVER (PARTITION BY scope, lang, source, metric) AS n FROM bins
+mixed AS (
+  SELECT lang, source, metric, low, o + 50.0::DOUBLE * ((l + 50.0::DOUBLE * a / an) / (ln + 50.0::DOUBLE)) AS upto,
+    n + 50.0::DOUBLE AS total,
+    CASE WHEN metric IN ('word_length', 'symbols') THEN 85 ELSE 98 END AS percent,
+    CASE WHEN metric IN ('word_length', 'symbols') THEN 3 ELSE 1 END AS reach
+  FROM upto
 ),
 q AS (
-  SELECT scope, lang, source, metric, any_value(n) AS n, min(low) FILTER (upto * 4 >= n) AS q1,
-    min(low) FILTER (upto * 4 >= n * 3) AS q3
-  FROM ranked GROUP BY scope, lang, source, metric
+  SELECT lang, source, metric, any_value(reach) AS reach, min(low) FILTER (upto * 100 >= total * 50) AS middle,
+    min(low) FILTER (upto * 100 >= total * percent) AS tail, min(low) FILTER (upto * 100 >= total * (100 - percent)) AS head
+  FROM mixed GROUP BY lang, source, metric
 ),
 fences AS (
-  SELECT o.lang, o.source, o.metric,
-    CASE WHEN o.n >= 200 THEN o.q1 WHEN l.n >= 200 THEN l.q1 ELSE a.q1 END AS q1,
-    CASE WHEN o.n >= 200 THEN o.q3 WHEN l.n >= 200 THEN l.q3 ELSE a.q3 END AS q3,
-    CASE o.metric WHEN 'dup_lines' THEN 300 ELSE 100 END AS margin
-  FROM q o
-  JOIN q l ON l.scope = 'lang' AND l.lang IS NOT DISTINCT FROM o.lang AND l.metric = o.metric
-  JOIN q a ON a.scope = 'all' AND a.metric = o.metric
-  WHERE o.scope = 'own'
+  SELECT lang, source, metric, head - reach * (middle - head) AS least, top + reach * (top - middle) AS most
+  FROM (SELECT *, tail + (1::BIGINT << greatest(length(bin(tail)) - 5, 0)) - 1 AS top FROM q)
 ),
 judged AS (
-  SELECT m.doc_id, bool_and(coalesce(v <= q3 + 3 * (q3 - q1) + margin, true)
-      AND (m.metric <> 'word_length' OR coalesce(v >= q1 - 3 * (q3 - q1) - margin, true))) AS inside,
-    max(CASE WHEN m.metric = 'word_length' THEN q3 + 3 * (q3 - q1) + margin END) AS most_word_length,
-    max(CASE WHEN m.metric = 'symbols' THEN q3 + 3 * (q3 - q1) + margin END) AS most_symbols,
-    max(CASE WHEN m.metric = 'dup_lines' THEN q3 + 3 * (q3 - q1) + margin END) AS most_dup_lines,
-    max(CASE WHEN m.metric = 'repeats' THEN q3 + 3 * (q3 - q1) + margin END) AS most_repeats
+  SELECT m.doc_id, bool_and(coalesce(v <= most, true)
+      AND (m.metric <> 'word_length' OR coalesce(v >= least, true))) AS inside,
+    max(CASE WHEN m.metric = 'word_length' THEN most END) AS most_word_length,
+    max(CASE WHEN m.metric = 'symbols' THEN most END) AS most_symbols,
+    max(CASE WHEN m.metric = 'dup_lines' THEN most END) AS most_dup_lines,
+    max(CASE WHEN m.metric = 'repeats' THEN most END) AS most_repeats
   FROM m LEFT JOIN fences t ON t.lang IS NOT DISTINCT FROM m.lang AND t.source IS NOT DISTINCT FROM m.source
     AND t.metric = m.metric
   GROUP BY m.doc_id
