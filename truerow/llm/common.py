@@ -40,7 +40,17 @@ def stored(rows: DataFrame, name: str) -> DataFrame:
     spark = bounded_batches(rows.sparkSession)
     path = scratch_dir(spark, name)
     rows.write.parquet(path)
-    return spark.read.schema(rows.schema).parquet(path)
+    found = spark.read.schema(rows.schema).parquet(path)
+    found.stored_at = path
+    return found
+
+
+def release(*tables: DataFrame) -> None:
+    """Delete stored tables that nothing reads any more: all that was made of them must be stored as well."""
+    for found in tables:
+        jvm = found.sparkSession.sparkContext._jvm
+        path = jvm.org.apache.hadoop.fs.Path(found.stored_at)
+        path.getFileSystem(found.sparkSession.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def row_key() -> Column:

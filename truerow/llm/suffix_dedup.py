@@ -21,7 +21,7 @@ import zstandard
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from truerow.llm.common import plain_names, row_key, split_documents, stored, table, texts_of
+from truerow.llm.common import plain_names, release, row_key, split_documents, stored, table, texts_of
 from truerow.llm.words import mixed
 
 
@@ -397,7 +397,12 @@ def repeated_places(docs: DataFrame, lengths: Lengths = Lengths(), most_kinds: i
     single = small.mapInArrow(_sorted_groups(lengths), "gram long, around long, start int, stop int")
     single = single.union(_by_spans(around.where(F.col("n_kinds") > most_kinds).drop("n", "n_kinds"), lengths))
     single = single.join(kinds.where("n = 1").select("gram", "around"), ["gram", "around"], "left_semi")
-    return found.join(twice.union(single), ["gram", "around"]).select("key", "place", "start", "stop")
+    single = stored(single, "single-ranges")
+    release(around)
+    ranges = found.join(twice.union(single), ["gram", "around"]).select("key", "place", "start", "stop")
+    ranges = stored(ranges, "ranges")
+    release(found, kinds, single)
+    return ranges
 
 
 def _repeated_grams(kinds: DataFrame) -> DataFrame:
