@@ -18,17 +18,18 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from truerow.llm.common import crc32_of, split_documents, stored, table, texts_of
+from truerow.llm.common import crc32_of, release, split_documents, stored, table, texts_of
 from truerow.llm.words import WordHashes, hashed_words
 
 #: Words are known by a 64-bit hash; the end of a text is a word of its own.
 END = np.uint64(0x9E3779B97F4A7C15)
 CLASSES = 32
-#: Words whose rounds among each other give the first classes.
-CORE = 8192
-#: Words (core included) whose counts and classes are sent to every task: about 1 MB. All others
-#: are looked up by a join.
-HEAD = 65_536
+#: Words whose exchange among each other gives the first classes: their counts are at most
+#: CORE x CORE numbers, which the driver holds.
+CORE = 1024
+#: Most words (core included) whose counts and classes are sent to every task: about 5 MB. All
+#: others are looked up by a join.
+HEAD = 1 << 18
 ROUNDS = 12
 #: Rounds of all words; in each one half may move.
 ALL_ROUNDS = 2
@@ -38,8 +39,6 @@ START = 1 << 20
 AT_START, NOWHERE = 2 * CLASSES, 2 * CLASSES + 1
 #: Weight of the class model beside the unigram, and pseudo-counts of a class's share.
 MIX, PRIOR = 0.9, 5.0
-#: Core words in a row of partial counts, and partial sums per block.
-BLOCK, SALTS = 256, 16
 FLUSH = 1_500_000
 
 
@@ -82,9 +81,9 @@ class Index:
         return np.where(self.sorted[at] == hashes, self.order[at], self.missing)
 
 
-def _bigrams(head: np.ndarray):
-    """Counts of (previous word, word) for all tokens, summed within a task only. Head words are
-    written as their place in `head`, a text's start as START, all other words as their hash."""
+def _bigrams(index: Index):
+    """Counts of (previous word, word) for all tokens, summed within a flush. Head words are
+    written as their place in the head, a text's start as START, all other words as their hash."""
 
     def counted(befores: list[np.ndarray], words: list[np.ndarray]) -> pa.RecordBatch:
         before, word = np.concatenate(befores), np.concatenate(words)
@@ -97,7 +96,7 @@ def _bigrams(head: np.ndarray):
         return pa.RecordBatch.from_arrays(columns, names=["before", "word", "n"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        memory, index = WordHashes(), Index(head)
+        memory = WordHashes()
         befores, words, held = [], [], 0
         for batch in split_documents(batches, 4 << 20):
             hashes, sizes = with_ends(texts_of(batch), memory)
@@ -117,50 +116,6 @@ def _bigrams(head: np.ndarray):
     return run
 
 
-def _arrays(batch: pa.RecordBatch) -> list[np.ndarray]:
-    return [column.to_numpy(zero_copy_only=False) for column in batch.columns]
-
-
-def _neighbour_counts(classes: np.ndarray):
-    """Per task: how often each core word has each class directly before and after it."""
-    n_words, width = len(classes), CLASSES + 1
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros((2, n_words, width), np.int64)
-        for batch in batches:
-            before, word, n = _arrays(batch)
-            for side, (own, other) in enumerate(((word, before), (before, word))):
-                cell = own * width + classes[other]
-                counts = np.bincount(cell, n, minlength=total[side].size)
-                total[side] += counts.astype(np.int64).reshape(total[side].shape)
-        salt = TaskContext.get().partitionId() % SALTS
-        blocks = range(0, n_words, BLOCK)
-        raw = [total[:, b : min(b + BLOCK, n_words)].tobytes() for b in blocks]
-        columns = [pa.array([b // BLOCK for b in blocks], pa.int64()), pa.array([salt] * len(raw), pa.int64())]
-        yield pa.RecordBatch.from_arrays([*columns, pa.array(raw, pa.binary())], names=["block", "salt", "counts"])
-
-    return run
-
-
-def _summed(frame: pd.DataFrame) -> pd.DataFrame:
-    total = sum(np.frombuffer(raw, np.int64) for raw in frame.counts)
-    return pd.DataFrame({"block": frame.block.iloc[:1], "salt": frame.salt.iloc[:1], "counts": [total.tobytes()]})
-
-
-def neighbour_counts(bigrams: DataFrame, classes: np.ndarray) -> np.ndarray:
-    """[before, after] x core word x class. The size is fixed by CORE and CLASSES."""
-    schema = "block long, salt long, counts binary"
-    parts = bigrams.mapInArrow(_neighbour_counts(classes), schema)
-    for keys in (("block", "salt"), ("block",)):  # no group sums the rows of all tasks at once
-        parts = parts.groupBy(*keys).applyInPandas(_summed, schema)
-    total = np.zeros((2, len(classes), CLASSES + 1), np.int64)
-    for row in parts.collect():
-        first = row["block"] * BLOCK
-        last = min(first + BLOCK, len(classes))
-        total[:, first:last] += np.frombuffer(row["counts"], np.int64).reshape(2, last - first, CLASSES + 1)
-    return total
-
-
 def exchange(
     counts: np.ndarray, classes: np.ndarray, totals: tuple[np.ndarray, np.ndarray] | None = None
 ) -> np.ndarray:
@@ -191,19 +146,31 @@ def exchange(
     return np.argmax(gain(before, totals[0]) + gain(after, totals[1]), axis=1)
 
 
-def cluster(bigrams: DataFrame, n_words: int) -> np.ndarray:
-    """First classes of the core words, most frequent first. In each round one half may move."""
-    classes = np.arange(n_words) % CLASSES
+def cluster(follow: np.ndarray) -> np.ndarray:
+    """First classes of the core words, most frequent first, by how often each (row) comes directly
+    before each (column). In each round one half may move."""
+    n_words = len(follow)
+    place = np.arange(n_words)
+    classes = place % CLASSES
     for step in range(ROUNDS):
-        wanted = exchange(neighbour_counts(bigrams, classes), classes)
-        turn = (np.arange(n_words) // 3 + step) % 2 == 0
-        moved = turn & (wanted != classes)
+        onehot = np.eye(CLASSES)[classes]
+        wanted = exchange(np.stack([follow.T @ onehot, follow @ onehot]), classes)
+        moved = ((place // 3 + step) % 2 == 0) & (wanted != classes)
         classes = np.where(moved, wanted, classes)
         if step % 2 and moved.sum() < n_words // 200:
             break
     return classes
 
 
+def core_counts(bigrams: DataFrame, n_words: int) -> np.ndarray:
+    """before x word among the core. At most CORE x CORE rows reach the driver."""
+    inner = bigrams.where(F.col("before").between(0, n_words - 1) & F.col("word").between(0, n_words - 1))
+    found = inner.select((F.col("before") * n_words + F.col("word")).cast("int").alias("cell"), "n").toPandas()
+    follow = np.zeros(n_words * n_words)
+    follow[found["cell"].to_numpy(np.int64)] = found["n"].to_numpy()
+    return follow.reshape(n_words, n_words)
+
+
 def histories(codes: np.ndarray, sizes: np.ndarray, classes: np.ndarray) -> np.ndarray:
     """Per token: twice the class of the last core word before it in its text, plus one if other
     words lie between; 2 * CLASSES where there is none. Stands in where the word before is unknown. `codes` >= len(classes) are not core."""
@@ -217,59 +184,43 @@ def histories(codes: np.ndarray, sizes: np.ndarray, classes: np.ndarray) -> np.n
     return np.where(last >= start, 2 * of_last + (last < place - 1), 2 * CLASSES)
 
 
-def _beside_head(head_class: np.ndarray, all_placed: bool):
-    """(word, k, n): how often each word has a head word of a class beside it, by `side` codes.
+def _in_head(word: str) -> Column:
+    return F.col(word).between(0, START - 1)
 
-    The start of a text counts as a neighbour. Unless `all_placed`, neighbours without a class
-    (-1 in `head_class`, or outside the head) before a word count as NOWHERE.
-    """
-    of = np.asarray(head_class, np.int64)
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            before, word, n = _arrays(batch)
-            rows = []
-            for side, own, other in ((0, word, before), (CLASSES, before, word)):
-                in_head = (other >= 0) & (other < len(of))
-                c = np.append(of, -1)[np.where(in_head, other, len(of))]
-                k = np.where(c >= 0, c + side, NOWHERE)
-                k[other == START] = AT_START
-                keep = (k != NOWHERE) if side or all_placed else np.ones(len(k), bool)
-                keep &= own != START
-                rows.append((own[keep], k[keep], n[keep]))
-            word, k, n = (np.concatenate(x) for x in zip(*rows))
-            order = np.lexsort((k, word))
-            word, k, n = word[order], k[order], n[order]
-            first = np.ones(len(word), bool)
-            first[1:] = (word[1:] != word[:-1]) | (k[1:] != k[:-1])
-            at = np.flatnonzero(first)
-            sums = np.add.reduceat(n, at) if len(at) else n
-            columns = [pa.array(word[at]), pa.array(k[at], pa.int32()), pa.array(sums)]
-            yield pa.RecordBatch.from_arrays(columns, names=["word", "k", "n"])
-
-    return run
+def beside(bigrams: DataFrame, of_head: DataFrame, rest: DataFrame | None, after: bool = True) -> DataFrame:
+    """(word, k, n) of all words, not yet summed: k is the class of the word before or AT_START, and with
+    `after` also CLASSES plus the class of the word after.
 
+    Classes of the head come by a broadcast of at most HEAD rows, all others by a join with `rest`
+    (word, class). Without `rest` a word before that has no class counts as NOWHERE.
+    """
+    def head(name: str, own: str) -> DataFrame:
+        return F.broadcast(of_head.select(F.col("word").alias(name), F.col("class").alias(own)))
+
+    k = F.when(F.col("before") == START, AT_START).otherwise(F.col("before_class"))
+    sides = [F.struct("word", (k if rest is not None else F.coalesce(k, F.lit(NOWHERE))).cast("int").alias("k"), "n")]
+    rows = bigrams.join(head("before", "before_class"), "before", "left")
+    if after:
+        rows = rows.join(head("word", "word_class"), "word", "left")
+        own = F.when(F.col("before") != START, F.col("word_class") + CLASSES).cast("int")
+        sides.append(F.struct(F.col("before").alias("word"), own.alias("k"), "n"))
+    found = rows.select(F.inline(F.array(*sides))).where("k IS NOT NULL")
+    if rest is None:
+        return found
 
-def neighbours(bigrams: DataFrame, head_class: np.ndarray, rest: DataFrame | None) -> DataFrame:
-    """(word, k, n) of all words: k is the class of the word before, or CLASSES plus that of the
-    word after. Classes outside the head come by a join with `rest` (word, class)."""
-    found = bigrams.mapInArrow(_beside_head(head_class, rest is not None), "word long, k int, n long")
-    if rest is not None:
-        def outside(word: str) -> Column:
-            return (F.col(word) < 0) | (F.col(word) > START)
+    def tail(other: str, own: str, first: int) -> DataFrame:
+        rows = bigrams.where(~_in_head(other) & (F.col("before") != START))
+        return rows.select(F.col(other).alias("other"), F.col(own).alias("word"), "n", F.lit(first).alias("first"))
 
-        of = rest.select(F.col("word").alias("other"), "class")
-        sides = bigrams.where(outside("before")).select(F.col("before").alias("other"), "word", "n", F.lit(0).alias("side"))
-        after = bigrams.where(outside("word") & (F.col("before") != START))
-        sides = sides.unionByName(
-            after.select(F.col("word").alias("other"), F.col("before").alias("word"), "n", F.lit(CLASSES).alias("side"))
-        )
-        joined = sides.join(of, "other")
-        found = found.unionByName(joined.select("word", (F.col("class") + F.col("side")).cast("int").alias("k"), "n"))
-    return found.groupBy("word", "k").agg(F.sum("n").alias("n"))
+    outside = tail("before", "word", 0)
+    if after:
+        outside = outside.unionByName(tail("word", "before", CLASSES))
+    joined = outside.join(rest.select(F.col("word").alias("other"), "class"), "other")
+    return found.unionByName(joined.select("word", (F.col("class") + F.col("first")).cast("int").alias("k"), "n"))
 
 
-def _place(head_class: np.ndarray, totals: tuple[np.ndarray, np.ndarray], step: int | None):
+def _place(totals: tuple[np.ndarray, np.ndarray], step: int | None):
     """The class of each word by its neighbours. With `step` one half of the words may move;
     without, only words that have no class get one. (word, class, seen) in, (word, class, n) out."""
 
@@ -283,8 +234,6 @@ def _place(head_class: np.ndarray, totals: tuple[np.ndarray, np.ndarray], step:
             k, n = (seen.flatten().field(i).to_numpy(zero_copy_only=False) for i in (0, 1))
             row = np.repeat(np.arange(len(word)), np.diff(seen.offsets.to_numpy()))
             cells = np.bincount(row * (NOWHERE + 1) + k, n, minlength=len(word) * (NOWHERE + 1)).reshape(len(word), -1)
-            in_head = (word >= 0) & (word < len(head_class))
-            old = np.where(in_head, np.append(head_class, -1)[np.where(in_head, word, len(head_class))], old)
             wanted = exchange(np.stack([cells[:, :CLASSES], cells[:, CLASSES : 2 * CLASSES]]), old, totals)
             turn = old < 0 if step is None else (word // 3 + step) % 2 == 0
             own = cells[:, :CLASSES].sum(axis=1) + cells[:, AT_START] + cells[:, NOWHERE]
@@ -294,39 +243,85 @@ def _place(head_class: np.ndarray, totals: tuple[np.ndarray, np.ndarray], step:
     return run
 
 
-def by_class(seen: DataFrame, head_class: np.ndarray, rest: DataFrame | None) -> np.ndarray:
-    """class x k: the neighbours of all words that have a class, summed by class."""
-    in_head = F.col("word").between(0, START - 1)
-    of = seen.sparkSession.createDataFrame(
-        pd.DataFrame({"word": np.arange(len(head_class)), "class": np.asarray(head_class, np.int32)}), "word long, class int"
-    )
-    # At most HEAD rows.
-    known = seen.where(in_head).join(F.broadcast(of), "word").where("class >= 0").select("class", "k", "n")
-    if rest is not None:
-        known = known.unionByName(seen.where(~in_head).join(rest, "word").select("class", "k", seen["n"]))
+def _matrix(rows: DataFrame) -> np.ndarray:
+    """class x k, from rows (class, k, n)."""
     total = np.zeros((CLASSES, NOWHERE + 1))
-    for row in known.groupBy("class", "k").agg(F.sum("n").alias("n")).collect():
+    for row in rows.groupBy("class", "k").agg(F.sum("n").alias("n")).collect():
         total[row["class"], row["k"]] = row["n"]
     return total
 
 
-def place(bigrams: DataFrame, head_class: np.ndarray, rest: DataFrame | None, step: int | None):
-    """One exchange step of all words on the bigrams of all words: the head's classes and the
-    table (word, class, n) of the others."""
-    seen = stored(neighbours(bigrams, head_class, rest), "neighbours")
-    total = by_class(seen, head_class, rest if rest is None else rest.select("word", "class"))
+@dataclass
+class Classes:
+    """The classes of all words: the head's as an array and as a table (word, class, n), the others' as
+    the table `rest` (word, class, n) inside the stored table `placed`."""
+
+    head_class: np.ndarray
+    of_head: DataFrame
+    rest: DataFrame | None = None
+    placed: DataFrame | None = None
+
+
+def head_table(spark: SparkSession, head_class: np.ndarray, head_n: np.ndarray) -> DataFrame:
+    """At most HEAD rows; words without a class are left out."""
+    rows = pd.DataFrame({"word": np.arange(len(head_class)), "class": head_class.astype(np.int32), "n": head_n})
+    return spark.createDataFrame(rows[rows["class"] >= 0], "word long, class int, n long")
+
+
+def place(bigrams: DataFrame, now: Classes, head_n: np.ndarray, step: int | None) -> Classes:
+    """One exchange step of all words on the bigrams of all words."""
+    seen = beside(bigrams, now.of_head, now.rest).groupBy("word", "k").agg(F.sum("n").alias("n"))
     lists = seen.groupBy("word").agg(F.collect_list(F.struct("k", "n")).alias("seen"))
-    if rest is None:
-        lists = lists.select("word", F.lit(None).cast("int").alias("class"), "seen")
+    known = now.of_head.select("word", F.col("class").alias("head_class"))
+    lists = lists.join(F.broadcast(known), "word", "left")
+    if now.rest is None:
+        lists = lists.select("word", F.col("head_class").alias("class"), "seen")
     else:
-        lists = lists.join(rest.select("word", "class"), "word", "left").select("word", "class", "seen")
+        lists = lists.join(now.rest.select("word", "class"), "word", "left")
+        lists = lists.select("word", F.coalesce("head_class", "class").alias("class"), "seen")
+    lists = stored(lists, "neighbours", "zstd")
+    total = _matrix(lists.where("class IS NOT NULL").select("class", F.inline("seen")))
     totals = total[:, :CLASSES], total[:, CLASSES : 2 * CLASSES]
-    placed = stored(lists.mapInArrow(_place(head_class, totals, step), "word long, class int, n long"), "classes")
-    moved = np.array(head_class)
-    in_head = F.col("word").between(0, START - 1)
-    for row in placed.where(in_head).select("word", "class").toPandas().itertuples(index=False):
-        moved[row[0]] = row[1]
-    return moved, placed.where(~in_head)
+    placed = stored(lists.mapInArrow(_place(totals, step), "word long, class int, n long"), "classes")
+    release(lists, *([now.placed] if now.placed is not None else []))
+    head_class = np.array(now.head_class)
+    moved = placed.where(_in_head("word")).select("word", "class").toPandas()  # at most HEAD rows
+    head_class[moved["word"].to_numpy()] = moved["class"].to_numpy()
+    return Classes(head_class, head_table(bigrams.sparkSession, head_class, head_n), placed.where(~_in_head("word")), placed)
+
+
+def transitions(bigrams: DataFrame, now: Classes) -> tuple[np.ndarray, np.ndarray]:
+    """class x k by the words before: of all words, and of the words seen once."""
+    rows = beside(bigrams, now.of_head, now.rest, after=False).groupBy("word", "k").agg(F.sum("n").alias("n"))
+    own = (F.col("c") == 1).alias("once")
+
+    def classed(rows: DataFrame, of: DataFrame) -> DataFrame:
+        return rows.join(of.select("word", "class", F.col("n").alias("c")), "word").select("class", "k", "n", own)
+
+    found = classed(rows.where(_in_head("word")), F.broadcast(now.of_head))
+    found = found.unionByName(classed(rows.where(~_in_head("word")), now.rest))
+    total, once = np.zeros((CLASSES, NOWHERE + 1)), np.zeros((CLASSES, NOWHERE + 1))
+    for row in found.groupBy("class", "k", "once").agg(F.sum("n").alias("n")).collect():
+        total[row["class"], row["k"]] += row["n"]
+        if row["once"]:
+            once[row["class"], row["k"]] += row["n"]
+    return total, once
+
+
+def most_frequent(counts: DataFrame, most: int) -> pd.DataFrame:
+    """The most frequent words, `most` at the most and with their counts, down to a limit of frequency.
+
+    The limit is found from the numbers of words per size of count (eight sizes to a doubling, so
+    some 500 rows), so no task sorts the vocabulary. Words as frequent as the limit are in or out
+    together.
+    """
+    size = F.floor(F.log2("n") * 8)
+    sizes = counts.groupBy(size.alias("size")).count().toPandas().sort_values("size", ascending=False)
+    fits = sizes[sizes["count"].cumsum() <= most]
+    if fits.empty:
+        return pd.DataFrame({"word": np.zeros(0, np.int64), "n": np.zeros(0, np.int64)})
+    found = counts.where(size >= int(fits["size"].min())).toPandas()
+    return found.sort_values(["n", "word"], ascending=[False, True], ignore_index=True)
 
 
 @dataclass
@@ -368,24 +363,26 @@ def fit(docs: DataFrame) -> Model:
     neighbours, and in the last rounds all words may move on the bigrams of all words. The
     transitions are counted over all bigrams with the classes that come out.
     """
+    spark = docs.sparkSession
     texts = docs.select("text")
     counts = texts.mapInArrow(_count_words, "word long, n long").groupBy("word").agg(F.sum("n").alias("n"))
     counts = stored(counts, "word-counts")
     total = counts.agg(F.sum("n").alias("n"), F.count("*").alias("v")).first()
-    head = counts.orderBy(F.desc("n"), "word").limit(min(HEAD, START)).toPandas()
-    words, head_n = head.word.to_numpy(np.int64).view(np.uint64), head.n.to_numpy(np.int64)
+    head = most_frequent(counts, min(HEAD, START))
+    words, head_n = head["word"].to_numpy(np.int64).view(np.uint64), head["n"].to_numpy(np.int64)
     core = words[:CORE]
-    bigrams = stored(texts.mapInArrow(_bigrams(words), "before long, word long, n long"), "bigrams")
-    inner = stored(bigrams.where(F.col("before").between(0, len(core) - 1) & F.col("word").between(0, len(core) - 1)), "core-bigrams")
+    pairs = texts.mapInArrow(_bigrams(Index(words)), "before long, word long, n long")
+    bigrams = stored(pairs.groupBy("before", "word").agg(F.sum("n").alias("n")), "bigrams", "zstd")
+    release(counts)
     head_class = np.full(len(words), -1, np.int64)
-    head_class[: len(core)] = cluster(inner, len(core))
+    head_class[: len(core)] = cluster(core_counts(bigrams, len(core)))
 
-    head_class, rest = place(bigrams, head_class, None, None)
-    for step in range(ALL_ROUNDS):
-        head_class, rest = place(bigrams, head_class, rest, step)
-    seen = stored(neighbours(bigrams, head_class, rest), "neighbours")
-    by_word = by_class(seen, head_class, rest.select("word", "class"))
-    once = by_class(seen.join(rest.where("n = 1").select("word"), "word", "left_semi"), head_class, rest.select("word", "class"))
+    now = Classes(head_class, head_table(spark, head_class, head_n))
+    for step in (None, *range(ALL_ROUNDS)):
+        now = place(bigrams, now, head_n, step)
+    by_word, once = transitions(bigrams, now)
+    release(bigrams)
+    head_class = now.head_class
 
     def smoothed(n: np.ndarray) -> np.ndarray:
         prior = (n.sum(axis=0) + 1) / (n.sum() + CLASSES)
@@ -397,9 +394,8 @@ def fit(docs: DataFrame) -> Model:
     # An unknown word between is of the classes that words seen once have there.
     transition[1::2] = smoothed(once[:, :CLASSES].T) @ after[:CLASSES]
 
-    spark = docs.sparkSession
     of_head = pd.DataFrame({"word": words.view(np.int64), "class": head_class.astype(np.int32), "n": head_n})
-    table_ = rest.unionByName(spark.createDataFrame(of_head, "word long, class int, n long"))
+    table_ = now.rest.unionByName(spark.createDataFrame(of_head, "word long, class int, n long"))
     sums = {r["class"]: r for r in table_.groupBy("class").agg(
         F.sum("n").alias("n"), F.count_if(F.col("n") == 1).alias("once")).collect()}
     class_n = np.array([sums[c]["n"] if c in sums else 0 for c in range(CLASSES)], float)
@@ -424,7 +420,8 @@ def _score_head(parameters: dict):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         p = parameters
-        memory, index, core = WordHashes(), Index(p["head"]), Index(p["core"])
+        memory, index, core = WordHashes(), p["index"], p["core"]
+        add_one = np.log10(p["head_n"] + 1.0)
         row = TaskContext.get().partitionId() << 40
         of_head, n_head = np.append(p["head_class"], 0), np.append(p["head_n"], 0)
         for batch in split_documents(batches, 4 << 20):
@@ -441,7 +438,6 @@ def _score_head(parameters: dict):
             known = code < index.missing
             here = known & ~by_join
             k, kh = code[here], h[here]
-            add_one = np.log10(p["head_n"] + 1.0)
             chance = p["by_class"][kh, of_head[k]] * n_head[k] + p["unigram"] * (n_head[k] + 1)
             n = len(sizes)
             base = np.bincount(doc[known], add_one[code[known]], n) - p["log_total"] * sizes
@@ -486,11 +482,11 @@ def score_documents(docs: DataFrame, model: Model) -> DataFrame:
     unigram = (1 - MIX) / (m.tokens + m.distinct + 1)
     log_total = float(np.log10(m.tokens + m.distinct + 1))
     parameters = {
-        "head": m.head, "head_n": m.head_n, "head_class": m.head_class, "core": m.core,
+        "index": Index(m.head), "head_n": m.head_n, "head_class": m.head_class, "core": Index(m.core),
         "core_class": m.core_class, "by_class": per_class, "unigram": unigram, "log_total": log_total,
     }
     rows = docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(_score_head(parameters), _PARTS)
-    rows = stored(rows, "head-scores")
+    rows = stored(rows, "head-scores", "zstd")
     rest = rows.select("row", F.inline("rest"))
     of_before = m.words.select(F.col("word").alias("before"), F.col("class").alias("before_class"))
     joined = rest.where("before IS NOT NULL").join(of_before, "before", "left")

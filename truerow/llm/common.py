@@ -32,14 +32,14 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def stored(rows: DataFrame, name: str) -> DataFrame:
+def stored(rows: DataFrame, name: str, codec: str | None = None) -> DataFrame:
     """The rows, written once below the cluster's shared folder and read back.
 
     Cuts the lineage and survives the loss of executors; used where a result is read twice.
     """
     spark = bounded_batches(rows.sparkSession)
     path = scratch_dir(spark, name)
-    rows.write.parquet(path)
+    rows.write.parquet(path, compression=codec)
     found = spark.read.schema(rows.schema).parquet(path)
     found.stored_at = path
     return found
