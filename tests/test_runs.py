@@ -1,11 +1,12 @@
 import json
 import os
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
 
-from truerow.config import Relationship, TrackingConfig, load_endpoint_schemas
-from truerow.operators import affected, changelog
+from truerow.config import Naming, Relationship, RuleSet, TrackingConfig, load_endpoint_schemas
+from truerow.operators import affected, changelog, readiness, reports
 from truerow.operators.apply import ingest
 from truerow.operators.incremental import batch_manifest, run_manifest
 from truerow.plans import cycles, targets
@@ -115,7 +116,51 @@ def test_targets_describe_themselves_and_the_check_is_built_in(spark, tmp_path,
     with pytest.raises(ValueError, match="reconstruct"):
         run_full(store, "unknown")
     with pytest.raises(ValueError, match="report"):
-        run_full(store, "check", report_folder=str(tmp_path / "r"))
+        targets.report("unknown", spark.range(1), str(tmp_path / "r"))
+
+
+def test_the_check_writes_its_report(spark, tmp_path, write_jsonl):
+    store = MasterStore(spark, str(tmp_path / "store"), buckets=2)
+    write_jsonl(tmp_path / "raw" / "styles.jsonl", [{"id": "S1"}, {"id": "S2"}])
+    ingest(store, str(tmp_path / "raw"), SCHEMAS)
+    folder = tmp_path / "report"
+    run = run_full(store, "check", report_folder=str(folder))
+    summary = spark.read.option("header", "true").csv(str(folder / "summary"))
+    values = {r["metric"]: r["value"] for r in summary.collect()}
+    assert (values["styles_in_store"], values["reference_coverage_percent"]) == ("2", "100.0")
+    results = spark.read.parquet(run.results_path)
+    issues = spark.read.option("header", "true").csv(str(folder / "issues")).collect()
+    want = {(r["code"], r["bucket"]): str(r["count"]) for r in reports.issue_counts(results).collect()}
+    assert want and {(r["code"], r["bucket"]): r["count"] for r in issues} == want
+    text = "\n".join(r["value"] for r in spark.read.text(str(folder / "markdown")).collect())
+    assert "Styles in store: `2`" in text
+
+
+def test_a_rule_set_is_a_target(spark, tmp_path, write_jsonl):
+    """Documents come from the target's own function, checks, scores and report from the rule set."""
+    rules = RuleSet.load(Path(__file__).parent / "fixtures" / "rules.yml")
+    naming = Naming(system="src", label="SRC")
+
+    def reconstruct(records, scope):
+        docs = records.where("endpoint = 'styles'")
+        return docs.select(F.from_json("payload", readiness.document_schema(naming)).alias("d")).select("d.*")
+
+    targets.register_rules("rules", rules, naming, reconstruct=reconstruct)
+    store = MasterStore(spark, str(tmp_path / "store"), buckets=2)
+    own = [
+        {"id": "A", "src_style_id": "A", "brand_code": "NORD", "global_style_id": "G"},
+        {"id": "B", "src_style_id": "B", "brand_code": "SOUTH"},
+    ]
+    write_jsonl(tmp_path / "raw" / "styles.jsonl", own)
+    ingest(store, str(tmp_path / "raw"), SCHEMAS)
+    run = run_full(store, "rules", report_folder=str(tmp_path / "report"), naming=naming)
+    row = store.read(VALIDATION_RUNS.name).first()
+    assert (run.total_records, row["rule_set_version"]) == (2, rules.version)
+    products = spark.read.option("header", "true").csv(str(tmp_path / "report" / "products")).collect()
+    results = {r["src_style_id"]: r for r in spark.read.parquet(run.results_path).collect()}
+    assert {r["src_style_id"]: int(r["score"]) for r in products} == {k: r["score"] for k, r in results.items()}
+    codes = {k: {i["code"] for i in r["issues"]} for k, r in results.items()}
+    assert "GLOBAL_STYLE_ID_MISSING" in codes["B"] and "GLOBAL_STYLE_ID_MISSING" not in codes["A"]
 
 
 def test_file_stream_applies_each_file_once_and_isolates_targets(spark, tmp_path, write_jsonl, names):

@@ -1,4 +1,4 @@
-"""The two built-in report runs."""
+"""The built-in report runs."""
 
 from __future__ import annotations
 
@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 
 from truerow.config.naming import Naming
 from truerow.config.relationships import DEFAULT_RELATIONSHIPS, Relationship
-from truerow.operators import refs, reports
+from truerow.operators import check, refs, reports
 from truerow.sources.sinks import write_sheets, write_text
 from truerow.sources.store import MasterStore
 
@@ -62,6 +62,15 @@ def write_readiness_report(
     return paths
 
 
+def write_check_report(results: DataFrame, folder: str, file_format: str = "csv") -> dict[str, str]:
+    """The coverage report of stored check results: summary, issue and reference tables and text."""
+    sheets = reports.coverage_from_results(results, check.RULE_SET_VERSION)
+    paths = write_sheets(sheets, folder, file_format)
+    paths["markdown"] = f"{folder.rstrip('/')}/markdown"
+    write_text(reports.coverage_markdown(sheets), paths["markdown"], results.sparkSession)
+    return paths
+
+
 def _stored(rows: DataFrame, path: str) -> DataFrame:
     rows.write.parquet(path)
     return rows.sparkSession.read.parquet(path)

@@ -13,7 +13,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from truerow.config.naming import Naming
-from truerow.operators import check, products
+from truerow.config.rules import RuleSet
+from truerow.operators import check, products, readiness
+from truerow.plans import reporting
 
 CHECK_TARGET = "check"
 
@@ -51,6 +53,23 @@ def register_target(name: str, **parts) -> Target:
     return _TARGETS[name]
 
 
+def register_rules(name: str, rules: RuleSet, naming: Naming | None = None, **parts) -> Target:
+    """A target whose documents are validated against a rule set, with the readiness report.
+
+    ``parts`` gives at least ``reconstruct`` or ``project``, which make the documents
+    (``readiness.document_schema``), and may replace the built-in ``validate`` and ``report``.
+    """
+
+    def validate(documents: DataFrame) -> DataFrame:
+        return readiness.validate(documents, rules, naming)
+
+    def report(results: DataFrame, folder: str, template: str) -> None:
+        reporting.write_readiness_report(results, folder, rules.version, naming)
+
+    built_in = {"validate": validate, "report": report, "rule_set_version": rules.version}
+    return register_target(name, **(built_in | parts))
+
+
 def target(name: str) -> Target:
     return _TARGETS.get(name, Target(name))
 
@@ -91,11 +110,14 @@ def results(name: str, docs: DataFrame, naming: Naming | None = None) -> DataFra
 
 
 def report(name: str, rows: DataFrame, folder: str, template: str = "default") -> None:
-    """G10."""
+    """The target's own report; the check has a built-in one, whatever the template."""
     own = target(name).report
-    if own is None:
+    if own:
+        own(rows, folder, template)
+    elif name == CHECK_TARGET:
+        reporting.write_check_report(rows, folder)
+    else:
         _needed(name, "report")
-    own(rows, folder, template)
 
 
 def artifact(name: str, spark: SparkSession) -> DataFrame:
@@ -107,7 +129,11 @@ def artifact(name: str, spark: SparkSession) -> DataFrame:
 def describe_target(name: str) -> dict[str, str]:
     """Which implementation each step of a target uses."""
     chosen = target(name)
-    built_in = {"validate": "built-in check", "project": "built-in check projection"}
+    built_in = {
+        "validate": "built-in check",
+        "project": "built-in check projection",
+        "report": "built-in check report",
+    }
     steps = {}
     for part in ("master", "reconstruct", "project", "affected", "validate", "report", "artifact"):
         if getattr(chosen, part):

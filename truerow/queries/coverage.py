@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from truerow.config import Relationship
 from truerow.operators import affected, check, products, refs, reports
+from truerow.plans import targets
 from truerow.queries.tables import (
     LINE_ID_SQL,
     REFS_SQL,
@@ -21,6 +22,7 @@ from truerow.queries.tables import (
     table,
     union,
 )
+from truerow.session import scratch_dir
 
 
 def _references(spark: SparkSession, sf_dir: str) -> refs.References:
@@ -298,6 +300,43 @@ def check_issue_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reports.coverage_from_results(_checked(spark, sf_dir), "v1")["issues"]
 
 
+def check_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The built-in report of the check target on stored results, its sheets read back."""
+    work = scratch_dir(spark, "check-report")
+    _checked(spark, sf_dir).write.parquet(f"{work}/results")
+    targets.report(targets.CHECK_TARGET, spark.read.parquet(f"{work}/results"), f"{work}/report")
+
+    def sheet(name: str, columns: str) -> DataFrame:
+        rows = spark.read.option("header", "true").csv(f"{work}/report/{name}")
+        return rows.selectExpr(f"'{name}' AS sheet", *columns.split(", "))
+
+    return (
+        sheet("summary", "metric AS name, value AS kind, '' AS bucket, CAST(NULL AS LONG) AS count")
+        .unionByName(sheet("issues", "code AS name, severity AS kind, bucket, CAST(count AS LONG) AS count"))
+        .unionByName(
+            sheet(
+                "unresolved_refs",
+                "relationship AS name, target_endpoint AS kind, status AS bucket, CAST(count AS LONG) AS count",
+            )
+        )
+    )
+
+
+CHECK_REPORT_SQL = """
+SELECT 'issues' AS sheet, code AS name, severity AS kind, source_field AS bucket, count(*) AS count
+FROM issues GROUP BY ALL
+UNION ALL SELECT 'unresolved_refs', source_field, source_field, code, count(*)
+FROM issues WHERE source_field = 'unresolved_refs' GROUP BY ALL
+UNION ALL SELECT 'summary', 'rule_set', 'reconstruction-check-v1', '', NULL
+UNION ALL SELECT 'summary', 'styles_in_store', CAST(count(*) AS VARCHAR), '', NULL FROM lineitem
+UNION ALL SELECT 'summary', 'reference_coverage_percent',
+  CAST(round(100.0 * ((SELECT count(*) FROM lineitem)
+    - (SELECT count(DISTINCT plm_style_id) FROM issues WHERE blocking))
+    / (SELECT count(*) FROM lineitem), 2)::DOUBLE AS VARCHAR), '', NULL
+UNION ALL SELECT 'summary', unnest(['endpoints_in_store', 'relationships_checked', 'declared_refs',
+  'seen_refs', 'missing_refs', 'invalid_refs']), '0', '', NULL"""
+
+
 def _issue_sql(where: str, code: str, message: str, severity: str, location: str, field: str,
                rule: str) -> str:
     blocking = "true" if severity == "error" else "false"
@@ -484,4 +523,5 @@ FROM issues WHERE source_field = 'unresolved_refs' GROUP BY code""",
 SELECT code, severity, source_field AS bucket, count(*) AS count
 FROM issues GROUP BY ALL""",
     ),
+    "check_report": (check_report, CHECK_SQL + CHECK_REPORT_SQL),
 }
