@@ -78,16 +78,14 @@ def test_full_scoped_and_skipped_runs(spark, tmp_path, write_jsonl, names):
 
     assert run_after_ingest(store, names, ingest(store, str(raw), SCHEMAS)).mode == "unchanged"
 
-    before = store.snapshot()
     write_jsonl(raw / "runs" / "r1" / "colorways.delta.jsonl", [{"id": "C"}])
-    other = run_after_ingest(store, names, ingest(store, str(raw), SCHEMAS), before)
+    other = run_after_ingest(store, names, ingest(store, str(raw), SCHEMAS))
     assert (other.mode, other.total_records) == ("unaffected", 3)
 
-    before = store.snapshot()
     write_jsonl(raw / "runs" / "r2" / "sizes.delta.jsonl", [{"id": "X", "active": False}])
     write_jsonl(raw / "runs" / "r2" / "styles.delta.jsonl", [{"id": "S3", "active": False}])
     changed = ingest(store, str(raw), SCHEMAS)
-    scoped = run_after_ingest(store, names, changed, before)
+    scoped = run_after_ingest(store, names, changed)
     assert (scoped.mode, scoped.total_records, scoped.ready_records) == ("scoped", 2, 1)
     assert scoped.product_changes == 1 and _index(store) == {"S1": True, "S2": False}
 
@@ -197,6 +195,71 @@ def test_file_stream_applies_each_file_once_and_isolates_targets(spark, tmp_path
     assert ingest(store, str(raw), SCHEMAS).skipped_files == 2
 
 
+def test_a_malformed_file_does_not_stop_a_file_stream(spark, tmp_path, write_jsonl):
+    store = MasterStore(spark, str(tmp_path / "store"), buckets=2)
+    raw, results = tmp_path / "raw", []
+    write_jsonl(raw / "r1" / "styles.jsonl", [{"id": "S1"}])
+    write_jsonl(raw / "r2" / "styles.jsonl", [{"id": "S2"}, "{broken"])
+    write_jsonl(raw / "r3" / "styles.jsonl", [{"id": "S3"}])
+
+    def stream(on_malformed):
+        ingest_files_stream(
+            store, str(raw), SCHEMAS, str(tmp_path / "checkpoint"), max_files_per_trigger=1,
+            after_batch=lambda _, result: results.append(result), on_malformed=on_malformed,
+        ).awaitTermination()
+        return {r["record_id"] for r in store.current_records().collect()}
+
+    assert stream("fail_file") == {"S1", "S3"}
+    assert all(len(r.failed_files) == 1 and r.failed_files[0].endswith("r2/styles.jsonl") for r in results)
+    # Mended, it is applied with the next file that arrives.
+    write_jsonl(raw / "r2" / "styles.jsonl", [{"id": "S2"}])
+    write_jsonl(raw / "r4" / "styles.jsonl", [{"id": "S4"}])
+    assert stream("fail") == {"S1", "S2", "S3", "S4"}
+
+
+def test_deleted_records_are_followed_by_their_old_references(spark, tmp_path, write_jsonl):
+    """Each target of a stream finds the products of deleted records, with no state kept by the caller."""
+    seen = {}
+
+    def reconstruct(records, scope):
+        if scope is not None:
+            seen["scope"] = {r["product_id"] for r in scope.collect()}
+        return _documents(records, scope)
+
+    targets.register_target(
+        "old", reconstruct=reconstruct, validate=_validate,
+        affected=lambda changed, states: affected.affected_records(changed, states, "styles", RULES),
+    )
+    store = MasterStore(spark, str(tmp_path / "store"), buckets=2)
+    raw = tmp_path / "raw"
+    write_jsonl(raw / "styles.jsonl", [{"id": f"S{n}", "name": "A", "sizes": [z]} for n, z in enumerate("XYZ")])
+    write_jsonl(raw / "sizes.jsonl", [{"id": "1", "code": "X"}, {"id": "2", "code": "Y"}, {"id": "3", "code": "Z"}])
+    after = for_each_target(["old"], lambda state, result, name: run_after_ingest(state, name, result))
+    after(store, ingest(store, str(raw), SCHEMAS))
+    delta = [{"id": "1", "active": False}, {"id": "2", "code": "V"}]
+    write_jsonl(raw / "r1" / "sizes.delta.jsonl", delta)
+    after(store, ingest(store, str(raw), SCHEMAS))
+    assert seen["scope"] == {"S0", "S1"}
+    assert cycles.cycle_status(store.read(CYCLES.name)).where("status <> 'OK'").count() == 0
+
+
+def test_of_repeated_results_the_last_stored_one_counts(spark, tmp_path):
+    def reconstruct(records, scope):
+        rows = [(f"P{n % 40}", f"name {n:03}") for n in range(400)]
+        return spark.createDataFrame(rows, "style_id STRING, style_name STRING").repartitionByRange(7, "style_name")
+
+    targets.register_target("repeated", reconstruct=reconstruct, validate=lambda docs: docs.withColumn("ready", F.lit(True)))
+    store = MasterStore(spark, str(tmp_path / "store"), buckets=2)
+    for split in ("1k", "128m"):
+        spark.conf.set("spark.sql.files.maxPartitionBytes", split)
+        try:
+            run_full(store, "repeated")
+        finally:
+            spark.conf.unset("spark.sql.files.maxPartitionBytes")
+        names = {r["product_id"]: r["display_name"] for r in store.read(VALIDATION_INDEX.name).collect()}
+        assert names == {f"P{n % 40}": f"name {n:03}" for n in range(360, 400)}
+
+
 def test_file_stream_over_more_files_than_a_trigger_equals_ingest(spark, tmp_path, write_jsonl):
     """Runs are applied in the order of their names, though the files were written the other way."""
     raw = tmp_path / "raw"

@@ -7,7 +7,7 @@ from truerow.config import DeleteCondition, RuleSet, load_endpoint_schemas
 from truerow.operators import incremental as inc
 from truerow.operators import integrity, readiness
 from truerow.sources import documents, rawfiles, sinks
-from truerow.sources.store import FETCH_STATE, LEDGER, MasterStore
+from truerow.sources.store import FETCH_STATE, VALIDATION_INDEX, MasterStore
 
 
 def test_endpoint_schema_overlays(tmp_path):
@@ -67,20 +67,30 @@ def test_fingerprint_depends_on_content_alone(spark, tmp_path):
     assert digest("e.jsonl", "", "100m") == digest("f.jsonl", "", "7k") not in (None, whole)
 
 
-def test_crash_before_commit_changes_nothing_and_conflicts_are_seen(spark, tmp_path):
+def test_tables_are_appended_to_or_replaced_by_partition(spark, tmp_path):
     store = MasterStore(spark, str(tmp_path / "s"))
     rows = spark.createDataFrame([("e", "OK")], "endpoint STRING, last_attempted_status STRING")
-    first = store.snapshot()
-    store.write(FETCH_STATE.name, rows)
     assert store.read(FETCH_STATE.name).count() == 0
-    store.commit(first, append=[store.write(FETCH_STATE.name, rows)])
-    assert store.read(FETCH_STATE.name).first()["last_attempted_status"] == "OK"
-    with pytest.raises(RuntimeError, match="Another writer"):
-        store.commit(first, append=[store.write(FETCH_STATE.name, rows)])
-    (tmp_path / "s" / "_log" / "n=0000000002" / "_temporary").mkdir(parents=True)
-    store.commit(store.snapshot(), append=[store.write(FETCH_STATE.name, rows)])
+    store.append(FETCH_STATE.name, rows)
+    store.append(FETCH_STATE.name, rows)
     assert store.read(FETCH_STATE.name).count() == 2
-    assert store.read(LEDGER.name).count() == 0
+    store.replace(FETCH_STATE.name, rows)
+    assert [r["last_attempted_status"] for r in store.read(FETCH_STATE.name).collect()] == ["OK"]
+
+    def put(*keys, **named):
+        made = spark.createDataFrame([("a b", b, i) for b, i in keys], "target STRING, bucket INT, product_id STRING")
+        store.replace(VALIDATION_INDEX.name, made, **named)
+        found = store.read(VALIDATION_INDEX.name).select("target", "bucket", "product_id").collect()
+        return sorted((r["bucket"], r["product_id"]) for r in found)
+
+    assert put((0, "A"), (1, "B"), (2, "C")) == [(0, "A"), (1, "B"), (2, "C")]
+    # Only the partitions of the rows change, and those that are named though no row is left.
+    assert put((1, "D"), (1, "E"), partitions=[("a b", 2)], parts=2) == [(0, "A"), (1, "D"), (1, "E")]
+    assert [r["product_id"] for r in store.read(VALIDATION_INDEX.name, [("a b", 0), ("a b", 2)]).collect()] == ["A"]
+    assert store.read(VALIDATION_INDEX.name, []).count() == 0
+    # A table may be rewritten from its own rows.
+    store.replace(VALIDATION_INDEX.name, store.read(VALIDATION_INDEX.name).withColumn("ready", F.lit(True)))
+    assert store.read(VALIDATION_INDEX.name).where("ready").count() == 3
 
 
 def test_documents_and_reports_round_trip(spark, tmp_path):

@@ -3,8 +3,8 @@
 from __future__ import annotations
 
 import uuid
-from collections.abc import Mapping, Sequence
-from dataclasses import dataclass
+from collections.abc import Iterator, Mapping, Sequence
+from dataclasses import dataclass, replace
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -23,7 +23,7 @@ from truerow.operators.ingest import (
     fold,
     latest_per_key,
 )
-from truerow.session import scratch_dir
+from truerow.session import delete_folder, staged
 from truerow.sources.rawfiles import (
     RawFile,
     check_snapshot_modes,
@@ -31,15 +31,18 @@ from truerow.sources.rawfiles import (
     pending,
     read_lines,
 )
-from truerow.sources.store import CHANGES, LEDGER, RECORDS, MasterStore
-from truerow.sources.tables import Snapshot, Written
+from truerow.sources.store import BATCHES, CHANGES, LEDGER, RECORDS, MasterStore
+from truerow.sources.tables import within
 
 _FILE_FIELDS = "file_ord INT, file_path STRING, endpoint STRING, source_run_id STRING"
 
 
 @dataclass(frozen=True)
 class IngestResult:
-    """Counts of one ingest; the changed ids stay in a DataFrame."""
+    """Counts of one ingest; the changed ids stay in a DataFrame.
+
+    ``changes`` has the payload that a record had before the batch as ``previous``.
+    """
 
     applied_files: int
     skipped_files: int
@@ -78,9 +81,11 @@ def ingest(
 ) -> IngestResult:
     """Apply all new files below ``raw_dir`` in order.
 
-    Files are taken in batches of ``max_files_per_batch``; each batch is one commit of state,
-    changes and ledger. ``on_malformed='fail_file'`` leaves files with a malformed line out
-    of the batch and names them in the result, ``'fail'`` stops.
+    Files are taken in batches of ``max_files_per_batch``. A batch writes its list of files, the
+    touched buckets of the state, the changes and, last, the ledger; one that died in between is
+    finished first by the next ingest, which leaves the buckets it had written as they are.
+    ``on_malformed='fail_file'`` leaves files with a malformed line out of the batch and names
+    them in the result, ``'fail'`` stops.
     """
     spark = store.spark
     found = pending(spark, discover(spark, raw_dir), store.read(LEDGER.name), verify_content)
@@ -102,20 +107,39 @@ def apply_files(
     check_snapshot_modes(files, schemas)
     failed: list[str] = []
     batches: list[str] = []
-    for start in range(0, len(files), max_files_per_batch):
-        batch = files[start : start + max_files_per_batch]
-        lines = _with_file(store, read_lines(store.spark, batch), batch)
+    for batch_id, batch in _batches(store, files, max_files_per_batch):
         if on_malformed == "fail_file":
-            bad = _malformed_files(lines)
-            failed += sorted(f.file_path for f in batch if f.file_ord in bad)
-            batch = [f for f in batch if f.file_ord not in bad]
-            lines = lines.where(~F.col("file_ord").isin(sorted(bad))) if bad else lines
+            bad = _malformed_files(read_lines(store.spark, batch))
+            failed += sorted(bad)
+            batch = [f for f in batch if f.file_path not in bad]
         if batch:
+            batch = [replace(f, file_ord=number) for number, f in enumerate(batch)]
+            lines = _with_file(store, read_lines(store.spark, batch), batch)
             records = extract(lines, schemas, fail_on_malformed=on_malformed == "fail")
-            batches.append(_apply_batch(store, records, batch, schemas))
+            batches.append(_apply_batch(store, records, batch, schemas, batch_id))
     return _result(store, batches, skipped, failed)
 
 
+def _batches(
+    store: MasterStore, files: Sequence[RawFile], most: int
+) -> Iterator[tuple[str | None, list[RawFile]]]:
+    """The files in batches; one that was begun and not finished comes first, with its id and files."""
+    done = store.read(LEDGER.name).select("batch_id").distinct()
+    # Only the last batch of a job can be open, so this is at most one batch of file names.
+    begun = store.read(BATCHES.name).join(done, "batch_id", "left_anti").collect()
+    rest = list(files)
+    for batch_id in sorted({row["batch_id"] for row in begun}):
+        names = {row["file_path"] for row in begun if row["batch_id"] == batch_id}
+        again = [f for f in rest if f.file_path in names]
+        if len(again) < len(names):
+            gone = sorted(names - {f.file_path for f in again})
+            raise ValueError(f"Files of the unfinished batch {batch_id} are gone: {', '.join(gone[:5])}")
+        rest = [f for f in rest if f.file_path not in names]
+        yield batch_id, again
+    for start in range(0, len(rest), most):
+        yield None, rest[start : start + most]
+
+
 def _with_file(store: MasterStore, lines: DataFrame, files: Sequence[RawFile]) -> DataFrame:
     # At most max_files_per_batch rows, so the broadcast is bounded.
     rows = [(f.file_ord, f.file_path, f.endpoint, f.source_run_id) for f in files]
@@ -123,36 +147,40 @@ def _with_file(store: MasterStore, lines: DataFrame, files: Sequence[RawFile]) -
     return lines.join(F.broadcast(table), "file_path")
 
 
-def _malformed_files(lines: DataFrame) -> set[int]:
+def _malformed_files(lines: DataFrame) -> set[str]:
     parsed = lines.withColumn("parsed", line_fields(F.col("payload"), []))
     bad = parsed.where(is_malformed(F.col("payload"), F.col("parsed")))
-    return {row["file_ord"] for row in bad.select("file_ord").distinct().collect()}
+    return {row["file_path"] for row in bad.select("file_path").distinct().collect()}
 
 
-def merge_winners(
-    store: MasterStore, snapshot: Snapshot, winners: DataFrame, touched: Sequence[str]
-) -> Written:
-    """Fold one row per record and file into the touched buckets of the state.
+def merge_winners(store: MasterStore, winners: DataFrame, batch_id: str) -> DataFrame:
+    """Fold one row per record and file into the state, and store the changes.
 
-    ``winners`` has endpoint, bucket, record_id, the stored record fields, file_ord,
-    is_delete and lines.
+    ``winners`` is stored, with endpoint, bucket, record_id, the stored record fields, file_ord,
+    is_delete and lines. Every row of a bucket carries the id of the batch that wrote it last, so
+    a batch that runs again leaves the buckets it has written already. Returns the actions.
     """
-    stored = (
-        store.bucketed_records(snapshot, touched)
-        .withColumns(
-            {
-                "file_ord": F.lit(SEED),
-                "is_delete": F.lit(False),
-                "lines": F.lit(0).cast("long"),
-            }
-        )
+    touched = store.partitions_of(winners, "endpoint", "bucket")
+    state = store.read(RECORDS.name, touched)
+    settled = store.partitions_of(state.where(F.col("batch_id") == batch_id), "endpoint", "bucket")
+    if settled:
+        winners = winners.where(~within(RECORDS.partition_by, settled))
+    left = sorted(set(touched) - set(settled))
+    stored = store.bucketed_records(left).withColumns(
+        {"file_ord": F.lit(SEED), "is_delete": F.lit(False), "lines": F.lit(0).cast("long")}
     )
     # Shuffled once, by bucket and by a part of the bucket that the record id chooses: the fold
     # groups inside these partitions, and several tasks write the files of one bucket.
     part = F.pmod(F.xxhash64(F.lit("part"), "record_id"), F.lit(store.tasks_per_bucket))
     events = stored.unionByName(winners).withColumn("part", part)
     events = events.repartition("endpoint", "bucket", "part")
-    return store.write(RECORDS.name, fold(events, ["endpoint", "bucket", "part", "record_id"]))
+    if left:
+        folded = fold(events, ["endpoint", "bucket", "part", "record_id"])
+        store.replace(RECORDS.name, folded.withColumn("batch_id", F.lit(batch_id)))
+    written = store.read(RECORDS.name, touched).where("size(actions) > 0")
+    changes = changes_of(written, "previous").withColumn("batch_id", F.lit(batch_id))
+    store.replace(CHANGES.name, changes)
+    return actions_of(written)
 
 
 def _apply_batch(
@@ -160,8 +188,8 @@ def _apply_batch(
     records: DataFrame,
     files: Sequence[RawFile],
     schemas: Mapping[str, EndpointSchema],
+    batch_id: str | None,
 ) -> str:
-    snapshot = store.snapshot()
     now = utc_now()
     incoming = records.withColumn(
         "bucket", store.bucket(F.col("endpoint"), F.col("record_id"))
@@ -187,18 +215,14 @@ def _apply_batch(
         F.lit(now).cast("timestamp_ntz").alias("ingested_at_ts"),
     )
     # Stored once: the lines are read a single time, and the winners name the buckets they touch.
-    path = scratch_dir(store.spark, "winners")
-    winners.write.parquet(path)
-    winners = store.spark.read.schema(winners.schema).parquet(path)
-    touched = store.touched_folders(winners, "endpoint", "bucket")
-    state = merge_winners(store, snapshot, winners, touched)
-    batch_id = f"{now:%Y%m%dT%H%M%S}-{uuid.uuid4().hex[:8]}"
-    actions = actions_of(store.rows_of(state).where("size(actions) > 0"))
-    changes = store.write(
-        CHANGES.name, changes_of(actions).withColumn("batch_id", F.lit(batch_id))
-    )
-    ledger = store.write(LEDGER.name, _ledger_rows(store, actions, files, schemas, batch_id, now))
-    store.commit(snapshot, append=[changes, ledger], replace={RECORDS.name: (state, touched)})
+    winners, path = staged(winners, "winners")
+    if batch_id is None:
+        batch_id = f"{now:%Y%m%dT%H%M%S}-{uuid.uuid4().hex[:8]}"
+        begun = [(batch_id, f.file_path, now) for f in files]
+        store.append(BATCHES.name, store.spark.createDataFrame(begun, BATCHES.schema).coalesce(1))
+    actions = merge_winners(store, winners, batch_id)
+    store.append(LEDGER.name, _ledger_rows(store, actions, files, schemas, batch_id, now))
+    delete_folder(store.spark, path)
     return batch_id
 
 
@@ -253,8 +277,7 @@ def _ledger_rows(
 def _result(
     store: MasterStore, batches: Sequence[str], skipped: int, failed: Sequence[str]
 ) -> IngestResult:
-    snapshot = store.snapshot()
-    applied = store.read(LEDGER.name, snapshot).where(F.col("batch_id").isin(list(batches)))
+    applied = store.read(LEDGER.name).where(F.col("batch_id").isin(list(batches)))
     rows = (
         applied.groupBy("endpoint")
         .agg(
@@ -266,8 +289,7 @@ def _result(
         .orderBy("endpoint")
         .collect()
     )
-    folders = [f"batch_id={batch}" for batch in batches]
-    changes = store.read(CHANGES.name, snapshot, folders)
+    changes = store.read(CHANGES.name, [(batch,) for batch in batches])
     return IngestResult(
         applied_files=sum(r["files"] for r in rows),
         skipped_files=skipped,

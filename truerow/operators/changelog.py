@@ -21,6 +21,7 @@ from truerow.functions.jsons import (
 from truerow.functions.times import utc_now
 from truerow.operators.ingest import DELETE
 from truerow.operators.snapshots import allocate_run_id, any_field_differs, keyed_diff
+from truerow.session import delete_folder, staged
 from truerow.sources.store import (
     CHANGELOG_EVENTS,
     CHANGELOG_INDEX,
@@ -229,19 +230,13 @@ def record(
     """
     now = created_at or utc_now()
     selected = config.only(config.endpoints if endpoints is None else endpoints)
-    snapshot = store.snapshot()
-    runs = store.read(CHANGELOG_RUNS.name, snapshot)
+    runs = store.read(CHANGELOG_RUNS.name)
     run_id = allocate_run_id(runs, f"{now:%Y-%m-%dT%H%M%SZ}-endpoint-changelog")
     if not selected:
         return ChangelogRun(run_id, 0, 0, 0, False, 0)
 
     keys = ["endpoint", "record_id"]
-    every_folder = [
-        folder
-        for name in selected
-        for folder in store.folders(CHANGELOG_INDEX.name, snapshot, f"endpoint={name}")
-    ]
-    stored = store.read(CHANGELOG_INDEX.name, snapshot, every_folder)
+    stored = store.read(CHANGELOG_INDEX.name).where(F.col("endpoint").isin(list(selected)))
     scoped = changed is not None or deleted is not None
     full = full or not scoped or needs_full_refresh(stored, selected, config.digest)
     changed_keys = _with_bucket(store, changed, selected)
@@ -251,41 +246,40 @@ def record(
         "run_id": F.lit(run_id),
     }
     if full:
-        # State files hold one bucket each, so the index is written without a shuffle.
-        replaced = every_folder
-        rows = index(store.bucketed_records(snapshot), selected, ["bucket"])
-        new_index = store.write(CHANGELOG_INDEX.name, rows.withColumns(stamp))
-        current, compared = store.rows_of(new_index), stored
+        wanted = store.bucketed_records()
+        replaced = store.partitions_of(stored, "endpoint", "bucket")
     else:
         deleted_keys = _with_bucket(store, deleted, selected)
-        both = changed_keys.unionByName(deleted_keys)
-        replaced = store.touched_folders(both, "endpoint", "bucket")
-        records = store.bucketed_records(snapshot, replaced)
+        replaced = store.partitions_of(changed_keys.unionByName(deleted_keys), "endpoint", "bucket")
+        records = store.bucketed_records(replaced)
         wanted = records.join(changed_keys.select(*keys), keys, "left_semi")
-        # The rebuilt rows are stored first, so that the payloads are parsed only once.
-        rebuilt = store.write(
-            CHANGELOG_INDEX.name, index(wanted, selected, ["bucket"]).withColumns(stamp)
-        )
-        current = store.rows_of(rebuilt)
-        near = store.read(CHANGELOG_INDEX.name, snapshot, replaced)
+    # The new rows are stored first, so that the payloads are parsed only once.
+    current, path = staged(index(wanted, selected, ["bucket"]).withColumns(stamp), "index")
+    if full:
+        rows, compared, parts = current, stored, None
+    else:
+        near = store.read(CHANGELOG_INDEX.name, replaced)
         compared = scoped_previous(near, current, deleted_keys)
-        kept = near.join(compared.select(*keys), keys, "left_anti")
-        merged = kept.unionByName(current).repartition("endpoint", "bucket")
-        new_index = store.write(CHANGELOG_INDEX.name, merged)
-    events = store.write(
+        rows = near.join(compared.select(*keys), keys, "left_anti").unionByName(current)
+        parts = store.tasks_per_bucket
+    # The index comes after the events, which need its old rows; the run row comes last.
+    store.replace(
         CHANGELOG_EVENTS.name,
         diff(compared, current).withColumns(
             {"run_id": F.lit(run_id), "changed_at": F.lit(now).cast("timestamp_ntz")}
         ),
     )
+    events = store.read(CHANGELOG_EVENTS.name, [(name, run_id) for name in selected])
     run = ChangelogRun(
         run_id,
         len(selected),
         current.count(),
-        store.rows_of(events).count(),
+        events.count(),
         full,
         0 if changed is None else changed_keys.count(),
     )
+    store.replace(CHANGELOG_INDEX.name, rows, replaced, parts)
+    delete_folder(store.spark, path)
     row = (
         run_id,
         now,
@@ -297,14 +291,8 @@ def record(
         full,
         run.scoped_record_count,
     )
-    run_row = store.write(
-        CHANGELOG_RUNS.name, store.spark.createDataFrame([row], CHANGELOG_RUNS.schema)
-    )
-    store.commit(
-        snapshot,
-        append=[events, run_row],
-        replace={CHANGELOG_INDEX.name: (new_index, replaced)},
-    )
+    run_row = store.spark.createDataFrame([row], CHANGELOG_RUNS.schema)
+    store.append(CHANGELOG_RUNS.name, run_row.coalesce(1))
     return run
 
 

@@ -23,6 +23,7 @@ from truerow.operators.snapshots import (
     keyed_diff,
     latest,
 )
+from truerow.session import delete_folder, staged
 from truerow.sources.store import (
     ISSUE_EVENTS,
     VALIDATION_EVENTS,
@@ -364,7 +365,7 @@ def record(
     created_at: datetime | None = None,
     totals: tuple[int, int] | None = None,
 ) -> HistoryRun:
-    """Store index, events and run row of one validation in one commit.
+    """Store the events, the index and, last, the run row of one validation.
 
     ``scope`` (product_id) limits the run: results outside it are ignored and index rows
     outside it stay as they are; a product in scope without a result counts as removed.
@@ -372,9 +373,8 @@ def record(
     may count repeated ids, which the index does not.
     """
     now = created_at or utc_now()
-    snapshot = store.snapshot()
     base = f"{now:%Y-%m-%dT%H%M%SZ}-{slug(target)}"
-    run_id = allocate_run_id(store.read(VALIDATION_RUNS.name, snapshot), base)
+    run_id = allocate_run_id(store.read(VALIDATION_RUNS.name), base)
     bucket = store.bucket(F.lit(None).cast("string"), F.col("product_id"))
     stamp = {
         "target": F.lit(target),
@@ -382,41 +382,36 @@ def record(
         "updated_at": F.lit(now).cast("timestamp_ntz"),
         "run_id": F.lit(run_id),
     }
-    current = validation_index(results, naming, position)
-    every_folder = store.folders(VALIDATION_INDEX.name, snapshot, f"target={target}")
+    current = validation_index(results, naming, position).withColumns(stamp)
+    if scope is not None:
+        scope = scope.select(F.col("product_id").cast("string")).distinct()
+        current = current.join(scope, "product_id", "left_semi")
+    # The rows of this run are stored first, so the results are validated only once.
+    fresh, path = staged(current, "index")
     if scope is None:
-        replaced = every_folder
-        previous = store.read(VALIDATION_INDEX.name, snapshot, every_folder)
-        rows = current.withColumns(stamp).repartition("bucket")
-        new_index = store.write(VALIDATION_INDEX.name, rows)
-        new_rows = store.rows_of(new_index)
-        counts = index_counts(new_rows)
+        rows, previous = fresh, store.read(VALIDATION_INDEX.name).where(F.col("target") == target)
+        replaced = store.partitions_of(previous, "target", "bucket")
     else:
-        scope = scope.select(F.col("product_id").cast("string")).distinct()
         in_scope = scope.withColumns({"target": F.lit(target), "bucket": bucket})
-        replaced = store.touched_folders(in_scope, "target", "bucket")
-        near = store.read(VALIDATION_INDEX.name, snapshot, replaced)
+        replaced = store.partitions_of(in_scope, "target", "bucket")
+        near = store.read(VALIDATION_INDEX.name, replaced)
         previous = near.join(scope, "product_id", "left_semi")
-        kept = near.join(scope, "product_id", "left_anti")
-        fresh = current.join(scope, "product_id", "left_semi").withColumns(stamp)
-        merged = kept.unionByName(fresh).repartition("bucket")
-        new_index = store.write(VALIDATION_INDEX.name, merged)
-        # The rows of this run are read back, so the results are validated only once.
-        new_rows = store.rows_of(new_index).where(F.col("run_id") == run_id)
-        untouched = set(every_folder) - set(replaced)
-        rest = store.read(VALIDATION_INDEX.name, snapshot, sorted(untouched))
-        counts = index_counts(store.rows_of(new_index).unionByName(rest))
+        rows = near.join(scope, "product_id", "left_anti").unionByName(fresh)
     stamped = {
         "run_id": F.lit(run_id),
         "target": F.lit(target),
         "changed_at": F.lit(now).cast("timestamp_ntz"),
     }
-    events = store.write(
-        VALIDATION_EVENTS.name, product_changes(previous, new_rows).withColumns(stamped)
-    )
-    issues = store.write(ISSUE_EVENTS.name, issue_changes(store.rows_of(events)))
+    # The index comes after the events, which need its old rows; the run row comes last.
+    store.replace(VALIDATION_EVENTS.name, product_changes(previous, fresh).withColumns(stamped))
+    events = store.read(VALIDATION_EVENTS.name, [(target, run_id)])
+    store.replace(ISSUE_EVENTS.name, issue_changes(events))
+    store.replace(VALIDATION_INDEX.name, rows, replaced, parts=store.tasks_per_bucket)
+    delete_folder(store.spark, path)
     # One row of counts.
-    total, ready = totals if totals and scope is None else counts.first()
+    index = store.read(VALIDATION_INDEX.name).where(F.col("target") == target)
+    total, ready = totals if totals and scope is None else index_counts(index).first()
+    kept_results = results.drop(position) if position else results
     run_row = store.spark.createDataFrame(
         [
             (
@@ -426,7 +421,7 @@ def record(
                 input_path,
                 file_sha256(input_path),
                 latest_result_path,
-                rows_sha256(results) if latest_result_path else None,
+                rows_sha256(kept_results) if latest_result_path else None,
                 rule_set_version,
                 total,
                 ready,
@@ -435,20 +430,9 @@ def record(
         ],
         VALIDATION_RUNS.schema,
     )
-    run = store.write(VALIDATION_RUNS.name, run_row)
-    store.commit(
-        snapshot,
-        append=[events, issues, run],
-        replace={VALIDATION_INDEX.name: (new_index, replaced)},
-    )
-    return HistoryRun(
-        run_id,
-        target,
-        store.rows_of(events).count(),
-        store.rows_of(issues).count(),
-        total,
-        ready,
-    )
+    store.append(VALIDATION_RUNS.name, run_row.coalesce(1))
+    issues = store.read(ISSUE_EVENTS.name, [(target, run_id)])
+    return HistoryRun(run_id, target, events.count(), issues.count(), total, ready)
 
 
 # -- H14-H22: queries over the stored tables -------------------------------------------------

@@ -144,8 +144,8 @@ def fold(events: DataFrame, keys: Iterable[str] = ("endpoint", "record_id")) ->
 
     ``events`` holds one row per record and file_ord with the fields of ``_RECORD_FIELDS``,
     is_delete and lines; the stored row comes in as file_ord -1. The result has one row per
-    record: the fields it ends with, ``live``, and ``actions`` with what each file did. No
-    trace of a deletion takes part in later comparisons: an older record in a later file
+    record: the fields it ends with, ``live``, ``actions`` with what each file did and, if one
+    changed the record, ``previous``, its payload in the stored row. No trace of a deletion takes part in later comparisons: an older record in a later file
     creates the record again.
     """
     keys = list(keys)
@@ -159,6 +159,7 @@ def fold(events: DataFrame, keys: Iterable[str] = ("endpoint", "record_id")) ->
         F.lit(False).alias("live"),
         F.lit(None).cast(_RECORD).alias("record"),
         F.array().cast(_ACTIONS).alias("actions"),
+        F.lit(None).cast("string").alias("previous"),
     )
 
     def step(state: Column, e: Column) -> Column:
@@ -171,9 +172,13 @@ def fold(events: DataFrame, keys: Iterable[str] = ("endpoint", "record_id")) ->
             .otherwise(state["record"])
             .alias("record"),
             F.concat(state["actions"], F.array(done).cast(_ACTIONS)).alias("actions"),
+            state["previous"].alias("previous"),
         )
         seeded = F.struct(
-            F.lit(True).alias("live"), e["record"].alias("record"), state["actions"]
+            F.lit(True).alias("live"),
+            e["record"].alias("record"),
+            state["actions"],
+            e["record"]["payload"].alias("previous"),
         )
         return F.when(e["order"] == SEED, seeded).otherwise(next_state)
 
@@ -181,7 +186,9 @@ def fold(events: DataFrame, keys: Iterable[str] = ("endpoint", "record_id")) ->
         F.collect_list(event), lambda a, b: (a["order"] - b["order"]).cast("int")
     )
     folded = events.groupBy(*keys).agg(F.aggregate(ordered, start, step).alias("end"))
-    return folded.select(*keys, "end.record.*", "end.live", "end.actions")
+    changed = F.exists("end.actions", lambda a: a["action"] != NONE)
+    previous = F.when(changed, F.col("end.previous")).alias("previous")
+    return folded.select(*keys, "end.record.*", "end.live", "end.actions", previous)
 
 
 def actions_of(folded: DataFrame) -> DataFrame:
@@ -189,10 +196,11 @@ def actions_of(folded: DataFrame) -> DataFrame:
     return folded.select("endpoint", "record_id", F.inline("actions"))
 
 
-def changes_of(actions: DataFrame) -> DataFrame:
-    """The changed keys, each action once."""
-    changed = actions.where(F.col("action") != NONE)
-    return changed.select("endpoint", "record_id", "action").distinct()
+def changes_of(folded: DataFrame, *carry: str) -> DataFrame:
+    """The changed keys, each action once; a folded record is one row, so nothing is shuffled."""
+    done = F.array_distinct(F.transform("actions", lambda a: a["action"]))
+    changes = F.explode(F.filter(done, lambda action: action != NONE))
+    return folded.select("endpoint", "record_id", *carry, changes.alias("action"))
 
 
 def file_counts(actions: DataFrame) -> DataFrame:

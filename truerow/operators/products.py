@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from truerow.functions.jsons import BAD, as_array, as_map, computed_once, is_json_null, payload_fields
 from truerow.functions.text import filled
 from truerow.functions.times import utc_now
+from truerow.session import delete_folder, staged
 from truerow.sources.store import PRODUCT_WARNINGS, PRODUCTS, SOURCE_REFS, MasterStore
 
 REFS_TYPE = "array<struct<endpoint:string,record_id:string,relation_type:string>>"
@@ -146,32 +147,25 @@ def compact_graph(graph: Column) -> Column:
 
 
 def write_master(store: MasterStore, products: DataFrame) -> dict[str, int]:
-    """M2, M3: replace the three master tables in one commit; returns the summary.
+    """M2, M3: replace the three master tables; returns the summary.
 
     The products are stored once with their nested parts; the two detail tables are read
     back from there, so a costly reconstruction runs only once.
     """
-    snapshot = store.snapshot()
-    path = f"{store.root}/_work/{utc_now():%Y%m%dT%H%M%S%f}"
-    products.withColumns(
+    made = products.withColumns(
         {
             "graph_json": F.to_json(compact_graph(F.col("graph"))),
             "warning_count": F.size("warnings"),
             "reconstructed_at_ts": F.lit(utc_now()).cast("timestamp_ntz"),
         }
-    ).drop("graph").write.parquet(path)
-    stored = store.spark.read.parquet(path)
-    refs, warnings = source_refs(stored), product_warnings(stored)
-    written = {
-        name: (store.write(name, rows), None)
-        for name, rows in (
-            (PRODUCTS.name, stored),
-            (SOURCE_REFS.name, refs),
-            (PRODUCT_WARNINGS.name, warnings),
-        )
-    }
-    store.commit(snapshot, replace=written)
-    return master_summary(stored).first().asDict()
+    ).drop("graph")
+    stored, path = staged(made, "master")
+    store.replace(SOURCE_REFS.name, source_refs(stored))
+    store.replace(PRODUCT_WARNINGS.name, product_warnings(stored))
+    store.replace(PRODUCTS.name, stored)
+    summary = master_summary(stored).first().asDict()
+    delete_folder(store.spark, path)
+    return summary
 
 
 def source_refs(products: DataFrame) -> DataFrame:

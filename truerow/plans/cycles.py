@@ -35,8 +35,9 @@ def record_cycle(
         except Exception as problem:  # one target must not stop the others
             error = str(problem)
         rows.append((name, OK if error is None else FAILED, error))
+    cycle_id = f"{started:%Y%m%dT%H%M%S}-{uuid.uuid4().hex[:8]}"
     stamp = {
-        "cycle_id": F.lit(f"{started:%Y%m%dT%H%M%S}-{uuid.uuid4().hex[:8]}"),
+        "cycle_id": F.lit(cycle_id),
         "started_at": F.lit(started).cast("timestamp_ntz"),
         "finished_at": F.lit(utc_now()).cast("timestamp_ntz"),
         "fetch_status": F.lit(FAILED if ingested.failed_files else OK),
@@ -44,9 +45,8 @@ def record_cycle(
     log = store.spark.createDataFrame(
         rows or [(None, None, None)], "target STRING, pipeline_status STRING, error STRING"
     ).withColumns(stamp)
-    written = store.write(CYCLES.name, log)
-    store.commit(store.snapshot(), append=[written])
-    return store.rows_of(written)
+    store.append(CYCLES.name, log.coalesce(1))
+    return store.read(CYCLES.name).where(F.col("cycle_id") == cycle_id)
 
 
 def cycle_status(log: DataFrame) -> DataFrame:

@@ -13,8 +13,8 @@ from truerow.operators import history
 from truerow.operators.apply import IngestResult
 from truerow.operators.readiness import run_result
 from truerow.plans import targets
-from truerow.sources.store import RECORDS, VALIDATION_INDEX, MasterStore
-from truerow.sources.tables import Snapshot
+from truerow.session import delete_folder
+from truerow.sources.store import VALIDATION_INDEX, MasterStore
 
 
 @dataclass(frozen=True)
@@ -31,6 +31,10 @@ class TargetRun:
     results_path: str | None = None
 
 
+#: Where a stored result lies: its file, and its row there.
+_PLACE = "place_in_results"
+
+
 def _new_path(store: MasterStore, kind: str, target: str) -> str:
     """A fresh folder, so that rows another run may be reading are never overwritten."""
     return f"{store.root}/_{kind}/{history.slug(target)}/{uuid.uuid4().hex}"
@@ -53,13 +57,16 @@ def run_full(
     targets.results(target, docs, naming).write.parquet(path)
     results = store.spark.read.parquet(path)
     totals = run_result(results).first()
+    # Of a repeated id the last one stored counts, however the files are split among tasks.
+    place = F.struct("_metadata.file_name", "_metadata.row_index").alias(_PLACE)
     run = history.record(
         store,
         target,
-        results,
+        results.select("*", place),
         rule_set_version=targets.target(target).rule_set_version,
         latest_result_path=path,
         naming=naming,
+        position=_PLACE,
         totals=(totals["total_products"], totals["ready_products"]),
     )
     if report_folder is not None:
@@ -80,14 +87,14 @@ def run_after_ingest(
     store: MasterStore,
     target: str,
     ingested: IngestResult,
-    before: Snapshot | None = None,
     naming: Naming | None = None,
 ) -> TargetRun:
     """L2: validate only the products behind changed records.
 
     Falls back to a full run without a baseline or without a way to find affected products.
-    The latest stored results are left as they are by a scoped run. ``before`` is the store's
-    snapshot from before the ingest, needed to follow the old keys of deleted records.
+    The latest stored results are left as they are by a scoped run. The old keys and references
+    of changed and deleted records come with the ingest, so products that only they led to are
+    found as well.
     """
     index = store.read(VALIDATION_INDEX.name).where(F.col("target") == target)
     chosen = targets.target(target)
@@ -100,7 +107,7 @@ def run_after_ingest(
 
     if not ingested.changed_endpoints:
         return nothing("unchanged")
-    scope = _stored_scope(store, chosen, ingested, before)
+    scope, path = _stored_scope(store, chosen, ingested)
     if scope.isEmpty():
         return nothing("unaffected")
     docs = targets.documents(target, store.current_records(), scope)
@@ -112,6 +119,7 @@ def run_after_ingest(
         rule_set_version=chosen.rule_set_version,
         naming=naming,
     )
+    delete_folder(store.spark, path)
     return TargetRun(
         target,
         "scoped",
@@ -124,21 +132,13 @@ def run_after_ingest(
 
 
 def _stored_scope(
-    store: MasterStore, chosen: targets.Target, ingested: IngestResult, before: Snapshot | None
-) -> DataFrame:
-    """The affected product ids, stored once because several joins read them."""
-    states = [store.current_records()]
-    changed = ingested.changed_ids
-    if before is not None:
-        # Of the old state only the changed records matter, and only their buckets are read.
-        bucket = store.bucket(F.col("endpoint"), F.col("record_id"))
-        folders = store.touched_folders(
-            changed.withColumn("bucket", bucket), "endpoint", "bucket"
-        )
-        known = [f for f in folders if f in before.partitions(RECORDS.name)]
-        old = store.bucketed_records(before, known).drop("bucket")
-        states.append(old.join(changed, ["endpoint", "record_id"], "left_semi"))
-    found = targets.scope_of(chosen.affected(changed, states))
+    store: MasterStore, chosen: targets.Target, ingested: IngestResult
+) -> tuple[DataFrame, str]:
+    """The affected product ids, stored once because several joins read them, and their folder."""
+    before = ingested.changes.where(F.col("previous").isNotNull())
+    before = before.select("endpoint", "record_id", F.col("previous").alias("payload"))
+    states = [store.current_records(), before]
+    found = targets.scope_of(chosen.affected(ingested.changed_ids, states))
     path = _new_path(store, "scopes", chosen.name)
     found.write.parquet(path)
-    return store.spark.read.parquet(path)
+    return store.spark.read.parquet(path), path

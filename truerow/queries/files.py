@@ -9,12 +9,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from truerow.config import load_endpoint_schemas
+from truerow.functions.jsons import is_malformed, line_fields
 from truerow.operators.apply import ingest
+from truerow.operators.ingest import current_state, extract
 from truerow.queries.state import FOLD_SQL, SCHEMAS, file_lines
-from truerow.queries.tables import coded, table
+from truerow.queries.tables import coded, iso, table
 from truerow.session import scratch_dir
 from truerow.sources import documents, rawfiles, sinks
-from truerow.sources.store import LEDGER, MasterStore
+from truerow.sources.store import LEDGER, RECORDS, MasterStore
 from truerow.streaming.ingest_stream import apply_record_batch, ingest_files_stream
 
 #: The folders of the three runs; the manifest of the last one gives its run another name.
@@ -30,13 +32,17 @@ class RawFolder:
     what a raw folder calls them. Runs may be put in place one after the other.
     """
 
-    def __init__(self, spark: SparkSession, sf_dir: str) -> None:
+    def __init__(self, spark: SparkSession, sf_dir: str, broken: tuple[int, str] | None = None) -> None:
+        """The file of the run and type ``broken`` has a line that is no JSON."""
         self.spark = spark
         root = scratch_dir(spark, "raw")
         self.path, self.written = f"{root}/raw", f"{root}/written"
         # Blanks around a line and blank lines are no part of the records.
         value = F.concat(F.when(F.col("event_id") % 3 == 0, "  \n ").otherwise(""), "payload", F.lit(" "))
         lines = file_lines(spark, sf_dir).select("file_ord", "endpoint", "event_id", value.alias("value"))
+        if broken:
+            bad = spark.createDataFrame([(*broken, "{broken")], "file_ord INT, endpoint STRING, value STRING")
+            lines = lines.unionByName(bad, allowMissingColumns=True)
         lines = lines.repartition("file_ord", "endpoint").sortWithinPartitions("file_ord", "endpoint", "event_id")
         lines.drop("event_id").write.partitionBy("file_ord", "endpoint").text(self.written)
 
@@ -190,6 +196,85 @@ def replayed_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _in_batches(spark, sf_dir, "replayed", (0, 0, 1, 0, 2, 1, 2, 0))
 
 
+#: The second run's clicks lie in a malformed file.
+WITHOUT_CLICKS_SQL = STATE_SQL.replace(
+    "  FROM events\n", "  FROM events WHERE NOT (event_type = 'click' AND value >= 25 AND value < 60)\n", 1
+)
+
+
+def malformed_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """L3: a stream over files of which one is malformed; all others are applied, in several triggers."""
+    folder = RawFolder(spark, sf_dir, broken=(1, "click")).put(0, 1, 2)
+    root = scratch_dir(spark, "file-stream")
+    store = MasterStore(spark, f"{root}/store", buckets=2)
+    ingest_files_stream(
+        store, folder.path, SCHEMAS, f"{root}/checkpoint", max_files_per_trigger=4, on_malformed="fail_file"
+    ).awaitTermination()
+    return _state(store)
+
+
+def typed_backfill(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """State files of an older producer, without the typed times and later columns, beside new ones.
+
+    The stored times count only as far as their texts are typed when read: records of the later
+    runs that are older must lose against them.
+    """
+    folder, store = RawFolder(spark, sf_dir).put(0), _store(spark, "backfill")
+    ingest(store, folder.path, SCHEMAS)
+    older = store.read(RECORDS.name).drop("modified_at_ts", "ingested_at_ts", "actions", "previous", "batch_id")
+    writer = older.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    writer.partitionBy(*RECORDS.partition_by).parquet(f"{store.root}/{RECORDS.name}")
+    ingest(store, folder.put(1, 2).path, SCHEMAS)
+    return _state(store)
+
+
+def change_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What every changed record was before the third run, as the ingest hands it on."""
+    folder, store = RawFolder(spark, sf_dir).put(0, 1), _store(spark, "changes")
+    ingest(store, folder.path, SCHEMAS)
+    changes = ingest(store, folder.put(2).path, SCHEMAS).changes
+    return changes.select(
+        "endpoint", "record_id", "action", F.get_json_object("previous", "$.event_id").cast("bigint").alias("old_event")
+    )
+
+
+def duplicate_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines whose objects repeat the id, the time and the deletion field; the first ones count."""
+    first = F.to_json(
+        F.struct(
+            F.struct(F.lit("inner").alias("id")).alias("in"),
+            F.col("user_id").alias("id"),
+            iso(F.col("ts")).alias("_modified_at"),
+            (F.col("value") >= 5).alias("active"),
+            "event_id",
+        )
+    )
+    again = F.lit(', "id": "later", "_modified_at": "2099-01-01", "active": false, "in": {"id": 1, "id": 2}}')
+    lines = table(spark, sf_dir, "events").select(
+        F.col("event_type").alias("endpoint"),
+        F.concat(F.regexp_replace(first, r"\}$", ""), again).alias("payload"),
+        "event_id",
+    )
+    state = current_state(extract(lines, SCHEMAS), ["event_id"])
+    return state.select("endpoint", "record_id", "modified_at_ts", "event_id")
+
+
+def malformed_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Which lines are no single JSON object, of seven kinds of lines."""
+    good = F.to_json(F.struct("event_id", F.struct("props").alias("in")))
+    kinds = (
+        good, F.concat(good, F.lit(" x")), F.concat(good, F.lit("}")), F.concat(good, F.lit(", "), good),
+        F.concat(F.lit("["), good, F.lit("]")), F.concat(F.lit('{"a": "}", "b": '), good, F.lit("}")), F.lit("7"),
+    )
+    kind = F.col("event_id") % len(kinds)
+    lines = table(spark, sf_dir, "events").select(
+        kind.alias("kind"), F.element_at(F.array(*kinds), (kind + 1).cast("int")).alias("payload")
+    )
+    parsed = lines.withColumn("parsed", line_fields(F.col("payload"), ["event_id"]))
+    bad = F.count_if(is_malformed(F.col("payload"), F.col("parsed")))
+    return parsed.groupBy("kind").agg(F.count("*").alias("lines"), bad.alias("malformed"))
+
+
 # -- files written and read back -------------------------------------------------------------
 
 
@@ -276,6 +361,28 @@ UNION ALL SELECT 'current_click', count(*), count(*), CAST(sum(event_id) AS BIGI
     ),
     "stream_file_order": (stream_file_order, STATE_SQL),
     "late_records": (late_records, STATE_SQL),
+    "malformed_files": (malformed_files, WITHOUT_CLICKS_SQL),
+    "typed_backfill": (typed_backfill, STATE_SQL),
+    "change_payloads": (
+        change_payloads,
+        FOLD_SQL
+        + """
+SELECT a2.endpoint, a2.record_id, a2.action, s2.event_id AS old_event
+FROM a2 LEFT JOIN s2 ON s2.endpoint = a2.endpoint AND s2.record_id = a2.record_id WHERE a2.action <> 'none'""",
+    ),
+    "duplicate_keys": (
+        duplicate_keys,
+        """
+SELECT event_type AS endpoint, CAST(user_id AS VARCHAR) AS record_id, ts AS modified_at_ts, event_id FROM (
+  SELECT *, row_number() OVER (PARTITION BY event_type, user_id ORDER BY ts DESC, event_id DESC) AS n FROM events
+) WHERE n = 1 AND value >= 5""",
+    ),
+    "malformed_lines": (
+        malformed_lines,
+        """
+SELECT event_id % 7 AS kind, count(*) AS lines, CASE WHEN event_id % 7 IN (0, 5) THEN 0 ELSE count(*) END AS malformed
+FROM events GROUP BY event_id % 7""",
+    ),
     "replayed_batch": (replayed_batch, STATE_SQL),
     "csv_sheets": (csv_sheets, CSV_SQL),
     "json_lines": (json_lines, JSON_SQL),

@@ -120,7 +120,7 @@ def ingest_actions(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def ingest_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Changed keys over all files, upserted and deleted ones."""
-    return changes_of(actions_of(_folded(spark, sf_dir)))
+    return changes_of(_folded(spark, sf_dir))
 
 
 def merge_counts(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_DIR = "spark.checkpoint.dir"
 
@@ -33,3 +33,17 @@ def scratch_dir(spark: SparkSession, name: str) -> str:
     if not spark.sparkContext.master.startswith("local"):
         raise ValueError(f"Set {CHECKPOINT_DIR} to a folder all executors can reach.")
     return tempfile.mkdtemp(prefix=f"truerow-{name}-")
+
+
+def staged(rows: DataFrame, name: str) -> tuple[DataFrame, str]:
+    """The rows written to a scratch folder and read back, and the folder, to be deleted when done."""
+    spark = rows.sparkSession
+    path = f"{scratch_dir(spark, name)}/rows"
+    rows.write.parquet(path)
+    return spark.read.schema(rows.schema).parquet(path), path
+
+
+def delete_folder(spark: SparkSession, path: str) -> None:
+    """Give back an intermediate folder that nothing reads any more."""
+    found = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    found.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(found, True)

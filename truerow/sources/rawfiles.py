@@ -159,10 +159,18 @@ def _manifests(spark: SparkSession, raw_dir: str) -> DataFrame:
 
 
 def in_order(files: DataFrame) -> DataFrame:
-    """Number files by run ('root' first), endpoint and path. One row per file, no records."""
+    """Number files by run ('root' first), endpoint and path. One row per file, no records.
+
+    Files are ranked inside their run; only one count per run is summed over all runs.
+    """
     run = F.when(F.col("source_run_id") == "root", "").otherwise(F.col("source_run_id"))
-    order = Window.orderBy(run, "endpoint", "file_path")
-    return files.withColumn("file_ord", F.row_number().over(order) - 1)
+    keyed = files.withColumn("run_", run)
+    counts = keyed.groupBy("run_").agg(F.count("*").cast("int").alias("n"))
+    before = F.coalesce(F.sum("n").over(Window.orderBy("run_").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    starts = counts.select("run_", before.cast("int").alias("start_"))
+    rank = F.row_number().over(Window.partitionBy("run_").orderBy("endpoint", "file_path"))
+    ranked = keyed.withColumn("rank_", rank).join(starts, "run_")
+    return ranked.withColumn("file_ord", F.col("start_") + F.col("rank_") - 1).drop("run_", "rank_", "start_")
 
 
 def fingerprints(spark: SparkSession, files: DataFrame) -> DataFrame:

@@ -9,19 +9,21 @@ from pyspark.sql import functions as F
 
 from truerow.config.endpoints import EndpointSchema
 from truerow.functions.times import utc_timestamp
-from truerow.sources.tables import Snapshot, TableSpec, TableStore
+from truerow.sources.tables import Partition, TableSpec, TableStore
 
 RECORDS = TableSpec(
     "endpoint_records",
-    # live = false keeps the trace of a deletion until the bucket is written again;
-    # actions tells what each file of the last batch did to the record.
+    # live = false keeps the trace of a deletion until the bucket is written again; actions tells
+    # what each file of the bucket's last batch did to the record, previous what it was before.
     (
         "endpoint STRING, bucket INT, record_id STRING, payload STRING, modified_at STRING, "
         "modified_at_ts TIMESTAMP_NTZ, source_file STRING, source_run_id STRING, "
         "ingested_at STRING, ingested_at_ts TIMESTAMP_NTZ, live BOOLEAN, "
-        "actions ARRAY<STRUCT<file_ord: INT, action: STRING, lines: LONG>>"
+        "actions ARRAY<STRUCT<file_ord: INT, action: STRING, lines: LONG>>, "
+        "previous STRING, batch_id STRING"
     ),
     ("endpoint", "bucket"),
+    key="record_id",
 )
 LEDGER = TableSpec(
     "applied_raw_files",
@@ -33,9 +35,13 @@ LEDGER = TableSpec(
         "modified TIMESTAMP, batch_id STRING, file_ord INT, upserted LONG, deleted LONG"
     ),
 )
+#: The files of every batch, written before its first change of the state; the ledger follows last.
+BATCHES = TableSpec(
+    "ingest_batches", "batch_id STRING, file_path STRING, started_at TIMESTAMP_NTZ"
+)
 CHANGES = TableSpec(
     "ingest_changes",
-    ("batch_id STRING, endpoint STRING, record_id STRING, action STRING"),
+    "batch_id STRING, endpoint STRING, record_id STRING, action STRING, previous STRING",
     ("batch_id",),
 )
 PRODUCTS = TableSpec(
@@ -80,6 +86,7 @@ VALIDATION_INDEX = TableSpec(
         "updated_at TIMESTAMP_NTZ, run_id STRING"
     ),
     ("target", "bucket"),
+    key="product_id",
 )
 VALIDATION_EVENTS = TableSpec(
     "validation_change_events",
@@ -91,7 +98,7 @@ VALIDATION_EVENTS = TableSpec(
         "current_issue_codes ARRAY<STRING>, previous_issue_severities MAP<STRING, STRING>, "
         "current_issue_severities MAP<STRING, STRING>"
     ),
-    ("target",),
+    ("target", "run_id"),
 )
 ISSUE_EVENTS = TableSpec(
     "validation_issue_change_events",
@@ -99,7 +106,7 @@ ISSUE_EVENTS = TableSpec(
         "run_id STRING, target STRING, changed_at TIMESTAMP_NTZ, product_id STRING, "
         "issue_code STRING, change_type STRING, severity STRING"
     ),
-    ("target",),
+    ("target", "run_id"),
 )
 CHANGELOG_RUNS = TableSpec(
     "endpoint_changelog_runs",
@@ -117,6 +124,7 @@ CHANGELOG_INDEX = TableSpec(
         "run_id STRING"
     ),
     ("endpoint", "bucket"),
+    key="record_id",
 )
 CHANGELOG_EVENTS = TableSpec(
     "endpoint_change_events",
@@ -125,7 +133,7 @@ CHANGELOG_EVENTS = TableSpec(
         "change_type STRING, previous_hash STRING, current_hash STRING, "
         "changed_fields ARRAY<STRING>, previous_payload_json STRING, current_payload_json STRING"
     ),
-    ("endpoint",),
+    ("endpoint", "run_id"),
 )
 FETCH_STATE = TableSpec(
     "fetch_state",
@@ -147,6 +155,7 @@ CYCLES = TableSpec(
 ALL_TABLES = (
     RECORDS,
     LEDGER,
+    BATCHES,
     CHANGES,
     PRODUCTS,
     SOURCE_REFS,
@@ -198,32 +207,20 @@ class MasterStore(TableStore):
             count = F.when(endpoint == name, F.lit(number)).otherwise(count)
         return F.pmod(F.xxhash64(record_id), count).cast("int")
 
-    def folders(self, table: str, snapshot: Snapshot, prefix: str) -> list[str]:
-        """Committed partition folders below ``prefix``, such as ``endpoint=styles``."""
-        names = snapshot.partitions(table)
-        return [name for name in names if name == prefix or name.startswith(prefix + "/")]
-
-    def touched_folders(self, keys: DataFrame, *partition_by: str) -> list[str]:
-        """Partition folders of the given rows: at most one per bucket, whatever their number."""
-        rows = keys.select(*partition_by).distinct().collect()
-        return ["/".join(f"{name}={row[name]}" for name in partition_by) for row in rows]
-
     # -- S7, S8: the current state ---------------------------------------------------------
 
     def current_records(self) -> DataFrame:
         """Live records of all endpoints; a filter on endpoint prunes the scan."""
         return self.bucketed_records().drop("bucket")
 
-    def bucketed_records(
-        self, snapshot: Snapshot | None = None, folders: Iterable[str] | None = None
-    ) -> DataFrame:
-        rows = self.read(RECORDS.name, snapshot, folders)
+    def bucketed_records(self, partitions: Iterable[Partition] | None = None) -> DataFrame:
+        rows = self.read(RECORDS.name, partitions)
         # Rows of older producers may have the time only as text.
         typed = {
             f"{name}_ts": F.coalesce(f"{name}_ts", utc_timestamp(F.col(name)))
             for name in ("modified_at", "ingested_at")
         }
-        return rows.where("live").drop("live", "actions").withColumns(typed)
+        return rows.where("live").drop("live", "actions", "previous", "batch_id").withColumns(typed)
 
     def create_views(self, schemas: Mapping[str, EndpointSchema]) -> None:
         """``current_endpoint_records`` and one ``current_<endpoint>`` per schema."""

@@ -1,57 +1,57 @@
-"""Named Parquet tables that change together.
-
-Every write goes to a new folder; one small commit row then names the folders that make up
-each table. A job that dies before its commit row leaves all tables as they were, readers
-never see a folder that is being written, and several tables change in one step. On a
-cluster with a table format that offers MERGE, these classes are the place to plug it in.
+"""Parquet tables below one root folder, written by plain Spark jobs.
+
+Rows are appended, or they replace the partitions they fall into (dynamic partition overwrite).
+There is no log and there are no versions. A job that writes several tables is safe by its order:
+the table that says that the work is done, a ledger or a run row, comes last, and the steps before
+it write the same rows when they run again. One job at a time may write, and a DataFrame on a
+table is read before that table is replaced. On a cluster with a table format that offers MERGE,
+``append`` and ``replace`` are the two calls to plug it into.
 """
 
 from __future__ import annotations
 
 import json
-import uuid
-from collections.abc import Iterable, Mapping
-from dataclasses import dataclass, field
-from urllib.parse import unquote
+from collections.abc import Iterable, Sequence
+from dataclasses import dataclass
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from truerow.session import configure
 
+#: The values of a table's partition columns.
+Partition = tuple
+
 
 @dataclass(frozen=True)
 class TableSpec:
+    """``key`` is never NULL in a row; a row without it only says that its partition was written."""
+
     name: str
     ddl: str
     partition_by: tuple[str, ...] = ()
+    key: str | None = None
 
     @property
     def schema(self) -> T.StructType:
         return T.StructType.fromDDL(self.ddl)
 
 
-@dataclass(frozen=True)
-class Written:
-    """Rows already in storage but not yet part of the table."""
-
-    spec: TableSpec
-    version: str
-    partitions: dict[str, list[str]]
-
-
-_LOG = "commit LONG, tables STRING, settings STRING"
-
-
-@dataclass
-class Snapshot:
-    number: int = 0
-    tables: dict[str, dict[str, list[str]]] = field(default_factory=dict)
-
-    def partitions(self, table: str) -> dict[str, list[str]]:
-        return self.tables.get(table, {})
+def within(names: Sequence[str], partitions: Iterable[Partition]) -> Column:
+    """Whether a row lies in one of the partitions; a scan lists and reads only these."""
+    *outer, last = names
+    by_outer: dict[tuple, list] = {}
+    for *head, value in partitions:
+        by_outer.setdefault(tuple(head), []).append(value)
+    found = F.lit(False)
+    for head, values in by_outer.items():
+        here = F.col(last).isin(values)
+        for name, value in zip(outer, head):
+            here = here & (F.col(name) == value)
+        found = found | here
+    return found
 
 
 class TableStore:
@@ -59,115 +59,77 @@ class TableStore:
         self.spark = configure(spark)
         self.root = root.rstrip("/")
         self.specs = {spec.name: spec for spec in specs}
+        self._settled = False
 
     def settings(self) -> dict:
-        """What must stay as it was when the first rows were stored; every commit carries it."""
+        """What must stay as it was when the first rows were stored."""
         return {}
 
-    # -- reading ---------------------------------------------------------------------------
-
-    def snapshot(self) -> Snapshot:
-        """The newest commit. Commits are one JSON line each."""
+    def _check_settings(self, writing: bool) -> None:
+        if self._settled:
+            return
+        path, own = f"{self.root}/settings", json.dumps(self.settings(), sort_keys=True)
         try:
-            log = self.spark.read.schema(_LOG).json(f"{self.root}/_log/*")
-            row = log.agg(F.max_by(F.struct(*log.columns), "commit").alias("last")).first()
+            row = self.spark.read.text(path).first()
+        except AnalysisException as error:
+            if error.getCondition() != "PATH_NOT_FOUND":
+                raise
+            row = None
+        if row is None and not writing:
+            return
+        if row is None:
+            self.spark.createDataFrame([(own,)], "value STRING").coalesce(1).write.mode("overwrite").text(path)
+        elif row["value"] != own:
+            raise ValueError(f"{self.root} was stored with {row['value']}, not with {own}.")
+        self._settled = True
+
+    def read(self, table: str, partitions: Iterable[Partition] | None = None) -> DataFrame:
+        """The rows; ``partitions`` restricts the scan to these values of the partition columns."""
+        self._check_settings(writing=False)
+        spec = self.specs[table]
+        try:
+            rows = self.spark.read.schema(spec.schema).parquet(f"{self.root}/{table}").select(*spec.schema.names)
         except AnalysisException as error:
             if error.getCondition() != "PATH_NOT_FOUND":
                 raise
-            return Snapshot()
-        if row is None or row["last"] is None:
-            return Snapshot()
-        stored = json.loads(row["last"]["settings"] or "null")
-        if stored is not None and stored != self.settings():
-            raise ValueError(f"{self.root} was stored with {stored}, not with {self.settings()}.")
-        return Snapshot(row["last"]["commit"], json.loads(row["last"]["tables"]))
-
-    def read(
-        self,
-        table: str,
-        snapshot: Snapshot | None = None,
-        partitions: Iterable[str] | None = None,
-    ) -> DataFrame:
-        """The committed rows; ``partitions`` restricts the scan to named partition folders."""
-        known = (snapshot or self.snapshot()).partitions(table)
-        wanted = known if partitions is None else {p: known[p] for p in partitions if p in known}
-        return self._load(self.specs[table], wanted)
-
-    def rows_of(self, written: Written) -> DataFrame:
-        return self._load(written.spec, written.partitions)
-
-    def _load(self, spec: TableSpec, partitions: Mapping[str, list[str]]) -> DataFrame:
-        base = f"{self.root}/{spec.name}"
-        paths = [
-            f"{base}/{version}/{partition}".rstrip("/")
-            for partition, versions in partitions.items()
-            for version in versions
-        ]
-        if not paths:
             return self.spark.createDataFrame([], spec.schema)
-        reader = self.spark.read.schema(spec.schema).option("basePath", base)
-        return reader.parquet(*paths).select(*spec.schema.names)
+        if partitions is not None:
+            rows = rows.where(within(spec.partition_by, partitions))
+        return rows.where(F.col(spec.key).isNotNull()) if spec.key else rows
 
-    # -- writing ---------------------------------------------------------------------------
+    def partitions_of(self, rows: DataFrame, *partition_by: str) -> list[Partition]:
+        """The partitions that rows fall into: at most one per folder, whatever the number of rows."""
+        return sorted(tuple(row) for row in rows.select(*partition_by).distinct().collect())
 
-    def write(self, table: str, rows: DataFrame) -> Written:
-        """Store rows in a new folder without making them visible.
+    def append(self, table: str, rows: DataFrame) -> None:
+        spec = self.specs[table]
+        self._written(spec, rows, "append")
 
-        Columns the rows do not have become NULL, so older producers keep working.
+    def replace(
+        self, table: str, rows: DataFrame, partitions: Iterable[Partition] = (), parts: int | None = None
+    ) -> None:
+        """Replace the partitions that the rows fall into, or a table without partitions as a whole.
+
+        ``partitions`` are replaced even if no row is left for them. ``parts`` shuffles the rows
+        such that this many tasks write each partition; without it they are written where they are.
         """
         spec = self.specs[table]
-        version = f"v={uuid.uuid4().hex}"
-        path = f"{self.root}/{table}/{version}"
+        named = list(partitions)
+        if named:
+            types = {field.name: field for field in spec.schema}
+            marks = self.spark.createDataFrame(named, T.StructType([types[name] for name in spec.partition_by]))
+            rows = rows.unionByName(marks, allowMissingColumns=True)
+        if parts:
+            rows = rows.repartition(*spec.partition_by, F.pmod(F.xxhash64(spec.key), F.lit(parts)))
+        self._written(spec, rows, "overwrite")
+
+    def _written(self, spec: TableSpec, rows: DataFrame, mode: str) -> None:
+        """Columns the rows do not have become NULL, so older producers keep working."""
+        self._check_settings(writing=True)
         have = set(rows.columns)
         columns = [
             (F.col(f.name) if f.name in have else F.lit(None)).cast(f.dataType).alias(f.name)
             for f in spec.schema
         ]
-        rows.select(*columns).write.partitionBy(*spec.partition_by).parquet(path)
-        if not spec.partition_by:
-            return Written(spec, version, {"": [version]})
-        # The files' folders name the partitions; this lists files and reads no data.
-        files = self.spark.read.schema(spec.schema).parquet(path).inputFiles()
-        folders = {unquote(f).split(f"/{version}/", 1)[1].rpartition("/")[0] for f in files}
-        return Written(spec, version, {folder: [version] for folder in sorted(folders)})
-
-    def commit(
-        self,
-        base: Snapshot,
-        append: Iterable[Written] = (),
-        replace: Mapping[str, tuple[Written, Iterable[str] | None]] | None = None,
-    ) -> Snapshot:
-        """Publish written folders.
-
-        ``replace`` maps a table to new rows and the partitions they stand for (None: all
-        of the table); partitions in that list without new rows become empty. A commit made
-        from an outdated snapshot fails because its number is already taken.
-        """
-        tables = {name: dict(parts) for name, parts in base.tables.items()}
-        for written in append:
-            parts = tables.setdefault(written.spec.name, {})
-            for partition, versions in written.partitions.items():
-                parts[partition] = parts.get(partition, []) + versions
-        for name, (written, scope) in (replace or {}).items():
-            parts = tables.setdefault(name, {})
-            for partition in list(parts) if scope is None else scope:
-                parts.pop(partition, None)
-            parts.update(written.partitions)
-        number = base.number + 1
-        row = self.spark.createDataFrame(
-            [(number, json.dumps(tables, sort_keys=True), json.dumps(self.settings()))], _LOG
-        )
-        self._publish(row.coalesce(1), number)
-        return Snapshot(number, tables)
-
-    def _publish(self, row: DataFrame, number: int) -> None:
-        path = f"{self.root}/_log/n={number:010d}"
-        try:
-            row.write.mode("error").json(path)
-        except AnalysisException as error:
-            if error.getCondition() != "PATH_ALREADY_EXISTS":
-                raise
-            if self.snapshot().number >= number:
-                raise RuntimeError(f"Another writer made commit {number} first.") from error
-            # A writer died here before its row was in place; nothing refers to that folder.
-            row.write.mode("overwrite").json(path)
+        writer = rows.select(*columns).write.mode(mode).option("partitionOverwriteMode", "dynamic")
+        writer.partitionBy(*spec.partition_by).parquet(f"{self.root}/{spec.name}")

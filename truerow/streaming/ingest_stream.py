@@ -2,13 +2,13 @@
 
 Late records are not dropped by a watermark: the state table compares event times, so a late
 older record loses and a late correction wins whenever it arrives. The stream checkpoint
-says which input was read; the ledger, committed together with the state, says which input
-was applied. A batch that is run again after a crash therefore changes nothing.
+says which input was read; the ledger, written after the state, says which input was applied. A
+batch that runs again after a crash goes on where it stopped, or changes nothing.
 """
 
 from __future__ import annotations
 
-import uuid
+import hashlib
 from collections.abc import Callable, Iterable, Mapping, Sequence
 
 from pyspark.sql import DataFrame
@@ -19,14 +19,13 @@ from truerow.config.endpoints import EndpointSchema
 from truerow.functions.times import utc_now, utc_text
 from truerow.operators.apply import IngestResult, apply_files, merge_winners
 from truerow.operators.ingest import (
-    actions_of,
-    changes_of,
     extract,
     file_counts,
     latest_per_key,
 )
+from truerow.session import delete_folder, staged
 from truerow.sources.rawfiles import discover, pending
-from truerow.sources.store import CHANGES, LEDGER, RECORDS, MasterStore
+from truerow.sources.store import LEDGER, MasterStore
 
 AfterBatch = Callable[[MasterStore, IngestResult], None]
 
@@ -47,6 +46,7 @@ def ingest_files_stream(
     every: str | None = None,
     max_files_per_trigger: int = 500,
     after_batch: AfterBatch | None = None,
+    on_malformed: str = "fail",
 ) -> StreamingQuery:
     """Apply raw JSONL files as they arrive; without ``every`` it stops when all are read.
 
@@ -55,7 +55,9 @@ def ingest_files_stream(
     changes no result: it bounds how many files are announced and applied in one commit. Files
     that arrive later come after those applied before, also as in ``ingest``. ``after_batch`` is
     called with the result, for instance to run the pipelines of several targets; the result
-    has no files where an earlier batch has applied them.
+    has no files where an earlier batch has applied them. With ``on_malformed='fail_file'`` a file
+    with a malformed line stops neither the stream nor the other files: the result names it, and
+    it stays pending until it is mended.
     """
     stream = (
         store.spark.readStream.format("text")
@@ -69,7 +71,7 @@ def ingest_files_stream(
     def apply(batch: DataFrame, _: int) -> None:
         found = pending(store.spark, discover(store.spark, raw_dir), store.read(LEDGER.name))
         result = apply_files(
-            store, found.files, schemas, found.skipped, max_files_per_batch=max_files_per_trigger
+            store, found.files, schemas, found.skipped, on_malformed, max_files_per_trigger
         )
         if after_batch is not None:
             after_batch(store, result)
@@ -105,8 +107,7 @@ def apply_record_batch(
     order: Sequence[str],
 ) -> bool:
     """One micro-batch; False when the ledger already has it."""
-    snapshot = store.snapshot()
-    ledger = store.read(LEDGER.name, snapshot)
+    ledger = store.read(LEDGER.name)
     if not ledger.where(F.col("file_path") == source).isEmpty():
         return False
     now = utc_now()
@@ -124,13 +125,10 @@ def apply_record_batch(
             "ingested_at_ts": F.lit(now).cast("timestamp_ntz"),
         }
     )
-    touched = store.touched_folders(records, "endpoint", "bucket")
-    state = merge_winners(store, snapshot, winners.drop(*order), touched)
-    batch_id = f"{now:%Y%m%dT%H%M%S}-{uuid.uuid4().hex[:8]}"
-    actions = actions_of(store.rows_of(state).where("size(actions) > 0"))
-    changes = store.write(
-        CHANGES.name, changes_of(actions).withColumn("batch_id", F.lit(batch_id))
-    )
+    winners, path = staged(winners.drop(*order), "winners")
+    # The same micro-batch has the same id when it runs again.
+    batch_id = hashlib.sha256(source.encode()).hexdigest()[:24]
+    actions = merge_winners(store, winners, batch_id)
     row = file_counts(actions).withColumns(
         {
             "file_path": F.lit(source),
@@ -142,8 +140,8 @@ def apply_record_batch(
             "ingested_at_ts": F.lit(now).cast("timestamp_ntz"),
         }
     )
-    applied = store.write(LEDGER.name, row)
-    store.commit(snapshot, append=[changes, applied], replace={RECORDS.name: (state, touched)})
+    store.append(LEDGER.name, row.coalesce(1))
+    delete_folder(store.spark, path)
     return True
 
 
