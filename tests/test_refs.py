@@ -176,3 +176,18 @@ def test_naming_sets_the_bare_prefix(spark):
     df = _records(spark, [("a", {"id": "A", "c": ["erp:", "plm:"]})])
     found = refs.declared_refs(df, RULES, Naming(system="erp")).collect()
     assert [r["ref"] for r in found] == ["plm:"]
+
+
+def test_coverage_writes_no_extract(spark, monkeypatch):
+    """A single measure reads the records in place."""
+    from truerow.operators import refs
+
+    def written(*_):
+        raise AssertionError("nothing is to be written")
+
+    monkeypatch.setattr(refs, "scratch_dir", written)
+    rule = refs.Relationship("r", "a", ("x",), "b")
+    rows = [("a", "1", '{"x": [" C1 ", {"k": "C2"}, "plm:", "q"]}'), ("b", "C1", '{"id": "C1"}')]
+    records = spark.createDataFrame(rows, "endpoint STRING, record_id STRING, payload STRING")
+    found = refs.coverage(records, [rule]).first()
+    assert (found["declared_refs"], found["seen_refs"], found["missing_refs"], found["invalid_refs"]) == (3, 1, 1, 1)

@@ -1,13 +1,13 @@
 """Do the references between record types resolve?
 
-The records are read once: references, ids and the records themselves come out of one pass and are
-written. References are made distinct inside their own record without a shuffle; then one join
+Where many things are measured, the records are read once: references, ids and the records themselves
+come out of one pass and are written. A single measure reads them in place. References are made distinct inside their own record without a shuffle; then one join
 on (target, reference) and one aggregation follow.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Iterable, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -52,21 +52,24 @@ def extract(
     records: DataFrame,
     relationships: Iterable[Relationship] = DEFAULT_RELATIONSHIPS,
     naming: Naming | None = None,
+    kinds: Sequence[str] = (REF, ID, RECORD),
 ) -> DataFrame:
     """(kind, name, endpoint, record_id, refs): all that the relationships need, in one pass.
 
     A ``ref`` row has the distinct references of a record under the name of its relationship, an
     ``id`` row the ids of a record under the name of its target key, and every record has one
     ``record`` row without its id. ``records`` has the columns endpoint, record_id and payload; a payload is
-    parsed once, only for the fields of any relationship. No shuffle.
+    parsed once, only for the fields of any relationship. No shuffle. Only the given ``kinds`` of rows are made.
     """
     rules, naming = list(relationships), naming or Naming()
     wanted = [(REF, r.name, r.source, r.source_fields) for r in rules]
     wanted += [(ID, *key) for key in sorted({(r.target_key, r.target, r.target_fields) for r in rules})]
+    wanted = [entry for entry in wanted if entry[0] in kinds]
     kind = "array<struct<kind:string,name:string,text:string>>"
     nothing = F.lit(None).cast("string")
     itself = F.struct(F.lit(RECORD).alias("kind"), nothing.alias("name"), nothing.alias("text"))
-    entries = F.array(itself).cast(kind)
+    always = [itself] if RECORD in kinds else []
+    entries = F.array(*always).cast(kind)
     for endpoint in sorted({owner for _, _, owner, _ in wanted}):
         own = [
             F.struct(
@@ -77,7 +80,7 @@ def extract(
             for what, name, owner, fields in wanted
             if owner == endpoint
         ]
-        entries = F.when(F.col("endpoint") == endpoint, F.array(itself, *own).cast(kind)).otherwise(entries)
+        entries = F.when(F.col("endpoint") == endpoint, F.array(*always, *own).cast(kind)).otherwise(entries)
     fields = {field for _, _, _, own in wanted for field in own}
     parsed = records.select(
         "endpoint", "record_id", payload_fields(F.col("payload"), fields, "VARIANT").alias("parsed")
@@ -167,6 +170,24 @@ class References:
         return coverage_summary(self.coverage(pattern), self.counts(), style_endpoint)
 
 
+@dataclass(frozen=True)
+class UnwrittenReferences(References):
+    """The same measured straight on the records, where each kind of rows is needed only once.
+
+    ``rows`` are the records. Each kind reads the records of the endpoints that hold it and parses only
+    its own fields; the record counts parse nothing. What is read twice is cheaper than what would be written.
+    """
+
+    naming: Naming | None = None
+
+    def _of_kind(self, kind: str) -> DataFrame:
+        if kind == RECORD:
+            return self.rows
+        owners = {r.source if kind == REF else r.target for r in self.relationships}
+        own = self.rows.where(F.col("endpoint").isin(sorted(owners)))
+        return extract(own, self.relationships, self.naming, [kind])
+
+
 def declared_refs(
     records: DataFrame,
     relationships: Iterable[Relationship] = DEFAULT_RELATIONSHIPS,
@@ -174,8 +195,7 @@ def declared_refs(
 ) -> DataFrame:
     """The references of ``References.declared`` in one plan with whatever reads them."""
     rules = tuple(relationships)
-    sources = records.where(F.col("endpoint").isin(sorted({r.source for r in rules})))
-    return References(extract(sources, rules, naming), rules).declared()
+    return UnwrittenReferences(records, rules, naming).declared()
 
 
 def target_ids(
@@ -185,8 +205,7 @@ def target_ids(
 ) -> DataFrame:
     """The target ids of ``References.targets`` in one plan with whatever reads them."""
     rules = tuple(relationships)
-    targets = records.where(F.col("endpoint").isin(sorted({r.target for r in rules})))
-    return References(extract(targets, rules, naming), rules).targets()
+    return UnwrittenReferences(records, rules, naming).targets()
 
 
 def is_valid_ref(ref: Column, pattern: str = VALID_REF_PATTERN) -> Column:
@@ -276,8 +295,8 @@ def coverage(
     naming: Naming | None = None,
     pattern: str = VALID_REF_PATTERN,
 ) -> DataFrame:
-    """R1-R5 from the current records, which are read once."""
-    return References.of(records, relationships, naming).coverage(pattern)
+    """R1-R5 from the current records; see ``UnwrittenReferences``."""
+    return UnwrittenReferences(records, tuple(relationships), naming).coverage(pattern)
 
 
 def unresolved_counts(coverage_rows: DataFrame) -> DataFrame:
