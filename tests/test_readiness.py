@@ -153,3 +153,19 @@ def test_check_payloads(spark, tmp_path):
     sheets = reports.coverage_from_results(frame, check.RULE_SET_VERSION)
     assert sheets["unresolved_refs"].count() == 3
     assert "Invalid refs: `0`" in reports.coverage_markdown(sheets)
+
+
+def test_check_reads_an_unresolved_reference_once(spark):
+    """Lambdas are not compiled, so a read that is named again would run again for every reference."""
+    counts = "struct(map('a', 1) AS relationship_ids, map('a', 1) AS resolved_records) AS counts"
+    ref = """parse_json('{"status": "", "relation_type": "r", "id": 7}')"""
+    rows = spark.sql(
+        f"SELECT 'S' AS style_id, {counts}, array({ref}) AS unresolved_refs, "
+        "CAST(NULL AS array<struct<code:string,message:string>>) AS warnings"
+    )
+    found = check.validate(rows).select("issues")
+    assert found._jdf.queryExecution().analyzed().toString().count("try_variant_get") == 1
+    last = found.first()["issues"][-1]
+    assert (last["message"], last["rule_id"]) == (
+        "Unresolved r reference to endpoint record 7.", "reconstruction.refs.unresolved",
+    )

@@ -48,6 +48,12 @@ def present(issues: Sequence[Column]) -> Column:
     return F.filter(F.array(*issues), lambda i: i.isNotNull())
 
 
+def listed(tests: Sequence[tuple[Column, Column]]) -> Column:
+    """The issues whose tests hold, in order. Unlike ``present`` it has no lambda, so it is compiled."""
+    none = F.array().cast(ISSUES_TYPE)
+    return F.concat(none, *[F.when(test, F.array(found)).otherwise(none) for test, found in tests])
+
+
 def joined(*groups: Column) -> Column:
     return F.concat(*groups)
 

@@ -7,7 +7,7 @@ instead of one parse per field.
 from __future__ import annotations
 
 import json
-from collections.abc import Iterable
+from collections.abc import Callable, Iterable
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -41,6 +41,14 @@ def computed_once(rows: DataFrame, name: str, value: Column) -> DataFrame:
     return rows.select(*rows.columns, F.explode(F.array(value)).alias(name))
 
 
+def bound(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of a costly value that it names more than once, inside one expression.
+
+    Lambdas and what they are applied to are not compiled, so there each mention computes it again.
+    """
+    return F.get(F.transform(F.array(value), body), 0)
+
+
 def line_fields(payload: Column, names: Iterable[str]) -> Column:
     """The named top-level fields of a line that is one JSON object and nothing else, as text.
 

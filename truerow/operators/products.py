@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from truerow.functions.jsons import BAD, as_array, as_map, computed_once, is_json_null, payload_fields
+from truerow.functions.jsons import BAD, as_array, as_map, bound, computed_once, is_json_null, payload_fields
 from truerow.functions.text import filled
 from truerow.functions.times import utc_now
 from truerow.session import delete_folder, staged
@@ -91,6 +91,8 @@ def coerce_products(products: DataFrame) -> DataFrame:
     have = dict(products.dtypes)
 
     def raw(name: str, kind: str = "string") -> Column:
+        if have.get(name) == kind:
+            return F.col(name)
         return F.col(name).cast(kind) if name in have else F.lit(None).cast(kind)
 
     given_id = F.coalesce(F.nullif(raw("product_id"), F.lit("")), F.nullif(raw("style_id"), F.lit("")))
@@ -99,7 +101,7 @@ def coerce_products(products: DataFrame) -> DataFrame:
     if "source_refs" in have:
         incomplete = F.raise_error(F.lit("A source reference needs endpoint and record_id."))
         refs = F.transform(
-            F.col("source_refs").cast(REFS_TYPE),
+            raw("source_refs", REFS_TYPE),
             lambda r: F.struct(
                 F.coalesce(filled(r["endpoint"]), incomplete.cast("string")).alias("endpoint"),
                 F.coalesce(filled(r["record_id"]), incomplete.cast("string")).alias("record_id"),
@@ -109,7 +111,7 @@ def coerce_products(products: DataFrame) -> DataFrame:
     warnings = F.lit(None).cast(WARNINGS_TYPE)
     if "warnings" in have:
         warnings = F.transform(
-            F.col("warnings").cast(WARNINGS_TYPE),
+            raw("warnings", WARNINGS_TYPE),
             lambda w: F.struct(
                 F.coalesce(filled(w["code"]), F.lit(DEFAULT_WARNING_CODE)).alias("code"),
                 F.coalesce(filled(w["message"]), F.lit("")).alias("message"),
@@ -204,7 +206,7 @@ def resolved_counts(refs: Column) -> Column:
     """
     names = F.create_map(*[F.lit(x) for pair in RELATION_BUCKETS.items() for x in pair])
     counted = F.filter(refs, lambda r: r["relation_type"] != "style")
-    pairs = F.array_distinct(
+    found = F.array_distinct(
         F.transform(
             counted,
             lambda r: F.struct(
@@ -215,13 +217,13 @@ def resolved_counts(refs: Column) -> Column:
             ),
         )
     )
-    buckets = F.array_sort(F.array_distinct(F.transform(pairs, lambda p: p["bucket"])))
-    return F.map_from_arrays(
-        buckets,
-        F.transform(
-            buckets, lambda b: F.size(F.filter(pairs, lambda p: p["bucket"] == b))
-        ),
-    )
+
+    def numbers(of: Column) -> Column:
+        return F.transform(of["buckets"], lambda b: F.size(F.filter(of["all"], lambda x: x == b)))
+
+    # One bucket name per distinct pair; the names are sorted, distinct and never null.
+    parts = bound(found["bucket"], lambda n: F.struct(n.alias("all"), F.sort_array(F.array_distinct(n)).alias("buckets")))
+    return bound(parts, lambda of: F.map_from_arrays(of["buckets"], numbers(of)))
 
 
 def resolved_counts_of(refs: DataFrame) -> DataFrame:
