@@ -155,6 +155,30 @@ def test_check_payloads(spark, tmp_path):
     assert "Invalid refs: `0`" in reports.coverage_markdown(sheets)
 
 
+def test_check_report_reads_its_results_once(spark, tmp_path):
+    """Results of a costly plan are computed a single time for all sheets and the text."""
+    from truerow.functions.issues import ISSUES_TYPE
+    from truerow.plans.reporting import write_check_report
+
+    made = spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        for batch in batches:
+            made.add(batch.num_rows)
+            yield batch
+
+    issue = "struct('A', 'm', 'error', 'MDM', 'unresolved_refs', 'r', true)"
+    rows = spark.range(6).selectExpr(
+        "id > 3 AS ready", f"CAST(IF(id > 3, array(), array({issue}, {issue})) AS {ISSUES_TYPE}) AS issues"
+    )
+    paths = write_check_report(rows.mapInArrow(counted, rows.schema), str(tmp_path / "report"))
+    assert made.value == 6
+    sheet = {name: spark.read.option("header", "true").csv(paths[name]).collect() for name in ("summary", "issues")}
+    assert [r["count"] for r in sheet["issues"]] == ["8"]
+    facts = {r["metric"]: r["value"] for r in sheet["summary"]}
+    assert (facts["styles_in_store"], facts["reference_coverage_percent"]) == ("6", "33.33")
+
+
 def test_check_reads_an_unresolved_reference_once(spark):
     """Lambdas are not compiled, so a read that is named again would run again for every reference."""
     counts = "struct(map('a', 1) AS relationship_ids, map('a', 1) AS resolved_records) AS counts"

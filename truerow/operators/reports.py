@@ -104,17 +104,19 @@ def issue_counts(results: DataFrame) -> DataFrame:
 
 def unresolved_counts(results: DataFrame) -> DataFrame:
     """Unresolved references named by the results."""
-    found = exploded_issues(results).where(
-        (F.col("source_field") == "unresolved_refs") | F.col("code").isin(*UNRESOLVED_CODES)
-    )
+    return _unresolved(exploded_issues(results), F.count("*"))
+
+
+def _unresolved(issues: DataFrame, count: Column) -> DataFrame:
     field = F.col("source_field")
+    found = issues.where((field == "unresolved_refs") | F.col("code").isin(*UNRESOLVED_CODES))
     return (
         found.groupBy(
             field.alias("relationship"),
             field.alias("target_endpoint"),
             F.col("code").alias("status"),
         )
-        .agg(F.count("*").alias("count"))
+        .agg(count.alias("count"))
         .orderBy("relationship", "target_endpoint", "status")
     )
 
@@ -207,12 +209,36 @@ def coverage_sheets(
     }
 
 
+def tally(results: DataFrame) -> DataFrame:
+    """All that the report of single results counts, in one pass: one row per kind of issue.
+
+    A product counts with its first issue, or in the row without a code if it has none.
+    """
+    rows = results.select("ready", F.posexplode_outer("issues").alias("pos", "issue"))
+    first = F.coalesce(F.col("pos"), F.lit(0)) == 0
+    kinds = [F.col("issue")[name].alias(name) for name in ("code", "severity", "source_field")]
+    return rows.groupBy(*kinds).agg(
+        F.count("issue").alias("count"),
+        F.count_if(first).alias("products"),
+        F.count_if(first & F.col("ready")).alias("ready"),
+    )
+
+
 def coverage_from_results(results: DataFrame, version: str) -> dict[str, DataFrame]:
-    """The coverage report of results that were validated one product at a time.
+    """The coverage report of results that were validated one product at a time."""
+    return coverage_from_tally(tally(results), version)
+
+
+def coverage_from_tally(counted: DataFrame, version: str) -> dict[str, DataFrame]:
+    """The same from what ``tally`` counted, which may have been stored.
 
     There is no endpoint or relationship information in them; these parts stay empty.
     """
-    run = run_result(results)
+    total = [F.coalesce(F.sum(name), F.lit(0)) for name in ("products", "ready")]
+    run = counted.agg(total[0].alias("total_products"), total[1].alias("ready_products")).withColumn(
+        "readiness_percent", percent(F.col("ready_products"), F.col("total_products"), 0.0)
+    )
+    found, field = counted.where(F.col("code").isNotNull()), F.col("source_field")
     zero = F.lit(0).cast("long")
     summary = run.select(
         F.col("total_products").alias("styles"),
@@ -232,8 +258,10 @@ def coverage_from_results(results: DataFrame, version: str) -> dict[str, DataFra
     )
     return {
         "summary": key_values(summary, COVERAGE_METRICS),
-        "issues": issue_counts(results),
-        "unresolved_refs": unresolved_counts(results),
+        "issues": found.select("code", "severity", field.alias("bucket"), "count").orderBy(
+            "code", "severity", "bucket"
+        ),
+        "unresolved_refs": _unresolved(found, F.sum("count")),
     }
 
 

@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame
 from truerow.config.naming import Naming
 from truerow.config.relationships import DEFAULT_RELATIONSHIPS, Relationship
 from truerow.operators import check, refs, reports
+from truerow.session import delete_folder, staged
 from truerow.sources.sinks import write_sheets, write_text
 from truerow.sources.store import MasterStore
 
@@ -63,11 +64,16 @@ def write_readiness_report(
 
 
 def write_check_report(results: DataFrame, folder: str, file_format: str = "csv") -> dict[str, str]:
-    """The coverage report of stored check results: summary, issue and reference tables and text."""
-    sheets = reports.coverage_from_results(results, check.RULE_SET_VERSION)
+    """The coverage report of check results: summary, issue and reference tables and text.
+
+    The results are read once, stored or not: their counts are written, and all sheets are made from them.
+    """
+    counted, path = staged(reports.tally(results), "check-tally")
+    sheets = reports.coverage_from_tally(counted, check.RULE_SET_VERSION)
     paths = write_sheets(sheets, folder, file_format)
     paths["markdown"] = f"{folder.rstrip('/')}/markdown"
     write_text(reports.coverage_markdown(sheets), paths["markdown"], results.sparkSession)
+    delete_folder(results.sparkSession, path)
     return paths
 
 
