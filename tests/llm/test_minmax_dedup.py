@@ -1,9 +1,11 @@
 """Min-max hashing groups against all pairs."""
 
 import random
+import tracemalloc
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from conftest import documents, prose
@@ -129,3 +131,16 @@ def test_texts_that_share_a_doc_id_are_sets_of_their_own(spark):
     assert got == {(5, 36, 5), (6, 37, 5), (7, 37, 5), (8, 36, 5)}
     kept = Counter((r.doc_id, r.text) for r in M.without_near_copies(documents(spark, rows)).collect())
     assert sum(kept.values()) == 2 or kept == Counter([(5, a)]) or kept == Counter([(5, b)])
+
+
+def test_signatures_need_little_memory():
+    """A batch of 6 MB is worked on in parts: whole, its words and hashes took 87 MB."""
+    rng = random.Random(8)
+    texts = [" ".join(str(rng.randrange(10**6)) for _ in range(500)) for _ in range(1800)]
+    columns = [pa.array(range(1800), pa.int64()), pa.array(texts), pa.array([b"k"] * 1800)]
+    batch = pa.RecordBatch.from_arrays(columns, names=["doc_id", "text", "key"])
+    tracemalloc.start()
+    rows = sum(found.num_rows for found in M._describe(iter([batch])))
+    _, peak = tracemalloc.get_traced_memory()
+    tracemalloc.stop()
+    assert rows == 1800 and peak < 80 << 20

@@ -15,7 +15,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from truerow.llm.common import only, row_key, split_documents, stored, table, texts_of
+from truerow.llm.common import BATCH_BYTES, only, row_key, split_documents, stored, table, texts_of
 from truerow.llm.components import components
 from truerow.llm.words import WordHashes, hashed_words, mixed, shingle_sets
 
@@ -77,7 +77,7 @@ def first_shingles(own: np.ndarray) -> bytes | None:
 
 def _describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     memory = WordHashes()
-    for batch in split_documents(batches):
+    for batch in split_documents(batches, BATCH_BYTES):
         values, sizes = _sets(batch, memory)
         rows = iter(signatures(values, sizes))
         signature = [next(rows).tobytes() if size else None for size in sizes]
@@ -105,7 +105,7 @@ def band_keys(signature: np.ndarray) -> np.ndarray:
 def _full_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Per text its whole set, the fine signature, and short band keys."""
     memory = WordHashes()
-    for batch in split_documents(batches):
+    for batch in split_documents(batches, BATCH_BYTES):
         values, sizes = _sets(batch, memory)
         ends = np.cumsum(sizes)
         full = [values[end - size : end].tobytes() for end, size in zip(ends, sizes)]

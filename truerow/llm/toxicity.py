@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from truerow.llm.common import crc32_of, split_documents, stored, table
+from truerow.llm.common import BATCH_BYTES, crc32_of, split_documents, stored, table
 
 PUNCTUATION = ".,;:!?\"'()[]{}#*$%&|<>-_/\\`~+=@^"
 #: Word beginnings of these lengths are features beside the whole word.
@@ -37,7 +37,7 @@ DRIFT, TIMES_GAIN = 0.1, 3.0
 #: Passages whose expected number in a clean text of that length is lower are reported.
 MOST_EXPECTED = 0.05
 THRESHOLD = 0.3
-#: Words whose score a task remembers.
+#: Words whose score a task remembers; a full memory is emptied, which changes no result.
 MOST_REMEMBERED = 500_000
 
 
@@ -126,7 +126,7 @@ def _texts(batch: pa.RecordBatch) -> list[str]:
 def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Per task the documents of either label that have a feature."""
     memory: dict[str, list[str]] = {}
-    for batch in split_documents(batches, 32 << 20):
+    for batch in split_documents(batches, BATCH_BYTES):
         counts = Counter(), Counter()
         labels = batch.column(batch.schema.get_field_index("toxic")).to_pylist()
         for text, label in zip(_texts(batch), labels):
@@ -175,7 +175,7 @@ def log_odds(train: DataFrame) -> dict[str, float]:
 def _scan_training(model: Model):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pd.DataFrame]:
         lexicon = Lexicon(model.weights)
-        for batch in split_documents(batches):
+        for batch in split_documents(batches, BATCH_BYTES):
             labels = batch.column(batch.schema.get_field_index("toxic"))
             scanned = [scan(text, lexicon, model.drift) for text in _texts(batch)]
             columns = [
@@ -265,7 +265,7 @@ OUTPUT = (
 def _score(model: Model, schema: pa.DataType):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         lexicon = Lexicon(model.weights)
-        for batch in split_documents(batches):
+        for batch in split_documents(batches, BATCH_BYTES):
             inputs, segments, sizes = [], [], []
             for text in _texts(batch):
                 n, found, _ = scan(text, lexicon, model.drift)
@@ -314,7 +314,7 @@ def score_documents(docs: DataFrame, model: Model) -> DataFrame:
 def _keep_clean(model: Model):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         lexicon = Lexicon(model.weights)
-        for batch in split_documents(batches):
+        for batch in split_documents(batches, BATCH_BYTES):
             inputs = []
             for text in _texts(batch):
                 n, found, _ = scan(text, lexicon, model.drift)
