@@ -191,3 +191,50 @@ def test_coverage_writes_no_extract(spark, monkeypatch):
     records = spark.createDataFrame(rows, "endpoint STRING, record_id STRING, payload STRING")
     found = refs.coverage(records, [rule]).first()
     assert (found["declared_refs"], found["seen_refs"], found["missing_refs"], found["invalid_refs"]) == (3, 1, 1, 1)
+
+
+def test_extraction_makes_no_text_of_values(spark):
+    """Payloads are read by one JSON reader; VARIANTs written as text again took most of the time."""
+    records = _records(spark, [("a", {"id": "A1", "b1": "C1"})])
+    plan = refs.declared_refs(records, RULES)._jdf.queryExecution().executedPlan().toString()
+    assert "to_json" not in plan and "parse_json" not in plan and "variant" not in plan
+
+
+def test_extraction_of_odd_payloads(spark):
+    payloads = {
+        "escaped": r'{"c": ["C1", "a\"b", "😀", "é", "C1"]}',
+        "half": r'{"c": ["x\ud800", "x?"]}',
+        "depth": '{"c": ' + "[" * 1001 + '"C2"' + "]" * 1001 + "}",
+        "keys": '{"c": {"z": "C3", "C9": ["C4", {"b": "C6", "a": "C5"}], "a": " C7\\u3000"}}',
+        "numbers": '{"c": [1' + "0" * 5000 + ', 1e400, -0, true, null, "C8"]}',
+        "again": '{"c": "C1", "c": "C2"}',
+        "looks": '{"c": "[\\"C1\\"]"}',
+        "more": ' {"c": "C1"} {"c": "C2"}',
+        "broken": '{"c": "C1"',
+        "list": '[{"c": "C1"}]',
+        "empty": "",
+        "none": None,
+    }
+    rows = [("b", name, text) for name, text in payloads.items()]
+    records = spark.createDataFrame(rows, "endpoint STRING, record_id STRING, payload STRING")
+    found = {}
+    for row in refs.declared_refs(records, RULES).orderBy("record_id", "pos").collect():
+        found.setdefault(row["record_id"], []).append(row["ref"])
+    assert found == {
+        "escaped": ["C1", 'a"b', "\U0001f600", "é"],
+        "half": ["x?"],
+        "depth": ["C2"],
+        "keys": ["C4", "C5", "C6", "C7", "C3"],
+        "numbers": ["C8"],
+        "again": ["C2"],
+        "looks": ['["C1"]'],
+        "more": ["C1"],
+    }
+    kinds = {r["kind"]: r["count"] for r in refs.extract(records, RULES).groupBy("kind").count().collect()}
+    assert kinds == {"ref": 12, "id": 12, "record": 12}
+
+
+def test_references_are_stripped_of_all_white_space():
+    from truerow.functions.text import WHITE_SPACE
+
+    assert set(WHITE_SPACE) == {c for c in map(chr, range(0x110000)) if c.isspace()}

@@ -110,32 +110,3 @@ def as_map(value: Column) -> Column:
 
 def as_array(value: Column) -> Column:
     return F.try_variant_get(value, "$", "array<variant>")
-
-
-# Characters that JSON text never holds raw stand for its two troublesome escapes.
-_BACKSLASH, _QUOTE = "\x01", "\x02"
-# A JSON string token, with the colon when it is a key. Outside of strings JSON has no quotes,
-# so tokens found from left to right are never out of step.
-_STRING_TOKEN = r'"[^"]*"(?:\s*:)?'
-
-
-def string_leaves(text: Column) -> Column:
-    """All string leaves in the text of a JSON array, at any depth.
-
-    They are the string tokens of the JSON text that are not keys. Escaped backslashes and
-    quotes are replaced before the text is cut, so a token ends at the next quote, whatever it holds.
-    """
-    plain = F.replace(F.replace(text, F.lit("\\\\"), F.lit(_BACKSLASH)), F.lit('\\"'), F.lit(_QUOTE))
-    tokens = F.filter(
-        F.regexp_extract_all(plain, F.lit(_STRING_TOKEN), F.lit(0)),
-        lambda t: ~t.endswith(":"),
-    )
-
-    def leaf(token: Column) -> Column:
-        whole = F.replace(F.replace(token, F.lit(_QUOTE), F.lit('\\"')), F.lit(_BACKSLASH), F.lit("\\\\"))
-        read = F.get_json_object(F.concat(F.lit("["), whole, F.lit("]")), "$[0]")
-        return F.when(token.rlike(r"[\x01\x02\\]"), read).otherwise(
-            F.substring(token, F.lit(2), F.length(token) - 2)
-        )
-
-    return F.transform(tokens, leaf)
