@@ -152,3 +152,37 @@ def test_tracking_config_is_checked():
             TrackingConfig.load(bad)
     with pytest.raises(ValueError):
         TrackingConfig.load({"defaults": {"drop_empty": "no"}, "endpoints": {"a": ["b"]}})
+
+
+@pytest.mark.parametrize(
+    "values, expected",
+    [
+        (["b\\", 'a"]', "[x", "{", "é", "b"], r'["[x","a\"]","b","b\\","{","é"]'),
+        ([10, 9, True, None, 1.5, "c,d", ""], '["","c,d",1.5,10,9,null,true]'),
+        ([], "[]"),
+        ({"t": "a[0]", "s": 1}, '{"s":1,"t":"a[0]"}'),
+    ],
+)
+def test_arrays_are_sorted_by_the_text_of_their_items(spark, values, expected):
+    payload = json.dumps({"v": values}, ensure_ascii=False)
+    assert _tracked(spark, payload, fields=("v",), sort_arrays=True) == f'{{"v":{expected}}}'
+
+
+def _plan(rows):
+    return rows._jdf.queryExecution().optimizedPlan().toString().lower()
+
+
+def test_values_are_written_and_sent_to_python_once(spark):
+    df = spark.createDataFrame([("e", "1", "{}")], "endpoint STRING, record_id STRING, payload STRING")
+    entry = TrackedEndpoint("e", fields=("a", "b.c", "b.d"), sort_arrays=True)
+    plan = _plan(changelog.index(df, {"e": entry}))
+    assert plan.count("structstojsonevaluator(") == 3 and "schemaofvariant" not in plan
+    assert plan.count("arrowevalpython") == 1
+
+
+def test_payloads_are_opened_only_for_the_changed_fields(spark):
+    schema = "endpoint STRING, record_id STRING, payload_hash STRING, tracked_payload_json STRING"
+    rows = spark.createDataFrame([("e", "1", "h", "{}")], schema)
+    changes = changelog.diff(rows, rows)
+    assert "parsejson" not in _plan(changes.groupBy("endpoint", "change_type").count())
+    assert "parsejson" in _plan(changes)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Mapping
+from collections.abc import Iterable, Iterator, Mapping
 from dataclasses import dataclass
 from datetime import datetime
 
@@ -13,8 +13,8 @@ from truerow.config.tracking import TrackedEndpoint, TrackingConfig
 from truerow.functions.canonical import sorted_arrays
 from truerow.functions.jsons import (
     BAD,
+    bound,
     computed_once,
-    is_json_null,
     payload_fields,
     variant_path,
 )
@@ -53,53 +53,44 @@ def _json_key(name: str) -> str:
     return f'"{text}":'
 
 
-def _value_text(value: Column, endpoint: TrackedEndpoint) -> Column:
-    """JSON text of one value, NULL when it is not to be tracked.
+def _values(tree: Mapping, parent: Column, top: bool = True) -> list[Column]:
+    """JSON text of every tracked value, in the order of the names, from the struct of top-level variants.
 
     SQL NULL means the path is missing; a JSON null is a value. The JSON writer sorts object
     keys and writes no blanks.
     """
-    text = F.to_json(value)
-    if endpoint.sort_arrays:
-        text = sorted_arrays(value, text)
+    found = []
+    for name in sorted(tree):
+        value = parent[name] if top else F.try_variant_get(parent, variant_path(name), "variant")
+        found += [F.to_json(value)] if tree[name] is None else _values(tree[name], value, False)
+    return found
+
+
+def _value_text(text: Column, endpoint: TrackedEndpoint) -> Column:
+    """The text of one value, NULL when it is not to be tracked."""
     if endpoint.drop_empty:
-        text = F.when(is_json_null(value) | text.isin('""', "[]", "{}"), None).otherwise(text)
-    if endpoint.include_missing and not endpoint.drop_empty:
+        text = F.when(text.isin("null", '""', "[]", "{}"), None).otherwise(text)
+    elif endpoint.include_missing:
         text = F.coalesce(text, F.lit("null"))
     return text
 
 
-def _object_text(node: Mapping, parent: Column, endpoint: TrackedEndpoint, top: bool) -> Column:
+def _object_text(tree: Mapping, texts: Iterator[Column], top: bool = True) -> Column:
     parts = []
-    for name in sorted(node):
-        if top:
-            value = parent[name]
-        else:
-            value = F.try_variant_get(parent, variant_path(name), "variant")
-        below = node[name]
-        text = (
-            _value_text(value, endpoint)
-            if below is None
-            else _object_text(below, value, endpoint, False)
-        )
+    for name in sorted(tree):
+        text = next(texts) if tree[name] is None else _object_text(tree[name], texts, False)
         parts.append(F.concat(F.lit(_json_key(name)), text))
-    body = F.concat_ws(",", *parts)
-    whole = F.concat(F.lit("{"), body, F.lit("}"))
-    return whole if top else F.when(body != "", whole)
-
-
-def tracked_payload(parsed: Column, endpoint: TrackedEndpoint) -> Column:
-    """Canonical JSON of the tracked fields, from the struct of top-level variants."""
-    return _object_text(_tree(endpoint.fields), parsed, endpoint, True)
+    whole = F.concat(F.lit("{"), F.concat_ws(",", *parts), F.lit("}"))
+    return whole if top else F.nullif(whole, F.lit("{}"))
 
 
 def index(
     records: DataFrame, endpoints: Mapping[str, TrackedEndpoint], keep: Iterable[str] = ()
 ) -> DataFrame:
-    """C4: (endpoint, record_id, payload_hash, tracked_payload_json) of tracked endpoints.
+    """(endpoint, record_id, payload_hash, tracked_payload_json) of tracked endpoints.
 
-    Payloads are parsed once, for the tracked top-level fields only; text that is no JSON
-    object is left out.
+    Payloads are parsed once, for the tracked top-level fields only, and every tracked value is written
+    as text once; text that is no JSON object is left out.
     """
     roots = {root for entry in endpoints.values() for root in entry.roots()}
     groups: dict[TrackedEndpoint, list[str]] = {}
@@ -107,18 +98,21 @@ def index(
         same = TrackedEndpoint("", *[getattr(entry, f) for f in _SETTINGS])
         groups.setdefault(same, []).append(name)
     names = ["endpoint", "record_id", *keep]
-    text = F.lit(None).cast("string")
-    for entry, members in groups.items():
-        tracked = tracked_payload(F.col("parsed"), entry)
-        chosen = F.col("endpoint").isin(members)
-        text = tracked if len(groups) == 1 else F.when(chosen, tracked).otherwise(text)
     wanted = records.where(F.col("endpoint").isin(sorted(endpoints))).select(*names, "payload")
     parsed = computed_once(wanted, "parsed", payload_fields(F.col("payload"), roots, "VARIANT"))
-    tracked = computed_once(
-        parsed.where(F.col("parsed")[BAD].isNull()).select(*names, "parsed"),
-        "tracked_payload_json",
-        text,
-    ).drop("parsed")
+    values, text = F.lit(None).cast("array<string>"), F.lit(None).cast("string")
+    for entry, members in groups.items():
+        tree = _tree(entry.fields)
+        found = _values(tree, F.col("parsed"))
+        given = [F.get(F.col("values"), n) for n in range(len(found))]
+        chosen = F.col("endpoint").isin(members)
+        if entry.sort_arrays:
+            given = sorted_arrays([text if len(groups) == 1 else F.when(chosen, text) for text in given])
+        tracked = _object_text(tree, iter([_value_text(text, entry) for text in given]))
+        values = F.when(chosen, F.array(*found)).otherwise(values)
+        text = F.when(chosen, tracked).otherwise(text)
+    valued = computed_once(parsed.where(F.col("parsed")[BAD].isNull()).select(*names, "parsed"), "values", values)
+    tracked = computed_once(valued.select(*names, "values"), "tracked_payload_json", text).drop("values")
     return tracked.withColumn("payload_hash", F.sha2("tracked_payload_json", 256))
 
 
@@ -161,16 +155,15 @@ def diff(previous: DataFrame, current: DataFrame) -> DataFrame:
         any_field_differs(["payload_hash"]),
     )
     old, new = F.col("previous.tracked_payload_json"), F.col("current.tracked_payload_json")
-    # Only rows that differ get here, so only their payloads are opened.
+    # Only rows that differ get here, so only their payloads are opened, and only where the names are read.
     fields = F.struct(_top_level(old).alias("old"), _top_level(new).alias("new"))
-    changes = computed_once(changes, "fields", fields)
     return changes.select(
         "endpoint",
         "record_id",
         "change_type",
         F.col("previous.payload_hash").alias("previous_hash"),
         F.col("current.payload_hash").alias("current_hash"),
-        _differing(F.col("fields.old"), F.col("fields.new")).alias("changed_fields"),
+        bound(fields, lambda f: _differing(f["old"], f["new"])).alias("changed_fields"),
         old.alias("previous_payload_json"),
         new.alias("current_payload_json"),
     )
