@@ -2,7 +2,9 @@
 
 import hashlib
 import random
+import time
 from collections import Counter
+from pathlib import Path
 
 import numpy as np
 import pytest
@@ -11,6 +13,7 @@ from pyspark.sql import functions as F
 from conftest import documents, prose
 from truerow.llm import exact_dedup, minmax_dedup
 from truerow.llm import suffix_dedup as S
+from truerow.llm.common import CLEAN_SHUFFLES, stored
 
 
 def brute(texts, span=400):
@@ -52,6 +55,36 @@ def test_equals_brute_force(spark, texts, most_kinds, lengths):
         assert 0 <= r.n_bytes - r.n_removed - len(r.text.encode()) <= 8 * max(len(r.spans), 1)
 
 
+def test_only_repeated_anchors_are_moved(spark, monkeypatch):
+    """Anchors that occur once go into no table but the first."""
+    rng = random.Random(12)
+    passage = prose(rng, 200)
+    texts = [(i, prose(rng, 900, 10**9) + (passage if i < 2 else "")) for i in range(20)]
+    rows = {}
+
+    def counted(table, name, codec=None):
+        found = stored(table, name, codec)
+        rows[name] = found.count()
+        return found
+
+    monkeypatch.setattr(S, "stored", counted)
+    found = S.repeated_places(documents(spark, texts), S.Lengths(240, 120))
+    assert 0 < found.count() <= rows["repeated"] < rows["anchors"] / 5
+
+
+def test_stored_tables_give_their_shuffles_back(spark):
+    def shuffles():
+        return set(Path(spark.conf.get("spark.local.dir", "/tmp")).glob("blockmgr-*/*/shuffle_*.data"))
+
+    before = shuffles()
+    found = stored(spark.range(100_000).selectExpr("id % 999 AS a", "id").repartition(3, "a"), "shuffled")
+    deadline = time.time() + 20
+    while shuffles() - before and time.time() < deadline:
+        time.sleep(0.1)
+    assert not shuffles() - before and found.count() == 100_000
+    assert spark.conf.get(CLEAN_SHUFFLES, "false") == "false"
+
+
 def test_columns_of_any_name(spark, texts):
     """Names that the operators use inside come back unchanged."""
     docs = documents(spark, texts)
