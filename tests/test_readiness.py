@@ -193,3 +193,47 @@ def test_check_reads_an_unresolved_reference_once(spark):
     assert (last["message"], last["rule_id"]) == (
         "Unresolved r reference to endpoint record 7.", "reconstruction.refs.unresolved",
     )
+
+
+def test_rules_are_compiled_but_for_their_lambdas(spark):
+    """A generator that holds a lambda is interpreted as a whole; the kind of a value is read once per attribute."""
+    docs = spark.createDataFrame([], readiness.document_schema())
+    query = readiness.validate(docs, RULES).select("issues")._jdf.queryExecution()
+    generators = [line for line in query.optimizedPlan().toString().splitlines() if "Generate explode" in line]
+    assert len(generators) == 1 and "lambda" not in generators[0]
+    assert query.analyzed().toString().count("schema_of_variant") == 2
+
+
+def test_odd_values_and_overlapping_rules(spark, tmp_path):
+    rules = RuleSet.load(
+        {
+            "version": "v",
+            "attributes": [{"code": c, "data_type": "list"} for c in "abcdefgh"] + [{"code": "n", "data_type": "number"}],
+            "brands": [{"code": "B", "required_attributes": ["n", "c", "a"]}, {"code": "C"}],
+            "product_types": [
+                {"code": "T", "dpp_template_code": "t", "required_attributes": ["h", "c", "b"],
+                 "warning_attributes": ["n", "g", "b", "f", "e", "d"]},
+                {"code": "W", "dpp_template_code": "t", "warning_attributes": ["n", "a"]},
+            ],
+        }
+    )
+    values = {"a": [], "b": [None], "c": None, "d": "", "e": {}, "f": 0, "g": [[]], "h": "x", "n": 1.5}
+    good = {"global_style_id": "G", "attributes": values, "variants": [{"global_variant_id": "V", "sku": "K", "gtin": "0"}]}
+    docs = [
+        {**good, "plm_style_id": style, "brand_code": brand, "product_type_code": kind}
+        for style, brand, kind in (("1", "B", "T"), ("2", "C", "T"), ("3", "B", "W"), ("4", "B", None), ("5", "B", "?"))
+    ]
+    path = tmp_path / "docs.json"
+    path.write_text(json.dumps(docs))
+    read = spark.read.schema(readiness.document_schema()).option("multiLine", "true").json(str(path))
+    rows = {r["plm_style_id"]: r["issues"] for r in readiness.validate(read, rules).collect()}
+
+    def found(style):
+        short = {"DPP_REQUIRED_ATTRIBUTE_MISSING": "!", "DPP_RECOMMENDED_ATTRIBUTE_MISSING": "?", "ATTRIBUTE_TYPE_INVALID": "t"}
+        return [short.get(i["code"], i["code"]) + i["source_field"].removeprefix("attributes.") for i in rows[style]]
+
+    assert found("1") == ["!a", "!c", "th", "?d", "te", "tf"]
+    assert found("2") == ["!c", "th", "?d", "te", "tf"]
+    assert found("3") == ["!a", "!c"]
+    assert found("4") == ["PRODUCT_TYPE_MISSINGproduct_type_code", "!a", "!c"]
+    assert found("5") == ["PRODUCT_TYPE_UNKNOWNproduct_type_code", "!a", "!c"]

@@ -7,7 +7,7 @@ broadcast because their size is that of a file somebody wrote by hand.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -23,9 +23,10 @@ from truerow.functions.issues import (
     is_warning,
     issue,
     joined,
+    listed,
     present,
 )
-from truerow.functions.jsons import computed_once, is_json_null, variant_kind
+from truerow.functions.jsons import bound, computed_once, variant_kind
 from truerow.functions.numbers import percent
 from truerow.functions.text import is_blank, non_empty
 
@@ -55,12 +56,12 @@ def attributes_of(values: Column) -> Column:
 
 
 def _rule_tables(spark: SparkSession, rules: RuleSet) -> tuple[DataFrame, DataFrame]:
-    def typed(codes: Sequence[str]) -> list[tuple[str, str]]:
+    def typed(codes: Iterable[str]) -> list[tuple[str, str]]:
         return [(code, rules.data_type(code)) for code in sorted(set(codes))]
 
     types = spark.createDataFrame(
         [
-            (t.code, bool(t.template_code), typed(t.required), typed(t.recommended))
+            (t.code, bool(t.template_code), typed(t.required), typed({*t.recommended} - {*t.required}))
             for t in rules.product_types.values()
         ],
         f"type_code STRING, has_template BOOLEAN, type_required {_TYPED_CODES}, "
@@ -80,16 +81,26 @@ def validate(documents: DataFrame, rules: RuleSet, naming: Naming | None = None)
     ruled = documents.join(
         F.broadcast(types), documents["product_type_code"] == types["type_code"], "left"
     ).join(F.broadcast(brands), documents["brand_code"] == brands["governed_brand"], "left")
+    required, recommended = _wanted_attributes()
+    wanted = ruled.withColumns({"type_required": required, "type_recommended": recommended})
+    # Lambdas are not compiled, and neither is a generator that holds one: they come first, as columns.
+    found = wanted.withColumns(
+        {
+            "variant_issues": _variant_issues(naming),
+            "attribute_issues": _attribute_issues(naming),
+            "has_gtin": F.exists("variants", lambda v: ~is_blank(v["gtin"])),
+        }
+    )
     checked = computed_once(
-        ruled,
+        found,
         "issues",
         joined(
-            present(_identity_issues(rules, naming)),
-            _variant_issues(naming),
-            present([_product_type_issue(naming)]),
-            _attribute_issues(naming),
-            present([_identifier_issue(naming)]),
-        ).cast(ISSUES_TYPE),
+            listed(_identity_issues(rules, naming)),
+            F.col("variant_issues"),
+            listed(_product_type_issues(naming)),
+            F.col("attribute_issues"),
+            listed([_identifier_issue(naming)]),
+        ),
     )
     issues = F.col("issues")
     blocking = count_where(issues, is_blocking)
@@ -112,12 +123,12 @@ def validate(documents: DataFrame, rules: RuleSet, naming: Naming | None = None)
 # Fixed values below: issue codes, message texts, source fields and rule ids.
 
 
-def _identity_issues(rules: RuleSet, naming: Naming) -> list[Column]:
+def _identity_issues(rules: RuleSet, naming: Naming) -> list[tuple[Column, Column]]:
     """V2, V3."""
     brand = F.col("brand_code")
     unknown = F.lit(bool(rules.brands)) & F.col("governed_brand").isNull()
     return [
-        F.when(
+        (
             is_blank(F.col("global_style_id")),
             issue(
                 "GLOBAL_STYLE_ID_MISSING",
@@ -128,7 +139,7 @@ def _identity_issues(rules: RuleSet, naming: Naming) -> list[Column]:
                 "identity.global_style_id.required",
             ),
         ),
-        F.when(
+        (
             is_blank(brand),
             issue(
                 "BRAND_MISSING",
@@ -138,8 +149,9 @@ def _identity_issues(rules: RuleSet, naming: Naming) -> list[Column]:
                 "brand_code",
                 "taxonomy.brand.required",
             ),
-        ).when(
-            unknown,
+        ),
+        (
+            ~is_blank(brand) & unknown,
             issue(
                 "BRAND_UNKNOWN",
                 F.concat(F.lit("Brand "), brand, F.lit(" is not governed in the DPP rule set.")),
@@ -154,14 +166,16 @@ def _identity_issues(rules: RuleSet, naming: Naming) -> list[Column]:
 
 def _variant_issues(naming: Naming) -> Column:
     """V4: issues of all variants, in the order of the variants."""
+    none = F.array().cast(ISSUES_TYPE)
 
     def of_variant(v: Column, n: Column) -> Column:
         index = n.cast("string")
         own_id = non_empty(v[naming.variant_id])
         field = F.concat(F.lit("variants["), index, F.lit("]."))
         label = F.coalesce(non_empty(v["sku"]), own_id, index)
-        no_global_id = F.when(
-            is_blank(v["global_variant_id"]),
+        no_global_id, no_sku = is_blank(v["global_variant_id"]), is_blank(v["sku"])
+        global_id_issue = F.when(
+            no_global_id,
             issue(
                 "GLOBAL_VARIANT_ID_MISSING",
                 F.concat(F.lit("Variant "), label, F.lit(" is missing a global variant ID.")),
@@ -171,8 +185,8 @@ def _variant_issues(naming: Naming) -> Column:
                 "identity.global_variant_id.required",
             ),
         )
-        no_sku = F.when(
-            is_blank(v["sku"]),
+        sku_issue = F.when(
+            no_sku,
             issue(
                 "SKU_MISSING",
                 F.concat(F.lit("Variant "), F.coalesce(own_id, index), F.lit(" is missing SKU.")),
@@ -182,99 +196,108 @@ def _variant_issues(naming: Naming) -> Column:
                 "identity.sku.required",
             ),
         )
-        return present([no_global_id, no_sku])
+        found = present([global_id_issue, sku_issue]).cast(ISSUES_TYPE)
+        return F.when(no_global_id | no_sku, found).otherwise(none)
 
-    found = F.flatten(F.transform("variants", of_variant))
-    return F.coalesce(found, F.array().cast(ISSUES_TYPE))
+    return F.coalesce(F.flatten(F.transform("variants", of_variant)), none)
 
 
-def _product_type_issue(naming: Naming) -> Column:
-    """V5: the first that applies."""
+def _product_type_issues(naming: Naming) -> list[tuple[Column, Column]]:
+    """V5: at most one applies."""
     code = F.col("product_type_code")
+    given, known = ~is_blank(code), F.col("type_code").isNotNull()
 
     def of(issue_code: str, message: Column | str, where: str, rule: str) -> Column:
         return issue(issue_code, message, ERROR, where, "product_type_code", rule)
 
-    return (
-        F.when(
-            is_blank(code),
+    return [
+        (
+            ~given,
             of(
                 "PRODUCT_TYPE_MISSING",
                 f"{naming.label} payload is missing product_type_code.",
                 naming.label,
                 "taxonomy.product_type.required",
             ),
-        )
-        .when(
-            F.col("type_code").isNull(),
+        ),
+        (
+            given & ~known,
             of(
                 "PRODUCT_TYPE_UNKNOWN",
                 F.concat(F.lit("Product type "), code, F.lit(" is not governed for DPP.")),
                 naming.hub,
                 "taxonomy.product_type.known",
             ),
-        )
-        .when(
-            ~F.col("has_template"),
+        ),
+        (
+            given & known & ~F.col("has_template"),
             of(
                 "DPP_TEMPLATE_MAPPING_MISSING",
                 F.concat(F.lit("Product type "), code, F.lit(" has no DPP template mapping.")),
                 naming.hub,
                 "mapping.dpp.template.required",
             ),
-        )
-    )
+        ),
+    ]
 
 
-def _attribute_issues(naming: Naming) -> Column:
-    """V6-V8: required attributes of type and brand, then the recommended ones left."""
+def _wanted_attributes() -> tuple[Column, Column]:
+    """V6: required attributes of type and brand, and the recommended ones left, both in order.
+
+    The lists of the rules are sorted, so they are sorted again only where both have some.
+    """
     none = F.array().cast(_TYPED_CODES)
+    by_type, recommended, by_brand = (
+        F.coalesce(F.col(name), none) for name in ("type_required", "type_recommended", "brand_required")
+    )
+    required = (
+        F.when(F.size(by_brand) == 0, by_type)
+        .when(F.size(by_type) == 0, by_brand)
+        .otherwise(F.array_sort(F.array_union(by_type, by_brand)))
+    )
+    left = F.when(F.size(by_brand) == 0, recommended).otherwise(F.array_except(recommended, by_brand))
+    return required, left
 
-    def codes(name: str) -> Column:
-        return F.coalesce(F.col(name), none)
 
-    required = F.array_sort(F.array_union(codes("type_required"), codes("brand_required")))
-    recommended = F.array_sort(F.array_except(codes("type_recommended"), required))
+def _attribute_issues(naming: Naming) -> Column:
+    """V6-V8: required attributes, then recommended ones."""
     found = F.concat(
-        F.transform(required, lambda a: _attribute_issue(a, True, naming)),
-        F.transform(recommended, lambda a: _attribute_issue(a, False, naming)),
+        F.transform("type_required", lambda a: _attribute_issue(a, True, naming)),
+        F.transform("type_recommended", lambda a: _attribute_issue(a, False, naming)),
     )
-    return F.filter(found, lambda i: i.isNotNull())
+    return F.filter(found, lambda i: i.isNotNull()).cast(ISSUES_TYPE)
 
 
-def is_missing(value: Column) -> Column:
+def is_missing(value: Column, kind: Column) -> Column:
     """V7: absent, null, '' or []; 0, false, {} and ' ' are present."""
-    text = F.try_variant_get(value, "$", "string")
-    empty = (variant_kind(value) == "STRING") & (text == "")
-    no_items = F.size(F.try_variant_get(value, "$", "array<variant>")) == 0
     return (
-        value.isNull()
-        | is_json_null(value)
-        | F.coalesce(empty, F.lit(False))
-        | F.coalesce(no_items, F.lit(False))
+        F.when(kind.isNull() | (kind == "VOID"), F.lit(True))
+        .when(kind == "STRING", F.try_variant_get(value, "$", "string") == "")
+        .when(kind == "ARRAY<VOID>", F.size(F.try_variant_get(value, "$", "array<variant>")) == 0)
+        .otherwise(F.lit(False))
     )
 
 
-def has_wrong_type(value: Column, expected: Column) -> Column:
+_NUMBERS = ("BIGINT", "DOUBLE", "FLOAT", "INT", "SMALLINT", "TINYINT")
+
+
+def has_wrong_type(kind: Column, expected: Column) -> Column:
     """V8: names other than these four never fail."""
-    kind = variant_kind(value)
-    pattern = (
-        F.when(expected == "string", "^STRING$")
-        .when(expected == "number", "^(BIGINT|DECIMAL.*|DOUBLE|FLOAT|INT|SMALLINT|TINYINT)$")
-        .when(expected == "boolean", "^BOOLEAN$")
-        .when(expected == "list", "^ARRAY")
-        .otherwise("")
+    return (
+        F.when(expected == "string", kind != "STRING")
+        .when(expected == "number", ~(kind.isin(*_NUMBERS) | kind.startswith("DECIMAL")))
+        .when(expected == "boolean", kind != "BOOLEAN")
+        .when(expected == "list", ~kind.startswith("ARRAY"))
+        .otherwise(F.lit(False))
     )
-    return ~F.regexp_like(kind, pattern)
 
 
 def _attribute_issue(attribute: Column, required: bool, naming: Naming) -> Column:
     code, expected = attribute["code"], attribute["data_type"]
-    value = F.try_element_at("attributes", code)
     field = F.concat(F.lit("attributes."), code)
-    kind, need = ("REQUIRED", "required") if required else ("RECOMMENDED", "recommended")
+    need_kind, need = ("REQUIRED", "required") if required else ("RECOMMENDED", "recommended")
     missing = issue(
-        f"DPP_{kind}_ATTRIBUTE_MISSING",
+        f"DPP_{need_kind}_ATTRIBUTE_MISSING",
         F.concat(code, F.lit(f" is {need} for DPP readiness.")),
         ERROR if required else WARNING,
         naming.label,
@@ -290,14 +313,20 @@ def _attribute_issue(attribute: Column, required: bool, naming: Naming) -> Colum
         field,
         F.concat(F.lit("attribute."), code, F.lit(".data_type")),
     )
-    return F.when(is_missing(value), missing).when(has_wrong_type(value, expected), wrong)
 
+    def judged(value: Column) -> Column:
+        def of_kind(kind: Column) -> Column:
+            return F.when(is_missing(value, kind), missing).when(has_wrong_type(kind, expected), wrong)
+
+        return bound(variant_kind(value), of_kind)
 
-def _identifier_issue(naming: Naming) -> Column:
+    return bound(F.try_element_at("attributes", code), judged)
+
+
+def _identifier_issue(naming: Naming) -> tuple[Column, Column]:
     """V9."""
-    has_gtin = F.exists("variants", lambda v: ~is_blank(v["gtin"]))
-    return F.when(
-        ~F.coalesce(has_gtin, F.lit(False)),
+    return (
+        ~F.coalesce(F.col("has_gtin"), F.lit(False)),
         issue(
             "DPP_GTIN_OR_RESOLVER_ID_MISSING",
             "DPP readiness requires at least one GTIN or resolver identifier candidate.",

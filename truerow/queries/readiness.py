@@ -64,7 +64,7 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit("NAME"),
         F.when(F.col("p_retailprice") >= 995, "").otherwise(F.col("p_name")).cast("variant"),
         F.lit("ORIGIN"),
-        F.parse_json(F.when(flag == "A", "[]").otherwise('["x"]')),
+        F.when(flag == "A", F.parse_json(F.lit("[]"))).otherwise(F.parse_json(F.lit('["x"]'))),
         F.lit("WEIGHT"),
         F.when(status == "F", F.lit(True).cast("variant")).otherwise(quantity.cast("variant")),
         F.lit("OWNER"),
