@@ -5,7 +5,7 @@ from datetime import datetime, timedelta
 
 from pyspark.sql import functions as F
 
-from truerow.operators.ingest import actions_of, fold
+from truerow.operators.ingest import actions_of, extract, fold
 
 START = datetime(2026, 1, 1)
 
@@ -54,3 +54,15 @@ def test_fold_equals_sequential_application(spark):
     assert {r["record_id"]: (r["modified_at_ts"], r["payload"]) for r in live} == expected
     found = actions_of(folded).collect()
     assert {(r["record_id"], r["file_ord"], r["action"]) for r in found} == actions
+
+
+def test_a_line_is_read_once(spark):
+    """Nothing is shared inside a generator, so what it names twice would run twice for every line."""
+    lines = spark.createDataFrame(
+        [("e", p) for p in ('{"id": "a", "_modified_at": "2031-02-03"}', ' {"id": "b"} ', '["id"]', "7", '{"id": " "}')],
+        "endpoint STRING, payload STRING",
+    )
+    records = extract(lines, {})
+    assert records.columns == ["endpoint", "payload", "record_id", "modified_at", "modified_at_ts", "is_delete"]
+    assert [(r.record_id, r.modified_at) for r in records.orderBy("record_id").collect()] == [("a", "2031-02-03"), ("b", None)]
+    assert records._jdf.queryExecution().optimizedPlan().toString().count("from_json") == 1

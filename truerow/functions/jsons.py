@@ -55,8 +55,25 @@ def line_fields(payload: Column, names: Iterable[str]) -> Column:
     NULL for every other line. The JSON readers stop at an object's closing brace and would
     not notice text after it, so the line is read as the only item of an array.
     """
+    return _only_object(payload, _line_items(payload, names))
+
+
+def with_line_fields(lines: DataFrame, names: Iterable[str]) -> DataFrame:
+    """Lines with the column parsed: the ``line_fields`` of their payload, read a single time.
+
+    Inside a generator nothing is shared, so what is named twice is a column below it.
+    """
+    read = lines.select(*lines.columns, _line_items(F.col("payload"), names).alias("items_"))
+    parsed = _only_object(F.col("payload"), F.col("items_"))
+    return computed_once(read, "parsed", parsed).drop("items_")
+
+
+def _line_items(payload: Column, names: Iterable[str]) -> Column:
     fields = ", ".join(f"{quoted(name)} STRING" for name in sorted({*names}) or [BAD])
-    items = F.from_json(_in_array(payload), f"ARRAY<STRUCT<{fields}>>", _PARSE_OPTIONS)
+    return F.from_json(_in_array(payload), f"ARRAY<STRUCT<{fields}>>", _PARSE_OPTIONS)
+
+
+def _only_object(payload: Column, items: Column) -> Column:
     text = F.trim(payload, F.lit(" \t\r\n"))
     is_object = text.startswith("{") & text.endswith("}")
     return F.when(is_object & (F.size(items) == 1), F.get(items, 0))

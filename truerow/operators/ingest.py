@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from truerow.config.endpoints import EndpointSchema
-from truerow.functions.jsons import computed_once, first_value, is_malformed, line_fields
+from truerow.functions.jsons import first_value, is_malformed, with_line_fields
 from truerow.functions.times import utc_timestamp
 
 UPSERT = "upsert"
@@ -78,7 +78,7 @@ def extract(
         record_id = F.when(parsed.isNotNull(), record_id).when(malformed, problem)
     modified_at = _by_schema(endpoint, schemas, modified, default)
     return (
-        computed_once(lines, "parsed", line_fields(F.col("payload"), wanted))
+        with_line_fields(lines, wanted)
         .select(
             *lines.columns,
             record_id.alias("record_id"),
